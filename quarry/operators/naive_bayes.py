@@ -307,3 +307,77 @@ class NaiveBayes:
         for a, t, n_ac in agg.collect():
             out.setdefault(a, [math.log(1.0 / V[a])] * len(classes))[idx[t]] = math.log(1.0 / (n_ac + V[a]))
         return out
+
+
+def cross_validate(df: DataFrame, target: str, case_id: str, folds: int = 10, num_bins: int = 10,
+                   fold_col: str = "fold") -> DataFrame:
+    """k-fold cross-validation of Naive Bayes in two aggregate jobs.
+
+    Binning is fitted once on all rows (a fixed preparation step).  Counts
+    per (fold, attribute, value, class) come from one ``groupBy``; the model
+    for fold f is ``total - counts of f`` (driver-side arithmetic on a table
+    of k x attributes x values x classes rows).  Each row is scored by its
+    own fold's model inside one projection.  Returns
+    (fold, actual, predicted, count).
+    """
+    from quarry.operators.prep import hash_folds
+    exclude = [case_id, target, fold_col]
+    numeric, categorical = attribute_roles(df, exclude)
+    data = df.filter(F.col(target).isNotNull())
+    if fold_col not in data.columns:
+        data = data.withColumn(fold_col, hash_folds(case_id, folds))
+    ranges = {}
+    if numeric:
+        row = data.agg(*[F.min(F.col(a).cast("double")).alias(f"lo_{i}") for i, a in enumerate(numeric)],
+                       *[F.max(F.col(a).cast("double")).alias(f"hi_{i}") for i, a in enumerate(numeric)]
+                       ).collect()[0]
+        ranges = {a: (row[f"lo_{i}"], row[f"hi_{i}"]) for i, a in enumerate(numeric)}
+    attrs = numeric + categorical
+    keyed = data.select(F.col(fold_col).alias("__f"), F.col(target).alias("__t"),
+                        *_keyed(data, numeric, categorical, ranges, num_bins))
+    counts = (keyed.unpivot(["__f", "__t"], attrs, "attr", "val").filter(F.col("val").isNotNull())
+              .groupBy("__f", "attr", "val", "__t").agg(F.count(F.lit(1)).alias("n")).collect())
+    cls = {(r[0], r[1]): int(r[2]) for r in data.groupBy(fold_col, target).count().collect()}
+    classes = sorted({t for _, t in cls})
+    fold_ids = sorted({f for f, _ in cls})
+    tot: dict = {}
+    for f, a, v, t, n in counts:
+        tot[(a, v, t)] = tot.get((a, v, t), 0) + int(n)
+    own: dict = {}
+    for f, a, v, t, n in counts:
+        own[(f, a, v, t)] = int(n)
+    est = NaiveBayes(target=target, case_id=case_id, num_bins=num_bins)
+    prob_exprs = {}
+    for f in fold_ids:
+        cc = {c: sum(n for (ff, t), n in cls.items() if t == c and ff != f) for c in classes}
+        n_tr = sum(cc.values())
+        rows = [(a, v, t, n - own.get((f, a, v, t), 0)) for (a, v, t), n in tot.items()
+                if n - own.get((f, a, v, t), 0) > 0]
+        m = NaiveBayesModel(name=f"cv{f}", function="CLASSIFICATION", algorithm="ALGO_NAIVE_BAYES",
+                            classes=classes, numeric=numeric, categorical=categorical, ranges=ranges,
+                            num_bins=num_bins, class_counts=cc,
+                            log_prior={c: math.log(cc[c] / n_tr) for c in classes})
+        est._fill_inline(m, rows, classes, n_tr, cc)
+        prob_exprs[f] = F.array(*m.probability_columns(data))
+    probs = None
+    for f in reversed(fold_ids):
+        probs = F.when(F.col(fold_col) == f, prob_exprs[f]) if probs is None else \
+            F.when(F.col(fold_col) == f, prob_exprs[f]).otherwise(probs)
+    from quarry.plans.scoring import _argbest
+    scored = data.select(fold_col, F.col(target).alias("actual"), probs.alias("__p"))
+    return scored.select(fold_col, "actual", _argbest(F.col("__p"), classes).alias("predicted")) \
+        .groupBy(fold_col, "actual", "predicted").agg(F.count(F.lit(1)).alias("count"))
+
+
+def cv_accuracy_rollup(cm: DataFrame, fold_col: str = "fold") -> DataFrame:
+    """Per-fold accuracy (rounded to 4 places) and, via ROLLUP, the mean of those."""
+    per = cm.groupBy(fold_col).agg(
+        F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0)).alias("correct"),
+        F.sum("count").alias("total"))
+    return per.rollup(fold_col).agg(F.avg(F.round(F.col("correct") / F.col("total"), 4)).alias("accuracy"))
+
+
+def cv_confusion_rollup(cm: DataFrame, fold_col: str = "fold") -> DataFrame:
+    """Confusion by fold and rolled up over folds: ROLLUP(actual, predicted, fold)."""
+    r = cm.rollup("actual", "predicted", fold_col).agg(F.sum("count").alias("count"))
+    return r.filter(F.col("predicted").isNotNull())
