@@ -46,9 +46,11 @@ def safe_div(a, b, default: float = 1.0) -> Column:
 
 
 def tokenize(c) -> Column:
-    """Upper-cased word tokens: split on anything that is not a letter or digit.
+    """Case-folded word tokens: split on anything that is not a letter or digit.
 
     Letters include accented ones (``\\p{L}``); empty tokens are removed.
+    Case folding uses lower case: upper-casing is not one-to-one across
+    engines (German sharp s becomes "SS" in the JVM), lower-casing is.
     """
-    parts = F.split(F.upper(col(c)), r"[^\p{L}\p{N}]+")
+    parts = F.split(F.lower(col(c)), r"[^\p{L}\p{N}]+")
     return F.filter(parts, lambda t: F.length(t) > 0)
