@@ -17,7 +17,13 @@ PROBS = "__probs"
 
 
 def with_probabilities(df: DataFrame, model, name: str = PROBS) -> DataFrame:
-    """Add an array<double> column of class probabilities (model.classes order)."""
+    """Add an array<double> column of class probabilities (model.classes order).
+
+    Closed-form models give column expressions (a projection); Spark ML
+    models run their fitted pipeline (``model.with_probabilities``).
+    """
+    if hasattr(model, "with_probabilities"):
+        return model.with_probabilities(df, name)
     return df.withColumn(name, F.array(*model.probability_columns(df)))
 
 
