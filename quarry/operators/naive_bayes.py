@@ -381,3 +381,99 @@ def cv_confusion_rollup(cm: DataFrame, fold_col: str = "fold") -> DataFrame:
     """Confusion by fold and rolled up over folds: ROLLUP(actual, predicted, fold)."""
     r = cm.rollup("actual", "predicted", fold_col).agg(F.sum("count").alias("count"))
     return r.filter(F.col("predicted").isNotNull())
+
+
+@dataclass
+class PartitionedModel(MiningModel):
+    """One model per value of the partition columns (ODMS_PARTITION_COLUMNS)."""
+
+    partition_col: str = ""
+    models: dict = field(default_factory=dict)
+    classes: list = field(default_factory=list)
+
+    def partitions_df(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([(str(k), m.class_counts and sum(m.class_counts.values())) for k, m in
+                                      sorted(self.models.items(), key=lambda kv: str(kv[0]))],
+                                     "partition_name string, num_rows long")
+
+    def partition_name(self) -> Column:
+        """ORA_DM_PARTITION_NAME: the partition a row is scored by (NULL if unknown)."""
+        known = F.array(*[F.lit(str(k)) for k in self.models])
+        v = F.col(self.partition_col).cast("string")
+        return F.when(F.array_contains(known, v), v)
+
+    def probability_columns(self, df: DataFrame) -> list[Column]:
+        per = {k: m.probability_columns(df) for k, m in self.models.items()}
+        out = []
+        for i in range(len(self.classes)):
+            expr = None
+            for k, cols in per.items():
+                hit = F.col(self.partition_col) == F.lit(k)
+                expr = F.when(hit, cols[i]) if expr is None else expr.when(hit, cols[i])
+            out.append(expr)
+        return out
+
+    def add_partition(self, df: DataFrame, estimator: "NaiveBayes") -> None:
+        """Fit the rows of new partition values; an existing value is an error."""
+        fresh = fit_partitioned(df, estimator, self.partition_col)
+        clash = set(fresh.models) & set(self.models)
+        if clash:
+            raise ValueError(f"partition(s) already in the model: {sorted(map(str, clash))}")
+        self.models.update(fresh.models)
+
+
+def fit_partitioned(df: DataFrame, estimator: NaiveBayes, partition_col: str) -> PartitionedModel:
+    """Partitioned Naive Bayes: one count aggregate keyed by the partition too.
+
+    Each partition's binning is fitted on its own rows (per-partition prep);
+    the per-partition models are assembled on the driver from
+    (partition, attribute, value, class) counts - a table bounded by
+    partitions x attributes x values x classes.
+    """
+    target, case_id, bins = estimator.target, estimator.case_id, estimator.num_bins
+    exclude = [c for c in (case_id, target, partition_col) if c]
+    numeric, categorical = attribute_roles(df, exclude)
+    data = df.filter(F.col(target).isNotNull() & F.col(partition_col).isNotNull())
+    rng = data.groupBy(partition_col).agg(
+        *[F.min(F.col(a).cast("double")).alias(f"lo_{i}") for i, a in enumerate(numeric)],
+        *[F.max(F.col(a).cast("double")).alias(f"hi_{i}") for i, a in enumerate(numeric)]).collect()
+    ranges = {r[partition_col]: {a: (r[f"lo_{i}"], r[f"hi_{i}"]) for i, a in enumerate(numeric)} for r in rng}
+    parts = sorted(ranges)
+    # bin ids per partition: a CASE over partitions (partition count is bounded by the model)
+    cols = []
+    for a in numeric:
+        expr = None
+        for pv in parts:
+            lo, hi = ranges[pv][a]
+            b = equi_width_bin(a, lo, hi, bins).cast("string")
+            hit = F.col(partition_col) == F.lit(pv)
+            expr = F.when(hit, b) if expr is None else expr.when(hit, b)
+        cols.append(expr.alias(a))
+    cols += [F.col(a).cast("string").alias(a) for a in categorical]
+    keyed = data.select(F.col(partition_col).alias("__p"), F.col(target).alias("__t"), *cols)
+    counts = (keyed.unpivot(["__p", "__t"], numeric + categorical, "attr", "val")
+              .filter(F.col("val").isNotNull())
+              .groupBy("__p", "attr", "val", "__t").agg(F.count(F.lit(1)).alias("n")).collect())
+    cls = {(r[0], r[1]): int(r[2]) for r in data.groupBy(partition_col, target).count().collect()}
+    classes = sorted({t for _, t in cls})
+    out = PartitionedModel(name=estimator.name, function="CLASSIFICATION", algorithm="ALGO_NAIVE_BAYES",
+                           partition_col=partition_col, classes=classes,
+                           settings={"ODMS_PARTITION_COLUMNS": partition_col})
+    for pv in parts:
+        cc = {c: cls.get((pv, c), 0) for c in classes}
+        n = sum(cc.values())
+        present = [c for c in classes if cc[c] > 0]
+        if estimator.priors:
+            tot = sum(estimator.priors.get(c, 0.0) for c in classes)
+            lp = {c: math.log(estimator.priors[c] / tot) for c in classes}
+        else:
+            lp = {c: (math.log(cc[c] / n) if cc[c] > 0 else -1e9) for c in classes}
+        m = NaiveBayesModel(name=f"{estimator.name}:{pv}", function="CLASSIFICATION",
+                            algorithm="ALGO_NAIVE_BAYES", classes=classes, numeric=numeric,
+                            categorical=categorical, ranges=ranges[pv], num_bins=bins,
+                            class_counts=cc, log_prior=lp)
+        rows = [(a, v, t, k) for (p_, a, v, t, k) in counts if p_ == pv]
+        estimator._fill_inline(m, rows, classes, n, {c: max(cc[c], 1) for c in classes})
+        del present
+        out.models[pv] = m
+    return out
