@@ -47,14 +47,14 @@ def _memo(key, build):
 def nb_model(spark: SparkSession, sf_dir: str):
     """Flagship model: Naive Bayes with user priors on the build split."""
     def build():
-        build_df = cases.split(cases.case360(spark, sf_dir), cases.SPLIT_BUILD)
+        build_df = cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD)
         return NaiveBayes(target="affinity", case_id="cust_id", num_bins=10,
                           priors=NB_PRIORS, name="NB_SH_CLAS_SAMPLE").fit(build_df)
     return _memo(("nb", id(spark), sf_dir), build)
 
 
 def _apply_view(spark, sf_dir):
-    return cases.split(cases.case360(spark, sf_dir), cases.SPLIT_APPLY)
+    return cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_APPLY)
 
 
 def nb_scored(spark, sf_dir) -> DataFrame:
@@ -66,7 +66,7 @@ def nb_scored(spark, sf_dir) -> DataFrame:
 # Naive Bayes + evaluation (flagship slice)
 # --------------------------------------------------------------------------
 def q_case_view(spark, sf_dir):
-    return cases.case360(spark, sf_dir).select(
+    return cases.case_table(spark, sf_dir).select(
         "cust_id", "segment", "nation", "region", "acctbal", "n_orders", "avg_price",
         "sum_qty", "last_gap_days", "affinity",
         F.pmod(F.col("cust_id"), F.lit(3)).alias("split"))

@@ -38,13 +38,13 @@ def _memo(key, build):
 
 
 def _build(spark, sf_dir):
-    return cases.split(cases.case360(spark, sf_dir), cases.SPLIT_BUILD)
+    return cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD)
 
 
 # ------------------------------------------------------------ SQL-checkable pieces
 def q_gram_matrix(spark, sf_dir):
     """X'X of (1, acctbal, n_orders, sum_qty) in exact decimal arithmetic."""
-    c = cases.case360(spark, sf_dir).select(
+    c = cases.case_table(spark, sf_dir).select(
         F.lit(1).cast("decimal(12,2)").alias("one"),
         F.col("acctbal").cast("decimal(12,2)").alias("acctbal"),
         F.col("n_orders").cast("decimal(12,2)").alias("n_orders"),
@@ -80,7 +80,7 @@ def q_mape(spark, sf_dir):
 
 
 def _km_start(spark, sf_dir):
-    c = cases.case360(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
     norm = fit_normalizer(c, KM_COLS)
     z = norm.transform(c.select("cust_id", *KM_COLS))
     # data-derived initial centers: means of the four key residue classes
@@ -205,7 +205,7 @@ def q_mlp_classifier(spark, sf_dir):
 # ------------------------------------------------------------ clustering / factorization
 def _km(spark, sf_dir):
     return _memo(("km", id(spark), sf_dir), lambda: HierarchicalKMeans(k=10, max_iter=10, name="KM_SH_CLUS_SAMPLE")
-                 .fit(cases.case360(spark, sf_dir), KM_COLS))
+                 .fit(cases.case_table(spark, sf_dir), KM_COLS))
 
 
 def q_kmeans_tree(spark, sf_dir):
@@ -215,7 +215,7 @@ def q_kmeans_tree(spark, sf_dir):
 def q_kmeans_assign(spark, sf_dir):
     """CLUSTER_ID, CLUSTER_DISTANCE and CLUSTER_PROBABILITY for every customer."""
     m = _km(spark, sf_dir)
-    c = cases.case360(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
     s = scoring.with_probabilities(c, m)
     return s.select("cust_id", m.cluster_id(c).alias("cluster_id"), m.cluster_distance(c).alias("distance"),
                     F.array_max("__probs").alias("probability"))
@@ -223,19 +223,19 @@ def q_kmeans_assign(spark, sf_dir):
 
 def q_kmeans_histograms(spark, sf_dir):
     m = _km(spark, sf_dir)
-    c = cases.case360(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
     return cluster_histograms(c, m.cluster_id(c), KM_COLS)
 
 
 def q_svd_pca(spark, sf_dir):
     """PCA scoring mode: singular values and explained variance (view E)."""
-    m = SVD(pca=True).fit(cases.case360(spark, sf_dir), NUMERIC)
+    m = SVD(pca=True).fit(cases.case_table(spark, sf_dir), NUMERIC)
     return m.view("E")
 
 
 def q_svd_reconstruction(spark, sf_dir):
     """Reconstruction error of the case table from the top 3 of 5 features: MAE and MAPE."""
-    c = cases.case360(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
     m = SVD(pca=True).fit(c, NUMERIC)
     rec = m.reconstruct(c, 3)
     long = c.select(F.inline(F.array(*[F.struct(F.lit(a).alias("attribute_name"),

@@ -108,7 +108,7 @@ def q_aft_survival(spark, sf_dir):
 # ------------------------------------------------------------ anomaly / mixtures
 def q_em_anomaly(spark, sf_dir):
     """EM anomaly on the case table (outlier rate .05): count and probability range per label."""
-    c = cases.case360(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
     m = MixtureAnomaly(k=3, outlier_rate=0.05).fit(c, NUMERIC)
     s = c.select(m.prediction(c).alias("pred"), m.probability_normal(c).alias("prob"))
     return s.groupBy("pred").agg(F.count(F.lit(1)).alias("n"), F.min("prob").alias("min_prob"),
@@ -125,7 +125,7 @@ def q_em_clusters(spark, sf_dir):
 
 def q_cur_leverage(spark, sf_dir):
     """CUR column leverage of the case numerics from the rank-3 SVD: (1/k) sum of squared loadings."""
-    m = SVD(pca=True).fit(cases.case360(spark, sf_dir), NUMERIC)
+    m = SVD(pca=True).fit(cases.case_table(spark, sf_dir), NUMERIC)
     k = 3
     rows = [(c, float((m.V[i, :k] ** 2).sum() / k)) for i, c in enumerate(m.cols)]
     df = spark.createDataFrame(rows, "attribute_name string, leverage double")
@@ -136,7 +136,7 @@ def q_cur_leverage(spark, sf_dir):
 # ------------------------------------------------------------ partitioned / transient
 def _pnb(spark, sf_dir):
     return _memo(("pnb", id(spark), sf_dir), lambda: fit_partitioned(
-        cases.split(cases.case360(spark, sf_dir), cases.SPLIT_BUILD),
+        cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD),
         NaiveBayes(target="affinity", case_id="cust_id", name="PART_NB"), "region"))
 
 
@@ -165,7 +165,7 @@ def q_partitioned_accuracy(spark, sf_dir):
 def q_transient_nb(spark, sf_dir):
     """Transient model: fit on the build rows and score the same rows in one call (nothing kept);
     customers without the card predicted to have one, most likely first."""
-    b = cases.split(cases.case360(spark, sf_dir), cases.SPLIT_BUILD).select(
+    b = cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD).select(
         "cust_id", "affinity", "acctbal", "segment", "n_orders")
     m = NaiveBayes(target="affinity", case_id="cust_id").fit(b)
     s = scoring.with_probabilities(b, m)

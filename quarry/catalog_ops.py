@@ -32,7 +32,7 @@ def ar_model(spark, sf_dir):
     if key not in _CACHE:
         _CACHE[key] = asso.Apriori(min_support=AR_MIN_SUPPORT, min_confidence=AR_MIN_CONFIDENCE,
                                    max_rule_length=AR_MAX_LENGTH, name="AR_SH_SAMPLE").fit(
-            cases.baskets(spark, sf_dir), "txn_id", "item", "amount")
+            cases.basket_table(spark, sf_dir), "txn_id", "item", "amount")
     return _CACHE[key]
 
 
@@ -45,19 +45,19 @@ def q_star_nested_sums(spark, sf_dir):
 
 
 def q_txn_density(spark, sf_dir):
-    b = cases.baskets(spark, sf_dir)
+    b = cases.basket_table(spark, sf_dir)
     return asso.basket_stats(b, "txn_id", "item").select(
         "n_txn", "n_items", "n_rows", rnd("density", 4).alias("density"))
 
 
 def q_avg_items_per_txn(spark, sf_dir):
-    b = cases.baskets(spark, sf_dir)
+    b = cases.basket_table(spark, sf_dir)
     return asso.avg_items_per_txn(b, "txn_id", "item").select(rnd("avg_items").alias("avg_items"))
 
 
 def q_topn_by_group(spark, sf_dir):
     """Top 3 customers by account balance in every nation (ties by key)."""
-    c = cases.case360(spark, sf_dir).select("nation", "cust_id", "acctbal")
+    c = cases.case_table(spark, sf_dir).select("nation", "cust_id", "acctbal")
     t = top_n_by_group(c, ["nation"], [F.col("acctbal").desc(), F.col("cust_id").asc()], 3,
                        salt_cols=["cust_id"])
     return t.select("nation", "cust_id", "acctbal", F.col("rnk").cast("long").alias("rnk"))
@@ -77,19 +77,19 @@ def q_text_dedup(spark, sf_dir):
 
 
 def q_width_bucket_hist(spark, sf_dir):
-    c = cases.case360(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
     return c.groupBy(F.width_bucket(F.col("acctbal"), F.lit(WB_LO), F.lit(WB_HI), F.lit(WB_N)).alias("bucket")) \
         .agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_unpivot(spark, sf_dir):
-    c = cases.case360(spark, sf_dir).select("cust_id", *[F.col(a).cast("double").alias(a) for a in NUMERIC])
+    c = cases.case_table(spark, sf_dir).select("cust_id", *[F.col(a).cast("double").alias(a) for a in NUMERIC])
     return c.unpivot("cust_id", NUMERIC, "attribute_name", "value").filter(F.col("value").isNotNull())
 
 
 # ----------------------------------------------------------------- prep
 def q_standardize(spark, sf_dir):
-    c = cases.case360(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
     n = prep.fit_normalizer(c, NUMERIC, "mean", "stddev")
     z = n.transform(c.select("cust_id", *NUMERIC))
     return z.select("cust_id", *[rnd(a, 5).alias(a) for a in NUMERIC])
@@ -101,42 +101,42 @@ IMPUTE_NUMERIC = ["acctbal", "n_orders", "sum_qty", "last_gap_days"]
 
 def q_impute_mean_mode(spark, sf_dir):
     """Mean (numeric) / mode (categorical) fill fitted on all rows, replayed as a projection."""
-    c = cases.case360(spark, sf_dir).select("cust_id", *IMPUTE_NUMERIC, *CATEGORICAL)
+    c = cases.case_table(spark, sf_dir).select("cust_id", *IMPUTE_NUMERIC, *CATEGORICAL)
     im = prep.fit_imputer(c, exclude=["cust_id"])
     out = im.transform(c)
     return out.select("cust_id", *[rnd(a).alias(a) for a in IMPUTE_NUMERIC], *CATEGORICAL)
 
 
 def q_mode_table(spark, sf_dir):
-    return prep.mode_table(cases.case360(spark, sf_dir), CATEGORICAL)
+    return prep.mode_table(cases.case_table(spark, sf_dir), CATEGORICAL)
 
 
 def q_equi_width_bins(spark, sf_dir):
-    c = cases.case360(spark, sf_dir).select("cust_id", *NUMERIC)
+    c = cases.case_table(spark, sf_dir).select("cust_id", *NUMERIC)
     binned, _ = prep.equi_width_binning(c, NUMERIC, 10)
     return binned
 
 
 def q_class_weights(spark, sf_dir):
-    w = prep.class_weights_balanced(cases.case360(spark, sf_dir), "affinity")
+    w = prep.class_weights_balanced(cases.case_table(spark, sf_dir), "affinity")
     return w.select("target_value", "n_c", rnd("class_weight").alias("class_weight"))
 
 
 def q_fold_assign(spark, sf_dir):
-    b = cases.split(cases.case360(spark, sf_dir), cases.SPLIT_BUILD)
+    b = cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD)
     return b.select("cust_id", "affinity", prep.hash_folds("cust_id", CV_FOLDS).alias("fold"))
 
 
 # ----------------------------------------------------------------- importance
 def q_mdl_importance(spark, sf_dir):
-    b = cases.split(cases.case360(spark, sf_dir), cases.SPLIT_BUILD)
+    b = cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD)
     e = imp.explain(b, "affinity", exclude=["cust_id"])
     return e.select("attribute_name", rnd("explanatory_value").alias("explanatory_value"),
                     F.col("rank").cast("long").alias("rank"))
 
 
 def q_pairwise_kl(spark, sf_dir):
-    c = cases.case360(spark, sf_dir).drop("cust_id", "affinity")
+    c = cases.case_table(spark, sf_dir).drop("cust_id", "affinity")
     k = imp.pairwise_kl(c)
     return k.select(F.least("attribute_1", "attribute_2").alias("attribute_1"),
                     F.greatest("attribute_1", "attribute_2").alias("attribute_2"),
@@ -177,7 +177,7 @@ def q_itemset_aggregates(spark, sf_dir):
 def _cv(spark, sf_dir):
     key = ("cv", id(spark), sf_dir)
     if key not in _CACHE:
-        b = cases.split(cases.case360(spark, sf_dir), cases.SPLIT_BUILD)
+        b = cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD)
         _CACHE[key] = cross_validate(b, "affinity", "cust_id", folds=CV_FOLDS).cache()
     return _CACHE[key]
 

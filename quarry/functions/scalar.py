@@ -23,8 +23,17 @@ def decode_flag(a, b) -> Column:
 def equi_width_bin(c, lo: float, hi: float, n: int) -> Column:
     """Bin id 1..n of ``c`` on [lo, hi]; values outside are clamped; NULL stays NULL.
 
-    A constant column (hi == lo) maps to bin 1.
+    A constant column (hi == lo) maps to bin 1.  For a column name the
+    expression is emitted as one SQL string (a single driver->JVM call).
     """
+    if isinstance(c, str) and lo is not None and hi is not None:
+        q = "`" + c.replace("`", "``") + "`"
+        if hi == lo:
+            return F.expr(f"CAST(CASE WHEN {q} IS NULL THEN NULL ELSE 1 END AS INT)")
+        return F.expr(
+            f"CAST(CASE WHEN {q} IS NULL THEN NULL ELSE least(greatest(floor((CAST({q} AS DOUBLE) - "
+            f"{_sql_double(float(lo))}) / {_sql_double(float(hi) - float(lo))} * {int(n)}) + 1, 1), {int(n)}) "
+            f"END AS INT)")
     x = col(c).cast("double")
     if hi is None or lo is None:
         return F.lit(None).cast("int")
@@ -54,3 +63,36 @@ def tokenize(c) -> Column:
     """
     parts = F.split(F.lower(col(c)), r"[^\p{L}\p{N}]+")
     return F.filter(parts, lambda t: F.length(t) > 0)
+
+
+def _sql_str(s: str) -> str:
+    return "'" + str(s).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_double(x: float) -> str:
+    import math
+    if x != x:
+        return "CAST('NaN' AS DOUBLE)"
+    if math.isinf(x):
+        return "CAST('Infinity' AS DOUBLE)" if x > 0 else "CAST('-Infinity' AS DOUBLE)"
+    return repr(float(x)) + "D"
+
+
+def literal_array(values) -> Column:
+    """array<double> literal built from one SQL expression (a single driver->JVM call)."""
+    return F.expr("array(" + ", ".join(_sql_double(v) for v in values) + ")") if values else \
+        F.array().cast("array<double>")
+
+
+def literal_map_of_arrays(table: dict) -> Column:
+    """map<string, array<double>> literal from one SQL expression.
+
+    Building big lookup tables literal by literal costs one JVM round trip
+    per value; a single parsed expression keeps plan construction O(1) calls.
+    Doubles use the ``D`` suffix so they stay exact IEEE doubles.
+    """
+    parts = []
+    for k, vals in sorted(table.items()):
+        parts.append(_sql_str(k))
+        parts.append("array(" + ", ".join(_sql_double(v) for v in vals) + ")")
+    return F.expr("map(" + ", ".join(parts) + ")")

@@ -9,13 +9,12 @@ itemsets, whose number is bounded by ``avg basket size / min_support``):
 
 * k = 1: ``groupBy(item)`` counts of distinct transactions.
 * k >= 2: candidates are generated from the frequent (k-1)-itemsets by
-  the Apriori join + prune (driver-side, on itemsets, not on rows) and
-  shipped as a membership table ``(cand_id, item)``.  Counting joins the
-  (txn, item) rows with that table on ``item`` - no pairs of items inside a
-  transaction are ever enumerated - then ``groupBy(txn, cand_id)`` keeps
-  the (txn, candidate) groups that contain all k members.  The membership
-  table is broadcast only while its row count is under a fixed bound;
-  otherwise a shuffle join is used.
+  the Apriori join + prune (driver-side, on itemsets, not on rows).  The
+  (txn, item) rows of frequent items are hash-partitioned by transaction
+  once; each task counts every candidate over its own transactions by
+  vertical bitmaps (see :func:`count_candidates`) and a ``groupBy`` sums
+  the partial counts.  No pairs of items inside a transaction are
+  enumerated and the row volume is never multiplied by the candidates.
 * rules ``A => c`` (single consequent) are built with joins on itemset
   keys: support, confidence, lift, coverage, reverse confidence, count,
   and the summed value of the consequent over supporting transactions.
@@ -93,39 +92,31 @@ class Apriori:
         frequent = {r["item"]: int(r["cnt"]) for r in l1_rows}
         level_keys = [(r["item"],) for r in l1_rows]
         values = [(r["item"], r["item"], r["vsum"]) for r in l1_rows]
-        # rows of frequent items only (semi join with a table bounded by the frequent-item count)
+        # rows of frequent items only (semi join with a table bounded by the
+        # frequent-item count), hash-partitioned by transaction so every
+        # transaction's items sit in one partition
         fitems = spark.createDataFrame([(r["item"],) for r in l1_rows], "item string")
-        rows = base.join(F.broadcast(fitems) if len(l1_rows) <= BROADCAST_MAX_ROWS else fitems, "item")
+        rows = base.join(F.broadcast(fitems) if len(l1_rows) <= BROADCAST_MAX_ROWS else fitems, "item") \
+            .repartition("txn").persist()
 
         k = 2
         while level_keys and k <= self.max_len:
             cands = _candidates(level_keys)
             if not cands:
                 break
-            members = [(i, it) for i, c in enumerate(cands) for it in c]
-            mem = spark.createDataFrame(members, "cand_id int, item string")
-            mem_j = F.broadcast(mem) if len(members) <= BROADCAST_MAX_ROWS else mem
-            hits = (rows.join(mem_j, "item")
-                    .groupBy("txn", "cand_id")
-                    .agg(F.count(F.lit(1)).alias("m"),
-                         F.collect_list(F.struct("item", "v")).alias("iv"))  # <= k entries
-                    .filter(F.col("m") == k))
-            counts = hits.groupBy("cand_id").agg(F.count(F.lit(1)).alias("cnt")) \
-                .filter(F.col("cnt") >= min_count)
-            kept = {int(r["cand_id"]): int(r["cnt"]) for r in counts.collect()}
+            kept_rows = count_candidates(rows, cands, min_count)
+            kept = {int(r["cand_id"]): int(r["cnt"]) for r in kept_rows}
             if not kept:
                 break
             level_keys = [cands[i] for i in sorted(kept)]
             for i, c in kept.items():
                 frequent[itemset_key(cands[i])] = c
             if value:
-                keep_ids = spark.createDataFrame([(i,) for i in kept], "cand_id int")
-                vs = (hits.join(F.broadcast(keep_ids) if len(kept) <= BROADCAST_MAX_ROWS else keep_ids,
-                                "cand_id")
-                      .select("cand_id", F.inline("iv"))
-                      .groupBy("cand_id", "item").agg(F.sum("v").alias("vsum")).collect())
-                values += [(itemset_key(cands[int(r["cand_id"])]), r["item"], r["vsum"]) for r in vs]
+                for r in kept_rows:
+                    c = cands[int(r["cand_id"])]
+                    values += [(itemset_key(c), c[j], r[f"v{j}"]) for j in range(k)]
             k += 1
+        rows.unpersist()
         base.unpersist()
 
         model = AssociationModel(
@@ -172,6 +163,64 @@ class Apriori:
                         (F.col("reverse_confidence") >= self.min_rev_confidence))
 
 
+CAND_CHUNK = 512
+
+
+def count_candidates(rows: DataFrame, cands: list[tuple], min_count: int):
+    """Support count (and per-member value sums) of every candidate itemset.
+
+    ``rows`` (txn, item, v) is hash-partitioned by txn.  Each task builds,
+    for its own transactions, one boolean column per frequent item
+    (items x transactions of that partition) and ANDs the member columns of
+    every candidate - vertical (tid-list) counting with numpy, so no item
+    pairs are emitted and no candidate/row join is materialized.  Partial
+    counts are summed by a ``groupBy(cand_id)``.  Task memory is bounded by
+    (transactions in the partition) x (frequent items).
+    """
+    import numpy as np
+    import pandas as pd
+
+    k = len(cands[0])
+    items = sorted({it for c in cands for it in c})
+    index = {it: i for i, it in enumerate(items)}
+    cand_idx = np.array([[index[it] for it in c] for c in cands], dtype=np.int64)
+    schema = "cand_id int, cnt long, " + ", ".join(f"v{j} double" for j in range(k))
+
+    def count(batches):
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)
+        it_codes = pdf["item"].map(index)
+        keep = it_codes.notna().to_numpy()
+        pdf = pdf[keep]
+        if pdf.empty:
+            return
+        tx, _ = pd.factorize(pdf["txn"])
+        ii = it_codes[keep].astype(np.int64).to_numpy()
+        n_tx = int(tx.max()) + 1
+        present = np.zeros((len(items), n_tx), dtype=bool)
+        present[ii, tx] = True
+        vals = np.zeros((len(items), n_tx), dtype=np.float64)
+        vals[ii, tx] = pdf["v"].fillna(0.0).to_numpy(dtype=np.float64)
+        for start in range(0, len(cand_idx), CAND_CHUNK):
+            ci = cand_idx[start:start + CAND_CHUNK]
+            mask = present[ci[:, 0]]
+            for j in range(1, k):
+                mask = mask & present[ci[:, j]]
+            cnt = mask.sum(axis=1)
+            out = {"cand_id": np.arange(start, start + len(ci), dtype=np.int32), "cnt": cnt.astype(np.int64)}
+            for j in range(k):
+                out[f"v{j}"] = (mask * vals[ci[:, j]]).sum(axis=1)
+            frame = pd.DataFrame(out)
+            yield frame[frame["cnt"] > 0]
+
+    partial = rows.select("txn", "item", "v").mapInPandas(count, schema)
+    return partial.groupBy("cand_id").agg(F.sum("cnt").alias("cnt"),
+                                          *[F.sum(f"v{j}").alias(f"v{j}") for j in range(k)]) \
+        .filter(F.col("cnt") >= min_count).collect()
+
+
 def _ceil_count(support: float, n: int) -> int:
     import math
     c = support * n

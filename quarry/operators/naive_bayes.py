@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import equi_width_bin
+from quarry.functions.scalar import equi_width_bin, literal_array, literal_map_of_arrays
 from quarry.plans.model import MiningModel, attribute_roles
 
 MAX_INLINE_ENTRIES = 20000
@@ -76,6 +76,15 @@ class NaiveBayesModel(MiningModel):
             keys[a] = F.col(a).cast("string") if a in present else F.lit(None).cast("string")
         return keys
 
+    def key_column(self, df: DataFrame, a: str) -> Column:
+        """Key (bin id or category) of one attribute."""
+        if a not in df.columns:
+            return F.lit(None).cast("string")
+        if a in self.numeric:
+            lo, hi = self.ranges[a]
+            return equi_width_bin(a, lo, hi, self.num_bins).cast("string")
+        return F.col(a).cast("string")
+
     def log_score_columns(self, df: DataFrame) -> list[Column]:
         """Unnormalised log posterior per class (inline path)."""
         keys = self._key_columns(df)
@@ -85,15 +94,37 @@ class NaiveBayesModel(MiningModel):
             table = self.log_cond.get(a)
             if not table:
                 continue
-            m = F.create_map(*[x for v, lps in sorted(table.items())
-                               for x in (F.lit(v), F.array(*[F.lit(float(p)) for p in lps]))])
+            m = literal_map_of_arrays(table)
             looked = F.element_at(m, key)
-            unseen = F.array(*[F.lit(float(p)) for p in self.log_unseen[a]])
+            unseen = literal_array(self.log_unseen[a])
             term = F.when(key.isNull(), F.array_repeat(F.lit(0.0), k)).otherwise(
                 F.coalesce(looked, unseen))
             totals = [t + F.element_at(term, i + 1) for i, t in enumerate(totals)]
         return totals
 
+    def log_score_array(self, df: DataFrame) -> Column:
+        """Unnormalised log posteriors as one array column (each lookup appears once)."""
+        return multi_model_log_scores({None: self}, None, df)
+
+    def with_probabilities(self, df: DataFrame, name: str = "__probs") -> DataFrame:
+        """Class probabilities as an array column, log scores computed once.
+
+        The per-class log scores are materialized in their own projection so
+        the normalisation below references them instead of repeating the
+        whole lookup expression for every class.
+        """
+        if self.large_table is not None:
+            raise ValueError("model too large to inline; use score_by_join()")
+        logs = df.withColumn("__nb_l", self.log_score_array(df))
+        k = len(self.classes)
+        ls = [F.element_at(F.col("__nb_l"), i + 1) for i in range(k)]
+        mx = F.array_max(F.col("__nb_l"))
+        exps = [F.exp(l - mx) for l in ls]
+        tot = exps[0]
+        for e in exps[1:]:
+            tot = tot + e
+        return logs.withColumn(name, F.array(*[e / tot for e in exps])).drop("__nb_l")
+
     def probability_columns(self, df: DataFrame) -> list[Column]:
         if self.large_table is not None:
             raise ValueError("model too large to inline; use score_by_join()")
@@ -347,7 +378,7 @@ def cross_validate(df: DataFrame, target: str, case_id: str, folds: int = 10, nu
     for f, a, v, t, n in counts:
         own[(f, a, v, t)] = int(n)
     est = NaiveBayes(target=target, case_id=case_id, num_bins=num_bins)
-    prob_exprs = {}
+    models = {}
     for f in fold_ids:
         cc = {c: sum(n for (ff, t), n in cls.items() if t == c and ff != f) for c in classes}
         n_tr = sum(cc.values())
@@ -358,17 +389,58 @@ def cross_validate(df: DataFrame, target: str, case_id: str, folds: int = 10, nu
                             num_bins=num_bins, class_counts=cc,
                             log_prior={c: math.log(cc[c] / n_tr) for c in classes})
         est._fill_inline(m, rows, classes, n_tr, cc)
-        prob_exprs[f] = F.array(*m.probability_columns(data))
-    probs = None
-    for f in reversed(fold_ids):
-        probs = F.when(F.col(fold_col) == f, prob_exprs[f]) if probs is None else \
-            F.when(F.col(fold_col) == f, prob_exprs[f]).otherwise(probs)
+        models[f] = m
+    # each row is scored by its own fold's model: per attribute one lookup in
+    # the map literal selected by fold; the argmax of the log scores is the
+    # prediction, no normalisation needed
     from quarry.plans.scoring import _argbest
-    scored = data.select(fold_col, F.col(target).alias("actual"), probs.alias("__p"))
-    return scored.select(fold_col, "actual", _argbest(F.col("__p"), classes).alias("predicted")) \
+    logs = multi_model_log_scores(models, F.col(fold_col), data)
+    scored = data.select(fold_col, F.col(target).alias("actual"), logs.alias("__l"))
+    return scored.select(fold_col, "actual", _argbest(F.col("__l"), classes).alias("predicted")) \
         .groupBy(fold_col, "actual", "predicted").agg(F.count(F.lit(1)).alias("count"))
 
 
+def multi_model_log_scores(models: dict, selector: Column | None, df: DataFrame) -> Column:
+    """Log-score array of the model chosen per row by ``selector`` (fold / partition).
+
+    Per attribute: one key expression (shared when every model bins alike),
+    one map literal chosen by a CASE on the selector, one lookup; class sums
+    are folded with ``zip_with`` so nothing is repeated per class.  Rows whose
+    selector matches no model get NULL.
+    """
+    ms = list(models.items())
+    first = ms[0][1]
+    classes = first.classes
+    k = len(classes)
+
+    def pick(values: list[Column]) -> Column:
+        if selector is None or len(values) == 1 and len(ms) == 1:
+            return values[0]
+        expr = None
+        for (key, _), v in zip(ms, values):
+            hit = selector == F.lit(key)
+            expr = F.when(hit, v) if expr is None else expr.when(hit, v)
+        return expr
+
+    total = pick([literal_array([m.log_prior[c] for c in classes]) for _, m in ms])
+    zeros = F.array_repeat(F.lit(0.0), k)
+    first_keys = first._key_columns(df)
+    for a in first.numeric + first.categorical:
+        if not any(m.log_cond.get(a) for _, m in ms):
+            continue
+        same_bins = a not in first.numeric or all(m.ranges.get(a) == first.ranges.get(a) for _, m in ms)
+        if same_bins:
+            key = first_keys[a]
+        else:
+            key = pick([m.key_column(df, a) for _, m in ms])
+        empty = F.create_map().cast("map<string,array<double>>")
+        table = pick([literal_map_of_arrays(m.log_cond[a]) if m.log_cond.get(a) else empty for _, m in ms])
+        unseen = pick([literal_array(m.log_unseen[a]) if m.log_cond.get(a) else zeros for _, m in ms])
+        term = F.when(key.isNull(), zeros).otherwise(F.coalesce(F.element_at(table, key), unseen))
+        total = F.zip_with(total, term, lambda x, y: x + y)
+    return total
+
+
 def cv_accuracy_rollup(cm: DataFrame, fold_col: str = "fold") -> DataFrame:
     """Per-fold accuracy (rounded to 4 places) and, via ROLLUP, the mean of those."""
     per = cm.groupBy(fold_col).agg(
@@ -402,16 +474,20 @@ class PartitionedModel(MiningModel):
         v = F.col(self.partition_col).cast("string")
         return F.when(F.array_contains(known, v), v)
 
-    def probability_columns(self, df: DataFrame) -> list[Column]:
-        per = {k: m.probability_columns(df) for k, m in self.models.items()}
-        out = []
-        for i in range(len(self.classes)):
-            expr = None
-            for k, cols in per.items():
-                hit = F.col(self.partition_col) == F.lit(k)
-                expr = F.when(hit, cols[i]) if expr is None else expr.when(hit, cols[i])
-            out.append(expr)
-        return out
+    def with_probabilities(self, df: DataFrame, name: str = "__probs") -> DataFrame:
+        """Each row's own partition model: one CASE picks the log-score array,
+        then a single normalisation (rows of unknown partitions get NULL)."""
+        logs = multi_model_log_scores(self.models, F.col(self.partition_col), df)
+        x = df.withColumn("__pl", logs)
+        n = len(self.classes)
+        ls = [F.element_at(F.col("__pl"), i + 1) for i in range(n)]
+        mx = F.array_max(F.col("__pl"))
+        exps = [F.exp(l - mx) for l in ls]
+        tot = exps[0]
+        for e in exps[1:]:
+            tot = tot + e
+        return x.withColumn(name, F.when(F.col("__pl").isNotNull(), F.array(*[e / tot for e in exps]))) \
+            .drop("__pl")
 
     def add_partition(self, df: DataFrame, estimator: "NaiveBayes") -> None:
         """Fit the rows of new partition values; an existing value is an error."""

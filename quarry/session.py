@@ -30,6 +30,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Python call-site capture for every Column call costs a stack walk;
+        # plans with large literal tables build many columns
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
         # broadcast threshold stays Spark's default (10 MB); explicit
         # broadcasts in this library are size-checked before they are used.

@@ -164,3 +164,32 @@ def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("next_date").isNull(), cens).otherwise(gap).alias("lbound"),
         F.when(F.col("next_date").isNull(), F.lit(None).cast("double")).otherwise(gap).alias("rbound"),
     )
+
+
+# ---------------------------------------------------------------- persisted views
+_PERSISTED: dict = {}
+
+
+def _persisted(builder, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One persisted copy per (session, table folder) of a derived case table.
+
+    The case tables are aggregates (one row per customer / transaction item),
+    much smaller than the fact tables they come from, and many queries
+    reuse them.  MEMORY_AND_DISK storage; a lost block is recomputed from
+    its lineage, so executor loss only costs time.
+    """
+    from pyspark import StorageLevel
+    key = (builder.__name__, id(spark), sf_dir)
+    if key not in _PERSISTED:
+        _PERSISTED[key] = builder(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    return _PERSISTED[key]
+
+
+def case_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persisted ``case360``."""
+    return _persisted(case360, spark, sf_dir)
+
+
+def basket_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persisted ``baskets``."""
+    return _persisted(baskets, spark, sf_dir)
