@@ -171,17 +171,24 @@ class HierarchicalKMeans:
         model.nodes[1] = Node(1, None, 1, n_root, root_c, root_sse / max(n_root, 1))
         model.n_rows = n_root
         next_id = 2
+        bisections: dict = {}
+        blocked: set = set()
         while len(model.leaves()) < self.k:
-            cands = [lf for lf in model.leaves() if lf.n >= 2]
+            cands = [lf for lf in model.leaves() if lf.n >= 2 and lf.id not in blocked]
             if not cands:
                 break
             key = (lambda nd: (nd.dispersion, -nd.id)) if self.split == "variance" else (lambda nd: (nd.n, -nd.id))
             leaf = max(cands, key=key)
-            in_leaf = data.filter(model_leaf_expr(model, zc) == leaf.id)
-            stats = self._bisect(in_leaf, names, leaf)
-            if stats is None:
-                break
-            (c1, n1, s1), (c2, n2, s2) = stats
+            if leaf.id not in bisections:
+                # bisect every leaf still lacking a split in the same jobs (one
+                # aggregate per Lloyd iteration for all of them)
+                todo = [lf for lf in cands if lf.id not in bisections]
+                bisections.update(self._bisect_many(data, zc, model, todo))
+            res = bisections.pop(leaf.id)
+            if res is None:
+                blocked.add(leaf.id)
+                continue
+            (c1, n1, s1), (c2, n2, s2) = res
             a = Node(next_id, leaf.id, leaf.level + 1, n1, c1, s1 / max(n1, 1))
             b = Node(next_id + 1, leaf.id, leaf.level + 1, n2, c2, s2 / max(n2, 1))
             leaf.left, leaf.right = a.id, b.id
@@ -193,32 +200,80 @@ class HierarchicalKMeans:
         model.add_view("C", lambda: model.centroids_df(spark), "k-Means Centroids")
         return model
 
-    def _bisect(self, rows: DataFrame, names: list[str], leaf: Node):
-        """2-means on one leaf; init = centroid -/+ one std along the widest attribute."""
-        var = rows.agg(*[F.var_pop(nm).alias(nm) for nm in names]).collect()[0]
-        v = np.array([var[nm] or 0.0 for nm in names])
-        if v.max() <= 0:
-            return None
-        j = int(np.argmax(v))
-        off = np.zeros(len(names))
-        off[j] = math.sqrt(v[j])
-        centers = [leaf.centroid - off, leaf.centroid + off]
-        res = None
+    def _bisect_many(self, data: DataFrame, zc: list[Column], model: KMeansTreeModel, leaves: list[Node]) -> dict:
+        """2-means for several leaves at once.
+
+        Init per leaf: centroid -/+ one standard deviation along its widest
+        attribute.  Each Lloyd iteration is ONE aggregate
+        ``groupBy(leaf, side)`` over the rows of all still-moving leaves.
+        """
+        names = [f"__z{i}" for i in range(len(zc))]
+        ids = [lf.id for lf in leaves]
+        rows = data.withColumn("__leaf", model_leaf_expr(model, zc)).filter(F.col("__leaf").isin(ids))
+        var = {int(r["__leaf"]): r for r in rows.groupBy("__leaf").agg(
+            *[F.var_pop(nm).alias(nm) for nm in names]).collect()}
+        out: dict = {}
+        centers: dict = {}
+        for lf in leaves:
+            r = var.get(lf.id)
+            v = np.array([(r[nm] if r is not None else 0.0) or 0.0 for nm in names])
+            if v.max() <= 0:
+                out[lf.id] = None
+                continue
+            j = int(np.argmax(v))
+            off = np.zeros(len(names))
+            off[j] = math.sqrt(v[j])
+            centers[lf.id] = [lf.centroid - off, lf.centroid + off]
+
+        def step(active: dict) -> dict:
+            side = None
+            d2 = None
+            for lid, (c1, c2) in active.items():
+                hit = F.col("__leaf") == F.lit(lid)
+                e = F.when(sq_dist(zc, c1) <= sq_dist(zc, c2), F.lit(0)).otherwise(F.lit(1))
+                side = F.when(hit, e) if side is None else side.when(hit, e)
+            for lid, (c1, c2) in active.items():
+                hit = F.col("__leaf") == F.lit(lid)
+                e = F.when(hit & (F.col("__side") == 0), sq_dist(zc, c1)) \
+                    .when(hit & (F.col("__side") == 1), sq_dist(zc, c2))
+                d2 = e if d2 is None else F.coalesce(d2, e)
+            got = rows.filter(F.col("__leaf").isin(list(active))).withColumn("__side", side) \
+                .groupBy("__leaf", "__side").agg(F.count(F.lit(1)).alias("n"),
+                                                 *[F.avg(nm).alias(nm) for nm in names],
+                                                 F.sum(d2).alias("sse")).collect()
+            res: dict = {}
+            for r in got:
+                res.setdefault(int(r["__leaf"]), {})[int(r["__side"])] = r
+            return res
+
+        active = dict(centers)
         for _ in range(self.max_iter):
-            out = {int(r["cluster"]): r for r in lloyd_step(rows, names, centers).collect()}
-            if len(out) < 2:
-                return None
-            new = [np.array([out[i][nm] for nm in names]) for i in (0, 1)]
-            shift = max(float(np.sqrt(((a - b) ** 2).sum())) for a, b in zip(new, centers))
-            centers = new
-            res = [(new[i], int(out[i]["n"]), float(out[i]["sse"])) for i in (0, 1)]
-            if shift < self.tol:
+            if not active:
                 break
-        # final stats for the converged centers
-        out = {int(r["cluster"]): r for r in lloyd_step(rows, names, centers).collect()}
-        if len(out) < 2:
-            return None
-        return [(centers[i], int(out[i]["n"]), float(out[i]["sse"])) for i in (0, 1)]
+            res = step(active)
+            nxt = {}
+            for lid, (c1, c2) in active.items():
+                sides = res.get(lid, {})
+                if len(sides) < 2:
+                    out[lid] = None
+                    continue
+                new = [np.array([sides[i][nm] for nm in names]) for i in (0, 1)]
+                shift = max(float(np.sqrt(((a - b) ** 2).sum())) for a, b in zip(new, (c1, c2)))
+                centers[lid] = new
+                if shift >= self.tol:
+                    nxt[lid] = new
+            active = nxt
+        # final statistics with the converged centers, all leaves in one job
+        final = {lid: c for lid, c in centers.items() if out.get(lid, 0) is not None}
+        if final:
+            res = step(final)
+            for lid, c in final.items():
+                sides = res.get(lid, {})
+                if len(sides) < 2:
+                    out[lid] = None
+                else:
+                    out[lid] = [(c[i], int(sides[i]["n"]), float(sides[i]["sse"])) for i in (0, 1)]
+        return out
 
 
 def model_leaf_expr(model: KMeansTreeModel, zc: list[Column]) -> Column:

@@ -34,12 +34,12 @@ def doc_terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def l2_normalize(df: DataFrame, key: str, value: str, out: str = "value") -> DataFrame:
     """Divide ``value`` by the L2 norm of its ``key`` group.
 
-    The norm is a ``groupBy(key)`` aggregate joined back (both sides are
-    hash-partitioned on the key, so the join adds no extra shuffle of the
-    long table beyond the aggregate's).
+    A window over ``key``: one shuffle by the key instead of an aggregate
+    plus a join back.  A group is one document's distinct terms - bounded by
+    the vocabulary of a single text, not by the corpus.
     """
-    norms = df.groupBy(key).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("__norm"))
-    return df.join(norms, key).withColumn(out, F.col(value) / F.col("__norm")).drop("__norm")
+    w = Window.partitionBy(key)
+    return df.withColumn(out, F.col(value) / F.sqrt(F.sum(F.col(value) * F.col(value)).over(w)))
 
 
 def term_extract(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
