@@ -8,7 +8,7 @@ def all_queries() -> dict:
     out = {}
     for mod in (catalog, catalog_ops):
         out.update(mod.QUERIES)
-    for extra in ("catalog_text", "catalog_models", "catalog_more"):
+    for extra in ("catalog_text", "catalog_models", "catalog_more", "catalog_stream"):
         try:
             mod = __import__(f"quarry.{extra}", fromlist=["QUERIES"])
         except ModuleNotFoundError:
@@ -22,7 +22,7 @@ def all_oracle_sql() -> dict:
     out = {}
     out.update(oracle.oracle_sql())
     out.update(oracle_ops.oracle_sql())
-    for extra in ("oracle_text", "oracle_models", "oracle_more"):
+    for extra in ("oracle_text", "oracle_models", "oracle_more", "oracle_stream"):
         try:
             mod = __import__(f"quarry.{extra}", fromlist=["oracle_sql"])
         except ModuleNotFoundError:
