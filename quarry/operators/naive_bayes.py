@@ -511,13 +511,14 @@ def fit_partitioned(df: DataFrame, estimator: NaiveBayes, partition_col: str) ->
     numeric, categorical = attribute_roles(df, exclude)
     data = df.filter(F.col(target).isNotNull() & F.col(partition_col).isNotNull())
     rng = data.groupBy(partition_col).agg(
+        F.count(F.lit(1)).alias("__n"),
         *[F.min(F.col(a).cast("double")).alias(f"lo_{i}") for i, a in enumerate(numeric)],
         *[F.max(F.col(a).cast("double")).alias(f"hi_{i}") for i, a in enumerate(numeric)]).collect()
     ranges = {r[partition_col]: {a: (r[f"lo_{i}"], r[f"hi_{i}"]) for i, a in enumerate(numeric)} for r in rng}
     parts = sorted(ranges)
     # bin ids per partition: a CASE over partitions (partition count is bounded by the model)
     cols = []
-    for a in numeric:
+    for a in numeric:  # (no numeric attributes: no bins)
         expr = None
         for pv in parts:
             lo, hi = ranges[pv][a]
