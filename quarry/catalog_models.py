@@ -273,3 +273,88 @@ QUERIES = {
     "svd_pca": q_svd_pca,
     "svd_reconstruction": q_svd_reconstruction,
 }
+
+
+# ------------------------------------------------------------ more scoring / models
+def q_glm_prediction_details(spark, sf_dir):
+    """PREDICTION_DETAILS of the logistic GLM: top 3 attribute contributions for likely card holders."""
+    m = _glm_log(spark, sf_dir)
+    a = _apply_view(spark, sf_dir)
+    s = scoring.with_probabilities(a, m)
+    return s.filter(scoring.prediction_probability(m, 1) > 0.6).select(
+        "cust_id", F.inline(m.prediction_details(a, 3)))
+
+
+def q_kmeans_outliers(spark, sf_dir):
+    """Distance-to-centroid anomalies: the 11 customers farthest from their leaf centroid."""
+    m = _km(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
+    d = c.select("cust_id", m.cluster_id(c).alias("cluster_id"), m.cluster_distance(c).alias("distance"))
+    return d.orderBy(F.col("distance").desc(), F.col("cust_id").asc()).limit(11)
+
+
+def q_regression_models(spark, sf_dir):
+    """Spark ML regressors on the case table (target sum_qty): RMSE / MAE on the apply split.
+
+    Regression tree, random forest, boosted trees (tree booster) and the linear
+    booster (elastic net, alpha = L1, lambda = L2).
+    """
+    from pyspark.ml import regression as Rg
+    b = _build(spark, sf_dir)
+    a = _apply_view(spark, sf_dir)
+    specs = [("regression_tree", Rg.DecisionTreeRegressor(maxDepth=6, seed=0)),
+             ("random_forest", Rg.RandomForestRegressor(numTrees=25, subsamplingRate=0.5, seed=0)),
+             ("boosted_trees", Rg.GBTRegressor(maxDepth=3, maxIter=10, stepSize=0.3, seed=0)),
+             ("linear_booster", Rg.LinearRegression(regParam=1.0001, elasticNetParam=0.0001 / 1.0001))]
+    out = None
+    for label, est in specs:
+        m = ml.fit_regressor(b, REG_TARGET, REG_NUMERIC, ["segment"], est, label.upper(), name=label)
+        e = ev.regression_errors(m.predicted_value(a), REG_TARGET, "prediction") \
+            .select(F.lit(label).alias("model"), "rmse", "mae")
+        out = e if out is None else out.unionByName(e)
+    return out
+
+
+def q_text_svm(spark, sf_dir):
+    """Text classification: TF-IDF over the 3000 most frequent terms (ODMS_TEXT_MAX_FEATURES)
+    of whole documents + linear SVM, target labels.quality.
+
+    Split by document key (pmod 3: 0 build, 2 test); confusion matrix of the test documents.
+    """
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.feature import IDF, CountVectorizer
+    from quarry.functions.scalar import tokenize
+    d = load(spark, sf_dir, "documents").select("doc_id", "text")
+    lab = load(spark, sf_dir, "labels").select("doc_id", "quality")
+    data = d.join(lab, "doc_id").select("doc_id", tokenize("text").alias("tokens"),
+                                        F.col("quality").cast("double").alias("label"))
+    pipe = Pipeline(stages=[CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=3000, minDF=1.0),
+                            IDF(inputCol="tf", outputCol="features", minDocFreq=1),
+                            LinearSVC(featuresCol="features", labelCol="label", regParam=0.01, maxIter=50)])
+    build = data.filter(F.pmod("doc_id", F.lit(3)) == 0).cache()  # every stage and iteration rescans it
+    test = data.filter(F.pmod("doc_id", F.lit(3)) == 2)
+    model = pipe.fit(build)
+    out = model.transform(test)
+    return ev.confusion_from_pairs(out.select(F.col("label").cast("int").alias("a"),
+                                              F.col("prediction").cast("int").alias("p")), "a", "p")
+
+
+def q_nmf(spark, sf_dir):
+    """NMF (3 features) of the customer x part-type spend matrix: H view plus the final error."""
+    from quarry.operators.decomposition import NMF
+    long = cases.cust_type_sums(spark, sf_dir)
+    types = sorted(r[0] for r in long.select("p_type").distinct().collect())  # part types: bounded
+    wide = long.groupBy("cust_id").pivot("p_type", types).agg(F.first("amount")).na.fill(0.0)
+    m = NMF(k=3, max_iter=30).fit(wide, types)
+    err = float(m.errors[-1])
+    return m.view("H").withColumn("final_sq_error", F.lit(err)).withColumn("iterations", F.lit(len(m.errors)))
+
+
+QUERIES.update({
+    "glm_prediction_details": q_glm_prediction_details,
+    "kmeans_outliers": q_kmeans_outliers,
+    "regression_models": q_regression_models,
+    "text_svm": q_text_svm,
+    "nmf": q_nmf,
+})

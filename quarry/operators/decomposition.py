@@ -110,3 +110,76 @@ class SVD:
         m.add_view("E", lambda: m.singular_df(spark), "Singular values / explained variance")
         m.add_view("V", lambda: m.v_df(spark), "Right-singular vectors")
         return m
+
+
+@dataclass
+class NMFModel(MiningModel):
+    cols: list = field(default_factory=list)
+    H: np.ndarray | None = None          # k x m, non-negative
+    errors: list = field(default_factory=list)
+
+    def feature_values(self, df: DataFrame) -> list[Column]:
+        """W of a row: projected least squares max(0, v H' (H H')^-1), a projection."""
+        P = self.H.T @ np.linalg.pinv(self.H @ self.H.T)   # m x k
+        out = []
+        for j in range(P.shape[1]):
+            s = None
+            for i, c in enumerate(self.cols):
+                t = F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * F.lit(float(P[i, j]))
+                s = t if s is None else s + t
+            out.append(F.greatest(s, F.lit(0.0)))
+        return out
+
+    def h_df(self, spark: SparkSession) -> DataFrame:
+        """View H: non-negative loadings per feature and attribute."""
+        rows = [(j + 1, c, float(self.H[j, i])) for j in range(self.H.shape[0]) for i, c in enumerate(self.cols)]
+        return spark.createDataFrame(rows, "feature_id int, attribute_name string, coefficient double")
+
+
+class NMF:
+    """Non-negative matrix factorization V ~ W H by alternating projected least squares.
+
+    W is never stored: given H it is a per-row projection (see
+    :meth:`NMFModel.feature_values`), so each iteration is ONE aggregate of
+    W'W (k x k) and W'V (k x m) with H as literals; H is updated on the
+    driver.  The reconstruction error of every iteration is recorded.
+    """
+
+    def __init__(self, k: int = 3, max_iter: int = 30, tol: float = 1e-4, seed: int = 0, name: str = "nmf"):
+        self.k, self.max_iter, self.tol, self.seed, self.name = k, max_iter, tol, seed, name
+
+    def fit(self, df: DataFrame, cols: list[str]) -> NMFModel:
+        m_cols = len(cols)
+        means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+        rnd = np.random.default_rng(self.seed)
+        H = np.abs(rnd.random((self.k, m_cols))) * np.array([max(means[c] or 0.0, 1e-9) for c in cols])
+        model = NMFModel(name=self.name, function="FEATURE_EXTRACTION", algorithm="ALGO_NONNEGATIVE_MATRIX_FACTOR",
+                         cols=list(cols), H=H, settings={"FEAT_NUM_FEATURES": self.k,
+                                                         "NMFS_NUM_ITERATIONS": self.max_iter,
+                                                         "NMFS_CONV_TOLERANCE": self.tol})
+        data = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols]).cache()
+        prev = None
+        for _ in range(self.max_iter):
+            model.H = H
+            w = model.feature_values(data)
+            aggs = []
+            for a in range(self.k):
+                for b in range(self.k):
+                    aggs.append(F.sum(w[a] * w[b]).alias(f"ww{a}_{b}"))
+                for i, c in enumerate(cols):
+                    aggs.append(F.sum(w[a] * F.col(c)).alias(f"wv{a}_{i}"))
+            # error: ||V - WH||^2 = sum v^2 - 2 sum_(a,i) (W'V)_ai H_ai + sum (W'W H H') trace
+            aggs.append(F.sum(sum((F.col(c) * F.col(c) for c in cols), F.lit(0.0))).alias("vv"))
+            r = data.agg(*aggs).first()
+            WW = np.array([[r[f"ww{a}_{b}"] for b in range(self.k)] for a in range(self.k)])
+            WV = np.array([[r[f"wv{a}_{i}"] for i in range(m_cols)] for a in range(self.k)])
+            err = float(r["vv"] - 2 * np.sum(WV * H) + np.trace(WW @ H @ H.T))
+            model.errors.append(err)
+            H = np.maximum(np.linalg.pinv(WW) @ WV, 1e-12)
+            if prev is not None and abs(prev - err) <= self.tol * max(abs(prev), 1e-12):
+                break
+            prev = err
+        model.H = H
+        data.unpersist()
+        model.add_view("H", lambda: model.h_df(df.sparkSession), "NMF H matrix")
+        return model

@@ -245,6 +245,24 @@ class LinearModel(MiningModel):
         eta = self.linear_predictor(df)
         return F.struct((eta - t * se).alias("lower"), (eta + t * se).alias("upper"))
 
+    def prediction_details(self, df: DataFrame | None = None, top_n: int = 5) -> Column:
+        """PREDICTION_DETAILS: the top-N attribute contributions coef * value by |weight|.
+
+        array<struct<attribute_name, attribute_value, weight, rank>>; one-hot
+        members report their level as attribute_value.
+        """
+        cols = self.design.columns(df)
+        names = self.design.names()
+        items = [F.struct(F.lit(a).alias("attribute_name"), F.lit(v).cast("string").alias("attribute_value"),
+                          (c * F.lit(float(b))).alias("weight"))
+                 for (a, v), c, b in zip(names, cols, self.beta[1:])]
+        ordered = F.array_sort(F.array(*items), lambda x, y: F.when(F.abs(x["weight"]) > F.abs(y["weight"]), -1)
+                               .when(F.abs(x["weight"]) < F.abs(y["weight"]), 1).otherwise(0))
+        top = F.slice(ordered, 1, top_n)
+        return F.transform(top, lambda e, i: F.struct(e["attribute_name"].alias("attribute_name"),
+                                                      e["attribute_value"].alias("attribute_value"),
+                                                      e["weight"].alias("weight"), (i + 1).alias("rank")))
+
     def coefficients_df(self, spark: SparkSession) -> DataFrame:
         names = [("(intercept)", None)] + self.design.names()
         rows = []
