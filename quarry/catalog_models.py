@@ -358,3 +358,13 @@ QUERIES.update({
     "text_svm": q_text_svm,
     "nmf": q_nmf,
 })
+
+
+def q_decision_tree_rules(spark, sf_dir):
+    """Tree hierarchy / node view of the decision tree: split and edge predicates by attribute,
+    leaf predictions and leaf record counts on the build rows."""
+    m = _dt(spark, sf_dir)
+    return ml.tree_view(m, _build(spark, sf_dir))
+
+
+QUERIES["decision_tree_rules"] = q_decision_tree_rules

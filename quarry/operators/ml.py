@@ -188,3 +188,79 @@ def mlp(hidden=(10,), max_iter=100, tol=1e-6, seed=0):
 def linear_svm(complexity=1.0, max_iter=100, tol=1e-4):
     """SVMS_COMPLEXITY_FACTOR C -> regParam = 1 / (C n) is applied by the caller."""
     return C.LinearSVC(regParam=1.0 / max(complexity, 1e-12), maxIter=max_iter, tol=tol)
+
+
+# ---------------------------------------------------------------- tree views
+def _feature_label(names, idx: int):
+    a, v = names[idx] if idx < len(names) else (f"feature {idx}", None)
+    return a, v
+
+
+def _readable(cond: str, names) -> str:
+    """'feature 5 in {1.0}' / 'feature 0 <= 6372.87' -> attribute predicates."""
+    import re
+    m = re.match(r"feature (\d+) (<=|>|in|not in) (.*)", cond)
+    if not m:
+        return cond
+    a, v = _feature_label(names, int(m.group(1)))
+    op, rhs = m.group(2), m.group(3)
+    if v is not None:  # a one-hot slot: 1.0 means "a = v"
+        hit = (op == "in" and "1.0" in rhs) or (op == "not in" and "1.0" not in rhs) or op == ">"
+        return f"{a} = '{v}'" if hit else f"{a} <> '{v}'"
+    if op in ("in", "not in"):
+        return f"{a} {op.upper()} {rhs}"
+    return f"{a} {op} {rhs}"
+
+
+def tree_nodes(model: "SparkMLModel") -> list[tuple]:
+    """Parse the fitted tree into (node_id, parent_id, depth, predicate, split, prediction, leaf_ordinal).
+
+    node ids follow preorder from 1; ``predicate`` is the condition on the edge
+    from the parent, ``split`` the node's own test (internal nodes), leaves carry
+    the predicted class and their preorder ordinal among leaves.
+    """
+    est = model.pipeline.stages[-1]
+    names = feature_names(model.pipeline, model.numeric, model.categorical)
+    lines = [ln for ln in est.toDebugString.splitlines()[1:] if ln.strip()]
+    pos = 0
+    rows: list = []
+    counter = {"node": 0, "leaf": 0}
+
+    def parse(parent, depth, edge):
+        nonlocal pos
+        counter["node"] += 1
+        nid = counter["node"]
+        text = lines[pos].strip()
+        if text.startswith("Predict:"):
+            pos += 1
+            pred = float(text.split(":", 1)[1])
+            label = model.classes[int(pred)] if model.classes else pred
+            rows.append((nid, parent, depth, edge, None, str(label), counter["leaf"]))
+            counter["leaf"] += 1
+            return
+        cond_if = text[len("If ("):-1]
+        pos += 1
+        rows.append((nid, parent, depth, edge, _readable(cond_if, names), None, None))
+        parse(nid, depth + 1, _readable(cond_if, names))
+        cond_else = lines[pos].strip()[len("Else ("):-1]
+        pos += 1
+        parse(nid, depth + 1, _readable(cond_else, names))
+
+    parse(None, 0, None)
+    return rows
+
+
+def tree_view(model: "SparkMLModel", df: DataFrame) -> DataFrame:
+    """Tree nodes with leaf record counts (Spark's preorder leaf index on the scored rows)."""
+    spark = df.sparkSession
+    rows = tree_nodes(model)
+    nodes = spark.createDataFrame(rows, "node_id int, parent_id int, tree_level int, predicate string, "
+                                        "split string, prediction string, leaf_ordinal int")
+    est = model.pipeline.stages[-1]
+    est.setLeafCol("__leaf")
+    try:
+        counts = model.transform(df).groupBy(F.col("__leaf").cast("int").alias("leaf_ordinal")) \
+            .agg(F.count(F.lit(1)).alias("record_count"))
+    finally:
+        est.setLeafCol("")
+    return nodes.join(counts, "leaf_ordinal", "left").drop("leaf_ordinal")
