@@ -8,6 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from quarry.catalog import R, _apply_view, rnd
+from quarry.functions.scalar import with_totals
 from quarry.operators import evaluation as ev
 from quarry.operators.anomaly import MixtureAnomaly
 from quarry.operators.decomposition import SVD
@@ -83,7 +84,7 @@ def q_mset_sprt(spark, sf_dir):
     tot = accumulate(e, "ts", "value", "hour", ["event_type"]).withColumnRenamed("value", "total")
     h = cnt.join(tot, ["event_type", "period"])
     start = h.agg(F.min("period").alias("t0"))
-    h = h.crossJoin(F.broadcast(start))
+    h = with_totals(h, start)
     cut = F.col("period") < F.col("t0") + F.expr("INTERVAL 20 DAYS")
     train = h.filter(cut).drop("t0")
     test = h.filter(~cut).drop("t0")

@@ -96,3 +96,18 @@ def literal_map_of_arrays(table: dict) -> Column:
         parts.append(_sql_str(k))
         parts.append("array(" + ", ".join(_sql_double(v) for v in vals) + ")")
     return F.expr("map(" + ", ".join(parts) + ")")
+
+
+def with_totals(df, totals) -> "DataFrame":  # noqa: F821
+    """Attach the columns of a one-row aggregate ``totals`` to every row of ``df``.
+
+    Expressed as one scalar subquery over a struct (not a join), so the
+    aggregate runs once and its row is read by every task.
+    """
+    t = totals.select(F.struct(*totals.columns).alias("__t")).scalar()
+    return df.withColumns({c: t.getField(c) for c in totals.columns})
+
+
+def class_index_rows(k: int) -> Column:
+    """``explode(0..k-1)``: repeat a row once per class of a k-class model."""
+    return F.explode(F.sequence(F.lit(0), F.lit(k - 1)))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import decode_flag, null_safe_eq
+from quarry.functions.scalar import decode_flag, null_safe_eq, with_totals
 from quarry.operators.scan import prefix_sums
 
 
@@ -112,7 +112,7 @@ def roc(scored: DataFrame) -> DataFrame:
     """COMPUTE_ROC table: one row per distinct threshold p, counting score >= p."""
     g = _by_prob(scored)
     cum = prefix_sums(g, "prob", ["npos", "nneg"], ascending=False)
-    return cum.crossJoin(F.broadcast(_totals(g))).select(
+    return with_totals(cum, _totals(g)).select(
         F.col("prob").alias("probability"),
         F.col("cum_npos").alias("true_positives"),
         (F.col("tot_pos") - F.col("cum_npos")).alias("false_negatives"),
@@ -126,7 +126,7 @@ def roc(scored: DataFrame) -> DataFrame:
 def roc_corners(scored: DataFrame) -> DataFrame:
     """ROC corner points: tpf switch points plus the top-right point, one per fpf."""
     g = _by_prob(scored)
-    cum = prefix_sums(g, "prob", ["npos", "nneg"], ascending=False).crossJoin(F.broadcast(_totals(g)))
+    cum = with_totals(prefix_sums(g, "prob", ["npos", "nneg"], ascending=False), _totals(g))
     kept = cum.filter((F.col("npos") > 0) | ((F.col("cum_npos") == F.col("tot_pos")) &
                                               (F.col("cum_nneg") == F.col("tot_neg"))))
     c = kept.groupBy("cum_nneg").agg(F.min("prob").alias("prob"), F.max("cum_npos").alias("cum_npos"),
@@ -152,7 +152,7 @@ def auc(scored: DataFrame) -> DataFrame:
     """
     g = _by_prob(scored)
     tot = _totals(g)
-    cum = prefix_sums(g, "prob", ["npos", "nneg"], ascending=False).crossJoin(F.broadcast(tot))
+    cum = with_totals(prefix_sums(g, "prob", ["npos", "nneg"], ascending=False), tot)
     kept = cum.filter((F.col("npos") > 0) | ((F.col("cum_npos") == F.col("tot_pos")) &
                                               (F.col("cum_nneg") == F.col("tot_neg"))))
     prev = prefix_sums(kept.withColumn("fp_here", F.col("cum_nneg")), "prob", [], ascending=False,
@@ -175,7 +175,7 @@ def lift(scored: DataFrame, num_quantiles: int = 10) -> DataFrame:
     """
     q = num_quantiles
     g = _by_prob(scored)
-    cum = prefix_sums(g, "prob", ["n"], ascending=False).crossJoin(F.broadcast(_totals(g)))
+    cum = with_totals(prefix_sums(g, "prob", ["n"], ascending=False), _totals(g))
     N = F.col("tot_n")
     base = F.floor(N / q)            # rows per bucket
     rem = N - base * q               # first ``rem`` buckets get one extra row

@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import equi_width_bin, literal_array, literal_map_of_arrays
+from quarry.functions.scalar import class_index_rows, equi_width_bin, literal_array, literal_map_of_arrays
 from quarry.plans.model import MiningModel, attribute_roles
 
 MAX_INLINE_ENTRIES = 20000
@@ -154,12 +154,12 @@ class NaiveBayesModel(MiningModel):
             "attr string, class_idx int, unseen double")
         cls = spark.createDataFrame([(i, float(self.log_prior[c])) for i, c in enumerate(self.classes)],
                                     "class_idx int, lp double")
-        per = (long.crossJoin(F.broadcast(cls.select("class_idx")))
+        per = (long.withColumn("class_idx", class_index_rows(k))
                .join(self.large_table, ["attr", "val", "class_idx"], "left")
                .join(F.broadcast(unseen), ["attr", "class_idx"], "left")
                .groupBy(case_id, "class_idx")
                .agg(F.sum(F.coalesce("logp", "unseen")).alias("s")))
-        base = df.select(case_id).crossJoin(F.broadcast(cls))
+        base = df.select(case_id).withColumn("class_idx", class_index_rows(k)).join(F.broadcast(cls), "class_idx")
         scored = base.join(per, [case_id, "class_idx"], "left").select(
             case_id, "class_idx", (F.col("lp") + F.coalesce("s", F.lit(0.0))).alias("l"))
         from pyspark.sql import Window
@@ -324,7 +324,7 @@ class NaiveBayes:
         n_ac = c.groupBy("attr", "class_idx").agg(F.sum("n").alias("n_ac"))
         V = c.groupBy("attr").agg(F.countDistinct("val").alias("V"))
         vals = c.select("attr", "val").distinct()
-        full = vals.crossJoin(F.broadcast(idx.select("class_idx"))) \
+        full = vals.withColumn("class_idx", class_index_rows(len(classes))) \
             .join(c.select("attr", "val", "class_idx", "n"), ["attr", "val", "class_idx"], "left")
         return full.join(n_ac, ["attr", "class_idx"]).join(V, "attr").select(
             "attr", "val", "class_idx",

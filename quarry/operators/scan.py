@@ -83,3 +83,50 @@ def prefix_sums(df: DataFrame, key: str, sum_cols: list[str], ascending: bool =
         *[F.greatest(F.col(f"__locmax_{c}"), F.col(f"__offmax_{c}")).alias(f"{prefix}max_{c}")
           for c in max_cols],
     )
+
+
+def next_in_group(df: DataFrame, group_col: str, order_cols: list[str], value_col: str,
+                  out_col: str = "next_value", partitions: int | None = None) -> DataFrame:
+    """``lead(value) OVER (PARTITION BY group ORDER BY order_cols)`` without one task per group.
+
+    The rows are range-partitioned on (group, order_cols), so a group holding a
+    large share of the rows spans many partitions, and sorted inside each
+    partition.  The result is checkpointed (``spark.checkpoint.dir``) so the
+    partition boundaries are fixed even if tasks are re-run.  Each partition
+    computes the lead of its own rows; its last row takes the first row of the
+    next non-empty partition when that row belongs to the same group.  Only one
+    row per partition (its first key) reaches the driver.
+    """
+    import pandas as pd
+
+    spark = df.sparkSession
+    from quarry.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [group_col] + list(order_cols)
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    tagged = ranged.withColumn("__pid", F.spark_partition_id())
+    firsts = tagged.groupBy("__pid").agg(F.min(F.struct(*keys, F.col(value_col).alias("__v"))).alias("f")) \
+        .collect()  # one row per non-empty partition
+    first_of = {int(r["__pid"]): (r["f"][group_col], r["f"]["__v"]) for r in firsts}
+    pids = sorted(first_of)
+    follower = {p: first_of[q] for p, q in zip(pids, pids[1:])}
+    schema = tagged.drop("__pid").schema.add(out_col, tagged.schema[value_col].dataType, True)
+
+    def lead(batches):
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)  # one partition, already sorted by keys
+        pid = int(pdf["__pid"].iloc[0])
+        pdf = pdf.drop(columns="__pid")
+        g = pdf[group_col]
+        nxt = pdf[value_col].shift(-1)
+        same = g.eq(g.shift(-1))
+        nxt = nxt.where(same, None)
+        if pid in follower and follower[pid][0] == g.iloc[-1]:
+            nxt.iloc[-1] = follower[pid][1]
+        pdf[out_col] = nxt
+        yield pdf
+
+    return tagged.mapInPandas(lead, schema)

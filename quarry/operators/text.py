@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import tokenize
+from quarry.functions.scalar import tokenize, with_totals
 from quarry.operators.topn import top_n_by_group
 from quarry.plans.model import MiningModel
 
@@ -58,7 +58,7 @@ def vocabulary(tc: DataFrame, min_docs: int = 1, max_features: int | None = None
     v = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_docs)
     if max_features:
         v = v.orderBy(F.col("df").desc(), F.col("term").asc()).limit(max_features)
-    return v.crossJoin(F.broadcast(n_docs)).select(
+    return with_totals(v, n_docs).select(
         "term", "df", F.log(F.col("n_docs") / F.col("df")).alias("idf"))
 
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.scalar import with_totals
 from quarry.sources.tables import load
 
 # Fixed values of our fixture definitions (FIXTURES.md, derived fixtures).
@@ -40,7 +41,7 @@ def case360(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     qty = lineitem.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("qty"))
     max_date = orders.agg(F.max("o_orderdate").alias("max_date"))  # one row
-    per_cust = (
+    per_cust = with_totals(
         orders.join(qty, orders.o_orderkey == qty.l_orderkey, "left")
         .groupBy("o_custkey")
         .agg(
@@ -50,13 +51,11 @@ def case360(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(F.when(F.col("o_orderpriority") == URGENT_PRIORITY, 1).otherwise(0)).alias("n_urgent"),
             F.sum("qty").alias("sum_qty"),
             F.max("o_orderdate").alias("last_order"),
-        )
-        .crossJoin(F.broadcast(max_date))
-        .select(
-            "o_custkey", "n_orders", (F.col("price_cents") / F.col("n_orders") / 100.0).alias("avg_price"),
-            "n_urgent", "sum_qty",
-            F.datediff(F.col("max_date"), F.col("last_order")).alias("last_gap_days"),
-        )
+        ), max_date
+    ).select(
+        "o_custkey", "n_orders", (F.col("price_cents") / F.col("n_orders") / 100.0).alias("avg_price"),
+        "n_urgent", "sum_qty",
+        F.datediff(F.col("max_date"), F.col("last_order")).alias("last_gap_days"),
     )
     customer = load(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -150,13 +149,15 @@ def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer's last order lbound = days to the table's max date and
     rbound = NULL (right-censored, i.e. infinity).
     """
-    from pyspark.sql import Window
+    from quarry.operators.scan import next_in_group
 
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                              "o_totalprice", "o_orderpriority")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     max_date = o.agg(F.max("o_orderdate").alias("max_date"))
-    nxt = o.withColumn("next_date", F.lead("o_orderdate").over(w)).crossJoin(F.broadcast(max_date))
+    # next order of the same customer, without a per-customer window (a customer
+    # with a large share of the orders spans many range partitions)
+    nxt = with_totals(next_in_group(o, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderdate",
+                                    "next_date"), max_date)
     gap = F.datediff("next_date", "o_orderdate").cast("double")
     cens = F.datediff("max_date", "o_orderdate").cast("double")
     return nxt.select(

@@ -228,3 +228,23 @@ def test_scores_do_not_depend_on_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
+
+
+def test_next_in_group_equals_window_lead_with_hot_group(spark):
+    from quarry.operators.scan import next_in_group
+    # group 0 holds half of the rows, so it spans several range partitions
+    df = spark.range(0, 4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 37).alias("g"),
+        (F.col("id") * 7919 % 1009).alias("t"), "id")
+    ours = next_in_group(df, "g", ["t", "id"], "id", "nxt", partitions=12)
+    w = Window.partitionBy("g").orderBy("t", "id")
+    ref = df.withColumn("nxt", F.lead("id").over(w))
+    assert sorted(ours.collect()) == sorted(ref.select(*ours.columns).collect())
+
+
+def test_with_totals_and_class_rows(spark):
+    from quarry.functions.scalar import class_index_rows, with_totals
+    df = spark.range(0, 10)
+    out = with_totals(df, df.agg(F.sum("id").alias("s"), F.count(F.lit(1)).alias("n")))
+    assert {(r["s"], r["n"]) for r in out.collect()} == {(45, 10)}
+    assert df.select("id", class_index_rows(3).alias("k")).count() == 30
