@@ -368,3 +368,78 @@ def q_decision_tree_rules(spark, sf_dir):
 
 
 QUERIES["decision_tree_rules"] = q_decision_tree_rules
+
+
+def q_kmeans_cluster_counts(spark, sf_dir):
+    """Customers per CLUSTER_ID (leaf of the k-means tree)."""
+    m = _km(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
+    return c.groupBy(m.cluster_id(c).alias("cluster_id")).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def q_kmeans_representatives(spark, sf_dir):
+    """The 10 customers most likely to belong to node 2 (CLUSTER_PROBABILITY(m, 2), ties by cust_id).
+
+    Node 2 is the first child of the root; its probability is the sum over its leaves.
+    """
+    m = _km(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
+    p = c.select("cust_id", m.cluster_probability(c, 2).alias("prob"))
+    return p.orderBy(F.col("prob").desc(), F.col("cust_id").asc()).limit(10)
+
+
+def q_kmeans_cluster_details(spark, sf_dir):
+    """CLUSTER_SET(m, NULL, 0.2) per customer, with CLUSTER_DETAILS(m, cluster, 5) of each member:
+    one row per (customer, likely cluster, attribute) with the attribute's weight and rank."""
+    m = _km(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
+    s = scoring.with_probabilities(c, m)
+    likely = s.select("*", F.inline(m.cluster_set(F.col("__probs"), None, 0.2)))
+    d = m.with_cluster_details(likely, F.col("cluster_id"), 5, "det")
+    return d.select("cust_id", "cluster_id", "probability",
+                    F.posexplode("det").alias("pos", "d")).select(
+        "cust_id", "cluster_id", "probability", (F.col("pos") + 1).alias("rank"),
+        F.col("d.attribute").alias("attribute"), F.col("d.weight").alias("weight"))
+
+
+QUERIES.update({
+    "kmeans_cluster_counts": q_kmeans_cluster_counts,
+    "kmeans_representatives": q_kmeans_representatives,
+    "kmeans_cluster_details": q_kmeans_cluster_details,
+})
+
+
+def _svd(spark, sf_dir):
+    return _memo(("svd", id(spark), sf_dir), lambda: SVD(pca=True, name="SVD_SH_SAMPLE")
+                 .fit(cases.case_table(spark, sf_dir), NUMERIC))
+
+
+def q_svd_feature_values(spark, sf_dir):
+    """FEATURE_VALUE of the top two PCA projections and FEATURE_ID for every customer."""
+    m = _svd(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
+    v = m.feature_values(c)
+    return c.select("cust_id", v[0].alias("proj1"), v[1].alias("proj2"), m.feature_id(c).alias("feature_id"))
+
+
+def q_svd_feature_details(spark, sf_dir):
+    """FEATURE_DETAILS(m, 1, 3): the three attributes contributing most to projection 1, per customer."""
+    m = _svd(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
+    return c.select("cust_id", F.posexplode(m.feature_details(c, 1, 3)).alias("pos", "d")).select(
+        "cust_id", (F.col("pos") + 1).alias("rank"), F.col("d.attribute").alias("attribute"),
+        F.col("d.weight").alias("weight"))
+
+
+def q_svd_feature_set(spark, sf_dir):
+    """FEATURE_SET(m, 3): the three highest features per customer, as (feature_id, value) rows."""
+    m = _svd(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
+    return c.select("cust_id", F.inline(m.feature_set(c, 3)))
+
+
+QUERIES.update({
+    "svd_feature_values": q_svd_feature_values,
+    "svd_feature_details": q_svd_feature_details,
+    "svd_feature_set": q_svd_feature_set,
+})

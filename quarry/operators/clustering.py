@@ -123,6 +123,76 @@ class KMeansTreeModel(MiningModel):
             tot = tot + e
         return [e / tot for e in es]
 
+    def _leaf_ids(self) -> Column:
+        return F.array(*[F.lit(lf.id) for lf in self.leaves()])
+
+    def descendants(self, nid: int) -> list[int]:
+        """Leaf ids under node ``nid`` (the node itself when it is a leaf)."""
+        nd = self.nodes[nid]
+        if nd.left is None:
+            return [nid]
+        return self.descendants(nd.left) + self.descendants(nd.right)
+
+    def cluster_probability(self, df: DataFrame, nid: int) -> Column:
+        """CLUSTER_PROBABILITY(m, id): the leaf probability, or the sum over an inner node's leaves."""
+        probs = self.probability_columns(df)
+        pos = {lf.id: i for i, lf in enumerate(self.leaves())}
+        out = None
+        for leaf in self.descendants(nid):
+            out = probs[pos[leaf]] if out is None else out + probs[pos[leaf]]
+        return out
+
+    def cluster_set(self, probs: Column, top_n: int | None = None, min_prob: float = 0.0) -> Column:
+        """CLUSTER_SET(m, topN, minProb): array<struct<cluster_id, probability>>, most probable first.
+
+        ``probs`` is the probability array of ``scoring.with_probabilities``.
+        """
+        ids = self._leaf_ids()
+        pairs = F.zip_with(ids, probs, lambda c, p: F.struct(c.alias("cluster_id"), p.alias("probability")))
+        kept = F.filter(pairs, lambda e: e["probability"] >= F.lit(float(min_prob)))
+        ordered = F.array_sort(kept, lambda a, b: F.when(a["probability"] > b["probability"], -1)
+                               .when(a["probability"] < b["probability"], 1)
+                               .otherwise(F.signum(a["cluster_id"] - b["cluster_id"]).cast("int")))
+        return F.slice(ordered, 1, top_n) if top_n else ordered
+
+    def with_cluster_details(self, df: DataFrame, cluster: Column, top_n: int = 5,
+                             name: str = "details") -> DataFrame:
+        """CLUSTER_DETAILS(m, cluster, topN): per-attribute weight toward ``cluster``.
+
+        The weight of attribute j is P(cluster | x) minus the same probability
+        computed with attribute j left out of every distance (same dispersion
+        s^2 = withinss / n).  Returns the top ``top_n`` (attribute, weight)
+        structs, largest weight first.  The k x p squared-difference terms
+        are one array column, so the p leave-one-out probabilities reuse it.
+        """
+        leaves = self.leaves()
+        g = 1.0 / (2.0 * max(self.tot_withinss / max(self.n_rows, 1), 1e-12))
+        xs = F.array(*self._x(df))
+        centers = F.array(*[F.array(*[F.lit(float(v)) for v in lf.centroid]) for lf in leaves])
+        # k x p squared differences, k full distances, then p leave-one-out distance arrays
+        terms = F.transform(centers, lambda c: F.zip_with(xs, c, lambda x, m: (x - m) * (x - m)))
+        total = F.transform(F.col("__terms"), lambda t: F.aggregate(t, F.lit(0.0), lambda a, b: a + b))
+        without = F.transform(F.sequence(F.lit(1), F.lit(len(self.cols))), lambda j: F.zip_with(
+            F.col("__dist"), F.col("__terms"), lambda d, t: d - F.element_at(t, j)))
+        pos = F.array_position(self._leaf_ids(), cluster).cast("int")
+
+        def prob_at(dists: Column) -> Column:  # P(cluster) from k squared distances
+            e = F.transform(dists, lambda d: F.exp(-(d - F.array_min(dists)) * F.lit(g)))
+            return F.element_at(e, pos) / F.aggregate(e, F.lit(0.0), lambda a, b: a + b)
+
+        # element 1: full probability; element j + 1: without attribute j
+        probs = F.when(pos > 0, F.transform(F.concat(F.array(F.col("__dist")), F.col("__wo")), prob_at))
+        weights = [F.struct(F.lit(attr).alias("attribute"),
+                            (F.element_at("__pw", 1) - F.element_at("__pw", j + 2)).alias("weight"))
+                   for j, attr in enumerate(self.cols)]
+        ordered = F.array_sort(F.array(*weights), lambda a, b: F.when(a["weight"] > b["weight"], -1)
+                               .when(a["weight"] < b["weight"], 1)
+                               .when(a["attribute"] < b["attribute"], -1)
+                               .when(a["attribute"] > b["attribute"], 1).otherwise(0))
+        return df.withColumn("__terms", terms).withColumn("__dist", total).withColumn("__wo", without) \
+            .withColumn("__pw", probs).withColumn(name, F.slice(ordered, 1, top_n)) \
+            .drop("__terms", "__dist", "__wo", "__pw")
+
     @property
     def classes(self):
         return [lf.id for lf in self.leaves()]

@@ -47,6 +47,43 @@ class SVDModel(MiningModel):
             out.append(s if self.pca else s / F.lit(float(self.S[j])))
         return out
 
+    def feature_set(self, df: DataFrame, top_n: int | None = None, cutoff: float | None = None) -> Column:
+        """FEATURE_SET(m, topN, cutoff): array<struct<feature_id, value>>, highest value first."""
+        pairs = [F.struct(F.lit(j + 1).alias("feature_id"), v.alias("value"))
+                 for j, v in enumerate(self.feature_values(df))]
+        arr = F.array(*pairs)
+        if cutoff is not None:
+            arr = F.filter(arr, lambda e: e["value"] >= F.lit(float(cutoff)))
+        arr = F.array_sort(arr, lambda a, b: F.when(a["value"] > b["value"], -1)
+                           .when(a["value"] < b["value"], 1)
+                           .otherwise(a["feature_id"] - b["feature_id"]))
+        return F.slice(arr, 1, top_n) if top_n else arr
+
+    def feature_id(self, df: DataFrame) -> Column:
+        """FEATURE_ID: the feature of highest value (ties to the lower id)."""
+        return F.element_at(self.feature_set(df, 1), 1)["feature_id"]
+
+    def feature_details(self, df: DataFrame, feature: int, top_n: int = 5, by_abs: bool = False) -> Column:
+        """FEATURE_DETAILS(m, feature, topN [ABS]): attributes that most raise the feature value.
+
+        The contribution of attribute i is its prepared value times its loading
+        V[i, feature] (divided by the singular value in SVD scoring mode), so the
+        contributions sum to FEATURE_VALUE.  Sorted by contribution (or by its
+        absolute value with ``by_abs``), largest first.
+        """
+        j = feature - 1
+        div = 1.0 if self.pca else float(self.S[j])
+        parts = [F.struct(F.lit(c).alias("attribute"), (x * F.lit(float(self.V[i, j]) / div)).alias("weight"))
+                 for i, (c, x) in enumerate(zip(self.cols, self._x(df)))]
+
+        def key(e):
+            return F.abs(e["weight"]) if by_abs else e["weight"]
+        arr = F.array_sort(F.array(*parts), lambda a, b: F.when(key(a) > key(b), -1)
+                           .when(key(a) < key(b), 1)
+                           .when(a["attribute"] < b["attribute"], -1)
+                           .when(a["attribute"] > b["attribute"], 1).otherwise(0))
+        return F.slice(arr, 1, top_n)
+
     def reconstruct(self, df: DataFrame, k: int) -> list[Column]:
         """Row reconstruction in original units from the top k features."""
         xs = self._x(df)

@@ -248,3 +248,60 @@ def test_with_totals_and_class_rows(spark):
     out = with_totals(df, df.agg(F.sum("id").alias("s"), F.count(F.lit(1)).alias("n")))
     assert {(r["s"], r["n"]) for r in out.collect()} == {(45, 10)}
     assert df.select("id", class_index_rows(3).alias("k")).count() == 30
+
+
+def test_cluster_set_and_details_match_brute_force(spark):
+    from quarry.plans.scoring import with_probabilities
+    rnd = np.random.default_rng(5)
+    pts = np.vstack([rnd.normal(c, 0.6, size=(60, 3)) for c in ([0, 0, 0], [4, 0, 1], [0, 5, 2], [3, 3, 6])])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "id long, a double, b double, c double")
+    cols = ["a", "b", "c"]
+    m = HierarchicalKMeans(k=4, max_iter=10).fit(df, cols)
+    s = with_probabilities(df, m)
+    likely = s.select("id", *cols, "__probs", F.inline(m.cluster_set(F.col("__probs"), None, 0.1)))
+    got = {(r["id"], r["cluster_id"], d["attribute"]): d["weight"]
+           for r in m.with_cluster_details(likely, F.col("cluster_id"), 3, "det").collect() for d in r["det"]}
+    X = np.array([[(p[j] - m.norm.shift[c]) / m.norm.scale[c] for j, c in enumerate(cols)] for p in pts])
+    C = np.array([lf.centroid for lf in m.leaves()])
+    ids = [lf.id for lf in m.leaves()]
+    g = 1.0 / (2 * m.tot_withinss / m.n_rows)
+
+    def probs(X, C):
+        ss = ((X[:, None, :] - C[None, :, :]) ** 2).sum(-1)
+        e = np.exp(-g * (ss - ss.min(1, keepdims=True)))
+        return e / e.sum(1, keepdims=True)
+    P0 = probs(X, C)
+    want = {}
+    for j, c in enumerate(cols):
+        Pj = probs(np.delete(X, j, 1), np.delete(C, j, 1))
+        for i in range(len(pts)):
+            for ci, lid in enumerate(ids):
+                if P0[i, ci] >= 0.1:
+                    want[(i, lid, c)] = P0[i, ci] - Pj[i, ci]
+    assert set(got) == set(want)
+    assert max(abs(got[k] - want[k]) for k in want) < 1e-9
+    # node probability of the root is 1; of an inner node, the sum over its leaves
+    r = df.select(m.cluster_probability(df, 1).alias("p")).agg(F.min("p"), F.max("p")).first()
+    assert abs(r[0] - 1) < 1e-9 and abs(r[1] - 1) < 1e-9
+
+
+def test_svd_feature_set_and_details(spark):
+    rnd = np.random.default_rng(11)
+    pts = rnd.normal(size=(120, 4)) @ np.array([[3, 1, 0, 0], [0, 2, 1, 0], [0, 0, 1, 0.5], [0, 0, 0, 0.2]])
+    cols = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "id long, a double, b double, c double, d double")
+    m = SVD(pca=True).fit(df, cols)
+    rows = df.select("id", m.feature_set(df, 2).alias("fs"), m.feature_details(df, 1, 2).alias("fd"),
+                     m.feature_id(df).alias("fid")).orderBy("id").collect()
+    X = np.column_stack([(pts[:, j] - m.norm.shift[c]) / m.norm.scale[c] for j, c in enumerate(cols)])
+    Fv = X @ m.V
+    for i, r in enumerate(rows):
+        top = np.argsort(-Fv[i], kind="stable")[:2]
+        assert [e["feature_id"] for e in r["fs"]] == [int(t) + 1 for t in top]
+        assert r["fid"] == int(top[0]) + 1
+        contrib = X[i] * m.V[:, 0]
+        want = sorted(range(4), key=lambda a: (-contrib[a], cols[a]))[:2]
+        assert [e["attribute"] for e in r["fd"]] == [cols[a] for a in want]
+        assert all(abs(e["weight"] - contrib[a]) < 1e-9 for e, a in zip(r["fd"], want))
+    # contributions sum to the feature value
+    assert np.allclose((X * m.V[:, 0]).sum(1), Fv[:, 0])
