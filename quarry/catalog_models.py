@@ -443,3 +443,41 @@ QUERIES.update({
     "svd_feature_details": q_svd_feature_details,
     "svd_feature_set": q_svd_feature_set,
 })
+
+
+def _oc(spark, sf_dir):
+    from quarry.operators.ocluster import OCluster
+    return _memo(("oc", id(spark), sf_dir), lambda: OCluster(k=10, sensitivity=0.5, name="OC_SH_CLUS_SAMPLE")
+                 .fit(cases.case_table(spark, sf_dir), NUMERIC))
+
+
+def q_ocluster_tree(spark, sf_dir):
+    """O-Cluster hierarchy (view D): size, parent, level and children of every cluster."""
+    return _oc(spark, sf_dir).view("D")
+
+
+def q_ocluster_splits(spark, sf_dir):
+    """O-Cluster split predicates: attribute, operator and threshold leading to each child."""
+    return _oc(spark, sf_dir).view("S")
+
+
+def q_ocluster_bins(spark, sf_dir):
+    """O-Cluster binning (view B): 10 equi-width bins per numeric attribute."""
+    v = _oc(spark, sf_dir).view("B")
+    return v.select("attribute_name", "bin_id", F.round("lower_bin_boundary", R).alias("lower_bin_boundary"),
+                    F.round("upper_bin_boundary", R).alias("upper_bin_boundary"))
+
+
+def q_ocluster_assign(spark, sf_dir):
+    """Customers per O-Cluster CLUSTER_ID."""
+    m = _oc(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
+    return c.groupBy(m.cluster_id(c).alias("cluster_id")).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+QUERIES.update({
+    "ocluster_tree": q_ocluster_tree,
+    "ocluster_splits": q_ocluster_splits,
+    "ocluster_bins": q_ocluster_bins,
+    "ocluster_assign": q_ocluster_assign,
+})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from quarry.oracle import CASE360, R, _split
 
 KM_COLS = ["acctbal", "n_orders", "sum_qty"]
+NUMERIC = ["acctbal", "n_orders", "avg_price", "sum_qty", "last_gap_days"]
+OC_BINS = 10
 
 
 def oracle_sql() -> dict[str, str]:
@@ -42,4 +44,11 @@ a AS (SELECT *, least(d0, d1, d2, d3) AS dm FROM d),
 b AS (SELECT *, CASE WHEN d0 = dm THEN 0 WHEN d1 = dm THEN 1 WHEN d2 = dm THEN 2 ELSE 3 END AS cluster FROM a)
 SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n, """ + ", ".join(
         f"round(avg({a}), {R}) AS {a}" for a in KM_COLS) + ", round(sum(dm), 3) AS sse FROM b GROUP BY cluster"
+    mm = ", ".join(f"min(CAST({a} AS DOUBLE)) AS lo_{a}, max(CAST({a} AS DOUBLE)) AS hi_{a}" for a in NUMERIC)
+    bins = " UNION ALL ".join(
+        f"SELECT '{a}' AS attribute_name, CAST(b AS INTEGER) AS bin_id, "
+        f"round(lo_{a} + (b - 1) * ((hi_{a} - lo_{a}) / {OC_BINS}), {R}) AS lower_bin_boundary, "
+        f"round(lo_{a} + b * ((hi_{a} - lo_{a}) / {OC_BINS}), {R}) AS upper_bin_boundary "
+        f"FROM mm CROSS JOIN range(1, {OC_BINS + 1}) t(b) WHERE lo_{a} IS NOT NULL" for a in NUMERIC)
+    q["ocluster_bins"] = f"WITH {CASE360},\nmm AS (SELECT {mm} FROM case360)\n{bins}"
     return q

@@ -305,3 +305,26 @@ def test_svd_feature_set_and_details(spark):
         assert all(abs(e["weight"] - contrib[a]) < 1e-9 for e, a in zip(r["fd"], want))
     # contributions sum to the feature value
     assert np.allclose((X * m.V[:, 0]).sum(1), Fv[:, 0])
+
+
+def test_ocluster_separates_blobs_and_freezes_uniform(spark):
+    from quarry.operators.ocluster import OCluster, best_valley
+    rnd = np.random.default_rng(2)
+    centers = [(0, 0), (10, 0), (0, 10), (10, 10)]
+    pts = np.vstack([rnd.normal(c, 0.7, size=(250, 2)) for c in centers])
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)], "id long, x double, y double")
+    m = OCluster(k=10, sensitivity=0.5, bins=10).fit(df, ["x", "y"])
+    assert len(m.leaves()) == 4
+    got = df.select("id", m.cluster_id(df).alias("c")).collect()
+    by_blob = {}
+    for r in got:
+        by_blob.setdefault(r["id"] // 250, set()).add(r["c"])
+    assert all(len(v) == 1 for v in by_blob.values()) and len({min(v) for v in by_blob.values()}) == 4
+    d = {r["cluster_id"]: r for r in m.view("D").collect()}
+    assert d[1]["record_count"] == 1000
+    for r in d.values():  # children partition their parent
+        if r["left_child_id"] is not None:
+            assert d[r["left_child_id"]]["record_count"] + d[r["right_child_id"]]["record_count"] == r["record_count"]
+    # a flat histogram has no significant valley; a two-peak one does
+    assert best_valley(np.full(10, 100.0), 1000, 10, 0.5) is None
+    assert best_valley(np.array([5, 90, 100, 20, 2, 1, 30, 120, 80, 4.0]), 452, 10, 0.5)[1] in (4, 5)
