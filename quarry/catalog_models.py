@@ -481,3 +481,35 @@ QUERIES.update({
     "ocluster_bins": q_ocluster_bins,
     "ocluster_assign": q_ocluster_assign,
 })
+
+
+def _svmo(spark, sf_dir):
+    from quarry.operators.oneclass import OneClassSVM
+    return _memo(("svmo", id(spark), sf_dir), lambda: OneClassSVM(outlier_rate=0.1, name="SVMO_SH_CLAS_SAMPLE")
+                 .fit(cases.case_table(spark, sf_dir), NUMERIC))
+
+
+def q_oneclass_svm_outliers(spark, sf_dir):
+    """Top 5 outliers by PREDICTION_PROBABILITY(m, 0) (ties by cust_id), with PREDICTION_DETAILS(m, 0)."""
+    m = _svmo(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
+    top = c.select("cust_id", *NUMERIC, m.prediction_probability(c, 0).alias("prob")) \
+        .orderBy(F.col("prob").desc(), F.col("cust_id").asc()).limit(5)
+    return top.select("cust_id", "prob", F.inline(m.prediction_details(top, 3)))
+
+
+def q_oneclass_svm_typical(spark, sf_dir):
+    """Profile of typical customers (PREDICTION = 1) per market segment, and the anomaly count."""
+    m = _svmo(spark, sf_dir)
+    c = cases.case_table(spark, sf_dir)
+    pred = m.prediction(c)
+    return c.groupBy("segment").agg(
+        F.sum(pred).alias("n_typical"), F.count(F.lit(1)).alias("n"),
+        F.round(F.avg(F.when(pred == 1, F.col("acctbal"))), 2).alias("avg_acctbal_typical"),
+        F.round(F.avg(F.when(pred == 1, F.col("n_orders"))), 2).alias("avg_orders_typical"))
+
+
+QUERIES.update({
+    "oneclass_svm_outliers": q_oneclass_svm_outliers,
+    "oneclass_svm_typical": q_oneclass_svm_typical,
+})

@@ -328,3 +328,24 @@ def test_ocluster_separates_blobs_and_freezes_uniform(spark):
     # a flat histogram has no significant valley; a two-peak one does
     assert best_valley(np.full(10, 100.0), 1000, 10, 0.5) is None
     assert best_valley(np.array([5, 90, 100, 20, 2, 1, 30, 120, 80, 4.0]), 452, 10, 0.5)[1] in (4, 5)
+
+
+@pytest.mark.parametrize("kernel", ["gaussian", "linear"])
+def test_oneclass_svm_flags_planted_outliers(spark, kernel):
+    from quarry.operators.oneclass import OneClassSVM
+    rnd = np.random.default_rng(4)
+    normal = rnd.normal(0, 1, size=(400, 3))
+    far = rnd.normal(0, 1, size=(12, 3)) * 0.3 + np.array([7.0, -7.0, 7.0])
+    pts = np.vstack([normal, far])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "id long, a double, b double, c double")
+    m = OneClassSVM(outlier_rate=0.1, kernel=kernel, max_iter=15).fit(df, ["a", "b", "c"])
+    rows = df.select("id", m.prediction(df).alias("p"), m.prediction_probability(df, 0).alias("p0")).collect()
+    flagged = {r["id"] for r in rows if r["p"] == 0}
+    assert abs(len(flagged) / len(rows) - 0.1) < 0.03       # about the outlier rate
+    if kernel == "linear":  # a hyperplane against the origin cannot isolate a far cluster
+        return
+    assert set(range(400, 412)) <= flagged                  # every planted outlier
+    top = sorted(rows, key=lambda r: (-r["p0"], r["id"]))[:12]
+    assert {r["id"] for r in top} == set(range(400, 412))
+    det = df.filter("id = 400").select(F.inline(m.prediction_details(df, 2))).collect()
+    assert [d["rank"] for d in det] == [1, 2] and det[0]["weight"] >= det[1]["weight"]
