@@ -513,3 +513,13 @@ QUERIES.update({
     "oneclass_svm_outliers": q_oneclass_svm_outliers,
     "oneclass_svm_typical": q_oneclass_svm_typical,
 })
+
+
+def q_boosted_importance(spark, sf_dir):
+    """Boosted trees (depth 3, 10 rounds): relative gain, cover and frequency per attribute slot."""
+    m = ml.fit_classifier(_build(spark, sf_dir), "affinity", CLS_NUMERIC, CLS_CATEGORICAL,
+                          ml.boosted_trees(), "ALGO_XGBOOST", name="XGB_SH_CLAS_SAMPLE")
+    return ml.boosted_importance(m, spark)
+
+
+QUERIES["boosted_importance"] = q_boosted_importance

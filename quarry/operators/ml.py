@@ -49,10 +49,19 @@ def feature_stages(numeric: list[str], categorical: list[str], scale: bool = Fal
 def feature_names(pm: PipelineModel, numeric: list[str], categorical: list[str]) -> list[tuple[str, str | None]]:
     """(attribute, value) for every slot of the assembled vector (one-hot keeps names)."""
     names = [(a, None) for a in numeric]
+    labels = {}
     for st in pm.stages:
         if st.__class__.__name__ == "StringIndexerModel":
-            for a, labels in zip(categorical, st.labelsArray):
-                names += [(a, v) for v in labels] + [(a, "__unseen__")]
+            # handleInvalid='keep': unseen values take the index after the labels
+            labels = {a: list(ls) + ["__unseen__"] for a, ls in zip(categorical, st.labelsArray)}
+        if st.__class__.__name__ == "OneHotEncoderModel":
+            keep = st.getHandleInvalid() == "keep"
+            drop = st.getDropLast()
+            for a, size in zip(categorical, st.categorySizes):
+                # Spark's slot count per attribute: keep adds an invalid slot, dropLast removes one
+                n = size + (1 if keep else 0) - (1 if drop else 0)
+                slot_names = (labels.get(a, []) + ["__invalid__"] * n)[:n]
+                names += [(a, v) for v in slot_names]
     return names
 
 
@@ -264,3 +273,33 @@ def tree_view(model: "SparkMLModel", df: DataFrame) -> DataFrame:
     finally:
         est.setLeafCol("")
     return nodes.join(counts, "leaf_ordinal", "left").drop("leaf_ordinal")
+
+
+def boosted_importance(model: "SparkMLModel", spark) -> DataFrame:
+    """Boosted-tree attribute importance: relative gain, cover and frequency.
+
+    Walks every tree of the fitted ensemble (model-sized: trees x nodes).  For
+    each (attribute, one-hot value) slot: gain = sum of the split gains of the
+    nodes splitting on it, cover = sum of the training rows reaching those
+    nodes (Spark keeps row counts, not hessian sums), frequency = number of
+    such splits; each is divided by its total over all slots.
+    """
+    est = model.pipeline.stages[-1]
+    names = feature_names(model.pipeline, model.numeric, model.categorical)
+    acc: dict = {}
+    for tree in est._java_obj.trees():
+        stack = [tree.rootNode()]
+        while stack:
+            node = stack.pop()
+            if node.getClass().getSimpleName() != "InternalNode":
+                continue
+            slot = int(node.split().featureIndex())
+            g, c, f = acc.get(slot, (0.0, 0.0, 0))
+            acc[slot] = (g + float(node.gain()), c + float(node.impurityStats().count()), f + 1)
+            stack += [node.leftChild(), node.rightChild()]
+    tg = sum(v[0] for v in acc.values()) or 1.0
+    tc = sum(v[1] for v in acc.values()) or 1.0
+    tf = sum(v[2] for v in acc.values()) or 1
+    rows = [(names[s][0], names[s][1], g / tg, c / tc, f / tf) for s, (g, c, f) in sorted(acc.items())]
+    return spark.createDataFrame(rows, "attribute_name string, attribute_value string, gain double, "
+                                       "cover double, frequency double")

@@ -349,3 +349,16 @@ def test_oneclass_svm_flags_planted_outliers(spark, kernel):
     assert {r["id"] for r in top} == set(range(400, 412))
     det = df.filter("id = 400").select(F.inline(m.prediction_details(df, 2))).collect()
     assert [d["rank"] for d in det] == [1, 2] and det[0]["weight"] >= det[1]["weight"]
+
+
+def test_feature_names_cover_every_vector_slot(spark):
+    from quarry.operators import ml
+    rows = [(float(i % 7), ["a", "b", "c"][i % 3], ["x", "y"][i % 2], i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "n double, c1 string, c2 string, label int")
+    m = ml.fit_classifier(df, "label", ["n"], ["c1", "c2"], ml.boosted_trees(), "ALGO_XGBOOST", name="t")
+    names = ml.feature_names(m.pipeline, m.numeric, m.categorical)
+    assert len(names) == m.pipeline.stages[-1].numFeatures
+    assert names[:5] == [("n", None), ("c1", "a"), ("c1", "b"), ("c1", "c"), ("c1", "__unseen__")]
+    assert ("c2", "x") in names and ("c2", "y") in names
+    imp = ml.boosted_importance(m, spark).collect()
+    assert abs(sum(r["gain"] for r in imp) - 1) < 1e-9 and abs(sum(r["frequency"] for r in imp) - 1) < 1e-9
