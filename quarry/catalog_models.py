@@ -523,3 +523,17 @@ def q_boosted_importance(spark, sf_dir):
 
 
 QUERIES["boosted_importance"] = q_boosted_importance
+
+
+def q_nn_regression(spark, sf_dir):
+    """Neural-network regression (1 hidden layer of 10 sigmoid units, seed 12) of sum_qty:
+    RMSE / MAE on the apply split."""
+    from quarry.operators.neural import NeuralRegression
+    m = NeuralRegression(REG_TARGET, hidden=10, max_iter=40, seed=12, name="NNR_SH_REGR_SAMPLE") \
+        .fit(_build(spark, sf_dir), REG_NUMERIC)
+    a = _apply_view(spark, sf_dir).filter(F.col(REG_TARGET).isNotNull())
+    return ev.regression_errors(a.select(REG_TARGET, m.predicted_value(a).alias("prediction")),
+                                REG_TARGET, "prediction")
+
+
+QUERIES["nn_regression"] = q_nn_regression

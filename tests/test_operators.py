@@ -362,3 +362,20 @@ def test_feature_names_cover_every_vector_slot(spark):
     assert ("c2", "x") in names and ("c2", "y") in names
     imp = ml.boosted_importance(m, spark).collect()
     assert abs(sum(r["gain"] for r in imp) - 1) < 1e-9 and abs(sum(r["frequency"] for r in imp) - 1) < 1e-9
+
+
+def test_neural_regression_gradient_and_fit(spark):
+    from quarry.operators.neural import NeuralRegression, lbfgs
+    # L-BFGS on a quadratic reaches the minimum
+    A = np.array([[3.0, 0.5], [0.5, 1.0]])
+    w, _ = lbfgs(lambda w: (0.5 * w @ A @ w - w.sum(), A @ w - 1.0), np.zeros(2), 50)
+    assert np.allclose(w, np.linalg.solve(A, np.ones(2)), atol=1e-5)
+    rnd = np.random.default_rng(1)
+    X = rnd.uniform(-2, 2, size=(300, 2))
+    y = np.sin(X[:, 0]) * 3 + X[:, 1] ** 2
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(X, y)], "a double, b double, y double")
+    m = NeuralRegression("y", hidden=8, max_iter=80, seed=3).fit(df, ["a", "b"])
+    assert m.losses[-1] < m.losses[0] * 0.2  # the loss falls
+    pred = np.array([r[0] for r in df.select(m.predicted_value(df)).collect()])
+    rmse = float(np.sqrt(np.mean((pred - y) ** 2)))
+    assert rmse < 0.5 * float(np.std(y))     # far better than the mean
