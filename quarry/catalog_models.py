@@ -537,3 +537,16 @@ def q_nn_regression(spark, sf_dir):
 
 
 QUERIES["nn_regression"] = q_nn_regression
+
+
+def q_svm_gaussian_regression(spark, sf_dir):
+    """Gaussian-kernel SVM regression (epsilon .1, random Fourier features) of sum_qty:
+    RMSE / MAE on the apply split."""
+    from quarry.operators.kernel_svm import KernelSVR
+    m = KernelSVR(REG_TARGET, epsilon=0.1, max_iter=40, name="SVMR_SH_REGR_SAMPLE").fit(_build(spark, sf_dir), REG_NUMERIC)
+    a = _apply_view(spark, sf_dir).filter(F.col(REG_TARGET).isNotNull())
+    return ev.regression_errors(a.select(REG_TARGET, m.predicted_value(a).alias("prediction")),
+                                REG_TARGET, "prediction")
+
+
+QUERIES["svm_gaussian_regression"] = q_svm_gaussian_regression

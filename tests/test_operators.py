@@ -379,3 +379,18 @@ def test_neural_regression_gradient_and_fit(spark):
     pred = np.array([r[0] for r in df.select(m.predicted_value(df)).collect()])
     rmse = float(np.sqrt(np.mean((pred - y) ** 2)))
     assert rmse < 0.5 * float(np.std(y))     # far better than the mean
+
+
+def test_kernel_svr_fits_a_nonlinear_function(spark):
+    from quarry.operators.kernel_svm import KernelSVR
+    rnd = np.random.default_rng(8)
+    X = rnd.uniform(-2, 2, size=(400, 2))
+    y = np.sin(2 * X[:, 0]) * 2 + np.abs(X[:, 1])
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(X, y)], "a double, b double, y double")
+    m = KernelSVR("y", epsilon=0.05, n_features=64, max_iter=60, seed=1).fit(df, ["a", "b"])
+    pred = np.array([r[0] for r in df.select(m.predicted_value(df)).collect()])
+    assert float(np.sqrt(np.mean((pred - y) ** 2))) < 0.4 * float(np.std(y))
+    # a linear fit cannot do this well
+    A = np.column_stack([X, np.ones(len(X))])
+    lin = A @ np.linalg.lstsq(A, y, rcond=None)[0]
+    assert np.mean((pred - y) ** 2) < 0.5 * np.mean((lin - y) ** 2)
