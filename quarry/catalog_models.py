@@ -452,15 +452,10 @@ def _oc(spark, sf_dir):
 
 
 def q_ocluster_tree(spark, sf_dir):
-    """O-Cluster hierarchy (view D): size, parent, level and children of every cluster."""
+    """O-Cluster hierarchy (view D): size, parent, level, children and split predicate of every cluster."""
     return _oc(spark, sf_dir).view("D")
 
 
-def q_ocluster_splits(spark, sf_dir):
-    """O-Cluster split predicates: attribute, operator and threshold leading to each child."""
-    return _oc(spark, sf_dir).view("S")
-
-
 def q_ocluster_bins(spark, sf_dir):
     """O-Cluster binning (view B): 10 equi-width bins per numeric attribute."""
     v = _oc(spark, sf_dir).view("B")
@@ -477,7 +472,6 @@ def q_ocluster_assign(spark, sf_dir):
 
 QUERIES.update({
     "ocluster_tree": q_ocluster_tree,
-    "ocluster_splits": q_ocluster_splits,
     "ocluster_bins": q_ocluster_bins,
     "ocluster_assign": q_ocluster_assign,
 })

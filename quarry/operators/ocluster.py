@@ -79,10 +79,15 @@ class OClusterModel(MiningModel):
         return self._descend(lambda a: F.col(a).cast("double") if a in df.columns else F.lit(None).cast("double"))
 
     def clusters_df(self, spark: SparkSession) -> DataFrame:
-        """View D: cluster_id, record_count, parent, tree_level, left/right child (no dispersion)."""
-        rows = [(n.id, n.n, n.parent, n.level, n.left, n.right) for n in sorted(self.nodes.values(), key=lambda x: x.id)]
+        """View D: cluster_id, record_count, parent, tree_level, left/right child (no dispersion),
+        and the split predicate of inner nodes (``attribute_name operator value`` sends a row to
+        the left child; NULL for leaves)."""
+        rows = [(n.id, n.n, n.parent, n.level, n.left, n.right, n.attribute,
+                 "<" if n.left is not None else None, float(n.edge) if n.edge is not None else None)
+                for n in sorted(self.nodes.values(), key=lambda x: x.id)]
         return spark.createDataFrame(rows, "cluster_id int, record_count long, parent int, tree_level int, "
-                                           "left_child_id int, right_child_id int")
+                                           "left_child_id int, right_child_id int, attribute_name string, "
+                                           "operator string, value double")
 
     def splits_df(self, spark: SparkSession) -> DataFrame:
         """Split predicates: for each inner node, the attribute and threshold sending rows left/right."""
