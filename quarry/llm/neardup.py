@@ -23,6 +23,7 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 SMALL_BUCKET = 64  # up to here the open pairs of a bucket are made by a join, beyond it in blocks
 BLOCK = 512
+BROADCAST_IDS = 1_000_000  # 8 MB of ids
 
 
 def _shingles(texts: list[bytes], hasher: WordHasher, size: int):
@@ -83,12 +84,22 @@ def _sets(batches, size: int):
                 names=["doc_id", "shingles"])
 
 
+def _sets_of(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(doc_id, shingles) of the documents in ``ids(doc_id)``.
+
+    Up to ``BROADCAST_IDS`` ids are broadcast, so that texts stay where they are; more are joined.
+    """
+    ids = materialize(ids, "ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return materialize(rows.join(ids, "doc_id", "left_semi").mapInArrow(
+        partial(_sets, size=size), "doc_id long, shingles array<long>"), "shingle-sets")
+
+
 def _links(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """The ``pairs(u, v)`` whose full shingle sets meet the threshold."""
     ids = pairs.select(F.col("u").alias("doc_id")).unionAll(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    sets = rows.join(ids, "doc_id", "left_semi").mapInArrow(
-        partial(_sets, size=size), "doc_id long, shingles array<long>")
-    sets = materialize(sets, "shingle-sets")
+    sets = _sets_of(rows, ids, size)
     joined = (pairs.join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv")), "v")
               .join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su")), "u"))
     common = F.size(F.array_intersect("su", "sv"))
@@ -142,9 +153,8 @@ def _block_links(open_rows: DataFrame, rows: DataFrame, size: int, percent: int)
             "main", "rep", "component", F.lit(0).alias("side"), stray.alias("i"),
             F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("j")))
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = rows.join(ids, "doc_id", "left_semi").mapInArrow(
-        partial(_sets, size=size), "doc_id long, shingles array<long>").withColumnRenamed("doc_id", "rep")
-    return (dealt.join(materialize(sets, "shingle-sets"), "rep").groupBy("main", "i", "j")
+    sets = _sets_of(rows, ids, size).withColumnRenamed("doc_id", "rep")
+    return (dealt.join(sets, "rep").groupBy("main", "i", "j")
             .applyInPandas(lambda pdf: _compare(pdf, percent), "u long, v long"))
 
 
