@@ -47,12 +47,6 @@ class Merges:
             for b in range(256):
                 self.first[a, b] = ranks.get(bytes((a, b)), -1)
 
-    @classmethod
-    def read(cls, path: str) -> Merges:
-        """From a file of lines ``base64(token) rank``."""
-        with open(path, "rb") as f:
-            return cls({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())})
-
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """The token ids of every word, by replaying the merges over all words at once."""
         joined = np.frombuffer(b"".join(words), np.uint8)
@@ -131,12 +125,13 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in one row, number of ids of each text)."""
-        if len(self.known) > KEPT_PIECES:
-            self.known = {}
-        known, ids = self.known, self.merges.ids
         pieces = [self.pattern.findall(t) for t in texts]
+        distinct = set().union(*pieces)
+        if len(self.known) > KEPT_PIECES:  # start anew with what this batch shares
+            self.known = {p: self.known[p] for p in distinct if p in self.known}
+        known, ids = self.known, self.merges.ids
         pool, size = [], 0
-        for piece in set().union(*pieces).difference(known):
+        for piece in distinct.difference(known):
             raw = piece.encode("utf-8", "replace")
             whole = ids.get(raw)
             if whole is not None:
@@ -210,21 +205,21 @@ def _decode(batches, ranks):
             ids = column.flatten().to_numpy().astype(np.int64)
             counts = np.diff(column.offsets.to_numpy())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(counts.astype(np.int64)),
+                [part.column("doc_id"), column, pa.array(counts.astype(np.int64)),
                  pa.array([t[:-1].decode() for t in held["digits"].join(ids, counts)], pa.string()),
                  pa.array(held["pieces"].join(ids, counts), pa.binary())],
-                names=["doc_id", "n_tokens", "id_text", "decoded"])
+                names=["doc_id", "ids", "n_tokens", "id_text", "decoded"])
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
-    return Merges.read(path).ids
+    """The vocabulary of a file of lines ``base64(token) rank``."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
 def _ranks(docs: DataFrame, path: str):
     """The vocabulary file as a broadcast table; its size is that of the file, whatever the data."""
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    return docs.sparkSession.sparkContext.broadcast({"ranks": ranks})
+    return docs.sparkSession.sparkContext.broadcast({"ranks": read_ranks(path)})
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -242,12 +237,12 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """One row per row of ``encoded(doc_id, ids)``: doc_id, n_tokens, id_text, decoded.
+    """One row per row of ``encoded(doc_id, ids)``: doc_id, ids, n_tokens, id_text, decoded.
 
     ``id_text`` are the ids in decimal, joined by one space; ``decoded`` the bytes of the tokens.
     """
     return encoded.mapInArrow(partial(_decode, ranks=_ranks(encoded, path)),
-                              "doc_id long, n_tokens long, id_text string, decoded binary")
+                              "doc_id long, ids array<int>, n_tokens long, id_text string, decoded binary")
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

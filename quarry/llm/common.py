@@ -50,6 +50,21 @@ def discard(df: DataFrame) -> None:
         jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+BROADCAST_IDS = 1_000_000  # 8 MB of ids
+
+
+def by_id(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """``rows`` whose doc_id is in ``ids(doc_id)`` (``left_semi``) or not (``left_anti``).
+
+    Up to ``BROADCAST_IDS`` ids are broadcast, so that texts stay where they are; more are joined by
+    a shuffle.  A null doc_id is in no list.
+    """
+    ids = materialize(ids.select("doc_id").filter("doc_id IS NOT NULL").distinct(), "ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return rows.join(ids, "doc_id", how).select(*rows.columns)
+
+
 # ---------------------------------------------------------------- models
 
 

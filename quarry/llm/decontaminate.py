@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WordHasher, byte_list, separator_mask, slices
+from quarry.llm.common import WordHasher, by_id, byte_list, separator_mask, slices
 
 SEED = 5
 COVERAGE = 0.5
@@ -193,5 +193,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SEED, covera
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that cover no benchmark item; rows without doc_id stay."""
-    leaks = contaminated(docs, benchmark, **options).select("doc_id").filter("doc_id IS NOT NULL").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    return by_id(docs, contaminated(docs, benchmark, **options), "left_anti")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import (BLANKS, WordHasher, _odd, byte_list, connected_components, materialize, mix,
+from quarry.llm.common import (BLANKS, WordHasher, _odd, by_id, byte_list, connected_components, materialize, mix,
                                separator_mask, slices, windows)
 
 PERMUTATIONS = 64  # 128 values
@@ -23,7 +23,6 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 SMALL_BUCKET = 64  # up to here the open pairs of a bucket are made by a join, beyond it in blocks
 BLOCK = 512
-BROADCAST_IDS = 1_000_000  # 8 MB of ids
 
 
 def _shingles(texts: list[bytes], hasher: WordHasher, size: int):
@@ -85,20 +84,14 @@ def _sets(batches, size: int):
 
 
 def _sets_of(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(doc_id, shingles) of the documents in ``ids(doc_id)``.
-
-    Up to ``BROADCAST_IDS`` ids are broadcast, so that texts stay where they are; more are joined.
-    """
-    ids = materialize(ids, "ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return materialize(rows.join(ids, "doc_id", "left_semi").mapInArrow(
+    """(doc_id, shingles) of the documents in ``ids(doc_id)``."""
+    return materialize(by_id(rows, ids, "left_semi").mapInArrow(
         partial(_sets, size=size), "doc_id long, shingles array<long>"), "shingle-sets")
 
 
 def _links(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """The ``pairs(u, v)`` whose full shingle sets meet the threshold."""
-    ids = pairs.select(F.col("u").alias("doc_id")).unionAll(pairs.select(F.col("v").alias("doc_id"))).distinct()
+    ids = pairs.select(F.col("u").alias("doc_id")).unionAll(pairs.select(F.col("v").alias("doc_id")))
     sets = _sets_of(rows, ids, size)
     joined = (pairs.join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv")), "v")
               .join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su")), "u"))
@@ -152,7 +145,7 @@ def _block_links(open_rows: DataFrame, rows: DataFrame, size: int, percent: int)
         members.filter("component <> main").select(
             "main", "rep", "component", F.lit(0).alias("side"), stray.alias("i"),
             F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("j")))
-    ids = members.select(F.col("rep").alias("doc_id")).distinct()
+    ids = members.select(F.col("rep").alias("doc_id"))
     sets = _sets_of(rows, ids, size).withColumnRenamed("doc_id", "rep")
     return (dealt.join(sets, "rep").groupBy("main", "i", "j")
             .applyInPandas(lambda pdf: _compare(pdf, percent), "u long, v long"))
@@ -234,6 +227,8 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
 
     Of rows that repeat a kept doc_id, one stays.  A row without doc_id stays.
     """
-    gone = near_duplicates(docs, **options).filter(~F.col("kept")).select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return named.dropDuplicates(["doc_id"]).unionAll(docs.filter("doc_id IS NULL"))
+    judged = materialize(near_duplicates(docs, **options).select("doc_id", "kept"), "kept")
+    kept = by_id(docs, judged.filter("NOT kept"), "left_anti")
+    repeated = judged.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    return by_id(kept, repeated, "left_anti").unionAll(
+        by_id(kept, repeated, "left_semi").dropDuplicates(["doc_id"]))
