@@ -35,71 +35,81 @@ class CollisionIndex:
     """Sorted projections of one block of vectors."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray, norm: float, seed: int = 3):
-        self.x, self.ids, self.norm = vectors, ids, norm
+        n = len(ids)
+        self.ids, self.norm = ids, norm
+        self.rough, self.columns = vectors.astype(np.float32), vectors.T.copy()
+        self.slack = 1e-5 * norm  # bounds the error of single precision, times the query's norm
         rest = np.sqrt(np.maximum(norm * norm - (vectors * vectors).sum(axis=1), 0))
         self.axes = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, PROJECTIONS))
         projected = vectors @ self.axes[:-1] + rest[:, None] * self.axes[-1]
-        self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32).copy()
-        self.sorted = np.take_along_axis(projected, self.order.T, axis=0).T.copy()
-        self.columns = vectors.T.copy()
+        order = np.argsort(projected, axis=0, kind="stable")
+        # the sorted arrays one behind the other, each moved by its own offset, so that one search finds all ends
+        self.step = 2 * np.abs(projected).max() + 16 * norm + 1
+        self.offset = self.step * np.arange(PROJECTIONS)
+        self.sorted = (np.take_along_axis(projected, order, axis=0) + self.offset).T.ravel()
+        self.order = order.T.astype(np.intp).ravel()
+        self.first, self.last = n * np.arange(PROJECTIONS), n * np.arange(1, PROJECTIONS + 1)
         self.threshold = ceil(PROJECTIONS * HIT - DEVIATIONS * sqrt(PROJECTIONS * HIT * (1 - HIT)))
-        self.start = norm / 16
+        self.probe = vectors[np.linspace(0, n - 1, min(n, 256)).astype(int)]
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int):
         """Yields (query place, vec_ids, scores) of the k best found, without the query's own id."""
         scale = self.norm / np.sqrt((queries * queries).sum(axis=1))
         at = (queries * scale[:, None]) @ self.axes[:-1]
+        # the first radius: half the distance to the nearest of some vectors spread over the block
+        near = (self.probe @ queries.T).max(axis=0)
+        start = np.maximum(np.sqrt(np.maximum(2 * self.norm ** 2 - 2 * near * scale, 0)) / 2, self.norm / 16)
         for place in range(len(queries)):
-            yield place, *self._one(queries[place], scale[place], at[place], own[place], k)
+            yield place, *self._one(queries[place], scale[place], at[place], own[place], k, start[place])
 
     def _windows(self, at: np.ndarray, radius: float):
-        half = WIDTH * radius / 2
-        lo = np.array([s.searchsorted(v) for s, v in zip(self.sorted, at - half)])
-        hi = np.array([s.searchsorted(v, "right") for s, v in zip(self.sorted, at + half)])
-        return lo, hi
+        half, moved = WIDTH * radius / 2, at + self.offset
+        lo = np.searchsorted(self.sorted, moved - half)
+        hi = np.searchsorted(self.sorted, moved + half, "right")
+        return np.clip(lo, self.first, self.last), np.clip(hi, self.first, self.last)
 
-    def _one(self, query, scale, at, own, k):
+    def _one(self, query, scale, at, own, k, radius):
         n = len(self.ids)
         counts, seen = np.zeros(n, np.int64), self.ids == own
-        found, scores = np.zeros(0, np.int64), np.zeros(0)
+        found, scores = np.zeros(0, np.int64), np.zeros(0, np.float32)
+        rough, slack = query.astype(np.float32), self.slack * self.norm / scale
         old_lo = old_hi = None
-        radius = self.start
         while True:
-            if radius > 2 * self.norm:
+            widest = radius > 2 * self.norm  # the largest distance there is
+            if widest:
                 new = np.flatnonzero(~seen)  # what is left, so that no candidate is ever cut off
             else:
                 lo, hi = self._windows(at, radius)
                 if old_lo is None:
-                    parts = [o[a:b] for o, a, b in zip(self.order, lo, hi)]
+                    parts = [self.order[a:b] for a, b in zip(lo, hi)]
                 else:
-                    parts = [o[a:b] for o, a, b in zip(self.order, lo, old_lo)]
-                    parts += [o[a:b] for o, a, b in zip(self.order, old_hi, hi)]
+                    parts = [self.order[a:b] for a, b in zip(lo, old_lo)]
+                    parts += [self.order[a:b] for a, b in zip(old_hi, hi)]
                 counts += np.bincount(np.concatenate(parts), minlength=n)
                 old_lo, old_hi = lo, hi
                 new = np.flatnonzero((counts >= self.threshold) & ~seen)
             if len(new):
                 seen[new] = True
                 found = np.concatenate((found, new))
-                scores = np.concatenate((scores, self.x[new] @ query))
-            if radius > 2 * self.norm:
+                scores = np.concatenate((scores, self.rough[new] @ rough))
+            if widest:
                 break
-            radius *= GROWTH
+            searched, radius = radius, radius * GROWTH
             if len(found) >= k:
-                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                keep = scores >= kth - 1e-9 * abs(kth) - 1e-12  # can still be among the k best, ties included
+                kth = float(np.partition(scores, len(scores) - k)[len(scores) - k])
+                keep = scores >= kth - 2 * slack  # can still be among the k best, ties included
                 found, scores = found[keep], scores[keep]
                 distance = sqrt(max(0.0, 2 * self.norm * self.norm - 2 * kth * scale))
-                if distance <= radius / GROWTH:
+                if distance <= searched * (1 + 1e-9):
                     break
-                radius = min(radius, distance)  # a last window of that radius ends the search
+                radius = min(radius, distance * (1 + 1e-9))  # a last window of that radius ends the search
         exact = np.zeros(len(found))  # in double precision, component by component
         for column, value in zip(self.columns, query):
             exact += column[found] * value
         ids = self.ids[found]
         best = np.lexsort((ids, -exact))
-        best = best[np.unique(ids[best], return_index=True)[1]] if len(ids) else best  # repeated rows count once
-        best = best[np.lexsort((ids[best], -exact[best]))][:k]
-        return ids[best], exact[best]
+        best = best[np.sort(np.unique(ids[best], return_index=True)[1])]  # repeated rows count once
+        return ids[best][:k], exact[best][:k]
 
 
 def _cell(table: pa.Table, k: int, norm: float) -> pa.Table:
