@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import heapq
 from functools import partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import slices
 
-POOL_BYTES = 1 << 19    # new pieces are replayed in pools of about so many bytes
-KEPT_PIECES = 300_000   # pieces a worker remembers before it starts anew
+POOL_BYTES = 4 << 20    # new pieces are replayed in pools of about so many bytes
+POOL_PIECES = 1 << 24   # or when so many pieces of texts wait for one
+KEPT_PIECES = 500_000   # pieces a worker remembers before it starts anew
+FEW = 12                # a merge at so few positions is cheaper one by one
 _SHIFT = 32
 
 
@@ -32,129 +35,238 @@ class Merges:
     def __init__(self, ranks: dict[bytes, int]):
         self.ids = ranks
         self.pairs: dict[int, int] = {}
+        self.unsafe = set()  # ranks after whose merge a pair of lower rank can arise
         get = ranks.get
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 a = get(token[:cut])
                 if a is not None and (b := get(token[cut:])) is not None:
                     self.pairs[a << _SHIFT | b] = rank
+                    self.unsafe.update(x for x in (a, b) if rank < x)
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks the single bytes {missing[:5]}")
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)])
-        self.first = np.full((256, 256), -1)
-        for a in range(256):
-            for b in range(256):
-                self.first[a, b] = ranks.get(bytes((a, b)), -1)
-
-    def replay(self, words: list[bytes]) -> list[list[int]]:
-        """The token ids of every word, by replaying the merges over all words at once."""
+        self.first = np.array([[get(bytes((a, b)), -1) for b in range(256)] for a in range(256)])
+        keys = np.fromiter(self.pairs, np.int64, len(self.pairs))
+        values = np.fromiter(self.pairs.values(), np.int64, len(self.pairs))
+        left, right = keys >> _SHIFT, keys & (1 << _SHIFT) - 1
+        size = max(ranks.values()) + 2
+        by = np.lexsort((right, left))  # the partners of every left id, and of every right id
+        self.after = np.searchsorted(left[by], np.arange(size)).tolist(), right[by], values[by]
+        by = np.lexsort((left, right))
+        self.before = np.searchsorted(right[by], np.arange(size)).tolist(), left[by], values[by]
+
+    @staticmethod
+    def _lookup(table, fixed: int, others: np.ndarray) -> np.ndarray:
+        """The ranks of the pairs of ``fixed`` with ``others``, -1 where there is none."""
+        start, partner, rank = table
+        lo, hi = start[fixed], start[fixed + 1]
+        if lo == hi:
+            return np.full(len(others), -1)
+        at = np.minimum(np.searchsorted(partner[lo:hi], others), hi - lo - 1)
+        return np.where(partner[lo:hi][at] == others, rank[lo:hi][at], -1)
+
+    def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in one row, number of ids of each), replaying the merges over all words at once."""
         joined = np.frombuffer(b"".join(words), np.uint8)
         length = np.array([len(w) for w in words], np.int64)
         n = len(joined)
         if not n:
-            return [[] for _ in words]
+            return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
         last = np.cumsum(length)[length > 0] - 1
         word = np.repeat(np.arange(len(words)), length)
-        after = np.arange(1, n + 1)
-        after[last] = -1
-        before = np.arange(-1, n - 1)
-        before[np.concatenate(([0], last[:-1] + 1))] = -1
-        rank = np.full(n, -1)
+        nxt = np.arange(1, n + 1)
+        nxt[last] = -1
+        prv = np.arange(-1, n - 1)
+        prv[np.concatenate(([0], last[:-1] + 1))] = -1
+        sym = self.byte_ids[joined]
+        rank = np.full(n, -1)  # of the pair that starts at a position
         rank[:-1] = self.first[joined[:-1], joined[1:]]
         rank[last] = -1
+        index: dict[int, list] = {}
+        heap: list[int] = []
+
+        def enter(places: np.ndarray, ranks: np.ndarray) -> None:
+            """Add positions to the inverted index under the ranks of their pairs."""
+            by = np.argsort(ranks, kind="stable")
+            places, ranks = places[by], ranks[by]
+            cut = np.flatnonzero(np.diff(ranks)) + 1
+            bounds = [0, *cut.tolist(), len(ranks)]
+            for q, lo, hi in zip(ranks[[0, *cut]].tolist(), bounds, bounds[1:]):
+                if q in index:
+                    index[q].append(places[lo:hi])
+                else:
+                    index[q] = [places[lo:hi]]
+                    heapq.heappush(heap, q)
+
         at = np.flatnonzero(rank >= 0)
-        at = at[np.argsort(rank[at], kind="stable")]
-        values, starts = np.unique(rank[at], return_index=True)
-        index = {int(v): p.tolist() for v, p in zip(values, np.split(at, starts[1:]))}
-        sym, nxt, prv = self.byte_ids[joined].tolist(), after.tolist(), before.tolist()
-        heap = list(index)
-        heapq.heapify(heap)
-        pair = self.pairs.get
+        if len(at):
+            enter(at, rank[at])
+        views = [memoryview(x) for x in (sym, nxt, prv, rank, word)]
         while heap:
             r = heapq.heappop(heap)
-            places = index.pop(r)
-            places.sort()
-            hold, again = set(), []
-            for i in places:
-                j = nxt[i]
-                if j < 0 or pair(sym[i] << _SHIFT | sym[j]) != r:
-                    continue  # the pair has gone meanwhile
-                if hold and word[i] in hold:
-                    again.append(i)
-                    continue
-                k = nxt[j]
-                sym[i], nxt[i], nxt[j] = r, k, -1
-                sym[j] = -1
-                if k >= 0:
-                    prv[k] = i
-                    q = pair(r << _SHIFT | sym[k])
-                    if q is not None:
-                        if q in index:
-                            index[q].append(i)
-                        else:
-                            index[q] = [i]
-                            heapq.heappush(heap, q)
-                        if q < r:
-                            hold.add(word[i])
-                h = prv[i]
-                if h >= 0:
-                    q = pair(sym[h] << _SHIFT | r)
-                    if q is not None:
-                        if q in index:
-                            index[q].append(h)
-                        else:
-                            index[q] = [h]
-                            heapq.heappush(heap, q)
-                        if q < r:
-                            hold.add(word[i])
-            if again:  # a merge of lower rank arose in these words and goes first
-                index.setdefault(r, []).extend(again)
+            chunks = index.pop(r)
+            places = chunks[0] if len(chunks) == 1 else np.concatenate(chunks)
+            places = np.unique(places) if len(places) > FEW else places
+            if len(places) > FEW:
+                places = places[rank[places] == r]  # else the pair has gone meanwhile
+                slow = np.zeros(len(places), bool)  # overlapping pairs, or two in a word where ranks can fall
+                if r in self.unsafe:
+                    same = word[places][1:] == word[places][:-1]
+                    slow[1:] |= same
+                    slow[:-1] |= same
+                overlap = nxt[places][:-1] == places[1:]
+                if overlap.any():
+                    slow |= np.isin(word[places], word[places[1:][overlap]])
+                if slow.any():
+                    self._one_by_one(r, places[slow].tolist(), views, index, heap)
+                    places = places[~slow]
+                self._all_at_once(r, places, (sym, nxt, prv, rank), enter)
+            else:
+                self._one_by_one(r, sorted(set(places.tolist())), views, index, heap)
+        alive = sym >= 0
+        return sym[alive], np.bincount(word[alive], minlength=len(words))
+
+    def _all_at_once(self, r: int, places: np.ndarray, arrays, enter) -> None:
+        """Merge positions that do not touch one another's order."""
+        sym, nxt, prv, rank = arrays
+        second = nxt[places]
+        third = nxt[second]
+        sym[places], nxt[places], rank[second] = r, third, -1
+        sym[second] = -1
+        right = third >= 0
+        prv[third[right]] = places[right]
+        rank[places] = -1
+        for table, at, other in ((self.after, places[right], third[right]), (self.before, prv[places], None)):
+            if other is None:
+                at = other = at[at >= 0]
+            if len(at):
+                q = self._lookup(table, r, sym[other])
+                rank[at] = q
+                good = q >= 0
+                if good.any():
+                    enter(at[good], q[good])
+
+    def _one_by_one(self, r: int, places: list[int], views, index, heap) -> None:
+        """Merge from left to right: few positions, overlapping pairs, or ranks that can fall."""
+        sym, nxt, prv, rank, word = views
+        pair = self.pairs.get
+        hold, again = set(), []
+
+        def put(i, q):
+            rank[i] = -1 if q is None else q
+            if q is not None:
+                if q in index:
+                    index[q].append(np.array([i]))
+                else:
+                    index[q] = [np.array([i])]
+                    heapq.heappush(heap, q)
+                if q < r:
+                    hold.add(word[i])
+
+        for i in places:
+            if rank[i] != r:
+                continue
+            if hold and word[i] in hold:
+                again.append(i)  # a merge of lower rank arose in this word and goes first
+                continue
+            j = nxt[i]
+            k = nxt[j]
+            sym[i], nxt[i], sym[j], rank[j] = r, k, -1, -1
+            if k >= 0:
+                prv[k] = i
+                put(i, pair(r << _SHIFT | sym[k]))
+            else:
+                rank[i] = -1
+            h = prv[i]
+            if h >= 0:
+                put(h, pair(sym[h] << _SHIFT | r))
+        if again:
+            if r not in index:
                 heapq.heappush(heap, r)
-        left = np.array(sym)
-        alive = left >= 0
-        cut = np.cumsum(np.bincount(word[alive], minlength=len(words)))[:-1]
-        return [x.tolist() for x in np.split(left[alive], cut)]
+            index.setdefault(r, []).append(np.array(again))
+
+
+class _Numbers(dict):
+    """Numbers pieces in order of first sight."""
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        return n
 
 
 class Encoder:
-    """Encodes batches of texts and remembers up to ``KEPT_PIECES`` pieces."""
+    """Encodes texts slice by slice and remembers up to about ``KEPT_PIECES`` pieces."""
 
     def __init__(self, merges: Merges, pattern: str):
-        self.merges, self.pattern, self.known = merges, regex.compile(pattern), {}
+        self.merges, self.pattern = merges, regex.compile(pattern)
+        self._reset([])
+
+    def _reset(self, pieces) -> None:
+        self.numbers = _Numbers()
+        self.ids, self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for p in pieces:
+            self.numbers[p]
+        self.learn()
+
+    def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(piece numbers of all texts in one row, number of pieces of each text)."""
+        number, find = self.numbers.__getitem__, self.pattern.findall
+        rows = [np.fromiter(map(number, find(t)), np.int64) for t in texts]
+        return np.concatenate(rows) if rows else np.zeros(0, np.int64), np.array([len(r) for r in rows], np.int64)
+
+    def unknown(self) -> int:
+        return len(self.numbers) - len(self.start)
+
+    def learn(self) -> None:
+        """Find the ids of all pieces that were numbered since the last time."""
+        raws = [p.encode("utf-8", "replace") for p in islice(self.numbers, len(self.start), None)]
+        if not raws:
+            return
+        whole = np.array([self.merges.ids.get(raw, -1) for raw in raws])
+        parts = np.flatnonzero(whole < 0)
+        ids, counts = self.merges.replay([raws[i] for i in parts])
+        count = np.ones(len(raws), np.int64)
+        count[parts] = counts
+        flat = np.repeat(whole, count)
+        flat[flat < 0] = ids
+        self.start = np.concatenate((self.start, len(self.ids) + np.cumsum(count) - count))
+        self.count = np.concatenate((self.count, count))
+        self.ids = np.concatenate((self.ids, flat))
+
+    def look_up(self, numbers: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in one row, number of ids of each text) of what :meth:`number` gave."""
+        n = self.count[numbers]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        at = np.repeat(self.start[numbers] - ends[:-1], n) + np.arange(ends[-1])
+        return self.ids[at], np.diff(ends[np.concatenate(([0], np.cumsum(pieces)))])
+
+    def stream(self, slices_of_texts):
+        """Yields (key, ids, counts) for every (key, texts), in order."""
+        waiting, size, chars = [], 0, 0
+
+        def flush():
+            self.learn()
+            for key, numbers, pieces in waiting:
+                yield key, *self.look_up(numbers, pieces)
+
+        for key, texts in slices_of_texts:
+            known = len(self.numbers)
+            waiting.append((key, *self.number(texts)))
+            size += len(waiting[-1][1])
+            chars += sum(map(len, islice(self.numbers, known, None))) if len(self.numbers) > known else 0
+            if chars >= POOL_BYTES or size >= POOL_PIECES:
+                yield from flush()
+                waiting, size, chars = [], 0, 0
+                if len(self.numbers) > KEPT_PIECES:  # start anew with what this slice shares
+                    self._reset(set().union(*map(self.pattern.findall, texts)))
+        yield from flush()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in one row, number of ids of each text)."""
-        pieces = [self.pattern.findall(t) for t in texts]
-        distinct = set().union(*pieces)
-        if len(self.known) > KEPT_PIECES:  # start anew with what this batch shares
-            self.known = {p: self.known[p] for p in distinct if p in self.known}
-        known, ids = self.known, self.merges.ids
-        pool, size = [], 0
-        for piece in distinct.difference(known):
-            raw = piece.encode("utf-8", "replace")
-            whole = ids.get(raw)
-            if whole is not None:
-                known[piece] = (whole,)
-                continue
-            pool.append((piece, raw))
-            size += len(raw)
-            if size >= POOL_BYTES:
-                self._learn(pool)
-                pool, size = [], 0
-        self._learn(pool)
-        flat, counts = [], np.zeros(len(texts), np.int64)
-        for i, row in enumerate(pieces):
-            before = len(flat)
-            for piece in row:
-                flat += known[piece]
-            counts[i] = len(flat) - before
-        return np.array(flat, np.int32), counts
-
-    def _learn(self, pool) -> None:
-        if pool:
-            for (piece, _), row in zip(pool, self.merges.replay([raw for _, raw in pool])):
-                self.known[piece] = tuple(row)
+        _, ids, counts = next(iter([*self.stream([(None, texts)])]))
+        return ids, counts
 
 
 class Pieces:
@@ -179,14 +291,13 @@ def _encode(batches, merges, pattern: str):
     held = merges.value
     if "encoder" not in held:  # stays with the worker, across tasks
         held["encoder"] = Encoder(Merges(held["ranks"]), pattern)
-    for batch in batches:
-        for part in slices(batch, "text"):
-            texts = [t or "" for t in part.column("text").to_pylist()]
-            ids, counts = held["encoder"].encode(texts)
-            offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))],
-                names=["doc_id", "ids"])
+    parts = ((part.column("doc_id"), [t or "" for t in part.column("text").to_pylist()])
+             for batch in batches for part in slices(batch, "text"))
+    for doc_id, ids, counts in held["encoder"].stream(parts):
+        offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [doc_id, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))],
+            names=["doc_id", "ids"])
 
 
 def _decode(batches, ranks):
