@@ -54,20 +54,25 @@ CHUNK = 256
 # ---------------------------------------------------------------- positions
 
 
-def _prefix_sums(values: Column) -> Column:
-    """Running sums of an array of numbers, chunk by chunk, so the work stays near linear."""
+def _running_sums(df: DataFrame, name: str, values: str) -> DataFrame:
+    """Adds the running sums of an array column, chunk by chunk, so the work stays near linear.
+
+    The chunk starts are a column of their own, read twice below: Spark then computes it once a
+    row instead of once an element.
+    """
     add = lambda a, x: a + x
-    zero = F.lit(0).cast("long")
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int")),
-                         lambda c: F.aggregate(F.slice(values, c * CHUNK + 1, F.lit(CHUNK)), zero, add))
+    zero, v = F.lit(0).cast("long"), F.col(values)
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / CHUNK).cast("int")),
+                         lambda c: F.aggregate(F.slice(v, c * CHUNK + 1, F.lit(CHUNK)), zero, add))
     starts = F.aggregate(chunks, F.array(zero), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
 
     def one(x, i):
         c = F.floor(i / CHUNK).cast("int")
-        return F.element_at(starts, c + 1) + F.aggregate(
-            F.slice(values, c * CHUNK + 1, (i - c * CHUNK + 1).cast("int")), zero, add)
+        return F.element_at("_starts", c + 1) + F.aggregate(
+            F.slice(v, c * CHUNK + 1, (i - c * CHUNK + 1).cast("int")), zero, add)
 
-    return F.transform(values, one)
+    df = df.withColumn("_starts", F.when(F.size(v) > 0, starts))
+    return df.withColumn(name, F.when(F.size("_starts") > 0, F.transform(v, one))).drop("_starts")
 
 
 _SPAN = "array<struct<start: bigint, rank: int, end: bigint>>"
@@ -87,7 +92,7 @@ def _find(df: DataFrame, name: str, pattern: str, rank: int, group: int = 0, lea
                                                 lambda h: F.length(h).cast("long"))))
     df = df.withColumn("_steps", F.when(F.col("_hits").isNotNull(), F.zip_with(
         F.slice(F.split("text", pattern, -1), F.lit(1), F.size("_hits")), "_hits", lambda g, h: F.length(g) + h)))
-    df = df.withColumn("_ends", F.when(F.col("_hits").isNotNull(), _prefix_sums(F.col("_steps"))))
+    df = _running_sums(df, "_ends", "_steps")
     spans = F.transform(F.arrays_zip("_ends", "_hits", "_held"), lambda x: F.struct(
         (x["_ends"] - x["_hits"]).alias("start"), F.lit(rank).alias("rank"), x["_ends"].alias("end"),
         (x["_held"] >= least).alias("ok")))
@@ -131,11 +136,14 @@ def _battery(df: DataFrame) -> DataFrame:
                     lambda c: F.instr(x["alphabet"], c).cast("double")).alias("v")))
     zero = F.lit(0.0)
     add = lambda acc, y: acc + y
+    # the mean is a field of its own: inside the sums below it would be computed for every sign
+    stage = F.transform(stage, lambda x: F.struct(
+        x["span"], x["body"], x["kappa"], x["a"], x["n"], x["v"], (F.aggregate(x["v"], zero, add) / x["n"]).alias("mean")))
 
     def sums(x):
         n, v = x["n"], x["v"]
         high = lambda y: (y > x["a"] / 2).cast("double")
-        mean = F.aggregate(v, zero, add) / n
+        mean = x["mean"]
         pairs = lambda f: F.aggregate(F.zip_with(
             F.slice(v, F.lit(1), (n - 1).cast("int")), F.slice(v, F.lit(2), (n - 1).cast("int")), f), zero, add)
         squares = F.aggregate(F.array_distinct(F.regexp_extract_all(x["body"], F.lit("."), F.lit(0))), zero,
