@@ -47,7 +47,7 @@ def test_battery_finds_random_runs_and_leaves_text(docs_of):
     rng = random.Random(8)
     raw = lambda n: bytes(rng.randrange(256) for _ in range(n))
     planted = [base64.b64encode(raw(48)).decode() for _ in range(20)] + [raw(24).hex().upper() for _ in range(20)]
-    plain = ["ThisIsAnOrdinaryIdentifierOfSomeLength", "getTheNumberOfElementsInTheListAtTheEnd", "aaaaaaaaaaaaaaaaaaaaaaaaAAAAAAAAAAAA",
+    plain = ["ThisIsAnOrdinaryIdentifierOfSomeLength", "getTheNumberOfElementsInTheListAtTheEnd", "zzzzzzzzzzzzzzzzzzzzzzzzZZZZZZZZZZZZ",
              "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ", "path/to/Some/Nested/Folder/With/Names", "ABABABABABABABABABABABAB1212",
              "0123456789ABCDEF0123456789ABCDEF"]
     rows = [(i, f"see {p} here") for i, p in enumerate(planted)] + [(100 + i, f"see {p} here") for i, p in enumerate(plain)]
