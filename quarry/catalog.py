@@ -49,7 +49,7 @@ def nb_model(spark: SparkSession, sf_dir: str):
     def build():
         build_df = cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD)
         return NaiveBayes(target="affinity", case_id="cust_id", num_bins=10,
-                          priors=NB_PRIORS, name="NB_SH_CLAS_SAMPLE").fit(build_df)
+                          priors=NB_PRIORS, name="affinity_bayes").fit(build_df)
     return _memo(("nb", id(spark), sf_dir), build)
 
 
@@ -166,23 +166,23 @@ def q_threshold_cost(spark, sf_dir):
     """ROC thresholds with their action cost .35*FP + .65*FN, cheapest 10 first."""
     c = ev.threshold_costs(ev.roc(_nb_pos_scored(spark, sf_dir)), FP_COST, FN_COST)
     return c.orderBy(F.col("cost").asc(), F.col("probability").asc()).limit(10).select(
-        rnd("probability").alias("prob"), F.col("true_positives").alias("tp"),
-        F.col("false_negatives").alias("fn"), F.col("false_positives").alias("fp"),
-        F.col("true_negatives").alias("tn"), rnd("cost").alias("nb_cost"))
+        rnd("probability").alias("threshold"), F.col("true_positives").alias("hits"),
+        F.col("false_negatives").alias("misses"), F.col("false_positives").alias("false_alarms"),
+        F.col("true_negatives").alias("correct_rejections"), rnd("cost").alias("total_cost"))
 
 
-def _alter_cost(spark, sf_dir):
+def _break_even_cost(spark, sf_dir):
     return ev.cost_matrix_from_threshold(ev.roc(_nb_pos_scored(spark, sf_dir)), FP_COST, FN_COST)
 
 
 def q_cost_from_threshold(spark, sf_dir):
-    return _alter_cost(spark, sf_dir).select("actual_target_value", "predicted_target_value",
+    return _break_even_cost(spark, sf_dir).select("actual_target_value", "predicted_target_value",
                                              rnd("cost").alias("cost"))
 
 
 def q_rank_apply(spark, sf_dir):
     """RANK_APPLY top 2 with the break-even cost matrix, on renamed apply columns."""
-    cost_rows = [tuple(r) for r in _alter_cost(spark, sf_dir).collect()]  # 4 rows
+    cost_rows = [tuple(r) for r in _break_even_cost(spark, sf_dir).collect()]  # 4 rows
     a = _nb_apply_long(spark, sf_dir).withColumnRenamed("cust_id", "customer_id") \
         .withColumnRenamed("prediction", "score").withColumnRenamed("probability", "chance")
     r = ev.rank_apply(a, "customer_id", "score", "chance", 2, cost_rows)

@@ -99,14 +99,14 @@ def q_kmeans_lloyd_step(spark, sf_dir):
 # ------------------------------------------------------------ GLM (rows-only)
 def _glm_reg(spark, sf_dir):
     return _memo(("glmr", id(spark), sf_dir), lambda: GLM(
-        target=REG_TARGET, numeric=REG_NUMERIC, categorical=["segment"], name="GLMR_SH_REGR_SAMPLE")
+        target=REG_TARGET, numeric=REG_NUMERIC, categorical=["segment"], name="customer_quantity_glm")
         .fit(_build(spark, sf_dir)))
 
 
 def _glm_log(spark, sf_dir):
     return _memo(("glmc", id(spark), sf_dir), lambda: GLM(
         target="affinity", numeric=CLS_NUMERIC, categorical=CLS_CATEGORICAL, family="binomial",
-        name="GLMC_SH_CLAS_SAMPLE").fit(_build(spark, sf_dir)))
+        name="affinity_logit").fit(_build(spark, sf_dir)))
 
 
 def q_glm_regression(spark, sf_dir):
@@ -154,7 +154,7 @@ def q_glm_logistic_eval(spark, sf_dir):
 def _dt(spark, sf_dir):
     return _memo(("dt", id(spark), sf_dir), lambda: ml.fit_classifier(
         _build(spark, sf_dir), "affinity", CLS_NUMERIC, CLS_CATEGORICAL, ml.decision_tree(),
-        "ALGO_DECISION_TREE", name="DT_SH_CLAS_SAMPLE"))
+        "ALGO_DECISION_TREE", name="affinity_tree"))
 
 
 def q_decision_tree_cost(spark, sf_dir):
@@ -173,13 +173,13 @@ def q_decision_tree_apply(spark, sf_dir):
 
 def q_random_forest_importance(spark, sf_dir):
     m = ml.fit_classifier(_build(spark, sf_dir), "affinity", CLS_NUMERIC, CLS_CATEGORICAL,
-                          ml.random_forest(), "ALGO_RANDOM_FOREST", name="RF_SH_CLAS_SAMPLE")
+                          ml.random_forest(), "ALGO_RANDOM_FOREST", name="affinity_forest")
     return m.feature_importance(spark)
 
 
 def q_boosted_classifier(spark, sf_dir):
     m = ml.fit_classifier(_build(spark, sf_dir), "affinity", CLS_NUMERIC, CLS_CATEGORICAL,
-                          ml.boosted_trees(), "ALGO_XGBOOST", name="XGB_SH_CLAS_SAMPLE")
+                          ml.boosted_trees(), "ALGO_XGBOOST", name="affinity_boosted")
     s = scoring.with_probabilities(_apply_view(spark, sf_dir), m)
     return ev.auc(ev.scored_table(s, scoring.prediction_probability(m, 1), F.col("affinity"), 1))
 
@@ -188,7 +188,7 @@ def q_svm_linear(spark, sf_dir):
     """Linear SVM with class weights .35/.65 (weight column)."""
     b = _build(spark, sf_dir).withColumn("__w", F.when(F.col("affinity") == 1, 0.65).otherwise(0.35))
     m = ml.fit_classifier(b, "affinity", CLS_NUMERIC, CLS_CATEGORICAL, ml.linear_svm(complexity=100.0),
-                          "ALGO_SUPPORT_VECTOR_MACHINES", weight_col="__w", scale=True, name="SVMC_SH_CLAS_SAMPLE")
+                          "ALGO_SUPPORT_VECTOR_MACHINES", weight_col="__w", scale=True, name="affinity_svm")
     out = m.transform(_apply_view(spark, sf_dir))
     return ev.confusion_from_pairs(out.select("affinity", F.col("prediction").cast("int").alias("p")),
                                    "affinity", "p")
@@ -197,14 +197,14 @@ def q_svm_linear(spark, sf_dir):
 def q_mlp_classifier(spark, sf_dir):
     b = _build(spark, sf_dir)
     m = ml.fit_classifier(b, "affinity", CLS_NUMERIC, CLS_CATEGORICAL, ml.mlp(hidden=(10,)),
-                          "ALGO_NEURAL_NETWORK", scale=True, name="NNC_SH_CLAS_SAMPLE")
+                          "ALGO_NEURAL_NETWORK", scale=True, name="affinity_mlp")
     s = scoring.with_probabilities(_apply_view(spark, sf_dir), m)
     return ev.auc(ev.scored_table(s, scoring.prediction_probability(m, 1), F.col("affinity"), 1))
 
 
 # ------------------------------------------------------------ clustering / factorization
 def _km(spark, sf_dir):
-    return _memo(("km", id(spark), sf_dir), lambda: HierarchicalKMeans(k=10, max_iter=10, name="KM_SH_CLUS_SAMPLE")
+    return _memo(("km", id(spark), sf_dir), lambda: HierarchicalKMeans(k=10, max_iter=10, name="customer_kmeans")
                  .fit(cases.case_table(spark, sf_dir), KM_COLS))
 
 
@@ -410,7 +410,7 @@ QUERIES.update({
 
 
 def _svd(spark, sf_dir):
-    return _memo(("svd", id(spark), sf_dir), lambda: SVD(pca=True, name="SVD_SH_SAMPLE")
+    return _memo(("svd", id(spark), sf_dir), lambda: SVD(pca=True, name="customer_svd")
                  .fit(cases.case_table(spark, sf_dir), NUMERIC))
 
 
@@ -447,7 +447,7 @@ QUERIES.update({
 
 def _oc(spark, sf_dir):
     from quarry.operators.ocluster import OCluster
-    return _memo(("oc", id(spark), sf_dir), lambda: OCluster(k=10, sensitivity=0.5, name="OC_SH_CLUS_SAMPLE")
+    return _memo(("oc", id(spark), sf_dir), lambda: OCluster(k=10, sensitivity=0.5, name="customer_ocluster")
                  .fit(cases.case_table(spark, sf_dir), NUMERIC))
 
 
@@ -479,7 +479,7 @@ QUERIES.update({
 
 def _svmo(spark, sf_dir):
     from quarry.operators.oneclass import OneClassSVM
-    return _memo(("svmo", id(spark), sf_dir), lambda: OneClassSVM(outlier_rate=0.1, name="SVMO_SH_CLAS_SAMPLE")
+    return _memo(("svmo", id(spark), sf_dir), lambda: OneClassSVM(outlier_rate=0.1, name="customer_outliers")
                  .fit(cases.case_table(spark, sf_dir), NUMERIC))
 
 
@@ -512,7 +512,7 @@ QUERIES.update({
 def q_boosted_importance(spark, sf_dir):
     """Boosted trees (depth 3, 10 rounds): relative gain, cover and frequency per attribute slot."""
     m = ml.fit_classifier(_build(spark, sf_dir), "affinity", CLS_NUMERIC, CLS_CATEGORICAL,
-                          ml.boosted_trees(), "ALGO_XGBOOST", name="XGB_SH_CLAS_SAMPLE")
+                          ml.boosted_trees(), "ALGO_XGBOOST", name="affinity_boosted")
     return ml.boosted_importance(m, spark)
 
 
@@ -523,7 +523,7 @@ def q_nn_regression(spark, sf_dir):
     """Neural-network regression (1 hidden layer of 10 sigmoid units, seed 12) of sum_qty:
     RMSE / MAE on the apply split."""
     from quarry.operators.neural import NeuralRegression
-    m = NeuralRegression(REG_TARGET, hidden=10, max_iter=40, seed=12, name="NNR_SH_REGR_SAMPLE") \
+    m = NeuralRegression(REG_TARGET, hidden=10, max_iter=40, seed=12, name="quantity_network") \
         .fit(_build(spark, sf_dir), REG_NUMERIC)
     a = _apply_view(spark, sf_dir).filter(F.col(REG_TARGET).isNotNull())
     return ev.regression_errors(a.select(REG_TARGET, m.predicted_value(a).alias("prediction")),
@@ -537,7 +537,7 @@ def q_svm_gaussian_regression(spark, sf_dir):
     """Gaussian-kernel SVM regression (epsilon .1, random Fourier features) of sum_qty:
     RMSE / MAE on the apply split."""
     from quarry.operators.kernel_svm import KernelSVR
-    m = KernelSVR(REG_TARGET, epsilon=0.1, max_iter=40, name="SVMR_SH_REGR_SAMPLE").fit(_build(spark, sf_dir), REG_NUMERIC)
+    m = KernelSVR(REG_TARGET, epsilon=0.1, max_iter=40, name="quantity_svr").fit(_build(spark, sf_dir), REG_NUMERIC)
     a = _apply_view(spark, sf_dir).filter(F.col(REG_TARGET).isNotNull())
     return ev.regression_errors(a.select(REG_TARGET, m.predicted_value(a).alias("prediction")),
                                 REG_TARGET, "prediction")

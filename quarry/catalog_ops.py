@@ -31,7 +31,7 @@ def ar_model(spark, sf_dir):
     key = ("ar", id(spark), sf_dir)
     if key not in _CACHE:
         _CACHE[key] = asso.Apriori(min_support=AR_MIN_SUPPORT, min_confidence=AR_MIN_CONFIDENCE,
-                                   max_rule_length=AR_MAX_LENGTH, name="AR_SH_SAMPLE").fit(
+                                   max_rule_length=AR_MAX_LENGTH, name="brand_rules").fit(
             cases.basket_table(spark, sf_dir), "txn_id", "item", "amount")
     return _CACHE[key]
 

@@ -109,7 +109,10 @@ def _totals(grouped: DataFrame) -> DataFrame:
 
 
 def roc(scored: DataFrame) -> DataFrame:
-    """COMPUTE_ROC table: one row per distinct threshold p, counting score >= p."""
+    """COMPUTE_ROC table: one row per distinct threshold p, counting score >= p.
+
+    A fraction of a class without rows is NULL.
+    """
     g = _by_prob(scored)
     cum = prefix_sums(g, "prob", ["npos", "nneg"], ascending=False)
     return with_totals(cum, _totals(g)).select(
@@ -118,8 +121,8 @@ def roc(scored: DataFrame) -> DataFrame:
         (F.col("tot_pos") - F.col("cum_npos")).alias("false_negatives"),
         F.col("cum_nneg").alias("false_positives"),
         (F.col("tot_neg") - F.col("cum_nneg")).alias("true_negatives"),
-        (F.col("cum_npos") / F.col("tot_pos")).alias("true_positive_fraction"),
-        (F.col("cum_nneg") / F.col("tot_neg")).alias("false_positive_fraction"),
+        F.try_divide("cum_npos", "tot_pos").alias("true_positive_fraction"),
+        F.try_divide("cum_nneg", "tot_neg").alias("false_positive_fraction"),
     )
 
 
@@ -133,8 +136,8 @@ def roc_corners(scored: DataFrame) -> DataFrame:
                                      F.max("tot_pos").alias("tot_pos"), F.max("tot_neg").alias("tot_neg"))
     return c.select(
         "prob",
-        (F.col("cum_npos") / F.col("tot_pos")).alias("tpf"),
-        (F.col("cum_nneg") / F.col("tot_neg")).alias("fpf"),
+        F.try_divide("cum_npos", "tot_pos").alias("tpf"),
+        F.try_divide("cum_nneg", "tot_neg").alias("fpf"),
         F.col("cum_npos").alias("tp"),
         (F.col("tot_pos") - F.col("cum_npos")).alias("fn"),
         F.col("cum_nneg").alias("fp"),
@@ -142,26 +145,15 @@ def roc_corners(scored: DataFrame) -> DataFrame:
 
 
 def auc(scored: DataFrame) -> DataFrame:
-    """Area under ROC by the trapezoid rule over tpf change points.
+    """Area under the ROC curve: how often a positive scores above a negative, a tie counting half.
 
-    Points are the distinct thresholds holding at least one positive, plus
-    the final (1, 1) point; each trapezoid joins a point to the previous
-    such point (origin first).  tpf of the previous point is
-    (cum_pos - pos) / P since thresholds in between hold no positives; its
-    fpf is an exclusive running max, computed by a second distributed scan.
+    For every distinct threshold its negatives lose against all positives above it and against
+    half of the positives at it.  NULL if one class has no rows.
     """
     g = _by_prob(scored)
-    tot = _totals(g)
-    cum = with_totals(prefix_sums(g, "prob", ["npos", "nneg"], ascending=False), tot)
-    kept = cum.filter((F.col("npos") > 0) | ((F.col("cum_npos") == F.col("tot_pos")) &
-                                              (F.col("cum_nneg") == F.col("tot_neg"))))
-    prev = prefix_sums(kept.withColumn("fp_here", F.col("cum_nneg")), "prob", [], ascending=False,
-                       max_cols=["fp_here"], exclusive_max=True)
-    tpf = F.col("cum_npos") / F.col("tot_pos")
-    tpf_prev = (F.col("cum_npos") - F.col("npos")) / F.col("tot_pos")
-    fpf = F.col("cum_nneg") / F.col("tot_neg")
-    fpf_prev = F.coalesce(F.col("cum_max_fp_here"), F.lit(0)) / F.col("tot_neg")
-    return prev.agg(F.sum(0.5 * (fpf - fpf_prev) * (tpf + tpf_prev)).alias("auc"))
+    cum = with_totals(prefix_sums(g, "prob", ["npos"], ascending=False), _totals(g))
+    wins = F.sum(F.col("nneg") * (F.col("cum_npos") - F.col("npos") / 2))
+    return cum.agg(F.try_divide(wins, F.max("tot_pos").cast("double") * F.max("tot_neg")).alias("auc"))
 
 
 def lift(scored: DataFrame, num_quantiles: int = 10) -> DataFrame:
@@ -213,10 +205,10 @@ def lift(scored: DataFrame, num_quantiles: int = 10) -> DataFrame:
         "targets_cumulative",
         (F.col("records_cumulative") - F.col("targets_cumulative")).alias("non_targets_cumulative"),
         (F.col("records_cumulative") / F.col("tot_n")).alias("percentage_records_cumulative"),
-        (F.col("targets_cumulative") / F.col("tot_pos")).alias("gain_cumulative"),
-        ((F.col("targets_cumulative") / F.col("tot_pos")) /
+        F.try_divide("targets_cumulative", "tot_pos").alias("gain_cumulative"),
+        (F.try_divide("targets_cumulative", "tot_pos") /
          (F.col("records_cumulative") / F.col("tot_n"))).alias("lift_cumulative"),
-        ((F.col("quantile_targets") / F.col("tot_pos")) /
+        (F.try_divide("quantile_targets", "tot_pos") /
          (F.col("quantile_total_count") / F.col("tot_n"))).alias("lift_quantile"),
         (F.col("targets_cumulative") / F.col("records_cumulative")).alias("target_density_cumulative"),
         (F.col("quantile_targets") / F.col("quantile_total_count")).alias("target_density"),
@@ -236,11 +228,11 @@ def cost_matrix_from_threshold(roc_df: DataFrame, fp_cost: float, fn_cost: float
                                positive=1, negative=0) -> DataFrame:
     """Break-even cost matrix from the minimum-cost threshold p: cost(1->0) = (1-p)/p.
 
-    p is the smallest probability among thresholds of minimum cost.
+    p is the smallest probability among thresholds of minimum cost.  At p = 0 the cost is NULL.
     """
     c = threshold_costs(roc_df, fp_cost, fn_cost)
     best = c.agg(F.min(F.struct("cost", "probability")).alias("m")).select(F.col("m.probability").alias("p"))
-    best = best.select(((1.0 - F.col("p")) / F.col("p")).alias("c10"))
+    best = best.select(F.try_divide(1.0 - F.col("p"), F.col("p")).alias("c10"))
 
     def cell(a, p, c):
         return F.struct(F.lit(a).alias("actual_target_value"), F.lit(p).alias("predicted_target_value"),

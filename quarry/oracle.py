@@ -101,18 +101,20 @@ top AS (SELECT cust_id, prediction FROM (
           FROM nb) WHERE rn = 1),
 wide AS (SELECT cust_id, max(CASE WHEN prediction = 0 THEN probability END) AS p0,
                 max(CASE WHEN prediction = 1 THEN probability END) AS p1 FROM nb GROUP BY cust_id),
-ps AS (SELECT round(w.p1, {R}) AS pos_prob, CASE WHEN a.affinity = 1 THEN 1 ELSE 0 END AS pos_cnt
-       FROM wide w JOIN applyv a ON a.cust_id = w.cust_id),
-roc AS (SELECT prob, cp, tp - cp AS fn, cn, tn - cn AS tnn, tp, tn FROM (
-          SELECT prob, sum(npos) OVER (ORDER BY prob DESC) AS cp, sum(nneg) OVER (ORDER BY prob DESC) AS cn,
-                 sum(npos) OVER () AS tp, sum(nneg) OVER () AS tn
-          FROM (SELECT pos_prob AS prob, sum(pos_cnt) AS npos, count(*) - sum(pos_cnt) AS nneg
-                FROM ps GROUP BY pos_prob))),
-costs AS (SELECT prob, CAST(0.35 AS DOUBLE) * cn + CAST(0.65 AS DOUBLE) * fn AS nb_cost FROM roc),
-best AS (SELECT prob FROM costs ORDER BY nb_cost, prob LIMIT 1),
-alter_cost AS (
-  SELECT 1 AS actual_target_value, 0 AS predicted_target_value, (1.0 - prob) / prob AS cost FROM best
-  UNION ALL SELECT 0, 1, 1.0 UNION ALL SELECT 0, 0, 0.0 UNION ALL SELECT 1, 1, 0.0)
+scored AS (SELECT a.cust_id, round(w.p1, {R}) AS score, coalesce(a.affinity = 1, FALSE) AS hit
+           FROM wide w JOIN applyv a ON a.cust_id = w.cust_id),
+size AS (SELECT count(*) AS n, count(*) FILTER (WHERE hit) AS hits, count(*) FILTER (WHERE NOT hit) AS others
+         FROM scored),
+cuts AS (SELECT c.score AS cut, count(*) FILTER (WHERE s.hit) AS caught, count(*) FILTER (WHERE NOT s.hit) AS wrong
+         FROM (SELECT DISTINCT score FROM scored) c JOIN scored s ON s.score >= c.score
+         GROUP BY c.score),
+priced AS (SELECT cut, caught, wrong, hits - caught AS missed, others - wrong AS spared,
+                  0.35::DOUBLE * wrong + 0.65::DOUBLE * (hits - caught) AS price
+           FROM cuts CROSS JOIN size),
+cheapest AS (SELECT min(cut) AS cut FROM priced WHERE price = (SELECT min(price) FROM priced)),
+even AS (SELECT a.v AS actual, p.v AS said,
+                CASE WHEN a.v = p.v THEN 0.0 WHEN a.v = 1 THEN 1 / cut - 1 ELSE 1.0 END AS price
+         FROM (VALUES (0), (1)) a(v) CROSS JOIN (VALUES (0), (1)) p(v) CROSS JOIN cheapest)
 """
 
 
@@ -150,69 +152,55 @@ FROM wide w JOIN applyv a ON a.cust_id = w.cust_id GROUP BY 1, 2"""
 SELECT round(avg(CASE WHEN a.affinity IS NOT DISTINCT FROM t.prediction THEN 1.0 ELSE 0.0 END), {R}) AS accuracy
 FROM top t JOIN applyv a ON a.cust_id = t.cust_id"""
     q["lift"] = base + f""",
-qs AS (SELECT NTILE(10) OVER (ORDER BY pos_prob DESC) AS q_num, pos_prob,
-              AVG(pos_cnt) OVER (PARTITION BY pos_prob) AS pos_cnt FROM ps),
-qa AS (SELECT q_num, min(pos_prob) AS thr, count(*) AS cnt, sum(pos_cnt) AS tgt FROM qs GROUP BY q_num),
-tot AS (SELECT count(*) AS tot_n, sum(pos_cnt) AS tot_pos FROM ps),
-cum AS (SELECT q_num, thr, cnt, tgt,
-               sum(cnt) OVER (ORDER BY q_num) AS rc, sum(tgt) OVER (ORDER BY q_num) AS tc FROM qa)
-SELECT CAST(q_num AS INTEGER) AS quantile_number, round(thr, {R}) AS probability_threshold,
-       CAST(cnt AS BIGINT) AS quantile_total_count,
-       round(tc, {R}) AS targets_cumulative,
-       round(rc - tc, {R}) AS non_targets_cumulative,
-       round(CAST(rc AS DOUBLE) / tot_n, {R}) AS percentage_records_cumulative,
-       round(tc / tot_pos, {R}) AS gain_cumulative,
-       round((tc / tot_pos) / (CAST(rc AS DOUBLE) / tot_n), {R}) AS lift_cumulative,
-       round((tgt / tot_pos) / (CAST(cnt AS DOUBLE) / tot_n), {R}) AS lift_quantile,
-       round(tc / rc, {R}) AS target_density_cumulative,
-       round(tgt / cnt, {R}) AS target_density
-FROM cum CROSS JOIN tot"""
+placed AS (SELECT score, row_number() OVER (ORDER BY score DESC) AS place, n, hits,
+                  avg(hit::INT) OVER (PARTITION BY score) AS share
+           FROM scored CROSS JOIN size),
+dealt AS (SELECT *, CASE WHEN place <= (n % 10) * (n // 10 + 1) THEN (place - 1) // (n // 10 + 1) + 1
+                         ELSE n % 10 + (place - 1 - (n % 10) * (n // 10 + 1)) // (n // 10) + 1 END AS tenth
+          FROM placed),
+tenths AS (SELECT tenth, min(score) AS least, count(*) AS k, sum(share) AS found, any_value(n) AS n,
+                  any_value(hits) AS hits FROM dealt GROUP BY tenth),
+upto AS (SELECT t.tenth, t.least, t.k, t.found, t.n, t.hits, sum(u.k) AS ks, sum(u.found) AS founds
+         FROM tenths t JOIN tenths u ON u.tenth <= t.tenth GROUP BY ALL)
+SELECT tenth::INT AS quantile_number, round(least, {R}) AS probability_threshold, k::BIGINT AS quantile_total_count,
+       round(founds, {R}) AS targets_cumulative, round(ks - founds, {R}) AS non_targets_cumulative,
+       round(ks::DOUBLE / n, {R}) AS percentage_records_cumulative, round(founds / hits, {R}) AS gain_cumulative,
+       round(founds * n / (hits * ks::DOUBLE), {R}) AS lift_cumulative,
+       round(found * n / (hits * k::DOUBLE), {R}) AS lift_quantile,
+       round(founds / ks, {R}) AS target_density_cumulative, round(found / k, {R}) AS target_density
+FROM upto"""
     q["roc"] = base + f"""
-SELECT round(prob, {R}) AS probability, CAST(cp AS BIGINT) AS true_positives, CAST(fn AS BIGINT) AS false_negatives,
-       CAST(cn AS BIGINT) AS false_positives, CAST(tnn AS BIGINT) AS true_negatives,
-       round(CAST(cp AS DOUBLE) / tp, {R}) AS true_positive_fraction,
-       round(CAST(cn AS DOUBLE) / tn, {R}) AS false_positive_fraction
-FROM roc"""
-    q["roc_corners"] = base + f""",
-c AS (SELECT pos_prob, pos_cnt,
-             sum(pos_cnt) OVER (ORDER BY pos_prob DESC) AS cume_pos_cnt,
-             sum(pos_cnt) OVER () AS tot_pos_cnt,
-             sum(1 - pos_cnt) OVER (ORDER BY pos_prob DESC) AS cume_neg_cnt,
-             sum(1 - pos_cnt) OVER () AS tot_neg_cnt
-      FROM ps),
-corners AS (SELECT min(pos_prob) AS pos_prob, max(cume_pos_cnt) AS cume_pos_cnt, cume_neg_cnt,
-                   max(tot_pos_cnt) AS tot_pos_cnt, max(tot_neg_cnt) AS tot_neg_cnt
-            FROM c WHERE pos_cnt = 1 OR (cume_pos_cnt = tot_pos_cnt AND cume_neg_cnt = tot_neg_cnt)
-            GROUP BY cume_neg_cnt)
-SELECT round(pos_prob, {R}) AS prob,
-       round(CAST(cume_pos_cnt AS DOUBLE) / tot_pos_cnt, {R}) AS tpf,
-       round(CAST(cume_neg_cnt AS DOUBLE) / tot_neg_cnt, {R}) AS fpf,
-       CAST(cume_pos_cnt AS BIGINT) AS tp, CAST(tot_pos_cnt - cume_pos_cnt AS BIGINT) AS fn,
-       CAST(cume_neg_cnt AS BIGINT) AS fp, CAST(tot_neg_cnt - cume_neg_cnt AS BIGINT) AS tn
-FROM corners"""
+SELECT round(cut, {R}) AS probability, caught AS true_positives, missed AS false_negatives,
+       wrong AS false_positives, spared AS true_negatives, round(caught::DOUBLE / hits, {R}) AS true_positive_fraction,
+       round(wrong::DOUBLE / others, {R}) AS false_positive_fraction
+FROM priced CROSS JOIN size"""
+    # of the cuts that a hit lies on, and the last, the highest point for each count of wrong ones
+    q["roc_corners"] = base + f"""
+SELECT round(min(cut), {R}) AS prob, round(max(caught)::DOUBLE / any_value(hits), {R}) AS tpf,
+       round(wrong::DOUBLE / any_value(others), {R}) AS fpf, max(caught) AS tp, min(missed) AS fn,
+       wrong AS fp, min(spared) AS tn
+FROM priced CROSS JOIN size
+WHERE cut IN (SELECT score FROM scored WHERE hit) OR cut = (SELECT min(score) FROM scored)
+GROUP BY wrong"""
+    # the rank-sum statistic with mid-ranks for ties
     q["auc"] = base + f""",
-tf AS (SELECT pos_cnt,
-              CAST(sum(pos_cnt) OVER (ORDER BY pos_prob DESC) AS DOUBLE) / sum(pos_cnt) OVER () AS tpf,
-              CAST(sum(1 - pos_cnt) OVER (ORDER BY pos_prob DESC) AS DOUBLE) / sum(1 - pos_cnt) OVER () AS fpf
-       FROM ps),
-tz AS (SELECT 0.5 * (fpf - lag(fpf, 1, 0) OVER (ORDER BY fpf, tpf)) *
-              (tpf + lag(tpf, 1, 0) OVER (ORDER BY fpf, tpf)) AS area
-       FROM tf WHERE pos_cnt = 1 OR (tpf = 1 AND fpf = 1))
-SELECT round(sum(area), {R}) AS auc FROM tz"""
+ranked AS (SELECT s.hit, (count(*) FILTER (WHERE o.score < s.score)) + (count(*) FILTER (WHERE o.score = s.score) + 1) / 2.0
+                  AS midrank
+           FROM scored s CROSS JOIN scored o GROUP BY s.cust_id, s.hit, s.score)
+SELECT round((sum(midrank) FILTER (WHERE hit) - any_value(hits) * (any_value(hits) + 1) / 2.0)
+             / (any_value(hits)::DOUBLE * any_value(others)), {R}) AS auc
+FROM ranked CROSS JOIN size"""
     q["threshold_cost"] = base + f"""
-SELECT round(prob, {R}) AS prob, CAST(cp AS BIGINT) AS tp, CAST(fn AS BIGINT) AS fn,
-       CAST(cn AS BIGINT) AS fp, CAST(tnn AS BIGINT) AS tn,
-       round(CAST(0.35 AS DOUBLE) * cn + CAST(0.65 AS DOUBLE) * fn, {R}) AS nb_cost
-FROM roc ORDER BY CAST(0.35 AS DOUBLE) * cn + CAST(0.65 AS DOUBLE) * fn, prob LIMIT 10"""
+SELECT round(cut, {R}) AS threshold, caught AS hits, missed AS misses, wrong AS false_alarms,
+       spared AS correct_rejections, round(price, {R}) AS total_cost
+FROM priced ORDER BY price, cut LIMIT 10"""
     q["cost_from_threshold"] = base + f"""
-SELECT CAST(actual_target_value AS INTEGER) AS actual_target_value,
-       CAST(predicted_target_value AS INTEGER) AS predicted_target_value,
-       round(CAST(cost AS DOUBLE), {R}) AS cost FROM alter_cost"""
+SELECT actual AS actual_target_value, said AS predicted_target_value, round(price, {R})::DOUBLE AS cost FROM even"""
     q["rank_apply"] = base + f""",
 ec AS (SELECT w.cust_id, k.p AS score,
               CASE WHEN k.p = 0 THEN w.p0 ELSE w.p1 END AS chance,
-              coalesce(w.p0 * (SELECT cost FROM alter_cost WHERE actual_target_value = 0 AND predicted_target_value = k.p), 0)
-            + coalesce(w.p1 * (SELECT cost FROM alter_cost WHERE actual_target_value = 1 AND predicted_target_value = k.p), 0) AS cost
+              w.p0 * (SELECT price FROM even WHERE actual = 0 AND said = k.p)
+            + w.p1 * (SELECT price FROM even WHERE actual = 1 AND said = k.p) AS cost
        FROM wide w CROSS JOIN (VALUES (0), (1)) k(p)),
 rk AS (SELECT *, row_number() OVER (PARTITION BY cust_id ORDER BY cost, chance DESC, score) AS rnk FROM ec)
 SELECT cust_id AS customer_id, CAST(score AS INTEGER) AS score, round(chance, {R}) AS chance,

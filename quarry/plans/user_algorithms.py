@@ -83,10 +83,13 @@ class UserModel(MiningModel):
     algo: UserAlgorithm | None = None
     params: dict = field(default_factory=dict)
     partition_col: str | None = None
-    models: dict = field(default_factory=dict)  # partition value (or None) -> model
+    models: dict = field(default_factory=dict)  # partition value as text (or None) -> model
 
     def apply(self, df: DataFrame, keep: list[str]) -> DataFrame:
-        """Score with the user's function; ``keep`` columns are carried through."""
+        """Score with the user's function; ``keep`` columns are carried through.
+
+        A row whose partition has no model keeps its place and gets NULL scores.
+        """
         algo, params, models, pcol = self.algo, self.params, self.models, self.partition_col
 
         def run(batches):
@@ -95,12 +98,18 @@ class UserModel(MiningModel):
                     out = algo.score(models[None], pdf, params)
                     yield pd.concat([pdf[keep].reset_index(drop=True), out.reset_index(drop=True)], axis=1)
                     continue
-                for key, part in pdf.groupby(pcol, sort=False):
-                    if key not in models:
+                for key, part in pdf.groupby("__key", sort=False, dropna=False):
+                    kept = part[keep].reset_index(drop=True)
+                    model = models.get(key if isinstance(key, str) else None)
+                    if model is None:
+                        yield kept.reindex(columns=[*keep, *scores])  # scores are NULL
                         continue
-                    out = algo.score(models[key], part, params)
-                    yield pd.concat([part[keep].reset_index(drop=True), out.reset_index(drop=True)], axis=1)
-        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
+                    out = algo.score(model, part, params)
+                    yield pd.concat([kept, out.reset_index(drop=True)], axis=1)
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
+        scores = [x.split()[0] for x in self.algo.score_schema.split(",")]
+        if pcol is not None:  # the key as text, as in the build, whatever its type
+            df = df.withColumn("__key", F.col(pcol).cast("string"))
         return df.mapInPandas(run, f"{schema}, {self.algo.score_schema}")
 
     def details_df(self):
@@ -127,7 +136,7 @@ def fit_user_model(df: DataFrame, algo: UserAlgorithm, params: dict | None = Non
 
     def stats(batches):
         for pdf in batches:
-            groups = [(None, pdf)] if pcol is None else list(pdf.groupby(pcol, sort=False))
+            groups = [(None, pdf)] if pcol is None else list(pdf.groupby("__key", sort=False))
             rows = []
             for key, part in groups:
                 for stat, arr in algo.partial(part, params).items():
@@ -136,7 +145,8 @@ def fit_user_model(df: DataFrame, algo: UserAlgorithm, params: dict | None = Non
                                  a.ravel().tolist()))
             yield pd.DataFrame(rows, columns=["pkey", "stat", "shape", "vals"])
 
-    partial = df.mapInPandas(stats, "pkey string, stat string, shape array<int>, vals array<double>")
+    data = df if pcol is None else df.filter(F.col(pcol).isNotNull()).withColumn("__key", F.col(pcol).cast("string"))
+    partial = data.mapInPandas(stats, "pkey string, stat string, shape array<int>, vals array<double>")
     # element-wise sum: explode positions (size = statistic length, fixed by the algorithm)
     summed = (partial.select("pkey", "stat", "shape", F.posexplode("vals").alias("pos", "v"))
               .groupBy("pkey", "stat", "pos").agg(F.sum("v").alias("v"), F.first("shape").alias("shape"))
@@ -153,11 +163,6 @@ def fit_user_model(df: DataFrame, algo: UserAlgorithm, params: dict | None = Non
             flat = np.array([d["v"].get(i, 0.0) for i in range(size)])
             arrays[stat] = flat.reshape(d["shape"]) if d["shape"] else flat[0]
         models[key] = algo.finalize(arrays, params)
-    if pcol is not None:
-        # partition values were stringified for the statistics; restore the key type
-        dtype = dict(df.dtypes)[pcol]
-        if dtype in ("int", "bigint", "smallint", "tinyint"):
-            models = {int(k): v for k, v in models.items()}
     return UserModel(name=name, function="REGRESSION", algorithm=f"ALGO_EXTENSIBLE:{algo.name}",
                      algo=algo, params=params, partition_col=pcol, models=models,
                      settings={"ALGO_EXTENSIBLE_LANG": "Python", **params})

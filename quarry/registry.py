@@ -4,28 +4,16 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from quarry import catalog, catalog_ops
+    from quarry import catalog, catalog_models, catalog_more, catalog_ops, catalog_stream, catalog_text
     out = {}
-    for mod in (catalog, catalog_ops):
-        out.update(mod.QUERIES)
-    for extra in ("catalog_text", "catalog_models", "catalog_more", "catalog_stream"):
-        try:
-            mod = __import__(f"quarry.{extra}", fromlist=["QUERIES"])
-        except ModuleNotFoundError:
-            continue
+    for mod in (catalog, catalog_ops, catalog_text, catalog_models, catalog_more, catalog_stream):
         out.update(mod.QUERIES)
     return out
 
 
 def all_oracle_sql() -> dict:
-    from quarry import oracle, oracle_ops
+    from quarry import oracle, oracle_models, oracle_more, oracle_ops, oracle_stream, oracle_text
     out = {}
-    out.update(oracle.oracle_sql())
-    out.update(oracle_ops.oracle_sql())
-    for extra in ("oracle_text", "oracle_models", "oracle_more", "oracle_stream"):
-        try:
-            mod = __import__(f"quarry.{extra}", fromlist=["oracle_sql"])
-        except ModuleNotFoundError:
-            continue
+    for mod in (oracle, oracle_ops, oracle_text, oracle_models, oracle_more, oracle_stream):
         out.update(mod.oracle_sql())
     return out

@@ -48,7 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     ``spark.checkpoint.dir`` is read from the session configuration (a
     cluster sets it to a shared folder).  When absent (tests, local runs)
-    a fresh directory under the system temp folder is created.
+    a fresh directory under the system temp folder is created; only a local
+    master may do without the setting.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(local)
     return local
