@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import slices
 
-POOL_BYTES = 4 << 20    # new pieces are replayed in pools of about so many bytes
-POOL_PIECES = 1 << 24   # or when so many pieces of texts wait for one
-KEPT_PIECES = 500_000   # pieces a worker remembers before it starts anew
+POOL_BYTES = 3 << 19    # new pieces are replayed in pools of about so many bytes
+POOL_PIECES = 1 << 22   # or when so many pieces of texts wait for one
+KEPT_PIECES = 300_000   # pieces a worker remembers before it starts anew
 FEW = 12                # a merge at so few positions is cheaper one by one
 _SHIFT = 32
 
