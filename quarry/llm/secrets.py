@@ -188,7 +188,9 @@ def _thresholds(df: DataFrame, rate: float) -> dict[int, int]:
     One count per class and bin reaches the driver, ``(LAST_BIN + 1) * 4`` numbers at most.
     """
     counts: dict[int, dict[int, int]] = {}
-    for r in df.select(F.explode("tested").alias("t")).groupBy("t.family", "t.bin").count().collect():
+    # explode_outer: for explode, Spark adds a filter that computes the whole battery once more
+    runs = df.select(F.explode_outer("tested").alias("t")).filter("t IS NOT NULL")
+    for r in runs.groupBy("t.family", "t.bin").count().collect():
         counts.setdefault(r["family"], {})[r["bin"]] = r["count"]
     out = {}
     for family, bins in counts.items():
