@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 from statistics import NormalDist
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,26 +86,52 @@ def fit_design(df: DataFrame, numeric: list[str], categorical: list[str], quadra
 
 
 # --------------------------------------------------------------------- statistics
+def sum_blocks(df: DataFrame, block) -> np.ndarray | None:
+    """The sum of ``block(columns)`` - a flat array - over all Arrow batches of ``df``.
+
+    The one kernel of the iterative fits: every partition adds up its own blocks (matrix products
+    in numpy) and Spark adds the partitions' blocks entry by entry, so only one block reaches the
+    driver.  Nulls are 0.  None for a table without rows.
+    """
+    def run(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                own = block([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns])
+                total = own if total is None else total + own
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)],
+                                             names=["pos", "v"])
+
+    rows = df.mapInArrow(run, "pos int, v double").groupBy("pos").agg(F.sum("v").alias("v")).collect()
+    if not rows:
+        return None
+    out = np.zeros(len(rows))
+    for r in rows:
+        out[r["pos"]] = r["v"]
+    return out
+
+
+def gram_block(m: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """w m m' summed over the rows of m, flat, then the sum of w and the row count."""
+    return np.concatenate((((m * w[:, None]).T @ m).ravel(), [w.sum(), len(w)]))
+
+
+def gram_parts(flat: np.ndarray, p: int) -> dict:
+    full = flat[:-2].reshape(p + 1, p + 1)
+    return {"n": int(flat[-1]), "sw": float(flat[-2]), "G": full[:p, :p].copy(), "b": full[:p, p].copy(),
+            "yy": float(full[p, p])}
+
+
 def gram(df: DataFrame, xcols: list[Column], y: Column, w: Column | None = None) -> dict:
-    """One aggregate: n, sum w, X'WX (with intercept column), X'Wy, y'Wy."""
+    """n, sum w, X'WX (with intercept column), X'Wy, y'Wy in one pass; (p + 1)^2 numbers reach the driver."""
     w = w if w is not None else F.lit(1.0)
     xs = [F.lit(1.0)] + xcols
     p = len(xs)
-    named = df.select(*[x.alias(f"x{i}") for i, x in enumerate(xs)], y.cast("double").alias("y"),
+    named = df.select(*[x.cast("double").alias(f"x{i}") for i, x in enumerate(xs)], y.cast("double").alias("y"),
                       w.cast("double").alias("w")).filter(F.col("y").isNotNull())
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum("w").alias("sw"),
-            F.sum(F.col("w") * F.col("y") * F.col("y")).alias("yy")]
-    for i in range(p):
-        aggs.append(F.sum(F.col("w") * F.col(f"x{i}") * F.col("y")).alias(f"xy{i}"))
-        for j in range(i, p):
-            aggs.append(F.sum(F.col("w") * F.col(f"x{i}") * F.col(f"x{j}")).alias(f"g{i}_{j}"))
-    r = named.agg(*aggs).collect()[0]
-    G = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            G[i, j] = G[j, i] = r[f"g{i}_{j}"] or 0.0
-    b = np.array([r[f"xy{i}"] or 0.0 for i in range(p)])
-    return {"n": int(r["n"]), "sw": float(r["sw"] or 0.0), "G": G, "b": b, "yy": float(r["yy"] or 0.0)}
+    flat = sum_blocks(named, lambda cols: gram_block(np.column_stack(cols[:-1]), cols[-1]))
+    return gram_parts(np.zeros((p + 1) ** 2 + 2) if flat is None else flat, p)
 
 
 def gram_long(df: DataFrame, names: list[str], cast_double: bool = True) -> DataFrame:

@@ -351,12 +351,12 @@ def cross_validate(df: DataFrame, target: str, case_id: str, folds: int = 10, nu
     own fold's model inside one projection.  Returns
     (fold, actual, predicted, count).
     """
-    from quarry.operators.prep import hash_folds
+    from quarry.operators.prep import stratified_folds
     exclude = [case_id, target, fold_col]
     numeric, categorical = attribute_roles(df, exclude)
     data = df.filter(F.col(target).isNotNull())
     if fold_col not in data.columns:
-        data = data.withColumn(fold_col, hash_folds(case_id, folds))
+        data = stratified_folds(data, case_id, target, folds, fold_col).persist()
     ranges = {}
     if numeric:
         row = data.agg(*[F.min(F.col(a).cast("double")).alias(f"lo_{i}") for i, a in enumerate(numeric)],

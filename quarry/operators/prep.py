@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import equi_width_bin
@@ -100,7 +100,6 @@ def fit_imputer(df: DataFrame, exclude: list[str] | None = None) -> Imputer:
 
 def mode_table(df: DataFrame, cols: list[str]) -> DataFrame:
     """(attribute_name, mode_value, mode_count) for each categorical column."""
-    from pyspark.sql import Window
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
         [], cols, "attribute_name", "v").filter(F.col("v").isNotNull())
     cnt = long.groupBy("attribute_name", "v").agg(F.count(F.lit(1)).alias("n"))
@@ -137,19 +136,31 @@ def one_hot_names(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def class_weights_balanced(df: DataFrame, target: str) -> DataFrame:
     """CLAS_WEIGHTS_BALANCED: weight = n / (k * n_c) per class."""
-    from pyspark.sql import Window
     c = df.groupBy(target).agg(F.count(F.lit(1)).alias("n_c"))
     w = Window.partitionBy()  # k rows (classes): bounded
     return c.select(F.col(target).alias("target_value"), "n_c",
                     (F.sum("n_c").over(w) / (F.count(F.lit(1)).over(w) * F.col("n_c"))).alias("class_weight"))
 
 
-def hash_folds(key, k: int):
-    """Fold id 0..k-1 from an integer key by a fixed multiplicative mix.
+FOLD_BUCKETS = 1024
 
-    Engine-independent (plain integer arithmetic), so the same assignment is
-    reproducible in SQL; folds are balanced per class in expectation.
+
+def stratified_folds(df: DataFrame, key: str, target: str, k: int, fold_col: str = "fold") -> DataFrame:
+    """Adds the fold 0..k-1: the rows of every class are numbered and dealt round robin.
+
+    So fold sizes of a class differ by one row at most.  The order within a class is that of a
+    fixed integer mix of the key, then the key.  Numbers are made in parallel: a window inside each
+    (class, slice of the mix) and, per class, the running count of the slices before it - a table
+    of ``FOLD_BUCKETS`` rows a class.  NULL targets are a class of their own.
     """
-    x = F.pmod(F.col(key) if isinstance(key, str) else key, F.lit(2147483648))
-    mixed = F.pmod(x * F.lit(1103515245) + F.lit(12345), F.lit(2147483648))
-    return F.pmod(F.floor(mixed / F.lit(65536)), F.lit(k)).cast("int")
+    mixed = F.pmod(F.pmod(F.col(key).cast("long"), F.lit(2147483648)) * 1103515245 + 12345, F.lit(2147483648))
+    rows = df.withColumn("__mix", mixed).withColumn("__slice", F.floor(F.col("__mix") / (2147483648 // FOLD_BUCKETS)))
+    before = Window.partitionBy("__class").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (rows.groupBy(F.col(target).alias("__class"), F.col("__slice").alias("__s"))
+               .agg(F.count(F.lit(1)).alias("__n"))
+               .select("__class", "__s", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")))
+    place = F.row_number().over(Window.partitionBy(target, "__slice").orderBy("__mix", key)) - 1
+    joined = rows.withColumn("__place", place).join(
+        F.broadcast(offsets), F.col(target).eqNullSafe(F.col("__class")) & (F.col("__slice") == F.col("__s")))
+    return joined.withColumn(fold_col, F.pmod(F.col("__before") + F.col("__place"), F.lit(k)).cast("int")).drop(
+        "__mix", "__slice", "__class", "__s", "__before", "__place")

@@ -51,19 +51,24 @@ FORMS = ("simple", "holt", "holt_damped", "winters_add", "winters_mul", "winters
 
 
 def _init(y: np.ndarray, m: int, form: str):
-    level = y[0]
+    known = y[~np.isnan(y)]
+    level = known[0] if len(known) else 0.0
     trend = 0.0
     season = np.zeros(m) if form != "winters_mul" else np.ones(m)
     if form.startswith("winters") and len(y) >= 2 * m:
-        s1, s2 = y[:m].mean(), y[m:2 * m].mean()
+        # missing values of the first seasons take no part; a place without any value is neutral
+        first, second = y[:m], y[m:2 * m]
+        if np.isnan(first).all() or np.isnan(second).all():
+            return level, trend, season
+        s1, s2 = np.nanmean(first), np.nanmean(second)
         level = s1
         trend = (s2 - s1) / m
         if form == "winters_mul":
-            season = y[:m] / s1 if s1 != 0 else np.ones(m)
+            season = np.where(np.isnan(first), 1.0, first / s1) if s1 != 0 else np.ones(m)
         else:
-            season = y[:m] - s1
-    elif form in ("holt", "holt_damped") and len(y) >= 2:
-        trend = y[1] - y[0]
+            season = np.where(np.isnan(first), 0.0, first - s1)
+    elif form in ("holt", "holt_damped") and len(known) >= 2:
+        trend = known[1] - known[0]
     return level, trend, season
 
 
@@ -148,16 +153,24 @@ def fit_series(y: np.ndarray, form: str, m: int = 1, h: int = 1, conf: float = 0
     n_params = {"simple": 1, "holt": 2, "holt_damped": 3, "winters_add": 3, "winters_mul": 3,
                 "winters_damped": 4}[form]
 
+    # only the parameters that the form has are searched
+    used = [0] + ([1] if form != "simple" else []) + ([2] if form.startswith("winters") else []) + (
+        [3] if "damped" in form else [])
+    start = np.array([0.3, 0.1, 0.1, 0.95])
+
+    def full(p):
+        out = start.copy()
+        out[used] = p
+        return out
+
     def sse(p):
-        a, b, g, phi = p
-        fitted, _ = _run(y, (a, b, g, phi), m, form)
-        e = y - fitted
+        e = y - _run(y, full(p), m, form)[0]
         e = e[~np.isnan(e)]
         return float((e * e).sum())
-    x0 = np.array([0.3, 0.1, 0.1, 0.95])
-    lo = np.array([1e-4, 1e-4, 1e-4, 0.8])
-    hi = np.array([0.9999, 0.9999, 0.9999, 0.98])
-    best, val = _nelder_mead(sse, x0, lo, hi)
+    lo = np.array([1e-4, 1e-4, 1e-4, 0.8])[used]
+    hi = np.array([0.9999, 0.9999, 0.9999, 0.98])[used]
+    best, val = _nelder_mead(sse, start[used], lo, hi)
+    best = full(best)
     fitted, fc = _run(y, tuple(best), m, form, h)
     e = y - fitted
     e = e[~np.isnan(e)]
@@ -165,13 +178,23 @@ def fit_series(y: np.ndarray, form: str, m: int = 1, h: int = 1, conf: float = 0
     mse = float((e * e).mean()) if n else float("nan")
     sigma = math.sqrt(mse) if mse == mse else float("nan")
     k = n_params + 1 + (1 if form != "simple" else 0) + (m if form.startswith("winters") else 0)
-    ll = -0.5 * n * (math.log(2 * math.pi * mse) + 1) if mse > 0 else float("nan")
+    # an exact fit has no finite likelihood; the error is floored relative to the series' size
+    floor = 1e-12 * max(float(np.nanmean(y * y)), 1e-12) if n else 1.0
+    ll = -0.5 * n * (math.log(2 * math.pi * max(mse, floor)) + 1) if n else float("nan")
     aic = -2 * ll + 2 * k
     aicc = aic + (2 * k * (k + 1)) / (n - k - 1) if n - k - 1 > 0 else float("nan")
     bic = -2 * ll + k * math.log(n) if n > 0 else float("nan")
     z = 1.959963984540054 if abs(conf - 0.95) < 1e-9 else _z(conf)
-    a = best[0]
-    bounds = [sigma * math.sqrt(1 + (i - 1) * a * a) * z for i in range(1, h + 1)]
+    # the j-step forecast's response to a unit error of the last value gives the form's own variance
+    last = y.copy()
+    if n:
+        last[-1] = fitted[-1]
+        moved = last.copy()
+        moved[-1] += max(1.0, sigma)
+        response = (_run(moved, tuple(best), m, form, h)[1] - _run(last, tuple(best), m, form, h)[1]) / max(1.0, sigma)
+    else:
+        response = np.zeros(h)
+    bounds = [sigma * math.sqrt(1 + float((response[:i - 1] ** 2).sum())) * z for i in range(1, h + 1)]
     return {"form": form, "alpha": best[0], "beta": best[1] if form != "simple" else None,
             "gamma": best[2] if form.startswith("winters") else None,
             "phi": best[3] if "damped" in form else None, "mse": mse, "mae": float(np.abs(e).mean()) if n else None,
@@ -179,6 +202,13 @@ def fit_series(y: np.ndarray, form: str, m: int = 1, h: int = 1, conf: float = 0
             "fitted": fitted, "forecast": fc, "bound": bounds}
 
 
+def _no_fit(y: np.ndarray, form: str, h: int) -> dict:
+    """For a series without any value: NULL forecasts and only the row count."""
+    none = dict.fromkeys(("alpha", "beta", "gamma", "phi", "mse", "mae", "sigma", "neg2ll", "aicc", "bic"))
+    return {"form": form, **none, "aic": float("inf"), "num_rows": 0, "fitted": np.full(len(y), np.nan),
+            "forecast": np.full(h, np.nan), "bound": [float("nan")] * h}
+
+
 def _z(conf: float) -> float:
     from statistics import NormalDist
     return NormalDist().inv_cdf(0.5 + conf / 2)
@@ -194,7 +224,7 @@ def smooth(series: DataFrame, series_col: str, order_col: str, value_col: str, f
     """Fit per series in parallel; returns (forecasts/backcasts, statistics).
 
     ``form='auto'`` is the model search: every admissible form is fitted and
-    the one of lowest AIC kept.
+    the one of lowest AIC kept.  A series without any value gets NULL forecasts.
     """
     forms = [f for f in FORMS if season > 1 or not f.startswith("winters")] if form == "auto" else [form]
 
@@ -208,7 +238,7 @@ def smooth(series: DataFrame, series_col: str, order_col: str, value_col: str, f
                 fits.append(fit_series(y, fm, season, horizon, conf))
             except (FloatingPointError, ValueError, ZeroDivisionError):
                 continue
-        fits = [f for f in fits if f["aic"] == f["aic"]]
+        fits = [f for f in fits if f["aic"] == f["aic"]] or [_no_fit(y, forms[0], horizon)]
         best = min(fits, key=lambda f: f["aic"])
         rows = []
         if backcast:
@@ -295,13 +325,18 @@ def _mset_group(pdf: pd.DataFrame, p: dict) -> pd.DataFrame:
         for i in np.linspace(0, len(order_norm) - 1, num=min(k, len(order_norm))).astype(int):
             idx.add(int(order_norm[i]))
     D = Z[sorted(idx)]
-    bw = max(float(np.median(np.linalg.norm(Z[:, None, :] - D[None, :, :], axis=2))) if len(Z) < 5000 else 1.0, 1e-6)
+    # kernel width: the median distance between different memory vectors, whatever the series' length
+    apart = np.linalg.norm(D[:, None, :] - D[None, :, :], axis=2)
+    apart = apart[apart > 0]
+    bw = float(np.median(apart)) if len(apart) else 1.0
 
     def est(X):
-        d2 = ((X[:, None, :] - D[None, :, :]) ** 2).sum(2)
-        w = np.exp(-d2 / (2 * bw * bw))
-        w = w / np.maximum(w.sum(1, keepdims=True), 1e-300)
-        return w @ D
+        out = np.empty_like(X)
+        for lo in range(0, len(X), 4096):
+            d2 = ((X[lo:lo + 4096, None, :] - D[None, :, :]) ** 2).sum(2)
+            w = np.exp(-(d2 - d2.min(1, keepdims=True)) / (2 * bw * bw))
+            out[lo:lo + 4096] = (w / w.sum(1, keepdims=True)) @ D
+        return out
     r_tr = Z - est(Z)
     rs = r_tr.std(0)
     rs[rs == 0] = 1.0

@@ -15,10 +15,10 @@ def _mm(src: str, cols=NUMERIC) -> str:
         f"min(CAST({a} AS DOUBLE)) AS lo_{a}, max(CAST({a} AS DOUBLE)) AS hi_{a}" for a in cols) + f" FROM {src}"
 
 
-def _fold(key: str, k: int) -> str:
-    x = f"((({key} % 2147483648) + 2147483648) % 2147483648)"
-    mixed = f"((((({x} * 1103515245 + 12345) % 2147483648) + 2147483648) % 2147483648))"
-    return f"CAST(((floor({mixed} / 65536) % {k}) + {k}) % {k} AS INTEGER)"
+def _fold(key: str, target: str, k: int) -> str:
+    """Row numbers within the class, in the order of a fixed integer mix of the key."""
+    mixed = f"(((({key} % 2147483648) + 2147483648) % 2147483648) * 1103515245 + 12345) % 2147483648"
+    return f"CAST((row_number() OVER (PARTITION BY {target} ORDER BY {mixed}, {key}) - 1) % {k} AS INTEGER)"
 
 
 BASKETS = """b AS (SELECT l_orderkey AS txn, p_brand AS item, sum(l_extendedprice) AS v
@@ -117,7 +117,9 @@ SELECT cust_id, """ + ", ".join(f"CAST({_bin(a)} AS INTEGER) AS {a}" for a in NU
 SELECT target_value, n_c,
        round(CAST(sum(n_c) OVER () AS DOUBLE) / (count(*) OVER () * n_c), {R}) AS class_weight FROM c"""
     q["fold_assign"] = f"""WITH {CASE360}
-SELECT cust_id, affinity, {_fold('cust_id', CV_FOLDS)} AS fold FROM case360 WHERE {_split(0)}"""
+SELECT affinity, fold, count(*) AS n, min(cust_id) AS least_id FROM (
+  SELECT cust_id, affinity, {_fold('cust_id', 'affinity', CV_FOLDS)} AS fold FROM case360 WHERE {_split(0)})
+GROUP BY affinity, fold"""
     q["mdl_importance"] = _mdl_sql()
     q["pairwise_kl"] = _kl_sql()
     ap = _apriori_ctes()
@@ -209,7 +211,7 @@ def _cv_ctes() -> str:
     cl = " UNION ALL ".join(
         f"SELECT cust_id, fold, t, '{a}' AS attr, {a} AS val FROM ck WHERE {a} IS NOT NULL" for a in attrs)
     return f"""WITH {CASE360},
-cvb AS (SELECT *, {_fold('cust_id', CV_FOLDS)} AS fold FROM case360 WHERE {_split(0)} AND affinity IS NOT NULL),
+cvb AS (SELECT *, {_fold('cust_id', 'affinity', CV_FOLDS)} AS fold FROM case360 WHERE {_split(0)} AND affinity IS NOT NULL),
 mm AS ({_mm('cvb')}),
 ck AS (SELECT cust_id, fold, affinity AS t, {_keys(NUMERIC, CATEGORICAL)} FROM cvb CROSS JOIN mm),
 cl AS ({cl}),

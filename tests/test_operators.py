@@ -127,9 +127,16 @@ def test_svd_orthonormal_and_full_rank_reconstruction(spark):
 
 
 # ------------------------------------------------------------------ survival
-SURVIVAL_ROWS = [  # inline table of the reference's survival demo (lbound, age, sex, rbound)
-    (235, 63, 2, None), (444, 75, 2, 444), (806, 44, 1, None), (551, 77, 2, None), (202, 50, 2, None),
-    (583, 68, 1, 583), (135, 60, 1, 135), (237, 69, 1, None), (356, 53, 2, None), (387, 56, 1, 387)]
+def _aft_rows(spark, n=600, slope=0.5, sigma=0.4, seed=3):
+    """Times from log T = 2 + slope x + sigma Z, seen exactly, up to a cut, or within an interval."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=n)
+    t = np.exp(2 + slope * x + sigma * rng.normal(size=n))
+    rows = []
+    for i in range(n):
+        seen = [(t[i], t[i]), (t[i] * 0.7, None), (t[i] * 0.8, t[i] * 1.3), (0.0, t[i] * 1.5)][i % 4] if i % 8 else (t[i], t[i])
+        rows.append((float(seen[0]), None if seen[1] is None else float(seen[1]), float(x[i])))
+    return spark.createDataFrame(rows, "lbound double, rbound double, x double")
 
 
 def test_aft_uncensored_intercept_is_mean_log_time(spark):
@@ -139,19 +146,29 @@ def test_aft_uncensored_intercept_is_mean_log_time(spark):
     assert m.beta[0] == pytest.approx(np.mean(np.log([10, 20, 40, 80])), abs=1e-8)
 
 
+def test_aft_recovers_the_model(spark):
+    m = AFT("lbound", "rbound", numeric=["x"], dist="normal", scale=0.4).fit(_aft_rows(spark))
+    assert m.stats["num_rows"] == 600 and m.stats["converged"]
+    assert m.beta[1] == pytest.approx(0.5, abs=0.06)
+
+
 @pytest.mark.parametrize("dist", ["normal", "logistic", "extreme"])
-def test_aft_censoring_raises_predictions(spark, dist):
-    df = spark.createDataFrame([(float(a), float(b), float(c) if c is not None else None, float(d))
-                                for a, b, c, d in [(r[0], r[1], r[3], 1.0 if r[3] is None else 0.0)
-                                                   for r in SURVIVAL_ROWS]],
-                               "lbound double, age double, rbound double, censored double")
-    exact_only = df.filter(F.col("rbound").isNotNull())
-    m_all = AFT("lbound", "rbound", numeric=[], dist=dist, scale=1.2).fit(df)
-    m_exact = AFT("lbound", "rbound", numeric=[], dist=dist, scale=1.2).fit(exact_only)
-    assert m_all.beta[0] > m_exact.beta[0]
-    m = AFT("lbound", "rbound", numeric=["censored"], dist=dist, scale=1.2).fit(df)
-    pred = {r.censored: r.p for r in df.select("censored", m.prediction(df).alias("p")).distinct().collect()}
-    assert pred[1.0] > pred[0.0]
+def test_aft_bounds_order_predictions(spark, dist):
+    """The same left bounds: exact < interval < right-censored; a left-censored time lies lower still."""
+    got = {}
+    for kind, rows in {"exact": [(10.0, 10.0)], "interval": [(10.0, 20.0)], "right": [(10.0, None)],
+                       "left": [(0.0, 10.0)]}.items():
+        df = spark.createDataFrame([*rows * 4, (12.0, 12.0), (8.0, 8.0)], "lbound double, rbound double")
+        got[kind] = AFT("lbound", "rbound", numeric=[], dist=dist, scale=0.5).fit(df).beta[0]
+    assert got["left"] < got["exact"] < got["interval"] < got["right"]
+
+
+def test_aft_keeps_every_row(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (0.0, None), (None, 3.0), (None, None), (2.0, 2.0), (5.0, None)],
+                               "lbound double, rbound double")
+    assert AFT("lbound", "rbound", numeric=[]).fit(df).stats["num_rows"] == 6
+    with pytest.raises(ValueError):
+        AFT("lbound", "rbound", numeric=[]).fit(spark.createDataFrame([(5.0, 2.0)], "lbound double, rbound double"))
 
 
 def test_aft_rejects_zero_scale():
@@ -394,3 +411,54 @@ def test_kernel_svr_fits_a_nonlinear_function(spark):
     A = np.column_stack([X, np.ones(len(X))])
     lin = A @ np.linalg.lstsq(A, y, rcond=None)[0]
     assert np.mean((pred - y) ** 2) < 0.5 * np.mean((lin - y) ** 2)
+
+
+# ------------------------------------------------------------------ corrections of round 1
+def test_stratified_folds_differ_by_one_row(spark):
+    from quarry.operators.prep import stratified_folds
+    df = spark.range(997).selectExpr("id", "CASE WHEN id % 7 = 0 THEN 1 WHEN id % 11 = 0 THEN NULL ELSE 0 END AS y")
+    folds = stratified_folds(df, "id", "y", 10)
+    assert folds.count() == 997 and folds.columns == ["id", "y", "fold"]
+    sizes = {}
+    for r in folds.groupBy("y", "fold").count().collect():
+        sizes.setdefault(r.y, []).append(r["count"])
+    assert all(len(v) == 10 and max(v) - min(v) <= 1 for v in sizes.values())
+
+
+def test_smoothing_survives_odd_series(spark):
+    from quarry.operators.timeseries import fit_series, smooth
+    rows = [("flat", i, 5.0) for i in range(20)] + [("gaps", i, None if i in (1, 5) else float(i % 4 + i)) for i in range(24)]
+    rows += [("none", i, None) for i in range(8)] + [("one", 0, 3.0)]
+    df = spark.createDataFrame(rows, "s string, t int, v double")
+    out = smooth(df, "s", "t", "v", form="auto", season=4, horizon=3).filter("kind = 'forecast'").collect()
+    by = {s: [r for r in out if r.series == s] for s in ("flat", "gaps", "none", "one")}
+    assert all(len(v) == 3 for v in by.values())
+    assert [round(r.prediction, 6) for r in by["flat"]] == [5.0] * 3
+    # simple smoothing: the h-step variance is sigma^2 (1 + (h - 1) alpha^2)
+    fit = fit_series(np.array([3.0, 5, 4, 6, 5, 7, 4, 6]), "simple", 1, 4)
+    want = [1.959963984540054 * fit["sigma"] * np.sqrt(1 + (h - 1) * fit["alpha"] ** 2) for h in (1, 2, 3, 4)]
+    assert np.allclose(fit["bound"], want)
+    # Holt: c_j = alpha (1 + beta j)
+    fit = fit_series(np.array([3.0, 5, 4, 6, 5, 7, 9, 8]), "holt", 1, 3)
+    c = [fit["alpha"] * (1 + fit["beta"] * j) for j in (1, 2)]
+    assert np.allclose(fit["bound"][2], 1.959963984540054 * fit["sigma"] * np.sqrt(1 + c[0] ** 2 + c[1] ** 2))
+
+
+def test_curves_of_one_class_and_of_threshold_zero(spark):
+    from quarry.operators import evaluation as ev
+    one = spark.createDataFrame([(0.2, 1), (0.7, 1)], "prob double, pos int")
+    assert [r.false_positive_fraction for r in ev.roc(one).collect()] == [None, None]
+    assert ev.auc(one).first().auc is None and ev.roc_corners(one).count() >= 1 and ev.lift(one, 2).count() == 2
+    zero = spark.createDataFrame([(0.0, 1), (0.0, 0)], "prob double, pos int")
+    assert {r.cost for r in ev.cost_matrix_from_threshold(ev.roc(zero), 0.3, 0.7).collect()} == {None, 1.0, 0.0}
+
+
+def test_user_model_keeps_rows_of_unknown_partitions(spark):
+    from quarry.plans.user_algorithms import fit_user_model, ridge_algorithm
+    df = spark.createDataFrame([(float(k) / 2, i, float(i), float(i) * k) for k in (1, 2) for i in range(9)],
+                               "g double, id int, x double, y double")
+    model = fit_user_model(df, ridge_algorithm(["x"], "y"), partition_col="g")
+    more = df.unionAll(spark.createDataFrame([(9.5, 77, 1.0, 1.0), (None, 78, 1.0, 1.0)], df.schema))
+    got = {r.id + 100 * (r.g or 0): r.prediction for r in model.apply(more, ["g", "id"]).collect()}
+    assert len(got) == 20 and got[77 + 950.0] is None and got[78] is None
+    assert got[3 + 50.0] == pytest.approx(3.0) and got[3 + 100.0] == pytest.approx(6.0)
