@@ -187,7 +187,8 @@ def q_boosted_classifier(spark, sf_dir):
 def q_svm_linear(spark, sf_dir):
     """Linear SVM with class weights .35/.65 (weight column)."""
     b = _build(spark, sf_dir).withColumn("__w", F.when(F.col("affinity") == 1, 0.65).otherwise(0.35))
-    m = ml.fit_classifier(b, "affinity", CLS_NUMERIC, CLS_CATEGORICAL, ml.linear_svm(complexity=100.0),
+    total = b.agg(F.sum("__w")).first()[0]
+    m = ml.fit_classifier(b, "affinity", CLS_NUMERIC, CLS_CATEGORICAL, ml.linear_svm(total),
                           "ALGO_SUPPORT_VECTOR_MACHINES", weight_col="__w", scale=True, name="affinity_svm")
     out = m.transform(_apply_view(spark, sf_dir))
     return ev.confusion_from_pairs(out.select("affinity", F.col("prediction").cast("int").alias("p")),
@@ -204,7 +205,7 @@ def q_mlp_classifier(spark, sf_dir):
 
 # ------------------------------------------------------------ clustering / factorization
 def _km(spark, sf_dir):
-    return _memo(("km", id(spark), sf_dir), lambda: HierarchicalKMeans(k=10, max_iter=10, name="customer_kmeans")
+    return _memo(("km", id(spark), sf_dir), lambda: HierarchicalKMeans(k=10, name="customer_kmeans")
                  .fit(cases.case_table(spark, sf_dir), KM_COLS))
 
 
@@ -346,7 +347,7 @@ def q_nmf(spark, sf_dir):
     long = cases.cust_type_sums(spark, sf_dir)
     types = sorted(r[0] for r in long.select("p_type").distinct().collect())  # part types: bounded
     wide = long.groupBy("cust_id").pivot("p_type", types).agg(F.first("amount")).na.fill(0.0)
-    m = NMF(k=3, max_iter=30).fit(wide, types)
+    m = NMF(k=3).fit(wide, types)
     err = float(m.errors[-1])
     return m.view("H").withColumn("final_sq_error", F.lit(err)).withColumn("iterations", F.lit(len(m.errors)))
 
@@ -523,7 +524,7 @@ def q_nn_regression(spark, sf_dir):
     """Neural-network regression (1 hidden layer of 10 sigmoid units, seed 12) of sum_qty:
     RMSE / MAE on the apply split."""
     from quarry.operators.neural import NeuralRegression
-    m = NeuralRegression(REG_TARGET, hidden=10, max_iter=40, seed=12, name="quantity_network") \
+    m = NeuralRegression(REG_TARGET, hidden=10, seed=12, name="quantity_network") \
         .fit(_build(spark, sf_dir), REG_NUMERIC)
     a = _apply_view(spark, sf_dir).filter(F.col(REG_TARGET).isNotNull())
     return ev.regression_errors(a.select(REG_TARGET, m.predicted_value(a).alias("prediction")),
@@ -537,7 +538,7 @@ def q_svm_gaussian_regression(spark, sf_dir):
     """Gaussian-kernel SVM regression (epsilon .1, random Fourier features) of sum_qty:
     RMSE / MAE on the apply split."""
     from quarry.operators.kernel_svm import KernelSVR
-    m = KernelSVR(REG_TARGET, epsilon=0.1, max_iter=40, name="quantity_svr").fit(_build(spark, sf_dir), REG_NUMERIC)
+    m = KernelSVR(REG_TARGET, epsilon=0.1, name="quantity_svr").fit(_build(spark, sf_dir), REG_NUMERIC)
     a = _apply_view(spark, sf_dir).filter(F.col(REG_TARGET).isNotNull())
     return ev.regression_errors(a.select(REG_TARGET, m.predicted_value(a).alias("prediction")),
                                 REG_TARGET, "prediction")

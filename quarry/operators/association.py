@@ -31,20 +31,24 @@ from pyspark.sql import functions as F
 from quarry.plans.model import MiningModel
 
 BROADCAST_MAX_ROWS = 200_000
-SEP = ","
 
 
-def itemset_key(items) -> str:
-    return SEP.join(sorted(items))
+def itemset_key(items) -> tuple[str, ...]:
+    return tuple(sorted(items))
+
+
+def shown(items) -> str:
+    """An itemset as text, for reading only: keys are arrays, so an item may hold a comma."""
+    return ",".join(items)
 
 
 @dataclass
 class AssociationModel(MiningModel):
     n_txn: int = 0
-    itemsets: DataFrame | None = None   # itemset, number_of_items, count, support
-    itemset_values: DataFrame | None = None  # itemset, item, value_sum
+    itemsets: DataFrame | None = None   # items (sorted array), itemset, number_of_items, count, support
+    itemset_values: DataFrame | None = None  # items, itemset, item, value_sum
     rules: DataFrame | None = None
-    frequent: dict = field(default_factory=dict)  # key -> count (driver copy, bounded)
+    frequent: dict = field(default_factory=dict)  # sorted tuple of items -> count (driver copy, bounded)
 
     def top_itemsets(self, n: int, ascending_support: bool = True) -> DataFrame:
         """GET_FREQUENT_ITEMSETS(model, n): ordered by size then support.
@@ -89,9 +93,9 @@ class Apriori:
         l1 = base.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"), F.sum("v").alias("vsum")) \
             .filter(F.col("cnt") >= min_count)
         l1_rows = l1.collect()
-        frequent = {r["item"]: int(r["cnt"]) for r in l1_rows}
+        frequent = {(r["item"],): int(r["cnt"]) for r in l1_rows}
         level_keys = [(r["item"],) for r in l1_rows]
-        values = [(r["item"], r["item"], r["vsum"]) for r in l1_rows]
+        values = [((r["item"],), r["item"], r["vsum"]) for r in l1_rows]
         # rows of frequent items only (semi join with a table bounded by the
         # frequent-item count), hash-partitioned by transaction so every
         # transaction's items sit in one partition
@@ -127,9 +131,11 @@ class Apriori:
                       **({"ASSO_AGGREGATES": value} if value else {})},
             default_settings=dict(self.DEFAULTS), n_txn=n_txn, frequent=frequent)
         model.itemsets = spark.createDataFrame(
-            [(key, key.count(SEP) + 1, cnt, cnt / n_txn) for key, cnt in frequent.items()],
-            "itemset string, number_of_items int, count long, support double")
-        model.itemset_values = spark.createDataFrame(values, "itemset string, item string, value_sum double")
+            [(list(key), shown(key), len(key), cnt, cnt / n_txn) for key, cnt in frequent.items()],
+            "items array<string>, itemset string, number_of_items int, count long, support double")
+        model.itemset_values = spark.createDataFrame(
+            [(list(key), shown(key), item, v) for key, item, v in values],
+            "items array<string>, itemset string, item string, value_sum double")
         model.rules = self._rules(model)
         model.add_view("I", lambda: model.itemsets, "Association Rules Itemsets")
         model.add_view("R", lambda: model.rules, "Association Rules")
@@ -140,20 +146,19 @@ class Apriori:
         """Rules A => c from every frequent itemset of size >= 2 (joins on itemset keys)."""
         iset = model.itemsets
         big = iset.filter(F.col("number_of_items") >= 2).select(
-            "itemset", F.col("count").alias("rule_count"), F.col("support").alias("support"),
-            F.split("itemset", SEP).alias("items"))
+            "items", "itemset", F.col("count").alias("rule_count"), "support")
         split = big.select("itemset", "rule_count", "support",
                            F.explode("items").alias("consequent"), "items")
-        split = split.withColumn("antecedent", F.concat_ws(SEP, F.array_sort(
-            F.array_remove("items", F.col("consequent")))))
-        ante = iset.select(F.col("itemset").alias("antecedent"), F.col("support").alias("coverage"))
+        split = split.withColumn("antecedent_items", F.array_remove("items", F.col("consequent")))  # stays sorted
+        ante = iset.select(F.col("items").alias("antecedent_items"), F.col("itemset").alias("antecedent"),
+                           F.col("support").alias("coverage"))
         cons = iset.filter(F.col("number_of_items") == 1).select(
-            F.col("itemset").alias("consequent"), F.col("support").alias("cons_support"))
-        vals = model.itemset_values.select("itemset", F.col("item").alias("consequent"),
+            F.col("items")[0].alias("consequent"), F.col("support").alias("cons_support"))
+        vals = model.itemset_values.select("items", F.col("item").alias("consequent"),
                                            F.col("value_sum").alias("consequent_value"))
-        r = (split.join(ante, "antecedent").join(cons, "consequent")
-             .join(vals, ["itemset", "consequent"], "left")
-             .select("antecedent", "consequent", "itemset", "rule_count", "support",
+        r = (split.join(ante, "antecedent_items").join(cons, "consequent")
+             .join(vals, ["items", "consequent"], "left")
+             .select("antecedent", "antecedent_items", "consequent", "itemset", "rule_count", "support",
                      (F.col("support") / F.col("coverage")).alias("confidence"),
                      (F.col("support") / F.col("cons_support")).alias("reverse_confidence"),
                      (F.col("support") / F.col("coverage") / F.col("cons_support")).alias("lift"),

@@ -11,11 +11,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.linear import gram
 from quarry.operators.prep import Normalizer, fit_normalizer
+from quarry.operators.linear import sum_blocks
 from quarry.plans.model import MiningModel
 
 
@@ -153,19 +155,19 @@ class SVD:
 class NMFModel(MiningModel):
     cols: list = field(default_factory=list)
     H: np.ndarray | None = None          # k x m, non-negative
-    errors: list = field(default_factory=list)
+    errors: list = field(default_factory=list)  # of the first H, then after every iteration
+    converged: bool = False
 
     def feature_values(self, df: DataFrame) -> list[Column]:
-        """W of a row: projected least squares max(0, v H' (H H')^-1), a projection."""
-        P = self.H.T @ np.linalg.pinv(self.H @ self.H.T)   # m x k
-        out = []
-        for j in range(P.shape[1]):
-            s = None
-            for i, c in enumerate(self.cols):
-                t = F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * F.lit(float(P[i, j]))
-                s = t if s is None else s + t
-            out.append(F.greatest(s, F.lit(0.0)))
-        return out
+        """W of a row: its non-negative least squares weights for H (NULL counts as 0)."""
+        h = self.H
+
+        @F.pandas_udf("array<double>")
+        def weights(rows: pd.Series) -> pd.Series:
+            return pd.Series(list(nnls_rows(np.stack(rows.to_numpy()), h)))
+
+        row = weights(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.cols]))
+        return [row[j] for j in range(len(h))]
 
     def h_df(self, spark: SparkSession) -> DataFrame:
         """View H: non-negative loadings per feature and attribute."""
@@ -173,50 +175,72 @@ class NMFModel(MiningModel):
         return spark.createDataFrame(rows, "feature_id int, attribute_name string, coefficient double")
 
 
+def nnls_rows(v: np.ndarray, h: np.ndarray, sweeps: int = 200) -> np.ndarray:
+    """W >= 0 that minimises |v - W h| row by row, by coordinate descent over all rows at once."""
+    gram, cross = h @ h.T, v @ h.T
+    w = np.maximum(cross @ np.linalg.pinv(gram), 0.0)
+    for _ in range(sweeps):
+        moved = 0.0
+        for j in range(len(h)):
+            if gram[j, j] > 0:
+                new = np.maximum(w[:, j] + (cross[:, j] - w @ gram[:, j]) / gram[j, j], 0.0)
+                moved = max(moved, float(np.abs(new - w[:, j]).max(initial=0.0)))
+                w[:, j] = new
+        if moved <= 1e-12 * max(1.0, float(np.abs(w).max(initial=0.0))):
+            break
+    return w
+
+
 class NMF:
-    """Non-negative matrix factorization V ~ W H by alternating projected least squares.
+    """Non-negative matrix factorization V ~ W H by alternating non-negative least squares.
 
-    W is never stored: given H it is a per-row projection (see
-    :meth:`NMFModel.feature_values`), so each iteration is ONE aggregate of
-    W'W (k x k) and W'V (k x m) with H as literals; H is updated on the
-    driver.  The reconstruction error of every iteration is recorded.
+    W is never stored: given H it is a function of the row (:func:`nnls_rows`), so each iteration is
+    one pass that adds up W'W (k x k), W'V (k x m) and the error in numpy blocks.  H then solves its own
+    non-negative least squares problem from those sums.  Both halves lower the error, so the
+    recorded errors never rise; the last one is that of the returned H.
     """
 
-    def __init__(self, k: int = 3, max_iter: int = 30, tol: float = 1e-4, seed: int = 0, name: str = "nmf"):
+    def __init__(self, k: int = 3, max_iter: int = 50, tol: float = 1e-5, seed: int = 0, name: str = "nmf"):
         self.k, self.max_iter, self.tol, self.seed, self.name = k, max_iter, tol, seed, name
 
     def fit(self, df: DataFrame, cols: list[str]) -> NMFModel:
-        m_cols = len(cols)
+        m, k = len(cols), self.k
         means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
         rnd = np.random.default_rng(self.seed)
-        H = np.abs(rnd.random((self.k, m_cols))) * np.array([max(means[c] or 0.0, 1e-9) for c in cols])
+        h = np.abs(rnd.random((k, m))) * np.array([max(means[c] or 0.0, 1e-9) for c in cols])
         model = NMFModel(name=self.name, function="FEATURE_EXTRACTION", algorithm="ALGO_NONNEGATIVE_MATRIX_FACTOR",
-                         cols=list(cols), H=H, settings={"FEAT_NUM_FEATURES": self.k,
+                         cols=list(cols), H=h, settings={"FEAT_NUM_FEATURES": self.k,
                                                          "NMFS_NUM_ITERATIONS": self.max_iter,
                                                          "NMFS_CONV_TOLERANCE": self.tol})
-        data = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols]).cache()
-        prev = None
+        data = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).cache()
+
+        def sums(h):
+            def block(columns):
+                v = np.column_stack(columns)
+                w = nnls_rows(v, h)
+                return np.concatenate(((w.T @ w).ravel(), (w.T @ v).ravel(), [((v - w @ h) ** 2).sum()]))
+            flat = sum_blocks(data, block)
+            flat = np.zeros(k * k + k * m + 1) if flat is None else flat
+            return flat[:k * k].reshape(k, k), flat[k * k:-1].reshape(k, m), float(flat[-1])
+
+        ww, wv, err = sums(h)
+        model.errors.append(err)
+        converged = False
         for _ in range(self.max_iter):
-            model.H = H
-            w = model.feature_values(data)
-            aggs = []
-            for a in range(self.k):
-                for b in range(self.k):
-                    aggs.append(F.sum(w[a] * w[b]).alias(f"ww{a}_{b}"))
-                for i, c in enumerate(cols):
-                    aggs.append(F.sum(w[a] * F.col(c)).alias(f"wv{a}_{i}"))
-            # error: ||V - WH||^2 = sum v^2 - 2 sum_(a,i) (W'V)_ai H_ai + sum (W'W H H') trace
-            aggs.append(F.sum(sum((F.col(c) * F.col(c) for c in cols), F.lit(0.0))).alias("vv"))
-            r = data.agg(*aggs).first()
-            WW = np.array([[r[f"ww{a}_{b}"] for b in range(self.k)] for a in range(self.k)])
-            WV = np.array([[r[f"wv{a}_{i}"] for i in range(m_cols)] for a in range(self.k)])
-            err = float(r["vv"] - 2 * np.sum(WV * H) + np.trace(WW @ H @ H.T))
-            model.errors.append(err)
-            H = np.maximum(np.linalg.pinv(WW) @ WV, 1e-12)
-            if prev is not None and abs(prev - err) <= self.tol * max(abs(prev), 1e-12):
+            for _ in range(200):  # H given W: coordinate descent on its k rows
+                before = h.copy()
+                for j in range(k):
+                    if ww[j, j] > 0:
+                        h[j] = np.maximum(h[j] + (wv[j] - ww[j] @ h) / ww[j, j], 0.0)
+                if np.abs(h - before).max() <= 1e-12 * max(1.0, np.abs(h).max()):
+                    break
+            ww, wv, now = sums(h)
+            model.errors.append(now)
+            converged = err - now <= self.tol * max(err, 1e-12)
+            err = now
+            if converged:
                 break
-            prev = err
-        model.H = H
+        model.H, model.converged = h, converged
         data.unpersist()
         model.add_view("H", lambda: model.h_df(df.sparkSession), "NMF H matrix")
         return model

@@ -194,9 +194,13 @@ def mlp(hidden=(10,), max_iter=100, tol=1e-6, seed=0):
     return make
 
 
-def linear_svm(complexity=1.0, max_iter=100, tol=1e-4):
-    """SVMS_COMPLEXITY_FACTOR C -> regParam = 1 / (C n) is applied by the caller."""
-    return C.LinearSVC(regParam=1.0 / max(complexity, 1e-12), maxIter=max_iter, tol=tol)
+def linear_svm(total_weight: float, complexity=1.0, max_iter=100, tol=1e-4):
+    """SVMS_COMPLEXITY_FACTOR C over rows of ``total_weight`` (their count without weights).
+
+    The machine minimises |b|^2 / 2 + C * sum of weighted hinge losses; the estimator's loss is the
+    weighted mean, so its regParam is 1 / (C total_weight).
+    """
+    return C.LinearSVC(regParam=1.0 / max(complexity * total_weight, 1e-12), maxIter=max_iter, tol=tol)
 
 
 # ---------------------------------------------------------------- tree views

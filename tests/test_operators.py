@@ -42,7 +42,7 @@ def test_apriori_equals_brute_force(spark):
             n = sum(1 for b in baskets.values() if set(c) <= b)
             if n >= math.ceil(0.05 * len(baskets) - 1e-9):
                 want[",".join(c)] = n
-    assert m.frequent == want
+    assert {','.join(k): v for k, v in m.frequent.items()} == want
     # aggregate of an itemset member = sum of its values over supporting transactions
     vals = {(r.itemset, r.item): r.value_sum for r in m.itemset_values.collect()}
     c = next(k for k in want if k.count(",") == 1)
@@ -462,3 +462,34 @@ def test_user_model_keeps_rows_of_unknown_partitions(spark):
     got = {r.id + 100 * (r.g or 0): r.prediction for r in model.apply(more, ["g", "id"]).collect()}
     assert len(got) == 20 and got[77 + 950.0] is None and got[78] is None
     assert got[3 + 50.0] == pytest.approx(3.0) and got[3 + 100.0] == pytest.approx(6.0)
+
+
+def test_items_may_hold_commas(spark):
+    from quarry.operators.association import Apriori
+    rows = [(t, i) for t in range(10) for i in ("a,b", "c")] + [(20, "a"), (21, "b")]
+    m = Apriori(min_support=0.5, min_confidence=0.1).fit(spark.createDataFrame(rows, "t int, i string"), "t", "i")
+    assert {tuple(r["items"]): r.number_of_items for r in m.itemsets.collect()} == {("a,b",): 1, ("c",): 1, ("a,b", "c"): 2}
+    assert {(tuple(r.antecedent_items), r.consequent) for r in m.rules.collect()} == {(("a,b",), "c"), (("c",), "a,b")}
+
+
+def test_nmf_errors_fall_and_belong_to_the_returned_h(spark):
+    from quarry.operators.decomposition import NMF, nnls_rows
+    rng = np.random.default_rng(5)
+    v = rng.random((300, 2)) @ rng.random((2, 5)) + 0.01 * rng.random((300, 5))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in v], "a double, b double, c double, d double, e double")
+    m = NMF(k=2, seed=1).fit(df, list("abcde"))
+    assert (m.H >= 0).all() and all(y <= x * (1 + 1e-9) for x, y in zip(m.errors, m.errors[1:]))
+    w = nnls_rows(v, m.H)
+    assert ((v - w @ m.H) ** 2).sum() == pytest.approx(m.errors[-1], rel=1e-6)
+    got = np.array([list(r) for r in df.select(*m.feature_values(df)).collect()])
+    assert np.allclose(np.sort(got, axis=0), np.sort(w, axis=0), atol=1e-6)
+
+
+def test_linear_svm_separates_what_can_be_separated(spark):
+    from quarry.operators import ml
+    rng = np.random.default_rng(2)
+    rows = [(float(x), float(y), int(x + 2 * y > 0.3)) for x, y in rng.normal(size=(400, 2))]
+    df = spark.createDataFrame(rows, "x double, y double, t int")
+    m = ml.fit_classifier(df, "t", ["x", "y"], [], ml.linear_svm(df.count()), "ALGO_SUPPORT_VECTOR_MACHINES", scale=True)
+    wrong = m.transform(df).filter(F.col("prediction").cast("int") != F.col("t")).count()
+    assert wrong <= 12
