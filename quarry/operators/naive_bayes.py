@@ -18,7 +18,8 @@ Score: ``log prior + sum of log conditionals`` per class, normalised with
 a log-sum-exp.  When the model is small (the usual case: bins x classes)
 the lookups are literal maps inside one projection - no join, no shuffle.
 A model with more than ``max_inline_entries`` (attribute, value) pairs is
-scored with a join on (attribute, value) instead.
+kept as a table and scored with one join per attribute; its views,
+thresholds and results are the same.
 """
 
 from __future__ import annotations
@@ -113,9 +114,8 @@ class NaiveBayesModel(MiningModel):
         the normalisation below references them instead of repeating the
         whole lookup expression for every class.
         """
-        if self.large_table is not None:
-            raise ValueError("model too large to inline; use score_by_join()")
-        logs = df.withColumn("__nb_l", self.log_score_array(df))
+        logs = (df.withColumn("__nb_l", self.log_score_array(df)) if self.large_table is None
+                else self._joined_log_scores(df))
         k = len(self.classes)
         ls = [F.element_at(F.col("__nb_l"), i + 1) for i in range(k)]
         mx = F.array_max(F.col("__nb_l"))
@@ -125,9 +125,29 @@ class NaiveBayesModel(MiningModel):
             tot = tot + e
         return logs.withColumn(name, F.array(*[e / tot for e in exps])).drop("__nb_l")
 
+    def _joined_log_scores(self, df: DataFrame) -> DataFrame:
+        """Adds the log scores of a model kept as a table: one left join per attribute on its value."""
+        k = len(self.classes)
+        zeros = F.array_repeat(F.lit(0.0), k)
+        out = df.withColumn("__nb_l", literal_array([self.log_prior[c] for c in self.classes]))
+        for a in self.numeric + self.categorical:
+            if a not in self.log_unseen:
+                continue
+            values = (self.large_table.filter(F.col("attr") == a).groupBy(F.col("val").alias("__nb_v"))
+                      .agg(F.transform(F.array_sort(F.collect_list(F.struct("class_idx", "logp"))),
+                                       lambda x: x["logp"]).alias("__nb_t")))  # k entries a value
+            out = out.withColumn("__nb_k", self.key_column(df, a)).join(
+                values, F.col("__nb_k") == F.col("__nb_v"), "left")
+            term = F.when(F.col("__nb_k").isNull(), zeros).otherwise(
+                F.coalesce("__nb_t", literal_array(self.log_unseen[a])))
+            out = out.withColumn("__nb_l", F.zip_with("__nb_l", term, lambda x, y: x + y)).drop(
+                "__nb_k", "__nb_v", "__nb_t")
+        return out
+
     def probability_columns(self, df: DataFrame) -> list[Column]:
+        """The probabilities as plain columns; a model kept as a table has only :meth:`with_probabilities`."""
         if self.large_table is not None:
-            raise ValueError("model too large to inline; use score_by_join()")
+            raise ValueError("a model kept as a table is scored by with_probabilities()")
         logs = self.log_score_columns(df)
         mx = F.greatest(*logs) if len(logs) > 1 else logs[0]
         exps = [F.exp(l - mx) for l in logs]
@@ -180,6 +200,12 @@ class NaiveBayesModel(MiningModel):
                   "prior_probability double, count long")
 
     def conditionals_df(self, spark: SparkSession) -> DataFrame:
+        if self.large_table is not None:
+            labels = spark.createDataFrame(list(enumerate(self.classes)),
+                                           f"class_idx int, target_value {_class_type(self.classes)}")
+            return self.large_table.join(F.broadcast(labels), "class_idx").select(
+                F.col("attr").alias("attribute_name"), F.col("val").alias("attribute_value"), "target_value",
+                F.exp("logp").alias("conditional_probability"), F.col("n").alias("count"))
         idx = {c: i for i, c in enumerate(self.classes)}
         counts = {(a, v, c): n for a, v, c, n in self.cond_counts}
         rows = []
@@ -279,12 +305,10 @@ class NaiveBayes:
             log_prior=log_prior, class_counts=class_counts)
         model.settings = {k: v for k, v in model.settings.items() if v is not None}
 
-        if large:
-            model.large_table = self._large_table(counts_df, classes, n, class_counts)
-            model.log_unseen = self._unseen_from_df(counts_df, classes)
-            return model
-
-        self._fill_inline(model, probe, classes, n, class_counts)
+        if large:  # the same model, kept as a table
+            self._fill_table(model, counts_df, classes, n, class_counts)
+        else:
+            self._fill_inline(model, probe, classes, n, class_counts)
         model.add_view("P", lambda: model.priors_df(spark), "Naive Bayes Target Priors")
         model.add_view("V", lambda: model.conditionals_df(spark), "Naive Bayes Conditional Probabilities")
         model.add_view("B", lambda: model.bins_df(spark), "Binning")
@@ -315,29 +339,32 @@ class NaiveBayes:
                                  for v, cs in vals.items()}
             model.log_unseen[a] = [math.log(1.0 / (n_ac[i] + V)) for i in range(len(classes))]
 
-    def _large_table(self, counts_df, classes, n, class_counts):
+    def _fill_table(self, model, counts_df, classes, n, class_counts):
+        """What :meth:`_fill_inline` does, on a table (attr, val, class_idx, n, logp)."""
         spark = counts_df.sparkSession
-        idx = spark.createDataFrame([(c, i) for i, c in enumerate(classes)],
-                                    f"__t {_class_type(classes)}, class_idx int")
-        from pyspark.sql import Window
-        c = counts_df.join(F.broadcast(idx), "__t")
-        n_ac = c.groupBy("attr", "class_idx").agg(F.sum("n").alias("n_ac"))
-        V = c.groupBy("attr").agg(F.countDistinct("val").alias("V"))
-        vals = c.select("attr", "val").distinct()
-        full = vals.withColumn("class_idx", class_index_rows(len(classes))) \
-            .join(c.select("attr", "val", "class_idx", "n"), ["attr", "val", "class_idx"], "left")
-        return full.join(n_ac, ["attr", "class_idx"]).join(V, "attr").select(
-            "attr", "val", "class_idx",
-            F.log((F.coalesce("n", F.lit(0)) + 1.0) / (F.col("n_ac") + F.col("V"))).alias("logp"))
-
-    def _unseen_from_df(self, counts_df, classes):
-        agg = counts_df.groupBy("attr", "__t").agg(F.sum("n").alias("n_ac"))
-        V = {r[0]: r[1] for r in counts_df.groupBy("attr").agg(F.countDistinct("val")).collect()}
-        out = {}
-        idx = {c: i for i, c in enumerate(classes)}
-        for a, t, n_ac in agg.collect():
-            out.setdefault(a, [math.log(1.0 / V[a])] * len(classes))[idx[t]] = math.log(1.0 / (n_ac + V[a]))
-        return out
+        k = len(classes)
+        idx = spark.createDataFrame([(c, i, int(class_counts[c])) for i, c in enumerate(classes)],
+                                    f"__t {_class_type(classes)}, class_idx int, n_c long")
+        c = counts_df.join(F.broadcast(idx), "__t").select("attr", "val", "class_idx", "n", "n_c")
+        values = c.groupBy("attr", "val").agg(F.sum("n").alias("total"))
+        if self.singleton_threshold > 0:
+            values = values.filter(F.col("total") / n >= self.singleton_threshold)
+        used = c
+        if self.pairwise_threshold > 0:
+            used = c.withColumn("n", F.when(F.col("n") / F.col("n_c") >= self.pairwise_threshold,
+                                            F.col("n")).otherwise(0))
+        full = (values.select("attr", "val").withColumn("class_idx", class_index_rows(k))
+                .join(used.select("attr", "val", "class_idx", "n"), ["attr", "val", "class_idx"], "left")
+                .join(c.select("attr", "val", "class_idx", F.col("n").alias("seen")), ["attr", "val", "class_idx"], "left")
+                .fillna(0, ["n", "seen"]))
+        sums = full.groupBy("attr", "class_idx").agg(F.sum("n").alias("n_ac"), F.count(F.lit(1)).alias("V")).collect()
+        for r in sums:  # attributes x classes
+            model.log_unseen.setdefault(r["attr"], [0.0] * k)[r["class_idx"]] = math.log(1.0 / (r["n_ac"] + r["V"]))
+        totals = spark.createDataFrame([(r["attr"], r["class_idx"], float(r["n_ac"] + r["V"])) for r in sums],
+                                       "attr string, class_idx int, __total double")
+        model.large_table = full.join(F.broadcast(totals), ["attr", "class_idx"]).select(
+            "attr", "val", "class_idx", F.col("seen").alias("n"),
+            F.log((F.col("n") + 1.0) / F.col("__total")).alias("logp")).persist()
 
 
 def cross_validate(df: DataFrame, target: str, case_id: str, folds: int = 10, num_bins: int = 10,
