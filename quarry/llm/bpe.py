@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import slices
+from quarry.llm.common import bound_batches, slices
 
 POOL_BYTES = 3 << 19    # new pieces are replayed in pools of about so many bytes
 POOL_PIECES = 1 << 22   # or when so many pieces of texts wait for one
@@ -342,6 +342,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     extra columns are ignored.  A worker holds one slice of texts of about 1 MB (one text at
     least) and a bounded memory of pieces.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(partial(_encode, merges=_ranks(docs, path), pattern=pattern),
                            "doc_id long, ids array<int>")

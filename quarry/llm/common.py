@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quarry.session import ensure_checkpoint_dir
 
 SLICE_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 
 # ---------------------------------------------------------------- scratch tables
 
@@ -80,6 +81,14 @@ def shared(variable):
 # ---------------------------------------------------------------- batches
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Spark hand at most about 8 MB to Python at once (one row at least), for this session.
+
+    Both sides of the exchange hold whole batches, so this bounds an executor's memory outside its heap.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES):
     """Cut a batch into row slices whose ``column`` holds about ``max_bytes``; one row at least."""
     if batch.num_rows == 0:

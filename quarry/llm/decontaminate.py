@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WordHasher, by_id, byte_list, separator_mask, slices
+from quarry.llm.common import WordHasher, bound_batches, by_id, byte_list, separator_mask, slices
 
 SEED = 5
 COVERAGE = 0.5
@@ -174,6 +174,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SEED, covera
     Documents are taken row by row, so a repeated row gives a repeated pair; null doc_ids stay null.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
     items = (benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                               F.lower(F.col("text").cast("string")).alias("text"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import (BLANKS, WordHasher, _odd, by_id, byte_list, connected_components, materialize, mix,
+from quarry.llm.common import (BLANKS, WordHasher, _odd, bound_batches, by_id, byte_list, connected_components, materialize, mix,
                                separator_mask, slices, windows)
 
 PERMUTATIONS = 64  # 128 values
@@ -169,6 +169,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     component_id null, kept.  Rows that repeat a doc_id are one document with several texts.
     Extra columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sig = materialize(rows.mapInArrow(
         partial(_signatures, size=size, permutations=permutations, band_values=band_values),

@@ -16,10 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BLANKS, WordHasher, byte_list, mix, separator_mask, slices
+from quarry.llm.common import BLANKS, WordHasher, bound_batches, byte_list, mix, separator_mask, slices
 from quarry.llm.labelled import PER_CLASS, in_fold, labelled_sample
 
 BUCKET_BITS = 17
+HALF = 1 << 19  # bytes of texts whose features are held at once
 GRAMS = (3, 4)
 REPEATS = (1, 2, 3)
 DIMENSIONS = 8
@@ -112,7 +113,7 @@ def _score(batches, model, carry: str):
     weights, bias = model.value
     hasher = WordHasher(separator_mask(BLANKS))
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", HALF):
             bucket, owner = _features(byte_list(part.column("text")), hasher)
             n = part.num_rows
             total = np.bincount(owner, weights[bucket], minlength=n)
@@ -130,6 +131,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fold: tuple[int, int] = F
     features and gets the share of label 1 as its score, moved by the trained bias.  Null doc_id:
     held_out is false.  Without labels every score is 0.5.  Extra columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(  # 2**BUCKET_BITS floats, whatever the data
         train(*labelled_sample(docs, labels, column, *fold, per_class=per_class)[1:]))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -142,7 +144,7 @@ def _keep(batches, model, threshold: float):
     weights, bias = model.value
     hasher = WordHasher(separator_mask(BLANKS))
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", HALF):
             bucket, owner = _features(byte_list(part.column("text")), hasher)
             n = part.num_rows
             total = np.bincount(owner, weights[bucket], minlength=n)
@@ -152,6 +154,7 @@ def _keep(batches, model, threshold: float):
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """The rows of ``docs`` that :func:`quality_scores` would predict as 1, all columns kept."""
+    bound_batches(docs.sparkSession)
     fold = options.pop("fold", FOLD)
     model = docs.sparkSession.sparkContext.broadcast(
         train(*labelled_sample(docs, labels, options.pop("column", "quality"), *fold, **options)[1:]))

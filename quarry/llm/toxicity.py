@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WordHasher, byte_list, mix, separator_mask, share, shared, slices
+from quarry.llm.common import WordHasher, bound_batches, byte_list, mix, separator_mask, share, shared, slices
 from quarry.llm.labelled import PER_CLASS, in_fold, labelled_sample
 
 NEIGHBOURS = 30
@@ -234,6 +234,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fold: tuple[int, int] =
     among such examples.  Null doc_id: held_out is false.  Without labels of both classes every
     score is the share of label 1.  Extra columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     model = share(docs.sparkSession,  # bounded by the sample
                   ToxicityModel(*labelled_sample(docs, labels, column, *fold, per_class=per_class)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))

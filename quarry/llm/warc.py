@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import byte_list, materialize, scratch_path, slices
+from quarry.llm.common import bound_batches, byte_list, materialize, scratch_path, slices
 
 #: The field lines of the two ARC versions.
 ARC_FIELDS = {
@@ -299,6 +299,7 @@ def convert(archives: DataFrame, path: str, min_bytes: int = 0) -> DataFrame:
     it without carrying the payload.  Records without page_id never become the response.  Memory
     is bounded by the longest document.
     """
+    bound_batches(archives.sparkSession)
     records = with_revisits(convert_arc(archives), repeated_payloads(archives, min_bytes))
     write_warc(records, path)
     return read_warc(archives.sparkSession, path)
