@@ -123,14 +123,22 @@ def _segments(batches):
         n += len(pdf)
 
 
+def _conversations(pdf: pd.DataFrame):
+    """(sorted rows, role codes, start and end of every conversation) of a segment."""
+    pdf = pdf.sort_values("place", ignore_index=True)
+    conv = pdf.conv_id.to_numpy()
+    cut = np.flatnonzero(conv[1:] != conv[:-1]) + 1
+    known = {r: role_code(r) for r in pdf.role.unique()}
+    codes = np.array([known[r] for r in pdf.role], int)
+    return pdf, codes, [0, *cut.tolist()], [*cut.tolist(), len(pdf)]
+
+
 def _matrix(pdf: pd.DataFrame) -> pd.DataFrame:
     """One row for each conversation of a segment: its matrix, flattened."""
-    out = []
-    pdf = pdf.sort_values("place")
-    for conv, own in pdf.groupby("conv_id", sort=False):
-        codes = own.role.map(role_code).to_numpy()
-        out.append((conv, own.part.iloc[0], own.segment.iloc[0], _product(codes).ravel().tolist()))
-    return pd.DataFrame(out, columns=["conv_id", "part", "segment", "matrix"])
+    pdf, codes, starts, ends = _conversations(pdf)
+    conv = pdf.conv_id.to_numpy()
+    out = [(conv[a], _product(codes[a:b]).ravel().tolist()) for a, b in zip(starts, ends)]
+    return pd.DataFrame(out, columns=["conv_id", "matrix"]).assign(part=pdf.part.iloc[0], segment=pdf.segment.iloc[0])
 
 
 def _cuts(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -160,33 +168,34 @@ def _fragment(role: int, text: str, merged: bool) -> str:
 
 def _render(pdf: pd.DataFrame) -> pd.DataFrame:
     out = []
-    pdf = pdf.sort_values("place")
-    for conv, own in pdf.groupby("conv_id", sort=False):
-        codes = own.role.map(role_code).to_numpy()
-        first, last = int(own["first"].iloc[0]), int(own["last"].iloc[0])
+    pdf, codes, starts, stops = _conversations(pdf)
+    part = int(pdf.part.iloc[0])
+    convs, turns, places = pdf.conv_id.tolist(), pdf.turn.tolist(), pdf.place.tolist()
+    roles, texts = pdf.role.tolist(), pdf.text.tolist()
+    firsts, lasts, closes = pdf["first"].tolist(), pdf["last"].tolist(), pdf.ends.tolist()
+    for a, b in zip(starts, stops):
+        conv, first, last = convs[a], int(firsts[a]), int(lasts[a])
         opened = first != START
-        for (_, _, action, inserted, kept, _), code, row in zip(
-                _path(codes, first, last), codes, own.itertuples(index=False)):
-            step = 0
+        for i, (_, _, action, inserted, kept, _) in enumerate(_path(codes[a:b], first, last), a):
+            turn, place, step = turns[i], places[i], 0
             for mid in inserted:
-                out.append((conv, row.turn, row.part, row.place, step, "insert", None, STATES[mid],
+                out.append((conv, turn, part, place, step, "insert", None, STATES[mid],
                             ("<|end|>\n" if opened else "") + _fragment(mid, "", False)))
                 opened, step = True, step + 1
-            did = "merge" if action == "merge" else "keep"
-            if kept != code:
-                did = "relabel" if did == "keep" else "merge relabel"
             merged = action == "merge"
-            out.append((conv, row.turn, row.part, row.place, step, did, row.role, STATES[kept],
-                        ("<|end|>\n" if opened and not merged else "") + _fragment(kept, row.text or "", merged)))
+            did = "merge" if merged else "keep"
+            if kept != codes[i]:
+                did = "merge relabel" if merged else "relabel"
+            out.append((conv, turn, part, place, step, did, roles[i], STATES[kept],
+                        ("<|end|>\n" if opened and not merged else "") + _fragment(kept, texts[i] or "", merged)))
             opened = True
-        if own.ends.iloc[0]:
-            turn, part, place = own.turn.iloc[-1], own.part.iloc[-1], own.place.iloc[-1]
+        if closes[a]:
             step = 8
             for mid in CLOSE[last][1]:
-                out.append((conv, turn, part, place, step, "insert", None, STATES[mid],
+                out.append((conv, turns[b - 1], part, places[b - 1], step, "insert", None, STATES[mid],
                             "<|end|>\n" + _fragment(mid, "", False)))
                 step += 1
-            out.append((conv, turn, part, place, step, "end", None, None, "<|end|>\n"))
+            out.append((conv, turns[b - 1], part, places[b - 1], step, "end", None, None, "<|end|>\n"))
     return pd.DataFrame(out, columns=["conv_id", "turn", "part", "place", "step", "action", "role", "new_role",
                                       "fragment"])
 
@@ -220,7 +229,6 @@ def repair(conversations: DataFrame) -> DataFrame:
         _segments, "conv_id long, turn long, role string, text string, part long, segment long, place long")
     # pandas drops null keys of a group, so null conversations get a mark of their own
     rows = materialize(rows.withColumn("nil", F.col("conv_id").isNull()).fillna(0, ["conv_id"]), "segments")
-    rows = rows.withColumn("turn", F.col("turn"))
     matrices = rows.select("nil", "conv_id", "role", "part", "segment", "place").groupBy(
         "nil", "part", "segment").applyInPandas(
         lambda k, p: _matrix(p).assign(nil=k[0]),
