@@ -33,7 +33,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the digest of the text decoded from them, for every document."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path).select(
+    columns = ("doc_id", "ids", "n_tokens", "decoded")
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN, columns).select(
         "doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bound_batches, slices
+from quarry.llm.common import bound_batches, slices, tidy
 
 POOL_BYTES = 3 << 19    # new pieces are replayed in pools of about so many bytes
 POOL_PIECES = 1 << 22   # or when so many pieces of texts wait for one
@@ -289,18 +289,25 @@ class Pieces:
 
 def _encode(batches, merges, pattern: str):
     held = merges.value
-    if "encoder" not in held:  # stays with the worker, across tasks
-        held["encoder"] = Encoder(Merges(held["ranks"]), pattern)
+    if "merges" not in held:  # the tables stay with the worker, across tasks
+        held["merges"] = Merges(held["ranks"])
+    encoder = Encoder(held["merges"], pattern)  # the pieces do not
     parts = ((part.column("doc_id"), [t or "" for t in part.column("text").to_pylist()])
              for batch in batches for part in slices(batch, "text"))
-    for doc_id, ids, counts in held["encoder"].stream(parts):
+    for doc_id, ids, counts in encoder.stream(parts):
         offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [doc_id, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))],
             names=["doc_id", "ids"])
 
 
-def _decode(batches, ranks):
+    tidy()
+
+
+FIELDS = {"doc_id": "long", "ids": "array<int>", "n_tokens": "long", "id_text": "string", "decoded": "binary"}
+
+
+def _decode(batches, ranks, columns=tuple(FIELDS)):
     held = ranks.value
     if "pieces" not in held:
         by_id = [b""] * (max(held["ranks"].values()) + 1)
@@ -315,11 +322,17 @@ def _decode(batches, ranks):
             column = part.column("ids").fill_null([])
             ids = column.flatten().to_numpy().astype(np.int64)
             counts = np.diff(column.offsets.to_numpy())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), column, pa.array(counts.astype(np.int64)),
-                 pa.array([t[:-1].decode() for t in held["digits"].join(ids, counts)], pa.string()),
-                 pa.array(held["pieces"].join(ids, counts), pa.binary())],
-                names=["doc_id", "ids", "n_tokens", "id_text", "decoded"])
+            made = {"doc_id": lambda: part.column("doc_id"), "ids": lambda: column,
+                    "n_tokens": lambda: pa.array(counts.astype(np.int64)),
+                    "id_text": lambda: pa.array(
+                        [t[:-1].decode() for t in held["digits"].join(ids, counts)], pa.string()),
+                    "decoded": lambda: pa.array(held["pieces"].join(ids, counts), pa.binary())}
+            yield pa.RecordBatch.from_arrays([made[c]() for c in columns], names=list(columns))
+
+
+def _round_trip(batches, ranks, pattern: str, columns):
+    """Decode what is encoded, batch by batch in one worker."""
+    return _decode(_encode(batches, ranks, pattern), ranks, columns)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -353,12 +366,23 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     ``id_text`` are the ids in decimal, joined by one space; ``decoded`` the bytes of the tokens.
     """
-    return encoded.mapInArrow(partial(_decode, ranks=_ranks(encoded, path)),
-                              "doc_id long, ids array<int>, n_tokens long, id_text string, decoded binary")
+    return encoded.mapInArrow(partial(_decode, ranks=_ranks(encoded, path)), _schema(FIELDS))
+
+
+def _schema(columns) -> str:
+    return ", ".join(f"{c} {FIELDS[c]}" for c in columns)
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, columns=tuple(FIELDS)) -> DataFrame:
+    """:func:`decode` of :func:`encode` with the chosen columns; the ids need not leave the worker in between."""
+    bound_batches(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(partial(_round_trip, ranks=_ranks(docs, path), pattern=pattern, columns=columns),
+                           _schema(columns))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row after a round trip."""
-    return decode(encode(docs, path, pattern), path).select(
+    return round_trip(docs, path, pattern, ("doc_id", "n_tokens", "id_text", "decoded")).select(
         "doc_id", "n_tokens", F.sha2(F.col("id_text").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 BATCH_BYTES = 8 << 20
 
 # ---------------------------------------------------------------- scratch tables
@@ -103,6 +103,11 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES):
         start, done = stop, int(ends[stop - 1])
 
 
+def tidy() -> None:
+    """Give back what a finished task's Arrow buffers held; workers live on after their tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def byte_list(column: pa.Array) -> list[bytes]:
     """The strings of a column as UTF-8 bytes; null gives empty bytes."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

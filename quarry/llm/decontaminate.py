@@ -15,9 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WordHasher, bound_batches, by_id, byte_list, separator_mask, slices
+from quarry.llm.common import WordHasher, bound_batches, by_id, byte_list, separator_mask, slices, tidy
 
 SEED = 5
+HALF = 1 << 19  # bytes of texts held at once
 COVERAGE = 0.5
 BLOCK_CHARS = 4_000_000  # characters of benchmark items that one pass over the documents holds
 
@@ -137,7 +138,7 @@ def _match(batches, held, size: int, coverage: float):
     items = Items(ids, texts, size)
     hasher = WordHasher(separator_mask(_SEPARATORS))
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", HALF):
             docs = byte_list(part.column("text"))
             _, start, end, tokens, owner = hasher.words(docs)
             who, which = items.candidates(tokens, owner)
@@ -156,6 +157,7 @@ def _match(batches, held, size: int, coverage: float):
                 [doc_ids, pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()),
                  pa.array([o[3] for o in out], pa.int64()), pa.array([o[4] for o in out], _TILES)],
                 names=["doc_id", "item_id", "covered", "tokens", "tiles"])
+    tidy()
 
 
 _TILES = pa.list_(pa.struct([("doc", pa.int64()), ("item", pa.int64()), ("tokens", pa.int64())]))

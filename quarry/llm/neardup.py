@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import (BLANKS, WordHasher, _odd, bound_batches, by_id, byte_list, connected_components, materialize, mix,
-                               separator_mask, slices, windows)
+                               separator_mask, slices, tidy, windows)
 
 PERMUTATIONS = 64  # 128 values
 BAND_VALUES = 4    # 32 bands; a pair of similarity 0.8 shares none with probability (1 - 0.8**4)**32 = 5e-8
@@ -67,6 +67,7 @@ def _signatures(batches, size: int, permutations: int, band_values: int):
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(sizes), pa.array(prints[:, 0].view(np.int64)),
                  pa.array(prints[:, 1].view(np.int64)), nested], names=["doc_id", "n_shingles", "p0", "p1", "bands"])
+    tidy()
 
 
 def _sets(batches, size: int):
@@ -81,6 +82,7 @@ def _sets(batches, size: int):
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))],
                 names=["doc_id", "shingles"])
+    tidy()
 
 
 def _sets_of(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BLANKS, WordHasher, bound_batches, byte_list, mix, separator_mask, slices
+from quarry.llm.common import BLANKS, WordHasher, bound_batches, byte_list, mix, separator_mask, slices, tidy
 from quarry.llm.labelled import PER_CLASS, in_fold, labelled_sample
 
 BUCKET_BITS = 17
@@ -120,6 +120,7 @@ def _score(batches, model, carry: str):
             odds = total / np.maximum(1, np.bincount(owner, minlength=n)) + bias
             score = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
             yield pa.RecordBatch.from_arrays([part.column(carry), pa.array(score)], names=[carry, "score"])
+    tidy()
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, fold: tuple[int, int] = FOLD, column: str = "quality",
@@ -150,6 +151,7 @@ def _keep(batches, model, threshold: float):
             total = np.bincount(owner, weights[bucket], minlength=n)
             odds = total / np.maximum(1, np.bincount(owner, minlength=n)) + bias
             yield part.filter(pa.array(1 / (1 + np.exp(-np.clip(odds, -40, 40))) >= threshold))
+    tidy()
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
