@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quarry.plans.model import MiningModel
 
-BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 8 << 20
 
 
 def itemset_key(items) -> tuple[str, ...]:
@@ -99,8 +99,9 @@ class Apriori:
         # rows of frequent items only (semi join with a table bounded by the
         # frequent-item count), hash-partitioned by transaction so every
         # transaction's items sit in one partition
+        size = sum(len(r["item"].encode()) + 16 for r in l1_rows)
         fitems = spark.createDataFrame([(r["item"],) for r in l1_rows], "item string")
-        rows = base.join(F.broadcast(fitems) if len(l1_rows) <= BROADCAST_MAX_ROWS else fitems, "item") \
+        rows = base.join(F.broadcast(fitems) if size <= BROADCAST_MAX_BYTES else fitems, "item") \
             .repartition("txn").persist()
 
         k = 2

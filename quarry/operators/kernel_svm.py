@@ -7,9 +7,10 @@ loss (L2-SVR):
 
     1/(2n) sum max(0, |y_i - w.phi_i - c| - eps)^2 + lambda/2 ||w||^2.
 
-Each loss-and-gradient evaluation is ONE Spark aggregate (D + 2 sums, SQL
-text) over the persisted feature rows; ``neural.lbfgs`` drives it on the
-driver (D + 1 weights).  Scoring is one SQL expression.
+The rows outside the tube form a ridge least squares problem, so the fit is a
+few Newton steps; each is one pass in which every partition adds up the Gram
+sums of those rows (``linear.sum_blocks``) and a (D + 2)^2 block reaches the
+driver.  Scoring is one SQL expression.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import _sql_double
-from quarry.operators.neural import _q, lbfgs
+from quarry.operators.linear import sum_blocks
+from quarry.operators.neural import _q
 from quarry.operators.prep import Normalizer, fit_normalizer
 from quarry.plans.model import MiningModel
 
@@ -82,23 +84,46 @@ class KernelSVR:
         feats = data.selectExpr(*[f"{f} AS f{d}" for d, f in enumerate(m.features_sql(data))],
                                 f"(CAST({_q(self.target)} AS DOUBLE) - {_sql_double(m.t_mean)}) / "
                                 f"{_sql_double(m.t_std)} AS t").persist(StorageLevel.MEMORY_AND_DISK)
-        eps = _sql_double(self.eps)
+        eps = self.eps
         try:
-            n = feats.count()
-
-            def fg(w):
-                pred = f"{_sql_double(w[-1])} + " + " + ".join(f"f{d} * {_sql_double(w[d])}" for d in range(D))
-                # r = signed excess over the epsilon tube (0 inside it)
-                r = feats.selectExpr(*fn, f"{pred} - t AS e").selectExpr(
-                    *fn, f"CASE WHEN e > {eps} THEN e - {eps} WHEN e < -{eps} THEN e + {eps} ELSE 0D END AS r")
-                s = np.array([float(x or 0.0) for x in r.selectExpr(
-                    "sum(r * r)", *[f"sum(r * f{d})" for d in range(D)], "sum(r)").collect()[0]])
-                f = 0.5 * s[0] / n + 0.5 * self.lam * float(np.sum(w[:D] ** 2))
-                g = s[1:] / n
-                g[:D] += self.lam * w[:D]
-                return f, g
-
-            w, m.losses = lbfgs(fg, np.zeros(D + 1), self.max_iter)
+            def sums(w):
+                """Loss sum, row count, and the Gram sums of the rows outside the tube, in one pass."""
+                def block(columns):
+                    x = np.column_stack((*columns[:-1], np.ones(len(columns[0]))))
+                    e = x @ w - columns[-1]
+                    r = np.sign(e) * np.maximum(np.abs(e) - eps, 0.0)
+                    out = r != 0
+                    rows = np.column_stack((x[out], columns[-1][out] + np.sign(e[out]) * eps))
+                    return np.concatenate(((rows.T @ rows).ravel(), [r @ r, len(r)]))
+                flat = sum_blocks(feats, block)
+                flat = np.zeros((D + 2) ** 2 + 2) if flat is None else flat
+                return flat[:-2].reshape(D + 2, D + 2), float(flat[-2]), max(float(flat[-1]), 1.0)
+
+            ridge = np.append(np.full(D, self.lam), 0.0)  # the intercept is free
+
+            def loss(total, n, w):
+                return 0.5 * total / n + 0.5 * float(ridge @ (w * w))
+
+            # Newton steps: the rows outside the tube form a ridge least squares problem
+            w = np.zeros(D + 1)
+            gram, total, n = sums(w)
+            m.losses = [loss(total, n, w)]
+            converged = False
+            for _ in range(self.max_iter):
+                left = gram[:-1, :-1] / n + np.diag(ridge + 1e-10)
+                step = np.linalg.solve(left, gram[:-1, -1] / n) - w
+                for _ in range(20):  # halved while the loss does not fall
+                    gram, total, n = sums(w + step)
+                    now = loss(total, n, w + step)
+                    if now <= m.losses[-1] + 1e-12:
+                        break
+                    step = step / 2
+                w = w + step
+                m.losses.append(now)
+                converged = abs(m.losses[-2] - now) <= 1e-9 * max(1.0, abs(now))
+                if converged:
+                    break
+            m.settings["CONVERGED"] = str(converged)
             m.w, m.c = w[:D], float(w[-1])
         finally:
             feats.unpersist()

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import _sql_double
+from quarry.operators.linear import sum_blocks
 from quarry.operators.prep import Normalizer, fit_normalizer
 from quarry.plans.model import MiningModel
 
@@ -130,7 +131,6 @@ class NeuralRegression:
         prep = data.selectExpr(*[f"{x} AS x{j}" for j, x in enumerate(xs)],
                                f"(CAST({_q(self.target)} AS DOUBLE) - {_sql_double(m.t_mean)}) / "
                                f"{_sql_double(m.t_std)} AS t").persist(StorageLevel.MEMORY_AND_DISK)
-        xn = [f"x{j}" for j in range(p)]
         try:
             n = prep.count()
 
@@ -139,22 +139,21 @@ class NeuralRegression:
                 return W, w[H * p:H * p + H], w[H * p + H:H * p + 2 * H], float(w[-1])
 
             def fg(w):
+                """Loss and gradient in one pass: every partition adds up its own block in numpy."""
                 W, b, v, c = unpack(w)
-                hid = prep.selectExpr(*xn, "t", *[
-                    f"1D / (1D + exp(-({_sql_double(b[k])} + " +
-                    " + ".join(f"x{j} * {_sql_double(W[k, j])}" for j in range(p)) + f"))) AS h{k}"
-                    for k in range(H)])
-                err = hid.selectExpr(*xn, *[f"h{k}" for k in range(H)],
-                                     f"{_sql_double(c)} + " + " + ".join(f"h{k} * {_sql_double(v[k])}" for k in range(H))
-                                     + " - t AS e")
-                dl = err.selectExpr(*xn, *[f"h{k}" for k in range(H)], "e",
-                                    *[f"e * {_sql_double(v[k])} * h{k} * (1D - h{k}) AS d{k}" for k in range(H)])
-                aggs = (["sum(e * e)"] + [f"sum(d{k} * x{j})" for k in range(H) for j in range(p)]
-                        + [f"sum(d{k})" for k in range(H)] + [f"sum(e * h{k})" for k in range(H)] + ["sum(e)"])
-                r = np.array([float(x or 0.0) for x in dl.selectExpr(*aggs).collect()[0]])
+
+                def block(columns):
+                    x, t = np.column_stack(columns[:-1]), columns[-1]
+                    h = 1 / (1 + np.exp(-np.clip(x @ W.T + b, -500, 500)))
+                    e = h @ v + c - t
+                    d = e[:, None] * v * h * (1 - h)
+                    return np.concatenate(([e @ e], (d.T @ x).ravel(), d.sum(axis=0), e @ h, [e.sum()]))
+
+                r = sum_blocks(prep, block)
+                r = np.zeros(len(w) + 1) if r is None else r
                 reg = 0.5 * self.lam * (np.sum(W ** 2) + np.sum(v ** 2))
-                f = 0.5 * r[0] / n + reg
-                g = r[1:] / n
+                f = 0.5 * r[0] / max(n, 1) + reg
+                g = r[1:] / max(n, 1)
                 g[:H * p] += self.lam * W.ravel()
                 g[H * p + H:H * p + 2 * H] += self.lam * v
                 return f, g
@@ -163,6 +162,7 @@ class NeuralRegression:
             w0 = np.concatenate([rng.uniform(-0.5, 0.5, H * p), rng.uniform(-0.5, 0.5, H),
                                  rng.uniform(-0.5, 0.5, H), [0.0]])
             w, m.losses = lbfgs(fg, w0, self.max_iter)
+            m.settings["CONVERGED"] = str(len(m.losses) <= self.max_iter)
             m.W, m.b, m.v, m.c = unpack(w)
         finally:
             prep.unpersist()

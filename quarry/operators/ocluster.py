@@ -131,11 +131,10 @@ def best_valley(h: np.ndarray, n: int, bins: int, sensitivity: float) -> tuple[f
 class OCluster:
     DEFAULTS = {"CLUS_NUM_CLUSTERS": "10", "OCLT_SENSITIVITY": "0.5", "PREP_AUTO": "ON"}
 
-    def __init__(self, k: int = 10, sensitivity: float = 0.5, bins: int = 10, max_levels: int = 32,
-                 name: str = "oc_model"):
+    def __init__(self, k: int = 10, sensitivity: float = 0.5, bins: int = 10, name: str = "oc_model"):
         if not 0.0 <= sensitivity <= 1.0:
             raise ValueError("sensitivity must be in [0, 1]")
-        self.k, self.sensitivity, self.bins, self.max_levels, self.name = k, sensitivity, bins, max_levels, name
+        self.k, self.sensitivity, self.bins, self.name = k, sensitivity, bins, name
 
     def fit(self, df: DataFrame, cols: list[str]) -> OClusterModel:
         spark = df.sparkSession
@@ -158,7 +157,7 @@ class OCluster:
         try:
             open_leaves = [1]
             next_id = 2
-            for _ in range(self.max_levels):
+            for _ in range(self.k):  # every level but the last splits a leaf
                 if not open_leaves or len(m.leaves()) >= self.k:
                     break
                 leaf = m._descend(lambda a: F.col(f"x{pos[a]}"))
