@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quarry.operators import evaluation as ev
 from quarry.operators.naive_bayes import NaiveBayes
 from quarry.plans import scoring
+from quarry.session import session_key
 from quarry.sources import cases
 from quarry.sources.tables import load
 
@@ -50,7 +51,7 @@ def nb_model(spark: SparkSession, sf_dir: str):
         build_df = cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD)
         return NaiveBayes(target="affinity", case_id="cust_id", num_bins=10,
                           priors=NB_PRIORS, name="affinity_bayes").fit(build_df)
-    return _memo(("nb", id(spark), sf_dir), build)
+    return _memo(("nb", session_key(spark), sf_dir), build)
 
 
 def _apply_view(spark, sf_dir):

@@ -18,6 +18,7 @@ from quarry.operators.decomposition import SVD
 from quarry.operators.linear import GLM, gram_long, row_diagnostics
 from quarry.operators.prep import fit_normalizer
 from quarry.plans import scoring
+from quarry.session import session_key
 from quarry.sources import cases
 from quarry.sources.tables import load
 
@@ -54,7 +55,7 @@ def q_gram_matrix(spark, sf_dir):
 
 
 def _glm_1d(spark, sf_dir):
-    return _memo(("glm1", id(spark), sf_dir), lambda: GLM(
+    return _memo(("glm1", session_key(spark), sf_dir), lambda: GLM(
         target=REG_TARGET, numeric=["n_orders"], name="GLM_1D").fit(_build(spark, sf_dir)))
 
 
@@ -98,13 +99,13 @@ def q_kmeans_lloyd_step(spark, sf_dir):
 
 # ------------------------------------------------------------ GLM (rows-only)
 def _glm_reg(spark, sf_dir):
-    return _memo(("glmr", id(spark), sf_dir), lambda: GLM(
+    return _memo(("glmr", session_key(spark), sf_dir), lambda: GLM(
         target=REG_TARGET, numeric=REG_NUMERIC, categorical=["segment"], name="customer_quantity_glm")
         .fit(_build(spark, sf_dir)))
 
 
 def _glm_log(spark, sf_dir):
-    return _memo(("glmc", id(spark), sf_dir), lambda: GLM(
+    return _memo(("glmc", session_key(spark), sf_dir), lambda: GLM(
         target="affinity", numeric=CLS_NUMERIC, categorical=CLS_CATEGORICAL, family="binomial",
         name="affinity_logit").fit(_build(spark, sf_dir)))
 
@@ -152,7 +153,7 @@ def q_glm_logistic_eval(spark, sf_dir):
 
 # ------------------------------------------------------------ Spark ML classifiers
 def _dt(spark, sf_dir):
-    return _memo(("dt", id(spark), sf_dir), lambda: ml.fit_classifier(
+    return _memo(("dt", session_key(spark), sf_dir), lambda: ml.fit_classifier(
         _build(spark, sf_dir), "affinity", CLS_NUMERIC, CLS_CATEGORICAL, ml.decision_tree(),
         "ALGO_DECISION_TREE", name="affinity_tree"))
 
@@ -205,7 +206,7 @@ def q_mlp_classifier(spark, sf_dir):
 
 # ------------------------------------------------------------ clustering / factorization
 def _km(spark, sf_dir):
-    return _memo(("km", id(spark), sf_dir), lambda: HierarchicalKMeans(k=10, name="customer_kmeans")
+    return _memo(("km", session_key(spark), sf_dir), lambda: HierarchicalKMeans(k=10, name="customer_kmeans")
                  .fit(cases.case_table(spark, sf_dir), KM_COLS))
 
 
@@ -411,7 +412,7 @@ QUERIES.update({
 
 
 def _svd(spark, sf_dir):
-    return _memo(("svd", id(spark), sf_dir), lambda: SVD(pca=True, name="customer_svd")
+    return _memo(("svd", session_key(spark), sf_dir), lambda: SVD(pca=True, name="customer_svd")
                  .fit(cases.case_table(spark, sf_dir), NUMERIC))
 
 
@@ -448,7 +449,7 @@ QUERIES.update({
 
 def _oc(spark, sf_dir):
     from quarry.operators.ocluster import OCluster
-    return _memo(("oc", id(spark), sf_dir), lambda: OCluster(k=10, sensitivity=0.5, name="customer_ocluster")
+    return _memo(("oc", session_key(spark), sf_dir), lambda: OCluster(k=10, sensitivity=0.5, name="customer_ocluster")
                  .fit(cases.case_table(spark, sf_dir), NUMERIC))
 
 
@@ -480,7 +481,7 @@ QUERIES.update({
 
 def _svmo(spark, sf_dir):
     from quarry.operators.oneclass import OneClassSVM
-    return _memo(("svmo", id(spark), sf_dir), lambda: OneClassSVM(outlier_rate=0.1, name="customer_outliers")
+    return _memo(("svmo", session_key(spark), sf_dir), lambda: OneClassSVM(outlier_rate=0.1, name="customer_outliers")
                  .fit(cases.case_table(spark, sf_dir), NUMERIC))
 
 

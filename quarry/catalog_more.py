@@ -16,6 +16,7 @@ from quarry.operators.naive_bayes import NaiveBayes, fit_partitioned
 from quarry.operators.survival import AFT
 from quarry.operators.timeseries import accumulate, mset_sprt, simple_smoothing_fixed, smooth
 from quarry.plans import scoring
+from quarry.session import session_key
 from quarry.sources import cases
 from quarry.sources.tables import load
 
@@ -136,7 +137,7 @@ def q_cur_leverage(spark, sf_dir):
 
 # ------------------------------------------------------------ partitioned / transient
 def _pnb(spark, sf_dir):
-    return _memo(("pnb", id(spark), sf_dir), lambda: fit_partitioned(
+    return _memo(("pnb", session_key(spark), sf_dir), lambda: fit_partitioned(
         cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD),
         NaiveBayes(target="affinity", case_id="cust_id", name="PART_NB"), "region"))
 

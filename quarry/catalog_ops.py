@@ -12,6 +12,7 @@ from quarry.operators import prep
 from quarry.operators.naive_bayes import cross_validate, cv_accuracy_rollup, cv_confusion_rollup
 from quarry.operators.topn import top_n_by_group
 from quarry.plans import scoring
+from quarry.session import session_key
 from quarry.sources import cases
 from quarry.sources.tables import load
 
@@ -28,7 +29,7 @@ _CACHE: dict = {}
 
 
 def ar_model(spark, sf_dir):
-    key = ("ar", id(spark), sf_dir)
+    key = ("ar", session_key(spark), sf_dir)
     if key not in _CACHE:
         _CACHE[key] = asso.Apriori(min_support=AR_MIN_SUPPORT, min_confidence=AR_MIN_CONFIDENCE,
                                    max_rule_length=AR_MAX_LENGTH, name="brand_rules").fit(
@@ -176,7 +177,7 @@ def q_itemset_aggregates(spark, sf_dir):
 
 # ----------------------------------------------------------------- cross-validation
 def _cv(spark, sf_dir):
-    key = ("cv", id(spark), sf_dir)
+    key = ("cv", session_key(spark), sf_dir)
     if key not in _CACHE:
         b = cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD)
         _CACHE[key] = cross_validate(b, "affinity", "cust_id", folds=CV_FOLDS).cache()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.catalog import R, rnd
 from quarry.operators import text as tx
+from quarry.session import session_key
 from quarry.sources.tables import load
 
 ESA_MIN_ITEMS = 5
@@ -18,7 +19,7 @@ _CACHE: dict = {}
 
 def esa_model(spark, sf_dir):
     """ESA whose concepts are the benchmark passages."""
-    key = ("esa", id(spark), sf_dir)
+    key = ("esa", session_key(spark), sf_dir)
     if key not in _CACHE:
         _CACHE[key] = tx.ESA(min_items=ESA_MIN_ITEMS, min_docs=ESA_MIN_DOCS, name="ESA_BENCH").fit(
             load(spark, sf_dir, "benchmark"), "item_id", "text")

@@ -1,4 +1,4 @@
-"""Neural-network regression: one hidden layer, full-batch L-BFGS on Spark aggregates.
+"""Neural-network regression: one hidden layer, full-batch L-BFGS.
 
 Spark ML's multilayer perceptron is a classifier only, so regression is
 built here.  Inputs and target are standardized (mean / sample stddev, missing
@@ -8,8 +8,8 @@ input -> mean); the network is
 
 (logistic-sigmoid hidden units, linear output).  The loss is
 1/(2n) sum (y - t)^2 + lambda/2 (||W||^2 + ||v||^2).  One loss-and-gradient
-evaluation is ONE Spark aggregate over the persisted prepared rows
-(H (p + 2) + 2 sums, expressions emitted as SQL text); the optimizer is a
+evaluation is one pass over the persisted prepared rows in which every partition
+adds up its own block of H (p + 2) + 2 sums (``linear.sum_blocks``); the optimizer is a
 small L-BFGS (two-loop recursion, Armijo backtracking) on the driver over
 the H (p + 2) + 1 weights.  Initial weights are seeded (``seed``).
 Scoring is one SQL expression (a projection).

@@ -65,3 +65,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(local)
     return local
+
+
+def session_key(spark: SparkSession) -> str:
+    """Names the running application; fits and case tables are remembered under it.
+
+    Unlike the address of a session object it is never used again by a later session.
+    """
+    return spark.sparkContext.applicationId

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import with_totals
+from quarry.session import session_key
 from quarry.sources.tables import load
 
 # Fixed values of our fixture definitions (FIXTURES.md, derived fixtures).
@@ -174,13 +175,12 @@ _PERSISTED: dict = {}
 def _persisted(builder, spark: SparkSession, sf_dir: str) -> DataFrame:
     """One persisted copy per (session, table folder) of a derived case table.
 
-    The case tables are aggregates (one row per customer / transaction item),
-    much smaller than the fact tables they come from, and many queries
-    reuse them.  MEMORY_AND_DISK storage; a lost block is recomputed from
+    The customer table is far smaller than the facts it comes from; the baskets hold one row per order
+    and brand, nearly as many as the facts.  Many queries reuse them.  MEMORY_AND_DISK storage; a lost block is recomputed from
     its lineage, so executor loss only costs time.
     """
     from pyspark import StorageLevel
-    key = (builder.__name__, id(spark), sf_dir)
+    key = (builder.__name__, session_key(spark), sf_dir)
     if key not in _PERSISTED:
         _PERSISTED[key] = builder(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     return _PERSISTED[key]
