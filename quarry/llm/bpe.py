@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import bound_batches, slices, tidy
 
-POOL_BYTES = 3 << 19    # new pieces are replayed in pools of about so many bytes
-POOL_PIECES = 1 << 22   # or when so many pieces of texts wait for one
-KEPT_PIECES = 300_000   # pieces a worker remembers before it starts anew
+POOL_BYTES = 3 << 18    # new pieces are replayed in pools of about so many bytes
+POOL_PIECES = 1 << 21   # or when so many pieces of texts wait for one
+KEPT_PIECES = 150_000   # pieces a worker remembers before it starts anew
 FEW = 12                # a merge at so few positions is cheaper one by one
 _SHIFT = 32
 
@@ -213,8 +213,8 @@ class Encoder:
     def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(piece numbers of all texts in one row, number of pieces of each text)."""
         number, find = self.numbers.__getitem__, self.pattern.findall
-        rows = [np.fromiter(map(number, find(t)), np.int64) for t in texts]
-        return np.concatenate(rows) if rows else np.zeros(0, np.int64), np.array([len(r) for r in rows], np.int64)
+        rows = [np.fromiter(map(number, find(t)), np.int32) for t in texts]
+        return np.concatenate(rows) if rows else np.zeros(0, np.int32), np.array([len(r) for r in rows], np.int64)
 
     def unknown(self) -> int:
         return len(self.numbers) - len(self.start)
@@ -299,8 +299,7 @@ def _encode(batches, merges, pattern: str):
         yield pa.RecordBatch.from_arrays(
             [doc_id, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))],
             names=["doc_id", "ids"])
-
-
+    del encoder, parts
     tidy()
 
 

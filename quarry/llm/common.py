@@ -6,6 +6,8 @@ bytes (one row at least), so a task's memory follows the longest text and not th
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 import uuid
 
@@ -104,8 +106,12 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES):
 
 
 def tidy() -> None:
-    """Give back what a finished task's Arrow buffers held; workers live on after their tasks."""
+    """Give back the memory of a finished task to the system; Python workers live on after their tasks."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def byte_list(column: pa.Array) -> list[bytes]:
