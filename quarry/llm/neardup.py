@@ -184,14 +184,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
 
     # buckets of two classes or more
     entries = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))
-    full = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("pivot"),
-                                      F.max("rep").alias("top")).filter("n > 1 AND pivot <> top").drop("n", "top")
+    full = (entries.groupBy("key").agg(F.min(F.struct("rep", "n_shingles")).alias("low"), F.max("rep").alias("top"))
+            .filter("low.rep <> top").select("key", F.col("low.rep").alias("pivot"), F.col("low.n_shingles").alias("pn")))
     met = materialize(entries.join(full, "key"), "buckets")
 
-    n_of = classes.select(F.col("rep").alias("pivot"), F.col("n_shingles").alias("pn"))
     near = f"100 * least(n_shingles, pn) >= {percent} * greatest(n_shingles, pn)"
-    star = (met.filter("rep <> pivot").select("rep", "pivot", "n_shingles").distinct().join(n_of, "pivot")
-            .filter(near).select(F.col("pivot").alias("u"), F.col("rep").alias("v")).distinct())
+    star = (met.filter(f"rep <> pivot AND {near}").select(F.col("pivot").alias("u"), F.col("rep").alias("v"))
+            .distinct())
     # one document id under several texts joins the classes of its texts
     tied = (keyed.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").join(keyed, "doc_id")
             .join(classes, ["n_shingles", "p0", "p1"]).select(F.col("doc_id").alias("u"), F.col("rep").alias("v")))
