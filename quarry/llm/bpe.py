@@ -351,7 +351,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     Each match of ``pattern`` is encoded on its own: a piece that is a token gets its id, any other
     is merged byte by byte in rank order, the leftmost of equal ranks first.  No special tokens.
     Null or empty text: no ids.  Null doc_id stays null; repeated rows are encoded one by one;
-    extra columns are ignored.  A worker holds one slice of texts of about 1 MB (one text at
+    extra columns are ignored.  A worker holds one slice of texts of about 512 kB (one text at
     least) and a bounded memory of pieces.
     """
     bound_batches(docs.sparkSession)

@@ -132,7 +132,7 @@ def _pages_to_arc(batches):
 
 
 def pages_to_arc(pages: DataFrame) -> DataFrame:
-    """ARC files (path, content) of about 1 MB that hold the pages; both versions occur."""
+    """ARC files (path, content) of about 512 kB that hold the pages; both versions occur."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
     return rows.mapInArrow(_pages_to_arc, "path string, content binary")
