@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+from string import ascii_letters, digits
 
 from quarry.llm import secrets as S
 
@@ -70,3 +71,34 @@ def test_empty_table_and_no_python(docs_of):
     assert empty.count() == 0
     plan = empty._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+ORDINARY = ["internalFrameInactiveTitlePane", "ConcurrentModificationException", "src/main/java/com/Example/Server/Handler",
+            "get_Number_Of_Rows_In_Table", "XMLHttpRequestEventTarget", "MAX_Retry_count_per_Host", "application2Version10Build",
+            "UserAccountSettingsController", "fieldNameMappingStrategy2", "AbstractSingletonProxyFactoryBean", "version20240115release",
+            "docs/Guides/getting-started", "theQuickBrownFoxJumpsOver", "SHA256WITHRSAENCRYPTION20", "TABLE4COLUMN2DESCRIPTION"]
+
+
+def _recall(docs_of, rng, wrap="see {} here"):
+    """Share of planted keys found whole, by encoding and length; 24 keys each among ordinary runs."""
+    signs = {"base62": ascii_letters + digits, "base64": ascii_letters + digits + "+/", "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+             "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "HEX": "0123456789ABCDEF"}
+    kinds = [(k, n, "".join(rng.choice(a) for _ in range(n))) for k, a in signs.items() for n in (20, 24, 32, 40)
+             for _ in range(24)]
+    words = [f"{w}{rng.choice(ORDINARY)}" for w in ("", "my", "Old") for _ in range(4000)]
+    rows = [(i, wrap.format(k)) for i, (_, _, k) in enumerate(kinds)]
+    rows += [(100_000 + i, f"call {w} now") for i, w in enumerate(words)]
+    got = {r.doc_id: r.spans for r in S.secret_digest(docs_of(rows)).collect()}
+    out = {}
+    for i, (k, n, key) in enumerate(kinds):
+        at = wrap.index("{}")
+        whole = any(int(s.split(":")[1]) <= at and at + len(key) <= int(s.split(":")[2]) for s in got[i].split(",") if s)
+        out[k, n] = out.get((k, n), 0) + whole / 24
+    return out, sum(bool(got[100_000 + i]) for i in range(len(words))) / len(words)
+
+
+def test_short_keys_are_found_in_ordinary_text(docs_of):
+    recall, wrong = _recall(docs_of, random.Random(4))
+    assert wrong <= 0.001
+    for (kind, n), share in recall.items():
+        assert share >= (0.6 if n == 20 else 0.75), (kind, n, share)
