@@ -3,8 +3,9 @@
 All work is DataFrame expressions.  Matches of a pattern are found by splitting the text at them:
 the lengths of the gaps and of the matches add up to code-point positions.
 
-The battery looks at every run of 20 or more signs of the base-64 families.  Its encoding is
-inferred (hex, base 32, 36, 62, 64, URL-safe 64), which gives an alphabet of A signs:
+The battery looks at every run of 20 or more signs of the base-64 families, and at its parts between
+"/", "-" and "_", as keys stand in paths and behind names.  A run's encoding is inferred (hex, base 32,
+36, 62, 64, URL-safe 64), which gives an alphabet of A signs:
 
 * chi-squared uniformity over the alphabet, as the number of equal pairs of signs;
 * runs test above and below the middle of the alphabet;
@@ -17,6 +18,7 @@ Markov's inequality text gets a ratio of p or less with probability p at most.
 
 A run counts as a secret if the text hypothesis is rejected under Benjamini-Hochberg control over
 all runs of the corpus, within length classes, and if none of the three tests rejects uniform randomness.
+Of a run and its parts the widest that pass are kept.
 """
 
 from __future__ import annotations
@@ -31,7 +33,10 @@ from pyspark.sql import functions as F
 ASSIGN = (r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 6)
 ACCESS = (r"AKIA[A-Z0-9]+", 20)
 HEX = (r"[0-9a-f]{24,}", 24)
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+#: Runs of the signs of base 64, of URL-safe 64, and of neither's "/", "-" and "_"; "=" ends a run and
+#: belongs to it only as padding.  RUN_SIGNS is the least length with padding.
+RUN_SIGNS = 20
+RUNS = tuple(rf"[{c}]{{16,}}(?:=++(?![A-Za-z0-9+/_-]))?" for c in ("A-Za-z0-9+/", "A-Za-z0-9_-", "A-Za-z0-9+"))
 KINDS = ("assign", "access", "hex", "random")
 
 _B64 = ascii_uppercase + ascii_lowercase + digits
@@ -177,12 +182,20 @@ def _battery(df: DataFrame) -> DataFrame:
     numbers, starts = _tables()
     # one literal, which Spark folds to a constant array
     table = F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<int>")
-    df = _find(df, "_run_spans", RUN, 3)
-    runs = F.when(F.size("_run_spans") > 0, F.regexp_extract_all("text", F.lit(RUN), F.lit(0)))
-    df = df.withColumn("_runs", runs)
-    stage = F.zip_with("_run_spans", "_runs", lambda s, r: F.struct(
-        s.alias("span"), F.regexp_replace(r, "=+$", "").alias("body"),
-        _choose(r, lambda a: a).alias("alphabet"), _choose(r, lambda a: starts[a]).alias("base")))
+    names = []
+    for k, pattern in enumerate(RUNS):
+        names.append(f"_run_spans{k}")
+        df = _find(df, names[-1], pattern, 3, 0, RUN_SIGNS)
+        runs = F.filter(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), lambda r: F.length(r) >= RUN_SIGNS)
+        df = df.withColumn(names[-1], F.when(F.size(names[-1]) > 0, F.zip_with(
+            names[-1], runs, lambda s, r: F.struct(s.alias("span"), r.alias("run")))).otherwise(
+            F.expr("array()").cast(f"array<struct<span: {_SPAN[6:-1]}, run: string>>")))
+    # sorted, equal ones stand side by side; array_distinct compares all pairs of structs
+    df = df.withColumn("_runs", F.array_sort(F.concat(*names)))
+    single = F.filter("_runs", lambda x, i: (i == 0) | (F.element_at("_runs", F.greatest(i, F.lit(1))) != x))
+    stage = F.transform(single, lambda x: F.struct(
+        x["span"], F.regexp_replace(x["run"], "=+$", "").alias("body"),
+        _choose(x["run"], lambda a: a).alias("alphabet"), _choose(x["run"], lambda a: starts[a]).alias("base")))
     stage = F.filter(stage, lambda x: x["alphabet"].isNotNull() & (F.length(x["body"]) >= 16))
     stage = F.transform(stage, lambda x: F.struct(
         x["span"], x["body"], x["base"], F.length(x["alphabet"]).cast("double").alias("a"),
@@ -232,7 +245,7 @@ def _battery(df: DataFrame) -> DataFrame:
     stage = F.transform(F.transform(stage, sums), values)
     return df.withColumn("tested", F.coalesce(stage, F.expr("array()").cast(
         "array<struct<span: struct<start: bigint, rank: int, end: bigint>, family: int, bin: int, random: boolean>>"
-    ))).drop("_run_spans", "_runs")
+    ))).drop(*names, "_runs")
 
 
 def _thresholds(df: DataFrame, rate: float) -> dict[int, int]:
@@ -280,7 +293,14 @@ def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
         passed = (lambda before, f, b: lambda t: before(t) | ((t["family"] == f) & (t["bin"] >= b)))(passed, family, b)
     more = F.transform(F.filter("tested", lambda t: t["random"] & passed(t) & ~F.exists(
         "base", lambda s: (s["start"] < t["span"]["end"]) & (t["span"]["start"] < s["end"]))), lambda t: t["span"])
-    rows = rows.withColumn("found", F.array_sort(F.concat("base", more)))
+    order = F.transform(F.array_sort(F.transform(more, lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s.alias("s")))),
+                        lambda x: x["s"])
+    first = F.struct(F.lit(0).cast("long").alias("end"), F.expr("array()").cast(_SPAN).alias("kept"))
+    widest = F.aggregate(order, first, lambda acc, s: F.struct(
+        F.greatest(acc["end"], s["end"]).alias("end"),
+        F.when(s["end"] > acc["end"], F.concat(acc["kept"], F.array(s))).otherwise(acc["kept"]).alias("kept")),
+        lambda acc: acc["kept"])
+    rows = rows.withColumn("found", F.array_sort(F.concat("base", widest)))
     return rows.drop("tested", "_assign", "_access", "_hex")
 
 

@@ -102,3 +102,25 @@ def test_short_keys_are_found_in_ordinary_text(docs_of):
     assert wrong <= 0.001
     for (kind, n), share in recall.items():
         assert share >= (0.6 if n == 20 else 0.75), (kind, n, share)
+
+
+def test_keys_behind_names_and_in_paths_are_found(docs_of):
+    rng = random.Random(6)
+    wraps = ["aws_key={} end", "private_key_of_service={}; x", "GET /v1/get?sig={}&user=me", "?auth={}", "open /my-files/{}/x now",
+             "old_style/path-with/{}", "some-name/{}_tail"]
+    keys = ["".join(rng.choice(ascii_letters + digits) for _ in range(40)) for _ in range(8 * len(wraps))]
+    padded = [base64.b64encode(bytes(rng.randrange(256) for _ in range(31))).decode() for _ in range(8)]
+    texts = [(wraps[i % len(wraps)], k) for i, k in enumerate(keys)] + [("my_sig={}", k) for k in padded]
+    plain = ["name_of_column=another_column_name", "/my-files/some_folder/With/Names_of-things", "a=b=c=d=e=f=g=h=i=j=k=l=m"]
+    rows = [(i, w.format(k)) for i, (w, k) in enumerate(texts)] + [(500 + i, p) for i, p in enumerate(plain)]
+    got = {r.doc_id: r.spans for r in S.secret_digest(docs_of(rows)).collect()}
+    missed = []
+    for i, (w, k) in enumerate(texts):
+        at = w.index("{}")
+        spans = [tuple(map(int, s.split(":")[1:])) for s in got[i].split(",") if s]
+        if not any(a <= at and at + len(k) <= b for a, b in spans):
+            missed.append((w, k, got[i]))
+    assert len(missed) <= 0.05 * len(texts), missed
+    assert not [p for i, p in enumerate(plain) if got[500 + i]]
+    clean = {r.doc_id: r.text for r in S.redact(docs_of(rows)).collect()}
+    assert clean[0] == "aws_key=[SECRET] end"
