@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
@@ -114,6 +114,18 @@ def tidy() -> None:
         trim(0)
 
 
+#: Signs that are no letter, digit or mark; ASCII ones are left to the separators of :class:`WordHasher`.
+_NO_WORD = r"[^\p{L}\p{N}\p{M}\x00-\x7F]"
+#: Scripts written without blanks; every sign is a word.
+_UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+
+
+def spaced(text: Column) -> Column:
+    """The text with a blank for each non-ASCII sign that belongs to no word, and around unspaced signs."""
+    clean = F.regexp_replace(F.regexp_replace(text, _NO_WORD, " "), _UNSPACED, " $1 ")
+    return F.when(text.rlike(r"[^\x00-\x7F]"), clean).otherwise(text)
+
+
 def byte_list(column: pa.Array) -> list[bytes]:
     """The strings of a column as UTF-8 bytes; null gives empty bytes."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

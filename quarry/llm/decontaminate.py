@@ -15,14 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WordHasher, bound_batches, by_id, byte_list, separator_mask, slices, tidy
+from quarry.llm.common import WordHasher, bound_batches, by_id, byte_list, separator_mask, slices, spaced, tidy
 
 SEED = 5
 HALF = 1 << 19  # bytes of texts held at once
 COVERAGE = 0.5
 BLOCK_CHARS = 4_000_000  # characters of benchmark items that one pass over the documents holds
 
-#: All ASCII bytes but letters and digits separate tokens.
+#: All ASCII bytes but letters and digits separate tokens; other separators become blanks first.
 _SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -168,7 +168,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SEED, covera
     """(doc_id, item_id, covered, tokens, tiles) of all pairs whose item is covered enough.
 
     ``covered`` of the item's ``tokens`` lie under tiles of at least ``size`` tokens; pairs below
-    ``coverage`` are left out.  Tokens are lower-cased runs of letters, digits and non-ASCII signs.
+    ``coverage`` are left out.  Tokens are lower-cased runs of letters, digits and marks;
+    of scripts written without blanks (Chinese, Japanese, Thai, ...) every sign is a token.
     The benchmark is held in blocks of about ``block_chars`` characters (one item at least), one pass
     over the documents for each block, so neither driver nor tasks hold a benchmark that grows.
     Items without tokens and null or empty texts match nothing; an item shorter than ``size`` must
@@ -177,9 +178,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SEED, covera
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), spaced(F.lower(F.col("text").cast("string"))).alias("text"))
     items = (benchmark.select(F.col("item_id").cast("long").alias("item_id"),
-                              F.lower(F.col("text").cast("string")).alias("text"))
+                              spaced(F.lower(F.col("text").cast("string"))).alias("text"))
              .filter("item_id IS NOT NULL AND text IS NOT NULL").distinct())
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = int(-(-total // block_chars)) or 1

@@ -93,3 +93,15 @@ def test_short_items_blocks_and_empty_tables(spark, docs_of):
     pairs = lambda **o: sorted((r.doc_id, r.item_id) for r in D.contaminated(docs, items, **o).collect())
     assert pairs() == pairs(block_chars=100) == [(i, i) for i in range(30)] + [(50, 99)]
     assert D.contaminated(docs.limit(0), items).count() == D.contaminated(docs, items.limit(0)).count() == 0
+
+
+def test_copies_with_other_punctuation_and_without_blanks(spark, docs_of):
+    item = "Don't stop - it's what they'd say when we're late, isn't it? They're sure you'll \"wait\" for them."
+    chinese = "自然语言处理是人工智能领域的一个重要方向"
+    japanese = "データを処理するためのプログラムを書きます"
+    curly = item.replace("'", "’").replace(" - ", "—").replace(' "', " “").replace('"', "”")
+    copies = [(1, item.replace(" ", "\u00a0")), (2, curly), (3, "我们知道,今天" + chinese + "。谢谢大家"), (4, "はい、" + japanese + "。"),
+              (5, "«voilà» " + curly + "…"), (6, "完全不同的一句话"), (7, "Café x")]
+    items = spark.createDataFrame([(1, item), (2, chinese + "。"), (3, japanese)], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id) for r in D.contaminated(docs_of(copies), items).collect())
+    assert got == [(1, 1), (2, 1), (3, 2), (4, 3), (5, 1)]
