@@ -16,14 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WordHasher, bound_batches, byte_list, mix, separator_mask, share, shared, slices
+from quarry.llm.common import (SLICE_BYTES, WordHasher, bound_batches, byte_list, mix, separator_mask, share, shared,
+                               slices)
 from quarry.llm.labelled import PER_CLASS, in_fold, labelled_sample
 
 NEIGHBOURS = 30
 BLOCK = 32
+COMMON = 16                 # terms of one example in so many are kept as dense rows
+TEXTS = 64                  # texts whose common terms are multiplied at once
 PREFIXES = (4, 5, 6, 7, 8)  # bytes; stand for word stems
 MIN_EXAMPLES = 3            # a term must occur in so many examples
-MIN_CHI2 = 25.0             # and depend on the label (p about 6e-7)
+HALF_CHI2 = 25.0            # a term of this chi-squared on the label has half of its weight
 FOLD = (4, 2)               # crc32(doc_id) mod 4 = 2 is held out
 
 #: All ASCII bytes but letters and digits end a word.
@@ -43,6 +46,32 @@ def _terms(texts: list[bytes], hasher: WordHasher):
     return np.concatenate(hashes), np.concatenate(owners)
 
 
+def _parts(texts: list[bytes]):
+    """(place of the first, texts) of slices of about ``SLICE_BYTES``, one text at least."""
+    first, held = 0, 0
+    for i, t in enumerate(texts):
+        if i > first and held + len(t) > SLICE_BYTES:
+            yield first, texts[first:i]
+            first, held = i, 0
+        held += len(t)
+    if texts:
+        yield first, texts[first:]
+
+
+def _counted(texts: list[bytes], hasher: WordHasher):
+    """(term hash, text index, occurrences) of all terms of all texts, in order of hash and index."""
+    found = []
+    for first, part in _parts(texts):
+        h, owner = _terms(part, hasher)
+        order = np.lexsort((owner, h))
+        h, owner = h[order], owner[order]
+        new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]))))[:len(h)]
+        found.append((h[new], (owner[new] + first).astype(np.int32), np.diff(np.append(new, len(h))).astype(np.int32)))
+    h, owner, tf = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((owner, h))
+    return h[order], owner[order], tf[order]
+
+
 def _ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
     """lo[0], ..., lo[0] + n[0] - 1, lo[1], ..."""
     return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -51,20 +80,20 @@ def _ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
 class BlockMaxIndex:
     """Postings of the examples by term, cut into blocks of ``BLOCK`` examples."""
 
-    def __init__(self, hashes: np.ndarray, owner: np.ndarray, labels: np.ndarray):
+    def __init__(self, hashes: np.ndarray, owner: np.ndarray, tf: np.ndarray, labels: np.ndarray):
         n, ones = len(labels), int(labels.sum())
-        pairs, tf = np.unique(np.rec.fromarrays([hashes, owner], names="h,o"), return_counts=True)
-        vocabulary, term, df = np.unique(pairs.h, return_inverse=True, return_counts=True)
-        df1 = np.bincount(term, labels[pairs.o], minlength=len(vocabulary))
+        vocabulary, term, df = np.unique(hashes, return_inverse=True, return_counts=True)
+        df1 = np.bincount(term, labels[owner], minlength=len(vocabulary))
         cross = df1 * (n - ones - (df - df1)) - (df - df1) * (ones - df1)
         with np.errstate(divide="ignore", invalid="ignore"):
             chi2 = np.nan_to_num(n * cross ** 2 / (ones * (n - ones) * df * (n - df)))
-        good = (df >= MIN_EXAMPLES) & (chi2 >= MIN_CHI2)
+        good = df >= MIN_EXAMPLES
         self.terms = vocabulary[good]
-        self.idf = np.log((1 + n) / (1 + df[good]))
+        # terms that hardly depend on the label count little, none is left out
+        self.idf = (np.log((1 + n) / (1 + df)) * (chi2 / (chi2 + HALF_CHI2)))[good]
         number = np.cumsum(good) - 1
         keep = good[term]
-        term, doc, tf = number[term[keep]], pairs.o[keep], tf[keep]
+        term, doc, tf = number[term[keep]], owner[keep], tf[keep]
         weight = (1 + np.log(tf)) * self.idf[term]
         norm = np.sqrt(np.bincount(doc, weight * weight, minlength=n))
         weight = weight / norm[doc]
@@ -89,6 +118,25 @@ class BlockMaxIndex:
         self.entry_max = np.maximum.reduceat(self.weight, entry) if len(term) else np.zeros(0)
         self.term_lo = np.searchsorted(term[entry], np.arange(len(self.terms)))
         self.term_n = np.diff(np.append(self.term_lo, len(entry)))
+        self.row = np.full(len(self.terms), -1)
+        common = np.flatnonzero(df[good] * COMMON >= n)
+        self.row[common] = np.arange(len(common))
+        self.posted = np.searchsorted(term, common), np.searchsorted(term, common, "right")
+        self.rows = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "rows": None}
+
+    def common(self, text: np.ndarray, term: np.ndarray, weight: np.ndarray, n_texts: int) -> np.ndarray:
+        """The exact share of the common terms in the similarity of every text to every example."""
+        if self.rows is None:
+            self.rows = np.zeros((len(self.posted[0]), len(self.labels)))
+            for r, (lo, hi) in enumerate(zip(*self.posted)):
+                self.rows[r, self.doc[lo:hi]] = self.weight[lo:hi]
+        row = self.row[term]
+        dense = np.zeros((n_texts, len(self.rows)))
+        dense[text[row >= 0], row[row >= 0]] = weight[row >= 0]
+        return dense @ self.rows
 
     def vectors(self, hashes: np.ndarray, owner: np.ndarray, n_texts: int):
         """(text index, term, weight) of all known terms, unit length for each text."""
@@ -102,38 +150,46 @@ class BlockMaxIndex:
         norm = np.sqrt(np.bincount(text, weight * weight, minlength=n_texts))
         return text, term, weight / norm[text]
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1):
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1, base: np.ndarray | None = None):
         """Places and similarities of the k nearest examples of similarity over 0, nearest first.
 
-        ``skip`` is a place that takes no part.  Ties go to the smaller place.
+        ``skip`` is a place that takes no part.  ``base`` is the text's row of :meth:`common`; a block's
+        bound is its best base and the largest weights of the other terms.  Ties go to the smaller place.
         """
+        if base is None:
+            base = self.common(np.zeros(len(term), int), term, weight, 1)[0]
+        if 0 <= skip < len(base):
+            base = base.copy()
+            base[skip] = -np.inf
+        rare = self.row[term] < 0
+        term, weight = term[rare], weight[rare]
         n = self.term_n[term]
         entry = _ranges(self.term_lo[term], n)
         w = np.repeat(weight, n)
         block = self.entry_block[entry]
         bound = np.bincount(block, w * self.entry_max[entry], minlength=self.blocks)
+        bound = bound + np.maximum.reduceat(base, np.arange(0, len(base), BLOCK))
         first = np.zeros(self.blocks, bool)
         first[np.argsort(-bound, kind="stable")[:-(-(k + 1) // BLOCK) + 1]] = True
-        places, scores = self._evaluate(entry, w, first[block], skip)
+        places, scores = self._evaluate(entry, w, block, first, base)
         if len(scores) >= k:
             floor = np.partition(scores, len(scores) - k)[len(scores) - k]
             more = ~first & (bound >= floor - 1e-9) & (bound > 0)
         else:
             more = ~first & (bound > 0)
         if more.any():
-            p, s = self._evaluate(entry, w, more[block], skip)
+            p, s = self._evaluate(entry, w, block, more, base)
             places, scores = np.concatenate((places, p)), np.concatenate((scores, s))
         best = np.lexsort((places, -scores))[:k]
         return places[best], scores[best]
 
-    def _evaluate(self, entry, w, chosen, skip):
+    def _evaluate(self, entry, w, block, blocks, base):
+        chosen = blocks[block]
         entry, w = entry[chosen], w[chosen]
         n = self.entry_n[entry]
         post = _ranges(self.entry_lo[entry], n)
-        score = np.bincount(self.doc[post], np.repeat(w, n) * self.weight[post], minlength=0)
-        if 0 <= skip < len(score):
-            score[skip] = 0
-        places = np.flatnonzero(score > 0)
+        score = base + np.bincount(self.doc[post], np.repeat(w, n) * self.weight[post], minlength=len(base))
+        places = np.flatnonzero((score > 0) & np.repeat(blocks, BLOCK)[:len(base)])
         return places, score[places]
 
     def vote(self, places, scores) -> float:
@@ -158,23 +214,34 @@ class ToxicityModel:
         if not have.all():
             return
         hasher = WordHasher(separator_mask(_SEPARATORS))
-        h, owner = _terms([t.lower().encode("utf-8", "replace") for t in texts], hasher)
-        self.index = BlockMaxIndex(h, owner, y)
+        lowered = [t.lower().encode("utf-8", "replace") for t in texts]
+        self.index = BlockMaxIndex(*_counted(lowered, hasher), y)
         self.ids = np.array(ids)[self.index.order]
         place = np.empty(len(y), np.int64)
         place[self.index.order] = np.arange(len(y))
-        lo, hi = _split((v := self.index.vectors(h, owner, len(y)))[0], len(y))
         votes = np.full(len(y), np.nan)
-        for i in range(len(y)):
-            if hi[i] > lo[i]:
-                p, s = self.index.nearest(v[1][lo[i]:hi[i]], v[2][lo[i]:hi[i]], k, place[i])
+        for first, part in _parts(lowered):
+            text, term, weight = self.index.vectors(*_terms(part, hasher), len(part))
+            for i, own, base in self._each(text, term, weight, len(part)):
+                p, s = self.index.nearest(term[own], weight[own], k, place[first + i], base)
                 if len(p):
-                    votes[i] = self.index.vote(p, s)
+                    votes[first + i] = self.index.vote(p, s)
         weight = np.array(shares)[y] / have[y]  # the sample's classes at their share of all labels
         none = np.isnan(votes)
         self.bare = (weight[none & (y == 1)].sum() + self.bare) / (weight[none].sum() + 1)
         self._calibrate(votes[~none], y[~none], weight[~none])
 
+    def _each(self, text, term, weight, n_texts: int):
+        """(text index, its slice of the terms, its row of common terms) of every text with terms."""
+        lo, hi = _split(text, n_texts)
+        for a in range(0, n_texts, TEXTS):
+            b = min(a + TEXTS, n_texts)
+            own = slice(lo[a], hi[b - 1])
+            base = self.index.common(text[own] - a, term[own], weight[own], b - a)
+            for i in range(a, b):
+                if hi[i] > lo[i]:
+                    yield i, slice(lo[i], hi[i]), base[i - a]
+
     def _calibrate(self, votes, y, weight) -> None:
         """Logistic curve over the votes' log odds, by weighted Newton steps with a light ridge."""
         x = np.stack((self._odds(votes), np.ones(len(votes))), 1)
@@ -201,9 +268,8 @@ class ToxicityModel:
         if self.index is None:
             return scores, near, sims
         text, term, weight = self.index.vectors(*_terms(texts, hasher), len(texts))
-        lo, hi = _split(text, len(texts))
-        for i in np.flatnonzero(hi > lo):
-            p, s = self.index.nearest(term[lo[i]:hi[i]], weight[lo[i]:hi[i]], self.k)
+        for i, own, base in self._each(text, term, weight, len(texts)):
+            p, s = self.index.nearest(term[own], weight[own], self.k, base=base)
             odds = self.slope * self._odds(self.index.vote(p, s)) + self.offset
             scores[i] = 1 / (1 + np.exp(-odds))
             near[i], sims[i] = self.ids[p[:EVIDENCE]].tolist(), s[:EVIDENCE].tolist()
@@ -229,8 +295,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fold: tuple[int, int] =
 
     ``evidence`` are the doc_ids of the nearest labelled examples, nearest first.  The index is
     fitted on a sample of at most ``per_class`` labelled rows of each class outside the fold;
-    terms are words and word prefixes that depend on the label.  Every row's whole text is
-    scored.  A text without known terms (null and empty ones too) gets the share of label 1
+    terms are all words and word prefixes of ``MIN_EXAMPLES`` examples, weighted by how much they
+    depend on the label.  Every row's whole text is scored.  A text without known terms (null and empty ones too) gets the share of label 1
     among such examples.  Null doc_id: held_out is false.  Without labels of both classes every
     score is the share of label 1.  Extra columns are ignored.
     """

@@ -101,3 +101,15 @@ def test_neighbours_are_exact(tables):
             assert np.allclose(index.nearest(term[own], weight[own], 7)[1], want)
             tried += 1
     assert tried > 50
+
+
+def test_rare_toxic_words_have_neighbours():
+    """A word of 24 toxic examples and of no clean one counts, though its chi-squared is below 25."""
+    n = 2000
+    toxic = [f"filthword{i % 40} common{i % 7} plain{i % 11}" if i >= 24 else f"grimword common{i % 7} plain{i % 11}" for i in range(n)]
+    clean = [f"nice{i % 40} common{i % 7} plain{i % 11}" for i in range(n)]
+    model = toxicity.ToxicityModel(list(range(2 * n)), toxic + clean, [1] * n + [0] * n, (19 * n, n))
+    hasher = WordHasher(separator_mask(toxicity._SEPARATORS))
+    scores, near, _ = model.score([b"grimword unheard", b"nice3 unheard", b"unheard"], hasher)
+    assert set(near[0]) <= set(range(24)) and near[0] and scores[0] >= 0.3 > scores[1]
+    assert near[2] == [] and scores[2] == model.bare
