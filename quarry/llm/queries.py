@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (ann, bpe, chatformat, decontaminate, neardup, quality, secrets, toxicity, urlfilter, warc)
+from quarry.llm import (ann, bpe, chatformat, decontaminate, filteraudit, neardup, quality, secrets, toxicity, urlfilter,
+                        warc)
 from quarry.llm.oracle import SQL
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -69,6 +70,11 @@ def q_op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def q_op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps and Shapley values of five text filters in all orders, by language."""
+    return filteraudit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_decontaminate": q_op1_decontaminate,
     "op2_nearest": q_op2_nearest,
@@ -80,6 +86,7 @@ QUERIES = {
     "op8_bpe": q_op8_bpe,
     "op9_warc": q_op9_warc,
     "op10_quality": q_op10_quality,
+    "op11_filter_audit": q_op11_filter_audit,
 }
 
 
