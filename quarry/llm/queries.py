@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (ann, bpe, chatformat, decontaminate, filteraudit, neardup, quality, secrets, toxicity, urlfilter,
-                        warc)
+                        variants, warc)
 from quarry.llm.oracle import SQL
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -75,6 +75,11 @@ def q_op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def q_op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its more frequent spelling and the root of its variants."""
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": q_op1_decontaminate,
     "op2_nearest": q_op2_nearest,
@@ -87,6 +92,7 @@ QUERIES = {
     "op9_warc": q_op9_warc,
     "op10_quality": q_op10_quality,
     "op11_filter_audit": q_op11_filter_audit,
+    "op13_spelling_variants": q_op13_spelling_variants,
 }
 
 
