@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (ann, bpe, chatformat, decontaminate, filteraudit, neardup, quality, secrets, toxicity, urlfilter,
-                        variants, warc)
+from quarry.llm import (ann, bpe, chatformat, decontaminate, filteraudit, neardup, packing, quality, secrets, toxicity,
+                        urlfilter, variants, warc)
 from quarry.llm.oracle import SQL
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +76,11 @@ def q_op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def q_op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 2,048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+
+
 def q_op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the documents with its more frequent spelling and the root of its variants."""
     return variants.spelling_variants(_table(spark, sf_dir, "documents"))
@@ -92,6 +98,7 @@ QUERIES = {
     "op9_warc": q_op9_warc,
     "op10_quality": q_op10_quality,
     "op11_filter_audit": q_op11_filter_audit,
+    "op12_packing": q_op12_packing,
     "op13_spelling_variants": q_op13_spelling_variants,
 }
 
