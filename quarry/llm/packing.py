@@ -10,6 +10,7 @@ sequence and offset by arithmetic alone: texts and ids of documents that stay wh
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import partial
 
@@ -24,7 +25,7 @@ from quarry.llm.cutting import PackPlan, plan
 
 SEQUENCE = 2048
 END_ID = 1
-HELD_WORDS = 1 << 18  # distinct words a task remembers
+HELD_WORDS = 1 << 18  # distinct words, and parts between blanks, that a task remembers
 
 #: Rows of the offsets table that count a partition's whole sequences and not a remainder.
 _WHOLE = -1
@@ -35,33 +36,71 @@ _PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_toke
                  "offset long")
 
 
+#: The tokenizer's words, for texts of printable ASCII and the letters of Latin-1.
+_WORD = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-zß-öø-ÿ0-9]+")
+_OTHER = re.compile(r"[^\x21-\x7EÀ-ÖØ-öø-ÿ]")
+_SPECIAL = "<|"  # begins the special tokens
+
+
+def _byte_letters() -> dict[int, str]:
+    """The sign that stands for each byte in a byte-level vocabulary: itself if it is printable."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+class _Remembered(dict):
+    """Values of ``make(key)``, made when first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+
 class WordEncoder:
-    """Ids of texts by a ``tokenizers`` file whose words never span white space.
+    """Ids of texts by the word-end BPE of a ``tokenizers`` file; frequent parts are remembered.
 
-    White space is dropped by such a tokenizer and ends every word, so a text's ids are those of its
-    parts between ASCII blanks, one after the other; frequent parts are remembered.
+    White space ends every word of such a tokenizer and is dropped, and lower-cased words are encoded
+    one by one, so a text's ids are those of its parts between ASCII blanks, one after the other, and
+    a part's those of its words.  Only parts of printable ASCII and Latin-1 letters are cut into
+    words here; others are left to the tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.letters = _byte_letters()
+        self.words = _Remembered(self._word)
+        self.parts = _Remembered(self._part)
+
+    def _packed(self, ids) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return self._packed([t.id for t in self.model.tokenize(word)])
+
+    def _part(self, part: bytes) -> bytes:
+        text = part.decode("utf-8", "replace")
+        if _OTHER.search(text) or _SPECIAL in text:
+            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.words.__getitem__, _WORD.findall(text.lower())))
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """The ids of every text and ``end_id``, packed as ``dtype``."""
-        words = [t.split() for t in texts]
-        if len(self.known) > HELD_WORDS:
-            self.known.clear()
-        new = list({w for some in words for w in some} - self.known.keys())
-        if new:
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            for w, e in zip(new, found):
-                self.known[w] = np.array(e.ids, self.dtype).tobytes()
-        end = np.array([end_id], self.dtype).tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, some)) + end for some in words]
+        for held in (self.words, self.parts):
+            if len(held) > HELD_WORDS:
+                held.clear()
+        end, get = self._packed([end_id]), self.parts.__getitem__
+        return [b"".join(map(get, t.split())) + end for t in texts]
 
 
 def _crc(ids: np.ndarray) -> int:
