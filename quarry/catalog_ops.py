@@ -125,8 +125,7 @@ def q_class_weights(spark, sf_dir):
 
 def q_fold_assign(spark, sf_dir):
     b = cases.split(cases.case_table(spark, sf_dir), cases.SPLIT_BUILD)
-    return prep.stratified_folds(b, "cust_id", "affinity", CV_FOLDS).groupBy("affinity", "fold").agg(
-        F.count(F.lit(1)).alias("n"), F.min("cust_id").alias("least_id"))
+    return prep.stratified_folds(b, "cust_id", "affinity", CV_FOLDS).select("cust_id", "affinity", "fold")
 
 
 # ----------------------------------------------------------------- importance

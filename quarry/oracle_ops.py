@@ -117,9 +117,7 @@ SELECT cust_id, """ + ", ".join(f"CAST({_bin(a)} AS INTEGER) AS {a}" for a in NU
 SELECT target_value, n_c,
        round(CAST(sum(n_c) OVER () AS DOUBLE) / (count(*) OVER () * n_c), {R}) AS class_weight FROM c"""
     q["fold_assign"] = f"""WITH {CASE360}
-SELECT affinity, fold, count(*) AS n, min(cust_id) AS least_id FROM (
-  SELECT cust_id, affinity, {_fold('cust_id', 'affinity', CV_FOLDS)} AS fold FROM case360 WHERE {_split(0)})
-GROUP BY affinity, fold"""
+SELECT cust_id, affinity, {_fold('cust_id', 'affinity', CV_FOLDS)} AS fold FROM case360 WHERE {_split(0)}"""
     q["mdl_importance"] = _mdl_sql()
     q["pairwise_kl"] = _kl_sql()
     ap = _apriori_ctes()
