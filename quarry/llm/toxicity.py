@@ -1,9 +1,10 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 The examples form an inverted index cut into blocks; every term keeps its largest weight in each
-block.  A document first gets an upper bound for every block from those maxima, evaluates the
-best blocks, and then only the blocks whose bound can still reach its k-th best similarity, so
-the neighbours are exact.  Their votes, weighted by squared similarity, are calibrated on the
+block.  Rare terms have few postings, which a document adds up first.  Its bound for a block is then
+the block's best sum and the block's largest weights of its common terms; it evaluates the common
+terms in the best blocks, and then only in the blocks whose bound can still reach its k-th best
+similarity, so the neighbours are exact.  Their votes, weighted by squared similarity, are calibrated on the
 examples themselves, each left out of its own vote.
 """
 
@@ -22,8 +23,9 @@ from quarry.llm.labelled import PER_CLASS, in_fold, labelled_sample
 
 NEIGHBOURS = 30
 BLOCK = 32
-COMMON = 16                 # terms of one example in so many are kept as dense rows
-TEXTS = 64                  # texts whose common terms are multiplied at once
+COMMON = 16                 # terms of one example in so many are evaluated block by block
+TEXTS = 256                 # texts searched at once
+LEADING = 18                # bits of a hash that lead to its place among the terms
 PREFIXES = (4, 5, 6, 7, 8)  # bytes; stand for word stems
 MIN_EXAMPLES = 3            # a term must occur in so many examples
 HALF_CHI2 = 25.0            # a term of this chi-squared on the label has half of its weight
@@ -87,10 +89,10 @@ class BlockMaxIndex:
         cross = df1 * (n - ones - (df - df1)) - (df - df1) * (ones - df1)
         with np.errstate(divide="ignore", invalid="ignore"):
             chi2 = np.nan_to_num(n * cross ** 2 / (ones * (n - ones) * df * (n - df)))
-        good = df >= MIN_EXAMPLES
-        self.terms = vocabulary[good]
-        # terms that hardly depend on the label count little, none is left out
-        self.idf = (np.log((1 + n) / (1 + df)) * (chi2 / (chi2 + HALF_CHI2)))[good]
+        # terms that hardly depend on the label count little; those of weight 0 are no terms
+        idf = np.log((1 + n) / (1 + df)) * (chi2 / (chi2 + HALF_CHI2))
+        good = (df >= MIN_EXAMPLES) & (idf > 0)
+        self.terms, self.idf = vocabulary[good], idf[good]
         number = np.cumsum(good) - 1
         keep = good[term]
         term, doc, tf = number[term[keep]], owner[keep], tf[keep]
@@ -108,89 +110,108 @@ class BlockMaxIndex:
         self.labels = labels[self.order].astype(float)
         self.blocks = -(-n // BLOCK)
         by = np.lexsort((doc, term))
-        term, self.doc, self.weight = term[by], doc[by], weight[by]
+        term, self.doc, self.weight = term[by], doc[by].astype(np.int32), weight[by]
         # one entry for each term and block it occurs in
         entry = np.flatnonzero(np.concatenate(([True], (np.diff(term) != 0) | (np.diff(self.doc // BLOCK) != 0)))
                                ) if len(term) else np.zeros(0, np.int64)
-        self.entry_lo = entry
-        self.entry_n = np.diff(np.append(entry, len(term)))
+        self.entry_n = np.diff(np.append(entry, len(term))).astype(np.int32)
         self.entry_block = self.doc[entry] // BLOCK
         self.entry_max = np.maximum.reduceat(self.weight, entry) if len(term) else np.zeros(0)
         self.term_lo = np.searchsorted(term[entry], np.arange(len(self.terms)))
         self.term_n = np.diff(np.append(self.term_lo, len(entry)))
+        self.post_lo = np.searchsorted(term, np.arange(len(self.terms)))
+        self.post_n = df[good]
         self.row = np.full(len(self.terms), -1)
-        common = np.flatnonzero(df[good] * COMMON >= n)
-        self.row[common] = np.arange(len(common))
-        self.posted = np.searchsorted(term, common), np.searchsorted(term, common, "right")
-        self.rows = None
+        self.common = np.flatnonzero(self.post_n * COMMON >= n)
+        self.row[self.common] = np.arange(len(self.common))
+        self.rows = self.most = self.starts = None
 
     def __getstate__(self):
-        return {**self.__dict__, "rows": None}
-
-    def common(self, text: np.ndarray, term: np.ndarray, weight: np.ndarray, n_texts: int) -> np.ndarray:
-        """The exact share of the common terms in the similarity of every text to every example."""
-        if self.rows is None:
-            self.rows = np.zeros((len(self.posted[0]), len(self.labels)))
-            for r, (lo, hi) in enumerate(zip(*self.posted)):
-                self.rows[r, self.doc[lo:hi]] = self.weight[lo:hi]
-        row = self.row[term]
-        dense = np.zeros((n_texts, len(self.rows)))
-        dense[text[row >= 0], row[row >= 0]] = weight[row >= 0]
-        return dense @ self.rows
+        return {**self.__dict__, "rows": None, "most": None, "starts": None}
+
+    def _spread(self) -> None:
+        """Weights of the common terms by block, and their maxima."""
+        self.rows = np.zeros((self.blocks, len(self.common), BLOCK))
+        self.most = np.zeros((len(self.common), self.blocks))
+        for r, t in enumerate(self.common):
+            post = slice(self.post_lo[t], self.post_lo[t] + self.post_n[t])
+            self.rows[self.doc[post] // BLOCK, r, self.doc[post] % BLOCK] = self.weight[post]
+            entry = slice(self.term_lo[t], self.term_lo[t] + self.term_n[t])
+            self.most[r, self.entry_block[entry]] = self.entry_max[entry]
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """Index of every hash among the sorted terms, -1 for unknown ones; the leading bits say where to look."""
+        if self.starts is None:
+            self.starts = np.searchsorted(self.terms >> np.uint64(64 - LEADING), np.arange((1 << LEADING) + 1)).astype(np.int32)
+        lead = (hashes >> np.uint64(64 - LEADING)).astype(np.int64)
+        at, end = self.starts[lead], self.starts[lead + 1]
+        found = np.full(len(hashes), -1)
+        left = np.flatnonzero(at < end)
+        at, end, wanted = at[left], end[left], hashes[left]
+        while len(left):
+            hit = self.terms[at] == wanted
+            found[left[hit]] = at[hit]
+            at = at + 1
+            more = ~hit & (at < end)
+            left, at, end, wanted = left[more], at[more], end[more], wanted[more]
+        return found
 
     def vectors(self, hashes: np.ndarray, owner: np.ndarray, n_texts: int):
         """(text index, term, weight) of all known terms, unit length for each text."""
         if not len(self.terms):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
-        hit = self.terms[at] == hashes
+        at = self._places(hashes)
+        hit = at >= 0
         key, tf = np.unique(owner[hit] * len(self.terms) + at[hit], return_counts=True)
         text, term = key // len(self.terms), key % len(self.terms)
         weight = (1 + np.log(tf)) * self.idf[term]
         norm = np.sqrt(np.bincount(text, weight * weight, minlength=n_texts))
         return text, term, weight / norm[text]
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1, base: np.ndarray | None = None):
-        """Places and similarities of the k nearest examples of similarity over 0, nearest first.
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1):
+        """:meth:`search` for one text."""
+        return self.search(np.zeros(len(term), np.int64), term, weight, 1, k, np.array([skip]))[0]
 
-        ``skip`` is a place that takes no part.  ``base`` is the text's row of :meth:`common`; a block's
-        bound is its best base and the largest weights of the other terms.  Ties go to the smaller place.
+    def search(self, text: np.ndarray, term: np.ndarray, weight: np.ndarray, n_texts: int, k: int,
+               skip: np.ndarray | None = None):
+        """Places and similarities of the k nearest examples of similarity over 0 of every text, nearest first.
+
+        ``skip`` is a place for each text that takes no part, -1 for none.  Ties go to the smaller place.
         """
-        if base is None:
-            base = self.common(np.zeros(len(term), int), term, weight, 1)[0]
-        if 0 <= skip < len(base):
-            base = base.copy()
-            base[skip] = -np.inf
-        rare = self.row[term] < 0
-        term, weight = term[rare], weight[rare]
-        n = self.term_n[term]
-        entry = _ranges(self.term_lo[term], n)
-        w = np.repeat(weight, n)
-        block = self.entry_block[entry]
-        bound = np.bincount(block, w * self.entry_max[entry], minlength=self.blocks)
-        bound = bound + np.maximum.reduceat(base, np.arange(0, len(base), BLOCK))
-        first = np.zeros(self.blocks, bool)
-        first[np.argsort(-bound, kind="stable")[:-(-(k + 1) // BLOCK) + 1]] = True
-        places, scores = self._evaluate(entry, w, block, first, base)
-        if len(scores) >= k:
-            floor = np.partition(scores, len(scores) - k)[len(scores) - k]
-            more = ~first & (bound >= floor - 1e-9) & (bound > 0)
-        else:
-            more = ~first & (bound > 0)
-        if more.any():
-            p, s = self._evaluate(entry, w, block, more, base)
-            places, scores = np.concatenate((places, p)), np.concatenate((scores, s))
-        best = np.lexsort((places, -scores))[:k]
-        return places[best], scores[best]
-
-    def _evaluate(self, entry, w, block, blocks, base):
-        chosen = blocks[block]
-        entry, w = entry[chosen], w[chosen]
-        n = self.entry_n[entry]
-        post = _ranges(self.entry_lo[entry], n)
-        score = base + np.bincount(self.doc[post], np.repeat(w, n) * self.weight[post], minlength=len(base))
-        places = np.flatnonzero((score > 0) & np.repeat(blocks, BLOCK)[:len(base)])
-        return places, score[places]
+        if self.rows is None:
+            self._spread()
+        width, row = self.blocks * BLOCK, self.row[term]
+        rare = row < 0
+        n = self.post_n[term[rare]]
+        post = _ranges(self.post_lo[term[rare]], n)
+        score = np.bincount(np.repeat(text[rare] * width, n) + self.doc[post], np.repeat(weight[rare], n) * self.weight[post],
+                            minlength=n_texts * width).reshape(n_texts, width)
+        common = np.zeros((n_texts, len(self.common)))
+        common[text[~rare], row[~rare]] = weight[~rare]
+        bound = score.reshape(n_texts, self.blocks, BLOCK).max(2) + common @ self.most
+        known = np.full((n_texts, width), -np.inf)
+        first = np.zeros((n_texts, self.blocks), bool)
+        most = min(-(-(k + 1) // BLOCK) + 1, self.blocks)
+        np.put_along_axis(first, np.argpartition(-bound, most - 1, axis=1)[:, :most], True, 1)
+        self._evaluate(known, score, common, first, skip)
+        at = max(width - k, 0)
+        floor = np.maximum(np.partition(known, at, axis=1)[:, at], 0)[:, None]
+        self._evaluate(known, score, common, ~first & (bound >= floor - 1e-9) & (bound > 0), skip)
+        floor = np.partition(known, at, axis=1)[:, at]
+        found = []
+        for own, low in zip(known, floor):
+            places = np.flatnonzero((own >= low) & (own > 0))
+            places = places[np.lexsort((places, -own[places]))[:k]]
+            found.append((places, own[places]))
+        return found
+
+    def _evaluate(self, known, score, common, wanted, skip) -> None:
+        """Fill ``known`` with the exact similarities in the wanted blocks of every text."""
+        for block in np.flatnonzero(wanted.any(0)):
+            who, span = np.flatnonzero(wanted[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+            known[who, span] = score[who, span] + common[who] @ self.rows[block]
+        if skip is not None:
+            known[np.flatnonzero(skip >= 0), skip[skip >= 0]] = -np.inf
 
     def vote(self, places, scores) -> float:
         s = scores * scores
@@ -222,8 +243,7 @@ class ToxicityModel:
         votes = np.full(len(y), np.nan)
         for first, part in _parts(lowered):
             text, term, weight = self.index.vectors(*_terms(part, hasher), len(part))
-            for i, own, base in self._each(text, term, weight, len(part)):
-                p, s = self.index.nearest(term[own], weight[own], k, place[first + i], base)
+            for i, p, s in self._found(text, term, weight, len(part), place[first:first + len(part)]):
                 if len(p):
                     votes[first + i] = self.index.vote(p, s)
         weight = np.array(shares)[y] / have[y]  # the sample's classes at their share of all labels
@@ -231,16 +251,16 @@ class ToxicityModel:
         self.bare = (weight[none & (y == 1)].sum() + self.bare) / (weight[none].sum() + 1)
         self._calibrate(votes[~none], y[~none], weight[~none])
 
-    def _each(self, text, term, weight, n_texts: int):
-        """(text index, its slice of the terms, its row of common terms) of every text with terms."""
+    def _found(self, text, term, weight, n_texts: int, skip=None):
+        """(text index, places, similarities) of every text's nearest examples."""
         lo, hi = _split(text, n_texts)
         for a in range(0, n_texts, TEXTS):
             b = min(a + TEXTS, n_texts)
             own = slice(lo[a], hi[b - 1])
-            base = self.index.common(text[own] - a, term[own], weight[own], b - a)
-            for i in range(a, b):
-                if hi[i] > lo[i]:
-                    yield i, slice(lo[i], hi[i]), base[i - a]
+            near = self.index.search(text[own] - a, term[own], weight[own], b - a, self.k,
+                                     None if skip is None else skip[a:b])
+            for i, (p, s) in enumerate(near, a):
+                yield i, p, s
 
     def _calibrate(self, votes, y, weight) -> None:
         """Logistic curve over the votes' log odds, by weighted Newton steps with a light ridge."""
@@ -268,11 +288,11 @@ class ToxicityModel:
         if self.index is None:
             return scores, near, sims
         text, term, weight = self.index.vectors(*_terms(texts, hasher), len(texts))
-        for i, own, base in self._each(text, term, weight, len(texts)):
-            p, s = self.index.nearest(term[own], weight[own], self.k, base=base)
-            odds = self.slope * self._odds(self.index.vote(p, s)) + self.offset
-            scores[i] = 1 / (1 + np.exp(-odds))
-            near[i], sims[i] = self.ids[p[:EVIDENCE]].tolist(), s[:EVIDENCE].tolist()
+        for i, p, s in self._found(text, term, weight, len(texts)):
+            if len(p):
+                odds = self.slope * self._odds(self.index.vote(p, s)) + self.offset
+                scores[i] = 1 / (1 + np.exp(-odds))
+                near[i], sims[i] = self.ids[p[:EVIDENCE]].tolist(), s[:EVIDENCE].tolist()
         return scores, near, sims
 
 

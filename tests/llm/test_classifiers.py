@@ -113,3 +113,78 @@ def test_rare_toxic_words_have_neighbours():
     scores, near, _ = model.score([b"grimword unheard", b"nice3 unheard", b"unheard"], hasher)
     assert set(near[0]) <= set(range(24)) and near[0] and scores[0] >= 0.3 > scores[1]
     assert near[2] == [] and scores[2] == model.bare
+
+
+def test_words_that_do_not_depend_on_the_label():
+    """Such a word is no term: a text of nothing else has the bare score and no neighbour, never NaN."""
+    texts = [f"{'vile' if i < 100 else 'kind'} common{i % 5}" + (" zebra" if i % 25 == 0 else "") for i in range(200)]
+    model = toxicity.ToxicityModel(list(range(200)), texts, [int(i < 100) for i in range(200)], (100, 100))
+    hasher = WordHasher(separator_mask(toxicity._SEPARATORS))
+    scores, near, _ = model.score([b"zebra", b"zebra vile", b""], hasher)
+    assert not np.isnan(scores).any() and scores[0] == scores[2] == model.bare and near[0] == []
+    assert scores[1] > 0.5
+
+
+def test_weights_votes_and_calibration_from_their_definitions(tables):
+    """TF-IDF weights, neighbours and left-out votes in plain Python dictionaries."""
+    import math
+    docs, labels = tables
+    ids, texts, y, shares = labelled_sample(docs, labels, "toxic", 4, 2, per_class=40)
+    model = toxicity.ToxicityModel(ids, texts, y, shares, k=5)
+    separators = set(map(chr, toxicity._SEPARATORS))
+
+    def terms(text):
+        counts, word = {}, b""
+        words = "".join(" " if c in separators else c for c in text.lower()).split(" ")
+        for word in filter(None, words):
+            raw = word.encode()
+            for t in [("word", raw)] + [("prefix", raw[:n]) for n in toxicity.PREFIXES if len(raw) > n]:
+                counts[t] = counts.get(t, 0) + 1
+        return counts
+
+    bags, n, ones = [terms(t) for t in texts], len(y), sum(y)
+    weight = {}
+    for t in set().union(*bags):
+        df = sum(t in b for b in bags)
+        df1 = sum(t in b for b, label in zip(bags, y) if label)
+        cross = df1 * (n - ones - (df - df1)) - (df - df1) * (ones - df1)
+        chi2 = 0 if df == n else n * cross ** 2 / (ones * (n - ones) * df * (n - df))
+        w = math.log((1 + n) / (1 + df)) * chi2 / (chi2 + toxicity.HALF_CHI2)
+        if df >= toxicity.MIN_EXAMPLES and w > 0:
+            weight[t] = w
+
+    def vector(bag):
+        v = {t: (1 + math.log(c)) * weight[t] for t, c in bag.items() if t in weight}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()}
+
+    assert len(model.index.terms) == len(weight)
+    vectors = [vector(b) for b in bags]
+
+    def vote(v, leave=-1):
+        sims = sorted(((sum(x * e.get(t, 0.0) for t, x in v.items()), label) for j, (e, label) in enumerate(zip(vectors, y))
+                       if j != leave), key=lambda p: -p[0])[:5]
+        total = sum(s * s for s, _ in sims if s > 0)
+        return sum(s * s * label for s, label in sims if s > 0) / total if total else None
+
+    hasher = WordHasher(separator_mask(toxicity._SEPARATORS))
+    some = [r.text for r in docs.limit(40).collect()]
+    scores, _, _ = model.score([t.lower().encode() for t in some], hasher)
+    for text, score in zip(some, scores):
+        v = vote(vector(terms(text)))
+        if v is None:
+            assert score == model.bare
+        else:
+            v = min(max(v, 0.005), 0.995)
+            want = 1 / (1 + math.exp(-(model.slope * math.log(v / (1 - v)) + model.offset)))
+            assert score == pytest.approx(want, abs=1e-6)
+    # the curve is the best one for the left-out votes under its light ridge
+    votes = [vote(v, i) for i, v in enumerate(vectors)]
+    have = [n - ones, ones]
+    case = [(math.log(min(max(v, .005), .995) / (1 - min(max(v, .005), .995))), label, shares[label] / have[label])
+            for v, label in zip(votes, y) if v is not None]
+    scale = len(case) / sum(w for _, _, w in case)
+    p = [1 / (1 + math.exp(-(model.slope * x + model.offset))) for x, _, _ in case]
+    slope = sum(scale * w * (label - q) * x for (x, label, w), q in zip(case, p)) - 1e-3 * (model.slope - 1)
+    offset = sum(scale * w * (label - q) for (_, label, w), q in zip(case, p)) - 1e-3 * model.offset
+    assert abs(slope) < 1e-4 and abs(offset) < 1e-4
