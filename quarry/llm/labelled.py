@@ -21,7 +21,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
 
     Rows of the held-out fold, null ids and labels other than 0 and 1 are left out; an id with
     several labels counts once, with the largest.  The ids with the smallest hashes are taken,
-    and of their texts those of up to ``max_chars`` characters, so the sample's size is bounded
+    and of their texts the smallest of up to ``max_chars`` characters, so the sample's size is bounded
     by ``2 * per_class * max_chars`` characters whatever the corpus.  ``shares`` are the rows of
     each class among all labels of the fold.
     """
@@ -38,11 +38,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
              .filter(F.length("text") <= max_chars)
-             .join(F.broadcast(chosen), "doc_id"))  # at most 2 * per_class ids
-    found: dict[int, tuple[str, int]] = {}
-    for r in texts.collect():
-        if r.doc_id not in found or r.text < found[r.doc_id][0]:
-            found[r.doc_id] = (r.text, r.y)
+             .join(F.broadcast(chosen), "doc_id")  # at most 2 * per_class ids
+             .groupBy("doc_id", "y").agg(F.min("text").alias("text")))
+    found = {r.doc_id: (r.text, r.y) for r in texts.collect()}
     order = sorted(found)
     return (order, [found[i][0] for i in order], [found[i][1] for i in order],
             (shares.get(0, 0), shares.get(1, 0)))

@@ -227,10 +227,15 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the smallest doc_id stays.
 
-    Of rows that repeat a kept doc_id, one stays.  A row without doc_id stays.
+    Of rows that repeat a kept doc_id, the one of smallest text stays (a null text is the smallest), of
+    equal ones that of smallest columns as JSON.  Rows without doc_id, and documents without words, stay.
+    Without documents there are no rows; all columns are kept, whatever their names.
     """
     judged = materialize(near_duplicates(docs, **options).select("doc_id", "kept"), "kept")
     kept = by_id(docs, judged.filter("NOT kept"), "left_anti")
     repeated = judged.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    return by_id(kept, repeated, "left_anti").unionAll(
-        by_id(kept, repeated, "left_semi").dropDuplicates(["doc_id"]))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    several = by_id(kept, repeated, "left_semi").select("doc_id", whole.alias("row"), F.struct(
+        F.col("text"), F.to_json(whole)).alias("place"))
+    one = several.groupBy("doc_id").agg(F.min_by("row", "place").alias("row"))
+    return by_id(kept, repeated, "left_anti").unionAll(one.select("row.*"))

@@ -323,9 +323,10 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rate: float = RATE) -> DataF
     """The rows of ``docs`` with every found span in ``text`` replaced by ``mark``.
 
     Overlapping spans share one mark.  ``n_chars``, where there is one, follows the new text.  Rows
-    without finds, and null texts, stay as they are.
+    without finds, and null texts, stay as they are; so do all other columns, whatever their names.
     """
-    rows = find_secrets(docs.withColumn("_original", F.col("text")), rate)
+    rows = find_secrets(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"), rate)
+    own = lambda c: F.col("row").getField(c)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     text = F.col("text")
 
@@ -337,9 +338,10 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rate: float = RATE) -> DataF
 
     done = F.aggregate("found", start, step, lambda acc: F.concat(
         acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
-    rows = rows.withColumn("_hit", F.size("found") > 0).withColumn(
-        "text", F.when(F.col("_hit"), done).otherwise(F.col("_original")))
+    hit = F.size("found") > 0
+    rows = rows.withColumn("text", F.when(hit, done).otherwise(own("text")))
+    columns = {c: own(c) for c in docs.columns}
+    columns["text"] = F.col("text")
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.col("_hit"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        columns["n_chars"] = F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(own("n_chars"))
+    return rows.select(*[value.alias(c) for c, value in columns.items()])

@@ -38,6 +38,44 @@ def test_stages_take_effect(spark):
 
 def test_all_are_registered():
     names = set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op") and k[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op") and k[2].isdigit()}
     assert "pipeline" in names and len(C.STAGES) == 5
     assert set(E.oracle_sql()) <= names
+
+
+def _odd(docs_of):
+    """Null, empty and long texts, repeated ids with several texts, equal rows, no ids, and clashing columns."""
+    text = "the quick brown fox jumps over the lazy dog while seven wizards watch from a quiet hill at dawn"
+    rows = [(i, f"{text} number {i} and {i * 7} in plain prose") for i in range(20)]
+    rows += [(100, None), (101, ""), (102, "word " * 60_000), (103, "b " + text), (103, "a " + text), (103, None), (104, text),
+             (104, text), (None, text), (None, None), (105, f"password=hunter2hunter2 {text}")]
+    return docs_of(rows).selectExpr("*", *[f"'{c}' AS {c}" for c in (
+        "kept", "score", "predicted", "base", "found", "tested", "n_shingles", "component", "row", "place", "count",
+        "item_id", "tokens", "ids", "decoded")])
+
+
+def test_every_stage_takes_odd_rows(spark, docs_of):
+    docs = _odd(docs_of)
+    for name, stage in C.STAGES:
+        first = sorted(map(str, stage(spark, docs, SF).collect()))
+        assert first == sorted(map(str, stage(spark, docs.repartition(7), SF).collect())), name
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+        if name != C.STAGES[-1][0]:
+            out = stage(spark, docs, SF)
+            assert out.columns == docs.columns
+            assert all(r[c] == c for r in out.collect() for c in docs.columns[5:])
+
+
+def test_repeated_ids_keep_the_smallest_text(spark, docs_of):
+    kept = neardup.keep_first(_odd(docs_of)).collect()
+    by = {}
+    for r in kept:
+        by.setdefault(r.doc_id, []).append(r.text)
+    assert all(len(t) == 1 for i, t in by.items() if i is not None) and len(by[None]) == 2
+    if 103 in by:
+        assert by[103] == [None]
+    assert 100 in by and 101 in by
+
+
+def test_pipeline_runs_alike_twice(spark):
+    assert sorted(map(str, C.run(spark, SF).collect())) == sorted(map(str, C.run(spark, SF).collect()))

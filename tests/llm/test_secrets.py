@@ -32,7 +32,7 @@ def _rows():
 
 def test_base_equals_re(docs_of):
     rows = _rows()
-    got = S.secret_digest(docs_of(rows).selectExpr("*", "1 AS found", "2 AS tested").drop("found", "tested")).collect()
+    got = S.secret_digest(docs_of(rows).selectExpr("*", "1 AS found", "2 AS tested", "3 AS base", "4 AS _hex")).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[1:])
     want = []
     for i, t in rows:
@@ -124,3 +124,19 @@ def test_keys_behind_names_and_in_paths_are_found(docs_of):
     assert not [p for i, p in enumerate(plain) if got[500 + i]]
     clean = {r.doc_id: r.text for r in S.redact(docs_of(rows)).collect()}
     assert clean[0] == "aws_key=[SECRET] end"
+
+
+def test_redact_keeps_clashing_columns(docs_of):
+    """Columns of the operator's own names come back unchanged; null, empty, long and repeated rows."""
+    rows = [(1, "token=abcdefgh123 end"), (2, None), (3, ""), (4, "plain words " * 20_000), (1, "token=abcdefgh123 end"), (None, "x")]
+    docs = docs_of(rows).selectExpr("*", "'a' AS base", "'b' AS found", "'c' AS tested", "'d' AS row", "'e' AS _hit",
+                                    "'f' AS _original", "'g' AS `dotted.name`")
+    got = S.redact(docs).collect()
+    assert S.redact(docs).columns == docs.columns and len(got) == len(rows)
+    assert all((r.base, r.found, r.tested, r.row, r._hit, r._original, r["dotted.name"]) == tuple("abcdefg") for r in got)
+    text = {}
+    for r in got:
+        text.setdefault(r.doc_id, []).append((r.text, r.n_chars))
+    assert text[1] == [("[SECRET] end", 12)] * 2 and text[2] == [(None, None)] and text[3] == [("", 0)]
+    assert text[4] == [("plain words " * 20_000, 240_000)] and text[None] == [("x", 1)]
+    assert S.redact(docs.limit(0)).count() == 0
