@@ -48,6 +48,18 @@ def windowed_accumulate(stream: DataFrame, ts_col: str, value_col: str, window:
                     back(F.col("w.end")).alias("window_end"), "n", "total"))
 
 
+def run_to_path(result: DataFrame, tag: str = "out", root: str | None = None) -> str:
+    """Append what a streaming result holds to Parquet and return its folder.
+
+    ``root`` named again by a later run goes on from the checkpoint it holds; a fresh folder by default.
+    """
+    root = root or _scratch(result.sparkSession, tag)
+    q = (result.writeStream.format("parquet").option("path", f"{root}/data")
+         .option("checkpointLocation", f"{root}/checkpoint").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return f"{root}/data"
+
+
 def run_to_table(result: DataFrame, output_mode: str = "append", tag: str = "out") -> DataFrame:
     """Run a streaming result to completion into Parquet and return it as a batch DataFrame.
 
@@ -56,16 +68,15 @@ def run_to_table(result: DataFrame, output_mode: str = "append", tag: str = "out
     what the caller keeps.
     """
     spark = result.sparkSession
+    if output_mode == "append":
+        return spark.read.schema(result.schema).parquet(run_to_path(result, tag))
     root = _scratch(spark, tag)
     out, ckpt = f"{root}/data", f"{root}/checkpoint"
-    if output_mode == "append":
-        q = (result.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-             .outputMode("append").trigger(availableNow=True).start())
-    else:
-        def write(batch: DataFrame, batch_id: int) -> None:
-            batch.withColumn("__batch", F.lit(batch_id)).write.mode("append").parquet(out)
-        q = (result.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
-             .outputMode(output_mode).trigger(availableNow=True).start())
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("__batch", F.lit(batch_id)).write.mode("append").parquet(out)
+    q = (result.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+         .outputMode(output_mode).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out)
 
