@@ -11,7 +11,10 @@ distribute it whatever the data size:
 * ``score(model, pdf, params) -> pd.DataFrame``: vectorised scoring of a batch
   (``mapInPandas`` with the models shipped in the task closure);
 * ``details(model, params) -> pd.DataFrame`` (optional): the model view,
-  with a declared output schema.
+  with a declared output schema;
+* ``weights(model, pdf, params, column) -> pd.DataFrame`` (optional): the weight of every attribute in
+  score ``column`` of each row, one column per entry of ``attributes``; it feeds prediction details.
+  :func:`left_out_weights` makes one of any score function.
 
 Partitioned builds (one model per partition value) add the partition key to
 the statistics ``groupBy``; no group of rows is ever gathered in one task.
@@ -40,6 +43,8 @@ class UserAlgorithm:
     details: Callable | None = None
     details_schema: str | None = None
     settings_schema: dict = field(default_factory=dict)  # setting -> (type, default, (lo, hi) or None)
+    weights: Callable | None = None
+    attributes: list = field(default_factory=list)  # the columns of ``weights``
 
     def validate(self, params: dict) -> dict:
         out = {}
@@ -90,27 +95,59 @@ class UserModel(MiningModel):
 
         A row whose partition has no model keeps its place and gets NULL scores.
         """
-        algo, params, models, pcol = self.algo, self.params, self.models, self.partition_col
+        algo, params = self.algo, self.params
+        return self._batches(df, keep, algo.score_schema, lambda model, pdf: algo.score(model, pdf, params))
+
+    def _batches(self, df: DataFrame, keep: list[str], added: str, call: Callable) -> DataFrame:
+        """``keep`` and the columns ``added`` that ``call(model, pdf)`` makes with each row's own model."""
+        models, pcol = self.models, self.partition_col
+        names = [x.split()[0].strip("`") for x in added.split(",")]
 
         def run(batches):
             for pdf in batches:
                 if pcol is None:
-                    out = algo.score(models[None], pdf, params)
+                    out = call(models[None], pdf)
                     yield pd.concat([pdf[keep].reset_index(drop=True), out.reset_index(drop=True)], axis=1)
                     continue
                 for key, part in pdf.groupby("__key", sort=False, dropna=False):
                     kept = part[keep].reset_index(drop=True)
                     model = models.get(key if isinstance(key, str) else None)
                     if model is None:
-                        yield kept.reindex(columns=[*keep, *scores])  # scores are NULL
+                        yield kept.reindex(columns=[*keep, *names])  # scores are NULL
                         continue
-                    out = algo.score(model, part, params)
-                    yield pd.concat([kept, out.reset_index(drop=True)], axis=1)
+                    yield pd.concat([kept, call(model, part).reset_index(drop=True)], axis=1)
+
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
-        scores = [x.split()[0] for x in self.algo.score_schema.split(",")]
         if pcol is not None:  # the key as text, as in the build, whatever its type
             df = df.withColumn("__key", F.col(pcol).cast("string"))
-        return df.mapInPandas(run, f"{schema}, {self.algo.score_schema}")
+        return df.mapInPandas(run, f"{schema}, {added}")
+
+    def weights(self, df: DataFrame, keep: list[str], column: str) -> DataFrame:
+        """``keep`` and one double ``weight_<attribute>`` per attribute: its weight in score ``column``.
+
+        One pass of the user's weight function over the batches; a weight that is not finite is NULL.
+        """
+        algo, params = self.algo, self.params
+        if algo.weights is None:
+            raise ValueError(f"{algo.name} has no weight function")
+        names = [f"weight_{a}" for a in algo.attributes]
+
+        def call(model, pdf):
+            out = algo.weights(model, pdf, params, column)[algo.attributes].astype(float)
+            return out.replace([np.inf, -np.inf], np.nan).set_axis(names, axis=1)
+
+        return self._batches(df, keep, ", ".join(f"`{n}` double" for n in names), call)
+
+    def prediction_details(self, df: DataFrame, keep: list[str], column: str, top_n: int = 5, name: str = "details") -> DataFrame:
+        """``keep`` and ``name``: the top attributes of each row by the user's weights, largest first.
+
+        array<struct<attribute_name, attribute_value, weight, rank>>; NULL weights come last.
+        """
+        from quarry.operators.details import details_array
+        held = list(dict.fromkeys([*keep, *self.algo.attributes]))
+        w = self.weights(df, held, column)
+        items = [(a, F.col(a), F.col(f"weight_{a}")) for a in self.algo.attributes]
+        return w.select(*keep, details_array(items, top_n, by_abs=False).alias(name))
 
     def details_df(self):
         from pyspark.sql import SparkSession
@@ -168,6 +205,21 @@ def fit_user_model(df: DataFrame, algo: UserAlgorithm, params: dict | None = Non
                      settings={"ALGO_EXTENSIBLE_LANG": "Python", **params})
 
 
+def left_out_weights(score: Callable, attributes: list[str]) -> Callable:
+    """A weight function: the score over the score with the attribute left out (0 for numbers, else missing)."""
+    def weights(model, pdf, params, column):
+        full = score(model, pdf, params)[column].to_numpy(float)
+        out = {}
+        for a in attributes:
+            blank = 0.0 if pd.api.types.is_numeric_dtype(pdf[a]) else None
+            without = score(model, pdf.assign(**{a: blank}), params)[column].to_numpy(float)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                out[a] = full / without
+        return pd.DataFrame(out)
+
+    return weights
+
+
 # ------------------------------------------------------------------ example algorithm
 def ridge_algorithm(features: list[str], target: str) -> UserAlgorithm:
     """A user-defined ridge regression written in sufficient-statistics form."""
@@ -190,4 +242,5 @@ def ridge_algorithm(features: list[str], target: str) -> UserAlgorithm:
     return UserAlgorithm(name="user_ridge", partial=partial, finalize=finalize, score=score,
                          score_schema="prediction double", details=details,
                          details_schema="attribute_name string, coefficient double",
-                         settings_schema={"lambda": (float, 0.0, (0.0, 1e6))})
+                         settings_schema={"lambda": (float, 0.0, (0.0, 1e6))},
+                         weights=left_out_weights(score, features), attributes=list(features))
