@@ -177,11 +177,15 @@ class NMFModel(MiningModel):
 
 def nnls_rows(v: np.ndarray, h: np.ndarray, sweeps: int = 200) -> np.ndarray:
     """W >= 0 that minimises |v - W h| row by row, by coordinate descent over all rows at once."""
-    gram, cross = h @ h.T, v @ h.T
+    return nnls_cross(h @ h.T, v @ h.T, sweeps)
+
+
+def nnls_cross(gram: np.ndarray, cross: np.ndarray, sweeps: int = 200) -> np.ndarray:
+    """The same from h h' and v h', so v may be sparse."""
     w = np.maximum(cross @ np.linalg.pinv(gram), 0.0)
     for _ in range(sweeps):
         moved = 0.0
-        for j in range(len(h)):
+        for j in range(len(gram)):
             if gram[j, j] > 0:
                 new = np.maximum(w[:, j] + (cross[:, j] - w @ gram[:, j]) / gram[j, j], 0.0)
                 moved = max(moved, float(np.abs(new - w[:, j]).max(initial=0.0)))
@@ -191,6 +195,19 @@ def nnls_rows(v: np.ndarray, h: np.ndarray, sweeps: int = 200) -> np.ndarray:
     return w
 
 
+def solve_h(h: np.ndarray, ww: np.ndarray, wv: np.ndarray) -> np.ndarray:
+    """H >= 0 of least error for given W, from W'W and W'V, by coordinate descent on its rows from ``h``."""
+    h = h.copy()
+    for _ in range(200):
+        before = h.copy()
+        for j in range(len(h)):
+            if ww[j, j] > 0:
+                h[j] = np.maximum(h[j] + (wv[j] - ww[j] @ h) / ww[j, j], 0.0)
+        if np.abs(h - before).max() <= 1e-12 * max(1.0, np.abs(h).max()):
+            break
+    return h
+
+
 class NMF:
     """Non-negative matrix factorization V ~ W H by alternating non-negative least squares.
 
@@ -227,13 +244,7 @@ class NMF:
         model.errors.append(err)
         converged = False
         for _ in range(self.max_iter):
-            for _ in range(200):  # H given W: coordinate descent on its k rows
-                before = h.copy()
-                for j in range(k):
-                    if ww[j, j] > 0:
-                        h[j] = np.maximum(h[j] + (wv[j] - ww[j] @ h) / ww[j, j], 0.0)
-                if np.abs(h - before).max() <= 1e-12 * max(1.0, np.abs(h).max()):
-                    break
+            h = solve_h(h, ww, wv)
             ww, wv, now = sums(h)
             model.errors.append(now)
             converged = err - now <= self.tol * max(err, 1e-12)
