@@ -17,8 +17,9 @@ without AS (SELECT a.cust_id, v.attr, g.t, g.l - coalesce(term.s, 0) AS l
             LEFT JOIN term ON term.cust_id = a.cust_id AND term.attr = v.attr AND term.t = g.t),
 odds AS (SELECT cust_id, attr, max(CASE WHEN t = 1 THEN l END) - max(CASE WHEN t = 0 THEN l END) AS o
          FROM without GROUP BY cust_id, attr)
-SELECT o.cust_id, o.attr AS attribute_name, round(w.p1 - 1 / (1 + exp(-o.o)), {R}) AS weight
-FROM odds o JOIN wide w ON w.cust_id = o.cust_id"""
+SELECT cust_id, attribute_name, CASE WHEN weight = 0 THEN 0.0 ELSE weight END AS weight  -- no negative zeros
+FROM (SELECT o.cust_id, o.attr AS attribute_name, round(w.p1 - 1 / (1 + exp(-o.o)), {R}) AS weight
+      FROM odds o JOIN wide w ON w.cust_id = o.cust_id)"""
     q["user_algorithm_weights"] = f"""WITH {CASE360},
 b AS (SELECT region, CAST(n_orders AS DOUBLE) AS x, CAST(coalesce(acctbal, 0) AS DOUBLE) AS z, sum_qty AS y
       FROM case360 WHERE {_split(0)}),
