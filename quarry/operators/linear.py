@@ -86,19 +86,29 @@ def fit_design(df: DataFrame, numeric: list[str], categorical: list[str], quadra
 
 
 # --------------------------------------------------------------------- statistics
-def sum_blocks(df: DataFrame, block) -> np.ndarray | None:
+def sum_blocks(df: DataFrame, block, held: bool = False) -> np.ndarray | None:
     """The sum of ``block(columns)`` - a flat array - over all Arrow batches of ``df``.
 
     The one kernel of the iterative fits: every partition adds up its own blocks (matrix products
     in numpy) and Spark adds the partitions' blocks entry by entry, so only one block reaches the
     driver.  Nulls are 0.  None for a table without rows.
+
+    ``held``: ``df`` comes from :func:`quarry.session.hold` and its block is small, so the driver adds
+    the blocks of its few partitions and a pass is one stage.
     """
-    def run(batches):
+    def total_of(batches):
         total = None
         for batch in batches:
             if batch.num_rows:
                 own = block([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns])
                 total = own if total is None else total + own
+        return total
+
+    if held:
+        return sum_held(df, total_of)
+
+    def run(batches):
+        total = total_of(batches)
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)],
                                              names=["pos", "v"])
@@ -112,6 +122,17 @@ def sum_blocks(df: DataFrame, block) -> np.ndarray | None:
     return out
 
 
+def sum_held(df: DataFrame, total_of) -> np.ndarray | None:
+    """The sum of ``total_of(batches)`` - a flat array or None - over the few partitions of held rows."""
+    def run(batches):
+        total = total_of(batches)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([np.asarray(total, np.float64).tobytes()], pa.binary())], names=["block"])
+
+    blocks = [np.frombuffer(bytes(r["block"]), np.float64) for r in df.mapInArrow(run, "block binary").collect()]
+    return np.sum(blocks, axis=0) if blocks else None
+
+
 def gram_block(m: np.ndarray, w: np.ndarray) -> np.ndarray:
     """w m m' summed over the rows of m, flat, then the sum of w and the row count."""
     return np.concatenate((((m * w[:, None]).T @ m).ravel(), [w.sum(), len(w)]))

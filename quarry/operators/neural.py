@@ -20,7 +20,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +27,7 @@ from quarry.functions.scalar import _sql_double
 from quarry.operators.linear import sum_blocks
 from quarry.operators.prep import Normalizer, fit_normalizer
 from quarry.plans.model import MiningModel
+from quarry.session import hold
 
 
 def _q(c: str) -> str:
@@ -128,9 +128,9 @@ class NeuralRegression:
                                   default_settings=dict(self.DEFAULTS), signature=[(c, "NUMBER") for c in cols])
         p, H = len(cols), self.H
         xs = m._x_sql(data)
-        prep = data.selectExpr(*[f"{x} AS x{j}" for j, x in enumerate(xs)],
-                               f"(CAST({_q(self.target)} AS DOUBLE) - {_sql_double(m.t_mean)}) / "
-                               f"{_sql_double(m.t_std)} AS t").persist(StorageLevel.MEMORY_AND_DISK)
+        prep = hold(data.selectExpr(*[f"{x} AS x{j}" for j, x in enumerate(xs)],
+                                    f"(CAST({_q(self.target)} AS DOUBLE) - {_sql_double(m.t_mean)}) / "
+                                    f"{_sql_double(m.t_std)} AS t"))
         try:
             n = prep.count()
 
@@ -149,7 +149,7 @@ class NeuralRegression:
                     d = e[:, None] * v * h * (1 - h)
                     return np.concatenate(([e @ e], (d.T @ x).ravel(), d.sum(axis=0), e @ h, [e.sum()]))
 
-                r = sum_blocks(prep, block)
+                r = sum_blocks(prep, block, held=True)
                 r = np.zeros(len(w) + 1) if r is None else r
                 reg = 0.5 * self.lam * (np.sum(W ** 2) + np.sum(v ** 2))
                 f = 0.5 * r[0] / max(n, 1) + reg

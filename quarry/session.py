@@ -10,7 +10,10 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+
+PARTITIONS_A_CORE = 2  # of rows that a fit reads again and again
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -73,3 +76,14 @@ def session_key(spark: SparkSession) -> str:
     Unlike the address of a session object it is never used again by a later session.
     """
     return spark.sparkContext.applicationId
+
+
+def hold(rows: DataFrame) -> DataFrame:
+    """``rows`` persisted for the passes of a fit, dealt evenly over a fixed number of partitions a core.
+
+    A pass over a persisted join has a task for each of the join's partitions, and every task returns the
+    counters of the whole plan behind it (over 20 KB), pass after pass.  Behind this one shuffle a pass
+    has few tasks that return little, however large the input; a lost block is made again from the shuffle.
+    """
+    cores = max(rows.sparkSession.sparkContext.defaultParallelism, 1)
+    return rows.repartition(PARTITIONS_A_CORE * cores).persist(StorageLevel.MEMORY_AND_DISK)

@@ -493,3 +493,46 @@ def test_linear_svm_separates_what_can_be_separated(spark):
     m = ml.fit_classifier(df, "t", ["x", "y"], [], ml.linear_svm(df.count()), "ALGO_SUPPORT_VECTOR_MACHINES", scale=True)
     wrong = m.transform(df).filter(F.col("prediction").cast("int") != F.col("t")).count()
     assert wrong <= 12
+
+
+def test_a_fit_reads_few_partitions_again_and_again(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.operators.linear import sum_blocks
+    from quarry.session import PARTITIONS_A_CORE, hold
+    rows = hold(spark.range(0, 1000, 1, 97).select(F.col("id").cast("double").alias("x")))
+    try:
+        assert rows.rdd.getNumPartitions() == PARTITIONS_A_CORE * spark.sparkContext.defaultParallelism
+        assert sum_blocks(rows, lambda c: c[0].sum(keepdims=True), held=True).tolist() == [499500.0]
+        assert sum_blocks(rows.filter("x < 0"), lambda c: c[0].sum(keepdims=True), held=True) is None
+    finally:
+        rows.unpersist()
+
+
+def _passes_of(monkeypatch, module):
+    """The partitions of the rows that a module's fits hold."""
+    seen, real = [], module.hold
+
+    def hold(rows):
+        held = real(rows)
+        seen.append(held.rdd.getNumPartitions())
+        return held
+
+    monkeypatch.setattr(module, "hold", hold)
+    return seen
+
+
+def _wide_cases(spark):
+    from pyspark.sql import functions as F
+    return spark.createDataFrame(
+        [(i, "ab"[i % 2], float(i % 7), float(i * i % 11), float(i % 7 + 2 * (i * i % 11))) for i in range(80)],
+        "id long, seg string, a double, b double, y double").withColumn(
+        "bag", F.when(F.col("id") % 3 != 0, F.create_map(F.lit("k"), F.col("a")))).repartition(60, "id")
+
+
+def test_neural_fit_holds_few_partitions(spark, monkeypatch):
+    from quarry.operators import neural
+    seen = _passes_of(monkeypatch, neural)
+    m = neural.NeuralRegression("y", hidden=2, max_iter=3, seed=1).fit(_wide_cases(spark), ["a", "b"])
+    assert seen == [2 * spark.sparkContext.defaultParallelism]
+    assert len(m.losses) >= 2 and m.losses[-1] <= m.losses[0]
