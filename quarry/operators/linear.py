@@ -122,6 +122,9 @@ def sum_blocks(df: DataFrame, block, held: bool = False) -> np.ndarray | None:
     return out
 
 
+SMALL_BLOCK = 4096  # numbers that every task of a held table may send the driver in each pass
+
+
 def sum_held(df: DataFrame, total_of) -> np.ndarray | None:
     """The sum of ``total_of(batches)`` - a flat array or None - over the few partitions of held rows."""
     def run(batches):

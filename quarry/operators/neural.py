@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import _sql_double
-from quarry.operators.linear import sum_blocks
+from quarry.operators.linear import SMALL_BLOCK, sum_blocks
 from quarry.operators.prep import Normalizer, fit_normalizer
 from quarry.plans.model import MiningModel
 from quarry.session import hold
@@ -149,7 +149,7 @@ class NeuralRegression:
                     d = e[:, None] * v * h * (1 - h)
                     return np.concatenate(([e @ e], (d.T @ x).ravel(), d.sum(axis=0), e @ h, [e.sum()]))
 
-                r = sum_blocks(prep, block, held=True)
+                r = sum_blocks(prep, block, held=len(w) < SMALL_BLOCK)
                 r = np.zeros(len(w) + 1) if r is None else r
                 reg = 0.5 * self.lam * (np.sum(W ** 2) + np.sum(v ** 2))
                 f = 0.5 * r[0] / max(n, 1) + reg

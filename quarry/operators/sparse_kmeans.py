@@ -14,22 +14,31 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.linear import SMALL_BLOCK, sum_held
+from quarry.session import hold
+
 MAX_NUMBERS = 4_000_000  # clusters x attributes at the driver
 
 
-def sum_batches(df: DataFrame, block: Callable) -> np.ndarray | None:
-    """The sum of the flat arrays ``block(batch)`` over all Arrow batches; None without rows."""
-    def run(batches):
+def sum_batches(df: DataFrame, block: Callable, width: int) -> np.ndarray | None:
+    """The sum of the flat arrays ``block(batch)`` of ``width`` over all Arrow batches of held rows; None without rows."""
+    def total_of(batches):
         total = None
         for batch in batches:
             if batch.num_rows:
                 own = block(batch)
                 total = own if total is None else total + own
+        return total
+
+    if width <= SMALL_BLOCK:
+        return sum_held(df, total_of)
+
+    def run(batches):
+        total = total_of(batches)
         if total is not None:
             at = np.flatnonzero(total)
             at = at if len(at) else np.zeros(1, np.int64)
@@ -135,14 +144,14 @@ def fit_bag_kmeans(df: DataFrame, numeric: list[str], bag: str, k: int, max_iter
     Centres start at ``k`` distinct rows of smallest hash; an empty cluster keeps its centre.  Fewer
     distinct rows give fewer clusters.
     """
-    keys = [r.key for r in df.select(F.explode(F.map_keys(bag).cast("array<string>")).alias("key")).distinct()
-            .limit(MAX_NUMBERS // max(k, 1) + 1).collect()]
-    if (len(keys) + len(numeric)) * k > MAX_NUMBERS:
-        raise ValueError(f"{k} clusters of {len(keys) + len(numeric)} attributes exceed {MAX_NUMBERS} numbers; hash the keys first")
-    keys.sort()
-    p, m = len(numeric), len(keys)
-    rows = df.select(*_inputs(numeric, bag)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = hold(df.select(*_inputs(numeric, bag)))
     try:
+        keys = [r.key for r in rows.select(F.explode("__keys").alias("key")).distinct()
+                .limit(MAX_NUMBERS // max(k, 1) + 1).collect()]
+        if (len(keys) + len(numeric)) * k > MAX_NUMBERS:
+            raise ValueError(f"{k} clusters of {len(keys) + len(numeric)} attributes exceed {MAX_NUMBERS} numbers; hash the keys first")
+        keys.sort()
+        p, m = len(numeric), len(keys)
         raw = BagReader(np.zeros(p), np.ones(p), {key: i for i, key in enumerate(keys)}, np.ones(m))
 
         def moments(batch):
@@ -153,7 +162,7 @@ def fit_bag_kmeans(df: DataFrame, numeric: list[str], bag: str, k: int, max_iter
             return np.concatenate(([batch.num_rows], known.sum(0), x.sum(0), (x * x).sum(0),
                                    np.bincount(column, value * value, minlength=m)))
 
-        s = sum_batches(rows, moments)
+        s = sum_batches(rows, moments, 1 + 3 * p + m)
         if s is None:
             raise ValueError("no rows")
         n, known = s[0], np.maximum(s[1:1 + p], 1)
@@ -181,7 +190,8 @@ def fit_bag_kmeans(df: DataFrame, numeric: list[str], bag: str, k: int, max_iter
                 sparse = np.bincount(near[row] * m + column, value, minlength=kk * m)
                 return np.concatenate(([d[np.arange(len(near)), near].sum()], member.sum(0), (member.T @ z).ravel(), sparse))
 
-            s, kk = sum_batches(rows, step), len(model.centers)
+            kk = len(model.centers)
+            s = sum_batches(rows, step, 1 + kk + kk * (p + m))
             sizes = s[1:1 + kk]
             sums = np.concatenate((s[1 + kk:1 + kk + kk * p].reshape(kk, p), s[1 + kk + kk * p:].reshape(kk, m)), 1)
             new = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], model.centers)

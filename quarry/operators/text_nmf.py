@@ -152,12 +152,12 @@ def _fit(rows: DataFrame, model: TextNMFModel, k: int, max_iter: int, tol: float
             wv = np.concatenate([np.bincount(place, weight * wj[row], minlength=m) for wj in w.T])
             return np.concatenate((ww.ravel(), wv, [weight @ weight - 2 * (w * cross).sum() + (ww * gram).sum()]))
 
-        flat = sum_batches(rows, block)
+        flat = sum_batches(rows, block, k * k + k * m + 1)
         if flat is None:
             raise ValueError("every term occurs in all documents")
         return flat[:k * k].reshape(k, k), flat[k * k:-1].reshape(k, m), float(flat[-1])
 
-    mean = sum_batches(rows, lambda b: np.bincount(_sparse(b)[1], _sparse(b)[2], minlength=m) / 1.0)
+    mean = sum_batches(rows, lambda b: np.bincount(_sparse(b)[1], _sparse(b)[2], minlength=m) / 1.0, m)
     if mean is None:
         raise ValueError("every term occurs in all documents")
     h = np.random.default_rng(seed).random((k, m)) * (mean / max(mean.max(), 1e-300))

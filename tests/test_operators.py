@@ -536,3 +536,48 @@ def test_neural_fit_holds_few_partitions(spark, monkeypatch):
     m = neural.NeuralRegression("y", hidden=2, max_iter=3, seed=1).fit(_wide_cases(spark), ["a", "b"])
     assert seen == [2 * spark.sparkContext.defaultParallelism]
     assert len(m.losses) >= 2 and m.losses[-1] <= m.losses[0]
+
+
+def test_bag_kmeans_holds_few_partitions(spark, monkeypatch):
+    from quarry.operators import sparse_kmeans
+    seen = _passes_of(monkeypatch, sparse_kmeans)
+    df = _wide_cases(spark)
+    m = sparse_kmeans.fit_bag_kmeans(df, ["a", "b"], "bag", 3)
+    assert seen == [2 * spark.sparkContext.defaultParallelism]
+    assert m.sizes.sum() == 80 and m.converged
+    got = m.cluster_id(df).groupBy("cluster_id").count().collect()
+    assert {r.cluster_id: r["count"] for r in got} == {j + 1: int(n) for j, n in enumerate(m.sizes) if n}
+
+
+def test_kmeans_tree_holds_few_partitions(spark, monkeypatch):
+    from quarry.operators import clustering
+    seen = _passes_of(monkeypatch, clustering)
+    m = clustering.HierarchicalKMeans(k=3).fit(_wide_cases(spark), ["a", "b"])
+    assert seen == [2 * spark.sparkContext.defaultParallelism]
+    assert sum(leaf.n for leaf in m.leaves()) == 80
+
+
+def test_partitioned_fits_hold_few_partitions(spark, monkeypatch):
+    from quarry.operators import partitioned
+    seen = _passes_of(monkeypatch, partitioned)
+    df = _wide_cases(spark)
+    rows = partitioned.anomalies_over(df, "seg", ["a", "b"]).models(spark).collect()
+    clusters = partitioned.clusters_over(df, "seg", ["a", "b"], 2, max_iter=3)
+    assert seen == [2 * spark.sparkContext.defaultParallelism] * 2
+    assert len(rows) == 2 and {k: n.sum() for k, n in clusters.sizes.items()} == {"a": 40, "b": 40}
+
+
+def test_mixture_holds_few_partitions(spark, monkeypatch):
+    from quarry.operators import mixture
+    seen = _passes_of(monkeypatch, mixture)
+    m = mixture.Mixture(components=2, clusters=2, max_iter=4).fit(_wide_cases(spark), ["a", "b"], ["seg"])
+    assert seen == [2 * spark.sparkContext.defaultParallelism]
+    assert abs(m.components.prior.sum() - 1) < 1e-9 and m.history == sorted(m.history)
+
+
+def test_oneclass_svm_holds_few_partitions(spark, monkeypatch):
+    from quarry.operators import oneclass
+    seen = _passes_of(monkeypatch, oneclass)
+    m = oneclass.OneClassSVM(n_features=4, max_iter=2).fit(_wide_cases(spark), ["a", "b"])
+    assert seen == [2 * spark.sparkContext.defaultParallelism]
+    assert len(m.history) == 2
