@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.prep import Normalizer, fit_normalizer
 from quarry.plans.model import MiningModel
+from quarry.session import hold
 
 
 def sq_dist(cols: list[Column], center) -> Column:
@@ -230,9 +231,9 @@ class HierarchicalKMeans:
                                           "KMNS_CONV_TOLERANCE": self.tol,
                                           "KMNS_SPLIT_CRITERION": "KMNS_" + self.split.upper()},
                                 default_settings=dict(self.DEFAULTS))
-        # z-scored, mean-imputed rows; cached because every iteration scans them
+        # z-scored, mean-imputed rows; held because every iteration scans them
         names = [f"__z{i}" for i in range(len(cols))]
-        data = df.select(*[x.alias(nm) for x, nm in zip(model._x(df), names)]).cache()
+        data = hold(df.select(*[x.alias(nm) for x, nm in zip(model._x(df), names)]))
         zc = [F.col(nm) for nm in names]
         r = data.agg(F.count(F.lit(1)).alias("n"), *[F.avg(nm).alias(nm) for nm in names]).collect()[0]
         root_c = np.array([r[nm] or 0.0 for nm in names])
