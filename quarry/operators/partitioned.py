@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from quarry.session import hold
+
 MAX_BYTES = 256 << 20
 
 
@@ -286,7 +288,7 @@ def clusters_over(df: DataFrame, key: str, cols: list[str], k: int, max_iter: in
                for key_value, a in first.axes.items()}
     scales = first.scales
     live, iterations, sizes = set(centers), dict.fromkeys(centers, 0), {}
-    rows = _prepared(df, key, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = hold(_prepared(df, key, cols))
     try:
         for _ in range(max_iter):
             def block(key_value, x, live=frozenset(live), centers=dict(centers)):
@@ -403,7 +405,7 @@ def anomalies_over(df: DataFrame, key: str, cols: list[str], outlier_rate: float
     rng = np.random.default_rng(seed)
     W = rng.normal(0.0, np.sqrt(2.0 * (gamma or 1.0 / p)), size=(d, p))
     b = rng.uniform(0.0, 2 * np.pi, size=d)
-    rows = _prepared(df, key, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = hold(_prepared(df, key, cols))
     try:
         scales = fit_scales(rows, p)
         states = {}
