@@ -18,13 +18,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.linear import fit_design, sum_blocks
+from quarry.operators.linear import SMALL_BLOCK, fit_design, sum_blocks
 from quarry.plans.model import MiningModel
+from quarry.session import hold
 
 FLOOR = 1e-6  # of an attribute's variance: the least variance of a component
 
@@ -212,7 +212,8 @@ class Mixture:
         rows = df.select(*inputs).select(
             *[F.nanvl(F.coalesce(F.col(f"__x{i}"), F.lit(0.0)), F.lit(0.0)).alias(f"__v{i}") for i in range(p)],
             *[(F.col(f"__x{i}").isNotNull() & ~F.isnan(f"__x{i}")).cast("double").alias(f"__k{i}") for i in range(p)],
-            *[f"__x{p + j}" for j in range(len(sizes))]).persist(StorageLevel.MEMORY_AND_DISK)
+            *[f"__x{p + j}" for j in range(len(sizes))])
+        rows = hold(rows)
 
         def read(cols):
             x = np.column_stack(cols[:p]) if p else np.zeros((len(cols[-1]), 0))
@@ -282,7 +283,7 @@ class Mixture:
                 return np.concatenate([[loglik.sum()], r.sum(0), (r.T @ known).ravel(), (r.T @ (shift * known)).ravel(),
                                        (r.T @ (shift ** 2 * known)).ravel()] + counts)
 
-            s = sum_blocks(rows, block)
+            s = sum_blocks(rows, block, held=1 + k * (1 + 3 * p + sum(sizes)) <= SMALL_BLOCK)
             history.append(float(s[0]))
             if len(history) > 1 and history[-1] - history[-2] < self.improvement * abs(history[-2]):
                 return history, True
