@@ -28,13 +28,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import _sql_double
 from quarry.operators.prep import Normalizer, fit_normalizer
 from quarry.plans.model import MiningModel
+from quarry.session import hold
 
 
 @dataclass
@@ -134,7 +134,7 @@ class OneClassSVM:
         phi = m.features_sql(m._x_sql(df))
         D = len(phi)
         fnames = [f"f{d}" for d in range(D)]
-        feats = df.selectExpr(*[f"{f} AS f{d}" for d, f in enumerate(phi)]).persist(StorageLevel.MEMORY_AND_DISK)
+        feats = hold(df.selectExpr(*[f"{f} AS f{d}" for d, f in enumerate(phi)]))
         q = f"percentile_approx(s, {_sql_double(self.nu)}, {int(self.accuracy)})"
         try:
             n = feats.count()
