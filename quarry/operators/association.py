@@ -10,11 +10,11 @@ itemsets, whose number is bounded by ``avg basket size / min_support``):
 * k = 1: ``groupBy(item)`` counts of distinct transactions.
 * k >= 2: candidates are generated from the frequent (k-1)-itemsets by
   the Apriori join + prune (driver-side, on itemsets, not on rows).  The
-  (txn, item) rows of frequent items are hash-partitioned by transaction
-  once; each task counts every candidate over its own transactions by
-  vertical bitmaps (see :func:`count_candidates`) and a ``groupBy`` sums
-  the partial counts.  No pairs of items inside a transaction are
-  enumerated and the row volume is never multiplied by the candidates.
+  rows are hash-partitioned and sorted by transaction once; each task counts
+  every candidate over slices of its own transactions by matrix products
+  (see :func:`count_candidates`) and a ``groupBy`` sums the partial counts.
+  No pairs of items inside a transaction are enumerated and the row volume
+  is never multiplied by the candidates.
 * rules ``A => c`` (single consequent) are built with joins on itemset
   keys: support, confidence, lift, coverage, reverse confidence, count,
   and the summed value of the consequent over supporting transactions.
@@ -29,8 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.plans.model import MiningModel
+from quarry.session import PARTITIONS_A_CORE
 
 BROADCAST_MAX_BYTES = 8 << 20
+ROWS_A_TASK = 2_000_000
 
 
 def itemset_key(items) -> tuple[str, ...]:
@@ -85,7 +87,9 @@ class Apriori:
         base = (df.select(F.col(txn).alias("txn"), F.col(item).cast("string").alias("item"), val.alias("v"))
                 .filter(F.col("item").isNotNull())
                 .groupBy("txn", "item").agg(F.sum("v").alias("v")))
-        base = base.persist()
+        # partitions of at most some ROWS_A_TASK rows, with every transaction in one piece
+        parts = max(PARTITIONS_A_CORE * spark.sparkContext.defaultParallelism, -(-df.count() // ROWS_A_TASK))
+        base = base.repartition(parts, "txn").sortWithinPartitions("txn").persist()
         n_txn = base.select("txn").distinct().count()
         min_count = max(self.min_support_int, _ceil_count(self.min_support, n_txn))
 
@@ -96,20 +100,19 @@ class Apriori:
         frequent = {(r["item"],): int(r["cnt"]) for r in l1_rows}
         level_keys = [(r["item"],) for r in l1_rows]
         values = [((r["item"],), r["item"], r["vsum"]) for r in l1_rows]
-        # rows of frequent items only (semi join with a table bounded by the
-        # frequent-item count), hash-partitioned by transaction so every
-        # transaction's items sit in one partition
+        # rows of frequent items only, as codes (join with a table bounded by the frequent-item count)
         size = sum(len(r["item"].encode()) + 16 for r in l1_rows)
-        fitems = spark.createDataFrame([(r["item"],) for r in l1_rows], "item string")
-        rows = base.join(F.broadcast(fitems) if size <= BROADCAST_MAX_BYTES else fitems, "item") \
-            .repartition("txn").persist()
+        codes = {r["item"]: i for i, r in enumerate(l1_rows)}
+        fitems = spark.createDataFrame(list(codes.items()), "item string, code int")
+        rows = base.join(F.broadcast(fitems), "item") if size <= BROADCAST_MAX_BYTES else \
+            base.join(fitems, "item").repartition(parts, "txn").sortWithinPartitions("txn")
 
         k = 2
         while level_keys and k <= self.max_len:
             cands = _candidates(level_keys)
             if not cands:
                 break
-            kept_rows = count_candidates(rows, cands, min_count)
+            kept_rows = count_candidates(rows, codes, cands, min_count)
             kept = {int(r["cand_id"]): int(r["cnt"]) for r in kept_rows}
             if not kept:
                 break
@@ -121,7 +124,6 @@ class Apriori:
                     c = cands[int(r["cand_id"])]
                     values += [(itemset_key(c), c[j], r[f"v{j}"]) for j in range(k)]
             k += 1
-        rows.unpersist()
         base.unpersist()
 
         model = AssociationModel(
@@ -169,59 +171,88 @@ class Apriori:
                         (F.col("reverse_confidence") >= self.min_rev_confidence))
 
 
-CAND_CHUNK = 512
+CELLS = 1 << 20      # of a slice's transactions x items
+PREFIX_CHUNK = 64
 
 
-def count_candidates(rows: DataFrame, cands: list[tuple], min_count: int):
+def count_candidates(rows: DataFrame, codes: dict, cands: list[tuple], min_count: int):
     """Support count (and per-member value sums) of every candidate itemset.
 
-    ``rows`` (txn, item, v) is hash-partitioned by txn.  Each task builds,
-    for its own transactions, one boolean column per frequent item
-    (items x transactions of that partition) and ANDs the member columns of
-    every candidate - vertical (tid-list) counting with numpy, so no item
-    pairs are emitted and no candidate/row join is materialized.  Partial
-    counts are summed by a ``groupBy(cand_id)``.  Task memory is bounded by
-    (transactions in the partition) x (frequent items).
+    ``rows`` (txn, code, v) holds frequent items by their ``codes``, partitioned and sorted by txn.  Each task
+    takes its transactions in slices of at most ``CELLS`` transactions x items, as 0/1 matrix P and value
+    matrix V.  Candidates share prefixes (all items but the last): with M the product of a prefix' columns,
+    M'P counts them with every last item, M'V adds up the last item's values and (M V_j)'P those of prefix
+    member j - so no item pairs are emitted and no candidate/row join is materialized.  Partial counts are
+    summed by a ``groupBy(cand_id)``.  Task memory is bounded by a slice and the candidates, whatever the
+    partition's size.
     """
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
     k = len(cands[0])
     items = sorted({it for c in cands for it in c})
     index = {it: i for i, it in enumerate(items)}
+    column = np.full(len(codes) + 1, -1)
+    for it, i in index.items():
+        column[codes[it]] = i
     cand_idx = np.array([[index[it] for it in c] for c in cands], dtype=np.int64)
-    schema = "cand_id int, cnt long, " + ", ".join(f"v{j} double" for j in range(k))
+    prefixes, prefix_of = np.unique(cand_idx[:, :-1], axis=0, return_inverse=True)
+    prefix_of = prefix_of.ravel()
+    by_chunk = [np.flatnonzero(prefix_of // PREFIX_CHUNK == c) for c in range(-(-len(prefixes) // PREFIX_CHUNK))]
+    size = max(1, CELLS // len(items))
+
+    def add(sums, row, code, value, n):
+        present, vals = np.zeros((n, len(items))), np.zeros((n, len(items)))
+        present[row, code] = 1.0
+        vals[row, code] = value
+        for c, own in enumerate(by_chunk):
+            pre = prefixes[c * PREFIX_CHUNK:(c + 1) * PREFIX_CHUNK]
+            both = present[:, pre[:, 0]]
+            for j in range(1, k - 1):
+                both = both * present[:, pre[:, j]]
+            at = prefix_of[own] - c * PREFIX_CHUNK, cand_idx[own, -1]
+            sums[0, own] += (both.T @ present)[at]
+            for j in range(k - 1):
+                sums[1 + j, own] += ((both * vals[:, pre[:, j]]).T @ present)[at]
+            sums[k, own] += (both.T @ vals)[at]
+
+    def whole(batches):
+        """(transaction number, item, value) of whole transactions of at least k items, batch by batch."""
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
+            txn = table.column("txn").combine_chunks().dictionary_encode(null_encoding="encode")
+            ids = txn.indices.to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(ids != ids[-1:])
+            cut = int(first[-1]) + 1 if len(first) else 0   # the last transaction may go on in the next batch
+            rest = table.slice(cut).combine_chunks().to_batches()[0] if cut < table.num_rows else None
+            if cut:
+                yield read(table.slice(0, cut), ids[:cut])
+        if rest is not None:
+            yield read(rest, np.zeros(rest.num_rows, np.int64))
+
+    def read(table, ids):
+        item = column[np.asarray(table.column("code"))]
+        value = np.asarray(table.column("v").fill_null(0.0))
+        keep = item >= 0
+        _, row, n = np.unique(ids[keep], return_inverse=True, return_counts=True)
+        item, value, full = item[keep], np.where(np.isnan(value[keep]), 0.0, value[keep]), n >= k
+        keep = full[row]
+        return (np.cumsum(full) - 1)[row[keep]], item[keep], value[keep], int(full.sum())
 
     def count(batches):
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        it_codes = pdf["item"].map(index)
-        keep = it_codes.notna().to_numpy()
-        pdf = pdf[keep]
-        if pdf.empty:
-            return
-        tx, _ = pd.factorize(pdf["txn"])
-        ii = it_codes[keep].astype(np.int64).to_numpy()
-        n_tx = int(tx.max()) + 1
-        present = np.zeros((len(items), n_tx), dtype=bool)
-        present[ii, tx] = True
-        vals = np.zeros((len(items), n_tx), dtype=np.float64)
-        vals[ii, tx] = pdf["v"].fillna(0.0).to_numpy(dtype=np.float64)
-        for start in range(0, len(cand_idx), CAND_CHUNK):
-            ci = cand_idx[start:start + CAND_CHUNK]
-            mask = present[ci[:, 0]]
-            for j in range(1, k):
-                mask = mask & present[ci[:, j]]
-            cnt = mask.sum(axis=1)
-            out = {"cand_id": np.arange(start, start + len(ci), dtype=np.int32), "cnt": cnt.astype(np.int64)}
-            for j in range(k):
-                out[f"v{j}"] = (mask * vals[ci[:, j]]).sum(axis=1)
-            frame = pd.DataFrame(out)
-            yield frame[frame["cnt"] > 0]
-
-    partial = rows.select("txn", "item", "v").mapInPandas(count, schema)
+        sums = np.zeros((k + 1, len(cand_idx)))
+        for row, item, value, n in whole(b for b in batches if b.num_rows):
+            for start in range(0, n, size):
+                at = (row >= start) & (row < start + size) if n > size else slice(None)
+                add(sums, row[at] - start, item[at], value[at], min(size, n - start))
+        met = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(met.astype(np.int32)), pa.array(sums[0, met].astype(np.int64))] + [pa.array(s[met]) for s in sums[1:]],
+            names=["cand_id", "cnt"] + [f"v{j}" for j in range(k)])
+
+    schema = "cand_id int, cnt long, " + ", ".join(f"v{j} double" for j in range(k))
+    partial = rows.select("txn", "code", "v").mapInArrow(count, schema)
     return partial.groupBy("cand_id").agg(F.sum("cnt").alias("cnt"),
                                           *[F.sum(f"v{j}").alias(f"v{j}") for j in range(k)]) \
         .filter(F.col("cnt") >= min_count).collect()

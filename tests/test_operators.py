@@ -581,3 +581,63 @@ def test_oneclass_svm_holds_few_partitions(spark, monkeypatch):
     m = oneclass.OneClassSVM(n_features=4, max_iter=2).fit(_wide_cases(spark), ["a", "b"])
     assert seen == [2 * spark.sparkContext.defaultParallelism]
     assert len(m.history) == 2
+
+
+def test_candidates_are_counted_in_slices(spark, monkeypatch):
+    """A task counts slices of its transactions, so its memory does not grow with its partition."""
+    rnd = random.Random(5)
+    monkeypatch.setattr(asso, "CELLS", 24)
+    sets = [(rnd.sample("abcdefgh", rnd.randint(1, 6)),) for _ in range(200)]
+    codes = {x: i for i, x in enumerate("hgfedcba")}
+    df = spark.createDataFrame([(t, codes[x], float(ord(x))) for t, (s,) in enumerate(sets) for x in s],
+                               "txn long, code int, v double").coalesce(1).sortWithinPartitions("txn")
+    monkeypatch.setattr(asso, "PREFIX_CHUNK", 4)
+    cands = list(combinations("abcdef", 3))
+    got = {cands[r.cand_id]: (r.cnt, r.v0, r.v1, r.v2) for r in asso.count_candidates(df, codes, cands, 1)}
+    for c in cands:
+        n = sum(set(c) <= set(s) for s, in sets)
+        assert got.get(c, (0, 0, 0, 0)) == (n, *[n * float(ord(x)) for x in c])
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+
+
+def test_terms_stay_with_their_document(spark):
+    """Texts are shuffled by id once; their terms and weights are not shuffled again."""
+    from quarry.operators import text as tx
+    df = spark.createDataFrame([(i % 9, f"alpha beta w{i % 4} w{i % 5}") for i in range(30)] + [(None, "alpha w1"), (50, None)],
+                               "id long, text string")
+    tc = tx.doc_terms(df, "id", "text")
+    assert len(_exchanges(tc)) == 1
+
+    def local(table):  # its plan without the one it was made by
+        return spark.createDataFrame(table.collect(), table.schema)
+
+    assert len(_exchanges(tx.tfidf(tc, local(tx.vocabulary(tc, 2))))) == 1
+    m = tx.ESA(min_items=1, min_docs=1).fit(df.filter("id IS NOT NULL"), "id", "text")
+    m.index, m.vocab = local(m.index), local(m.vocab)
+    top = m.top_features(df, "id", "text", 2)
+    assert len(_exchanges(top)) == 1
+    full = {}
+    for r in m.vectors(df, "id", "text").collect():
+        full.setdefault(r.id, []).append((-r.value, r.feature_id))
+    want = {(i, k + 1): f[1] for i, fs in full.items() for k, f in enumerate(sorted(fs)[:2])}
+    assert {(r.id, r["rank"]): r.feature_id for r in top.collect()} == want
+
+
+def test_nnls_leaves_settled_rows():
+    """Rows that have settled take no part in further sweeps, and the weights are the least squares ones."""
+    import numpy as np
+
+    from quarry.operators.decomposition import nnls_cross
+    rng = np.random.default_rng(1)
+    h = rng.random((4, 9))
+    v = rng.random((50, 9))
+    gram, cross = h @ h.T, v @ h.T
+    w = nnls_cross(gram, cross, sweeps=5000)
+    g = w @ gram - cross
+    assert (w >= 0).all() and np.abs(w * g).max() < 1e-8 and g.min() > -1e-8
+    for i in range(50):
+        assert np.abs(nnls_cross(gram, cross[i:i + 1], sweeps=5000)[0] - w[i]).max() < 1e-9
