@@ -1,7 +1,7 @@
 """English stems by Porter's suffix rules (M. F. Porter, An algorithm for suffix stripping, 1980).
 
-Stemming runs on the distinct words of an Arrow batch; a document's words are counted where its row is,
-so only (document, stem, count) rows are shuffled.
+Stemming runs on the distinct words of a slice of an Arrow batch, so a worker's memory is bounded by one
+batch and one slice; a document's words are counted where its row is, so only (document, stem, count) rows are shuffled.
 """
 
 from __future__ import annotations
@@ -92,6 +92,21 @@ def stem(word: str) -> str:
     return word
 
 
+SLICE_WORDS = 1 << 18
+
+
+def slices(batch: pa.RecordBatch):
+    """(ids, word lists) of runs of a batch's rows with about ``SLICE_WORDS`` words, one row at least."""
+    ids, lists = batch.columns
+    ends = lists.offsets.to_numpy()[1:]
+    start, n = 0, batch.num_rows
+    while start < n:
+        before = ends[start - 1] if start else lists.offsets[0].as_py()
+        stop = max(int(np.searchsorted(ends, before + SLICE_WORDS, side="right")), start + 1)
+        yield ids.slice(start, stop - start), lists.slice(start, stop - start)
+        start = stop
+
+
 def doc_stems(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, term, tf): stem counts of whole documents.
 
@@ -103,16 +118,17 @@ def doc_stems(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            ids, lists = batch.columns
-            words = lists.flatten().dictionary_encode()
-            if not len(words):
-                continue
-            stems, code = np.unique([stem(w) for w in words.dictionary.to_pylist()], return_inverse=True)
-            lengths = np.where(lists.is_valid().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy()), 0)
-            row = np.repeat(np.arange(batch.num_rows, dtype=np.int64), lengths)
-            pair, tf = np.unique(row * len(stems) + code[words.indices.to_numpy()], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(pair // len(stems))), pa.array(stems.tolist(), pa.string()).take(pa.array(pair % len(stems))),
-                 pa.array(tf.astype(np.int64))], names=["doc_id", "term", "tf"])
+            for ids, lists in slices(batch):
+                words = lists.flatten().dictionary_encode()
+                if not len(words):
+                    continue
+                stems, code = np.unique([stem(w) for w in words.dictionary.to_pylist()], return_inverse=True)
+                lengths = np.where(lists.is_valid().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy()), 0)
+                row = np.repeat(np.arange(len(ids), dtype=np.int64), lengths)
+                pair, tf = np.unique(row * len(stems) + code[words.indices.to_numpy()], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(pair // len(stems))),
+                     pa.array(stems.tolist(), pa.string()).take(pa.array(pair % len(stems))),
+                     pa.array(tf.astype(np.int64))], names=["doc_id", "term", "tf"])
 
     return rows.mapInArrow(count, schema).groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))

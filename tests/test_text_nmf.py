@@ -96,3 +96,17 @@ def test_documents_without_known_terms_and_bad_input(spark):
         N.fit_text_nmf(spark.createDataFrame([(1, "same"), (2, "same")], "doc_id int, text string"), "doc_id", "text", k=1)
     with pytest.raises(ValueError):
         N.fit_text_nmf(df, "doc_id", "text", k=0)
+
+
+def test_stems_are_counted_in_slices(spark, monkeypatch):
+    """A batch's words are counted slice by slice, so a worker's arrays do not grow with its rows."""
+    import pyarrow as pa
+
+    from quarry.operators import stemmer
+    monkeypatch.setattr(stemmer, "SLICE_WORDS", 5)
+    lists = pa.array([["a"] * 3, None, ["b"] * 4, [], ["c"] * 9, ["d"]], pa.list_(pa.string()))
+    parts = list(stemmer.slices(pa.RecordBatch.from_arrays([pa.array(range(6)), lists], names=["doc_id", "words"])))
+    assert [(i.to_pylist(), len(w.flatten())) for i, w in parts] == [([0, 1], 3), ([2, 3], 4), ([4], 9), ([5], 1)]
+    df = spark.createDataFrame([(1, "cats run"), (2, None), (1, "cat runs running"), (3, "")], "doc_id int, text string").coalesce(1)
+    got = {(r.doc_id, r.term): r.tf for r in stemmer.doc_stems(df, "doc_id", "text").collect()}
+    assert got == {(1, "cat"): 2, (1, "run"): 3}
