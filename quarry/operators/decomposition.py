@@ -183,15 +183,19 @@ def nnls_rows(v: np.ndarray, h: np.ndarray, sweeps: int = 200) -> np.ndarray:
 def nnls_cross(gram: np.ndarray, cross: np.ndarray, sweeps: int = 200) -> np.ndarray:
     """The same from h h' and v h', so v may be sparse."""
     w = np.maximum(cross @ np.linalg.pinv(gram), 0.0)
+    live, now = np.arange(len(w)), w.copy()  # rows that still move; a row is solved by itself
     for _ in range(sweeps):
-        moved = 0.0
+        moved = np.zeros(len(live))
         for j in range(len(gram)):
             if gram[j, j] > 0:
-                new = np.maximum(w[:, j] + (cross[:, j] - w @ gram[:, j]) / gram[j, j], 0.0)
-                moved = max(moved, float(np.abs(new - w[:, j]).max(initial=0.0)))
-                w[:, j] = new
-        if moved <= 1e-12 * max(1.0, float(np.abs(w).max(initial=0.0))):
+                new = np.maximum(now[:, j] + (cross[:, j] - now @ gram[:, j]) / gram[j, j], 0.0)
+                moved = np.maximum(moved, np.abs(new - now[:, j]))
+                now[:, j] = new
+        w[live] = now
+        go = moved > 1e-12 * np.maximum(1.0, now.max(1, initial=0.0))
+        if not go.any():
             break
+        live, now, cross = live[go], now[go], cross[go]
     return w
 
 

@@ -21,6 +21,7 @@ from quarry.operators.sparse_kmeans import MAX_NUMBERS, sum_batches
 from quarry.operators.stemmer import doc_stems
 from quarry.operators.text import doc_terms, l2_normalize, vocabulary
 from quarry.plans.model import MiningModel
+from quarry.session import hold
 
 MAX_TERMS = 100_000
 
@@ -122,7 +123,7 @@ def fit_text_nmf(df: DataFrame, id_col: str, text_col: str, k: int = 10, max_fea
             raise ValueError(f"no term occurs in {min_docs} documents")
         vocab = spark.createDataFrame([(t, i, float(idf)) for i, (t, idf) in enumerate(found)],
                                       "term string, place int, idf double")
-        rows = sparse_rows(counts, vocab).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = hold(sparse_rows(counts, vocab))
         try:
             model = TextNMFModel(name=name, function="FEATURE_EXTRACTION", algorithm="ALGO_NONNEGATIVE_MATRIX_FACTOR",
                                  terms=[t for t, _ in found], vocab=vocab, stems=stems, case_id=id_col,
