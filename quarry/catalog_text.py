@@ -34,7 +34,7 @@ def q_term_extract(spark, sf_dir):
 def q_tfidf(spark, sf_dir):
     d = load(spark, sf_dir, "documents")
     tc = tx.doc_terms(d, "doc_id", "text")
-    v = tx.vocabulary(tc, min_docs=TFIDF_MIN_DOCS)
+    v = tx.vocabulary(tc, min_docs=TFIDF_MIN_DOCS).persist()
     return tx.tfidf(tc, v).select("doc_id", "term", rnd("weight").alias("weight"))
 
 

@@ -1,6 +1,8 @@
 """Text features: term extraction, TF-IDF, vocabulary, ESA.
 
-Documents are tokenized whole (no prefixes) with a JVM regex split;
+Documents are dealt once by id, a bounded number to a task, and tokenized
+whole (no prefixes) with a JVM regex split, so their terms are counted,
+weighted and scored where they are;
 everything after that is a long ``(doc_id, term, value)`` table built
 with ``explode`` + ``groupBy`` - the representation the reference calls a
 nested numerical column, kept long so it joins and aggregates.
@@ -21,16 +23,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import tokenize, with_totals
-from quarry.operators.topn import top_n_by_group
 from quarry.plans.model import MiningModel
+from quarry.session import PARTITIONS_A_CORE
+
+DOCS_A_TASK = 4000
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def doc_terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, term, tf): term counts of whole documents."""
-    return (df.select(F.col(id_col).alias("doc_id"), F.explode(tokenize(text_col)).alias("term"))
+    """(doc_id, term, tf): term counts of whole documents, partitioned by doc_id.
+
+    The texts are shuffled, not their terms; a task has some ``DOCS_A_TASK`` rows, however many there are.
+    """
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    cores = max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    parts = max(PARTITIONS_A_CORE * cores, -(-rows.count() // DOCS_A_TASK))
+    return (rows.repartition(parts, "doc_id").select("doc_id", F.explode(tokenize("text")).alias("term"))
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def _small(table: DataFrame, rows: int) -> DataFrame:
+    """``table`` marked for broadcast if it has at most ``MAX_BROADCAST_ROWS`` rows."""
+    return F.broadcast(table) if rows <= MAX_BROADCAST_ROWS else table
+
+
 def l2_normalize(df: DataFrame, key: str, value: str, out: str = "value") -> DataFrame:
     """Divide ``value`` by the L2 norm of its ``key`` group.
 
@@ -63,8 +79,12 @@ def vocabulary(tc: DataFrame, min_docs: int = 1, max_features: int | None = None
 
 
 def tfidf(tc: DataFrame, vocab: DataFrame, drop_below: float = 0.0) -> DataFrame:
-    """(doc_id, term, weight): tf * idf over the vocabulary, L2-normalized per document."""
-    w = tc.join(vocab.select("term", "idf"), "term").withColumn("raw", F.col("tf") * F.col("idf")) \
+    """(doc_id, term, weight): tf * idf over the vocabulary, L2-normalized per document.
+
+    ``vocab`` is counted first, so it should be persisted; up to ``MAX_BROADCAST_ROWS`` terms are broadcast
+    and the terms stay with their document.
+    """
+    w = tc.join(_small(vocab.select("term", "idf"), vocab.count()), "term").withColumn("raw", F.col("tf") * F.col("idf")) \
         .filter(F.col("raw") > 0)
     out = l2_normalize(w, "doc_id", "raw", "weight").select("doc_id", "term", "weight")
     if drop_below > 0:
@@ -83,15 +103,17 @@ class ESAModel(MiningModel):
         """(id, feature_id, value): full ESA vector of each text (sparse product)."""
         tc = doc_terms(df, id_col, text_col)
         w = tfidf(tc, self.vocab)  # model idf, vocabulary terms only
-        return (w.join(self.index.withColumnRenamed("weight", "fw"), "term")
+        index = _small(self.index.withColumnRenamed("weight", "fw"), self.index.count())
+        return (w.join(index, "term")
                 .groupBy(F.col("doc_id").alias("id"), "feature_id")
                 .agg(F.sum(F.col("weight") * F.col("fw")).alias("value")))
 
     def top_features(self, df: DataFrame, id_col: str, text_col: str, top_n: int = 5) -> DataFrame:
         """FEATURE_SET(model, top_n): best features per text (value desc, feature id asc)."""
         v = self.vectors(df, id_col, text_col)
-        return top_n_by_group(v, ["id"], [F.col("value").desc(), F.col("feature_id").asc()], top_n,
-                              salt_cols=["feature_id"], rank_col="rank")
+        # a text's vector has at most as many rows as the model has features, and lies in one partition
+        w = Window.partitionBy("id").orderBy(F.col("value").desc(), F.col("feature_id").asc())
+        return v.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
 
     def compare(self, pairs: DataFrame, a_text: str, b_text: str, pair_key: list[str]) -> DataFrame:
         """FEATURE_COMPARE: 1 - cosine of the two ESA vectors of each pair (a distance)."""
