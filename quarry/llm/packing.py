@@ -9,10 +9,11 @@ sequence and offset by arithmetic alone: texts and ids of documents that stay wh
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import zlib
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,8 @@ from quarry.llm.cutting import PackPlan, plan
 
 SEQUENCE = 2048
 END_ID = 1
-HELD_WORDS = 1 << 18  # distinct words, and parts between blanks, that a task remembers
+HELD_WORDS = 1 << 18  # distinct parts between blanks of a generation; a Python worker remembers two
+HELD_BYTES = 64  # longer parts are not remembered
 
 #: Rows of the offsets table that count a partition's whole sequences and not a remainder.
 _WHOLE = -1
@@ -42,42 +44,53 @@ _OTHER = re.compile(r"[^\x21-\x7EÀ-ÖØ-öø-ÿ]")
 _SPECIAL = "<|"  # begins the special tokens
 
 
-def _byte_letters() -> dict[int, str]:
-    """The sign that stands for each byte in a byte-level vocabulary: itself if it is printable."""
+def _byte_letters() -> str:
+    """The signs that stand for the 256 bytes in a byte-level vocabulary: themselves if they are printable."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in own]
-    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+    letters = {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+    return "".join(letters[b] for b in range(256))
 
 
 class _Remembered(dict):
-    """Values of ``make(key)``, made when first asked for."""
+    """Values of ``make(key)``, made when first asked for; :meth:`age` drops those not asked for lately."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, key):
-        value = self[key] = self.make(key)
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= HELD_BYTES:
+            self[key] = value
         return value
 
+    def age(self):
+        if len(self) > HELD_WORDS:
+            self.older = dict(self)
+            self.clear()
+
 
 class WordEncoder:
     """Ids of texts by the word-end BPE of a ``tokenizers`` file; frequent parts are remembered.
 
     White space ends every word of such a tokenizer and is dropped, and lower-cased words are encoded
     one by one, so a text's ids are those of its parts between ASCII blanks, one after the other, and
-    a part's those of its words.  Only parts of printable ASCII and Latin-1 letters are cut into
-    words here; others are left to the tokenizer.
+    a part's those of its words, each a part of its own.  Only parts of printable ASCII and Latin-1
+    letters are cut into words here; others are left to the tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.tokenize = self.tokenizer.model.tokenize
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
+        self.packed = {i: i.to_bytes(self.dtype.itemsize, "little") for i in vocabulary.values()}
         self.letters = _byte_letters()
-        self.words = _Remembered(self._word)
         self.parts = _Remembered(self._part)
 
     def _packed(self, ids) -> bytes:
@@ -85,24 +98,35 @@ class WordEncoder:
 
     def _word(self, word: str) -> bytes:
         if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        return self._packed([t.id for t in self.model.tokenize(word)])
+            word = codecs.charmap_decode(word.encode(), "strict", self.letters)[0]
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenize(word)])
 
     def _part(self, part: bytes) -> bytes:
+        if part.isalpha():  # ASCII letters alone
+            word = part.lower()
+            return self._word(word.decode()) if word == part else self.parts[word]
         text = part.decode("utf-8", "replace")
         if _OTHER.search(text) or _SPECIAL in text:
             return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.words.__getitem__, _WORD.findall(text.lower())))
+        words = _WORD.findall(text.lower())
+        if words == [text]:
+            return self._word(text)
+        return b"".join([self.parts[w.encode()] for w in words])
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """The ids of every text and ``end_id``, packed as ``dtype``."""
-        for held in (self.words, self.parts):
-            if len(held) > HELD_WORDS:
-                held.clear()
+        self.parts.age()
         end, get = self._packed([end_id]), self.parts.__getitem__
         return [b"".join(map(get, t.split())) + end for t in texts]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """The encoder of a Python worker, with the parts it remembers; it serves one task after the other."""
+    return WordEncoder(path)
+
+
 def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -110,7 +134,7 @@ def _crc(ids: np.ndarray) -> int:
 def _encode(batches, path: str, size: int, end_id: int):
     """Ids, checksums and ranks within the partition of every row."""
     part = TaskContext.get().partitionId()
-    encoder = WordEncoder(path)
+    encoder = _encoder(path)
     seen = np.zeros(size, np.int64)  # rows so far by remainder
     row = chunks = 0
     for batch in batches:
