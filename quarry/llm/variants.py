@@ -161,7 +161,8 @@ def _keys(word: Column, parts: list[str], scheme: tuple[int, int, int], length:
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): all ordered pairs of words at edit distance one, each once.
 
-    Only verified pairs leave the join; no list of a signature's words is built.
+    Only verified pairs leave the join; no list of a signature's words is built.  The join is told to
+    merge: Spark takes the exploded keys for no larger than the file of words and would broadcast them.
     """
     length = F.length("word")
     n1, n2, _ = REPLACED
@@ -173,7 +174,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     longer = words.select("word", "n", _keys(F.col("word"), parts, INSERTED, length - 1))
 
     def verified(left: DataFrame, right: DataFrame, apart: Column) -> DataFrame:
-        found = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & apart & (
+        found = left.alias("l").join(right.alias("r").hint("merge"), (F.col("l.key") == F.col("r.key")) & apart & (
             F.levenshtein("l.word", "r.word", 1) == 1))
         return found.select(F.col("l.word").alias("word"), F.col("l.n").alias("n"),
                             F.col("r.word").alias("near"), F.col("r.n").alias("near_n"))
@@ -189,12 +190,13 @@ def near_pairs(words: DataFrame) -> DataFrame:
 def follow(forms: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(word, root) for each row of ``forms(word, form)``: the last word that forms lead to.
 
-    Every round doubles the steps taken, so the rounds are logarithmic in the longest chain.
+    Every round doubles the steps taken, so the rounds are logarithmic in the longest chain.  Joins of
+    forms merge too: their file, with each root once, is far smaller than the rows in memory.
     """
     cur = materialize(forms.select("word", F.col("form").alias("root")), "forms")
     for _ in range(max_rounds):
         ahead = cur.select(F.col("word").alias("root"), F.col("root").alias("ahead"))
-        step = cur.join(ahead, "root", "left").select(
+        step = cur.join(ahead.hint("merge"), "root", "left").select(
             "word", F.coalesce("ahead", "root").alias("root"), F.col("ahead").isNotNull().alias("moved"))
         nxt = materialize(step, "forms")
         discard(cur)
@@ -223,5 +225,5 @@ def spelling_variants(docs: DataFrame) -> DataFrame:
                                        (-F.col("best.low")).alias("form_n")), "variants")
     discard(words)
     roots = follow(judged.filter("form IS NOT NULL"))
-    return judged.join(roots, "word", "left").select(
+    return judged.join(roots.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

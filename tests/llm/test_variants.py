@@ -96,6 +96,30 @@ def test_query_equals_brute_force(spark):
     assert _result(queries.q_op13_spelling_variants(spark, SF_SMALL)) == brute_force(docs)
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_and_forms_are_never_broadcast(spark, docs_of, monkeypatch):
+    """Spark sizes exploded keys and packed forms by their files, far below the rows they hold."""
+    rows = _noisy(random.Random(5), 20)
+    words = V.materialize(V.word_counts(docs_of(rows)), "words")
+    pairs = V.near_pairs(words)
+    assert len(pairs.collect()) > 100  # the plan below is also the one that ran
+    assert "Broadcast" not in _plan(pairs) and "SortMergeJoin" in _plan(pairs)
+    plans = []
+
+    def told(df, name, real=V.materialize):
+        plans.append((name, _plan(df)))
+        return real(df, name)
+
+    monkeypatch.setattr(V, "materialize", told)
+    found = V.spelling_variants(docs_of(rows))
+    assert _result(found) == brute_force(rows)
+    forms = [plan for name, plan in plans if name == "forms" and "Join" in plan]
+    assert forms and not any("Broadcast" in plan for plan in [*forms, _plan(found)])
+
+
 @pytest.mark.parametrize("n1,n2,k", [(1, 4, 2), (2, 1, 1), (2, 3, 2), (3, 1, 2), (1, 3, 2), (2, 4, 3)])
 def test_signatures_miss_no_vector_within_the_distance(n1, n2, k):
     rng = random.Random(n1 * 10 + n2)
